@@ -1,0 +1 @@
+"""Intentionally empty: every step is a batch job, a daily refresh is a batch re-run."""
