@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.functions.columns import stack_columns
-from arrears.sources.staging import staging_root
+from arrears.sources.staging import new_folder
 
 
 def linear_contributions(
@@ -61,7 +60,7 @@ def tree_nodes(spark: SparkSession, model: PipelineModel) -> pd.DataFrame:
     of trees and their depth, whatever the number of customers.
     """
     trees = model.stages[-1]
-    path = f"{staging_root(spark)}/{uuid4().hex}"
+    path = new_folder(spark)
     trees.save(path)
     node = F.col("nodeData")
     nodes = spark.read.parquet(f"{path}/data").select(

@@ -24,9 +24,14 @@ def staging_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/arrears-{app}"
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A fresh path in the shared folder."""
+    return f"{staging_root(spark)}/{uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
