@@ -63,15 +63,23 @@ def woe_stages(expressions: Mapping[str, str]) -> list:
     ]
 
 
-def fit_scorecard(
+def informative_bins(
     train: DataFrame, features: Sequence[str], label: str = "TARGET"
-) -> tuple[PipelineModel, DataFrame, list[str]]:
-    """Bin, select by information value and fit; returns model, bin table and features."""
-    train = stage(train.select("SK_ID_CURR", label, *features))
-    bins = stage(optimal_bins(train, features, label))
+) -> tuple[DataFrame, list[str]]:
+    """Bin table of all features and the features with enough information, best first."""
+    narrow = stage(train.select(label, *features))
+    bins = stage(optimal_bins(narrow, features, label))
     selected = [r.feature for r in select_by_iv(information_values(bins)).collect()]
     if not selected:
         raise ValueError("no feature carries information about the label")
+    return bins, selected
+
+
+def fit_scorecard(
+    train: DataFrame, features: Sequence[str], label: str = "TARGET"
+) -> tuple[PipelineModel, DataFrame, list[str]]:
+    """Bin, select by information value and fit; returns model, bin table and features."""
+    bins, selected = informative_bins(train, features, label)
     weighted = stage(balanced_weights(train.select(label, *selected), label))
     stages = [*woe_stages(woe_expressions(bins, selected)), logistic_regression(weighted.count(), label)]
     return Pipeline(stages=stages).fit(weighted), bins, selected

@@ -50,17 +50,28 @@ AS_OF_MONTHS = 3
 TREES = {"maxIter": 8, "maxDepth": 4, "stepSize": 0.1}
 
 
-# Digits kept in results: enough that a tie is out of reach, fewer for large sums.
+# Digits kept in results: more where values are short decimals and a tie could occur,
+# fewer for large sums.
 DIGITS = 9
-LARGE_SUMS = {"bur_amt_overdue_sum": 6}
-LOSS_DIGITS = 8
+DIGITS_OF = {
+    "bur_amt_overdue_sum": 6,
+    "cc_util_mean": 11,
+    "cc_util_max": 11,
+    "cc_util_l3m": 11,
+    "ins_underpay_ratio_mean": 11,
+    "ins_underpay_ratio_l3m": 11,
+    "ins_underpay_ratio_l6m": 11,
+    "EAD": 8,
+    "expected_loss": 8,
+    "recovery_if_called": 8,
+}
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+def rounded(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Round every double column; adding zero drops the sign of a negative zero."""
     return df.withColumns(
         {
-            f.name: F.round(f.name, min(digits, LARGE_SUMS.get(f.name, digits))) + F.lit(0.0)
+            f.name: F.round(f.name, digits or DIGITS_OF.get(f.name, DIGITS)) + F.lit(0.0)
             for f in df.schema.fields
             if isinstance(f.dataType, T.DoubleType)
         }
@@ -334,8 +345,8 @@ def scorecard_fit(spark: SparkSession, sf: str) -> DataFrame:
 
 def cv_auc(spark: SparkSession, sf: str) -> DataFrame:
     train = _modelled(spark, sf).where("is_train")
-    bins = stage(binning.optimal_bins(train, list(CUTS)))
-    expressions = binning.woe_expressions(bins, list(CUTS))
+    bins, selected = scorecard.informative_bins(train, store.MODEL_FEATURES)
+    expressions = binning.woe_expressions(bins, selected)
     mean, deviation = scorecard.cross_validated_auc(train, expressions)
     return spark.createDataFrame([(float(mean), float(deviation))], "mean_auc double, sd_auc double")
 
@@ -513,7 +524,7 @@ def fitted_warning(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def expected_loss(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_dimension(spark, sf), LOSS_DIGITS)
+    return rounded(_dimension(spark, sf))
 
 
 def strategy_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -529,11 +540,11 @@ def recovery_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def priority_list(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(policy.priority_list(_priority(spark, sf)), LOSS_DIGITS)
+    return rounded(policy.priority_list(_priority(spark, sf)))
 
 
 def loss_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(policy.loss_sample(_priority(spark, sf)), LOSS_DIGITS)
+    return rounded(policy.loss_sample(_priority(spark, sf)))
 
 
 # --- scenarios and reports --------------------------------------------------------------
@@ -549,7 +560,7 @@ def scenario_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def priority_top1000(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(reporting.top_of_list(policy.priority_list(_priority(spark, sf))), LOSS_DIGITS)
+    return rounded(reporting.top_of_list(policy.priority_list(_priority(spark, sf))))
 
 
 def total_el(spark: SparkSession, sf: str) -> DataFrame:
@@ -574,7 +585,7 @@ def pd_by_tier(spark: SparkSession, sf: str) -> DataFrame:
 
 def top20(spark: SparkSession, sf: str) -> DataFrame:
     ranked = policy.priority_list(_priority(spark, sf))
-    return rounded(reporting.call_list(policy.attach_flags(ranked, _flags(spark, sf))), LOSS_DIGITS)
+    return rounded(reporting.call_list(policy.attach_flags(ranked, _flags(spark, sf))))
 
 
 def portfolio_kpis(spark: SparkSession, sf: str) -> DataFrame:
@@ -583,7 +594,7 @@ def portfolio_kpis(spark: SparkSession, sf: str) -> DataFrame:
 
 def customer_dimension(spark: SparkSession, sf: str) -> DataFrame:
     ranked = policy.priority_list(_priority(spark, sf))
-    return rounded(reporting.customer_dimension(_store(spark, sf), ranked, _flags(spark, sf)), LOSS_DIGITS)
+    return rounded(reporting.customer_dimension(_store(spark, sf), ranked, _flags(spark, sf)))
 
 
 QUERIES: Sequence[Query] = [

@@ -14,10 +14,9 @@ from arrears.plans.catalog import (
     COEFS,
     CUTS,
     DIGITS,
+    DIGITS_OF,
     HISTOGRAM_FEATURES,
     INTERCEPT,
-    LARGE_SUMS,
-    LOSS_DIGITS,
 )
 
 RAW = """
@@ -314,10 +313,8 @@ snapshots AS (
        LEFT JOIN snap_cc c ON c.SK_ID_CURR = fs.SK_ID_CURR AND c.m = months.m)"""
 
 
-def rounding(columns: Iterable[str], digits: int = DIGITS, table: str = "") -> str:
-    return ", ".join(
-        f"round({table}{c}, {min(digits, LARGE_SUMS.get(c, digits))}) + 0e0 AS {c}" for c in columns
-    )
+def rounding(columns: Iterable[str], table: str = "") -> str:
+    return ", ".join(f"round({table}{c}, {DIGITS_OF.get(c, DIGITS)}) + 0e0 AS {c}" for c in columns)
 
 
 def query(body: str, *ctes: str, as_of: int = 0) -> str:
@@ -552,7 +549,7 @@ def oracle_sql() -> dict[str, str]:
         "stress_composite",
     ]
     aligned = ", ".join(
-        f"round(coalesce(CAST({c} AS DOUBLE), 0), 9) + 0e0 AS {c}"
+        f"round(coalesce(CAST({c} AS DOUBLE), 0), {DIGITS_OF.get(c, DIGITS)}) + 0e0 AS {c}"
         if c in [*snapshot_doubles, *early_warning.CARRIED_FEATURES]
         else f"0e0 AS {c}"
         for c in early_warning.BEHAVIOUR_FEATURES
@@ -741,7 +738,7 @@ def oracle_sql() -> dict[str, str]:
         "warning_flags": query("SELECT * FROM flags", FLAGS),
         "expected_loss": query(
             "SELECT SK_ID_CURR, TARGET, NAME_CONTRACT_TYPE, ew_flag, risk_tier, "
-            f"{rounding([*PRIORITY_DOUBLES, 'contact_eff'], LOSS_DIGITS)} FROM dimension",
+            f"{rounding([*PRIORITY_DOUBLES, 'contact_eff'])} FROM dimension",
             *policies,
         ),
         "strategy_metrics": query("SELECT * FROM outcome", *policies),
@@ -761,12 +758,12 @@ def oracle_sql() -> dict[str, str]:
             *policies,
         ),
         "priority_list": query(
-            f"SELECT SK_ID_CURR, {rounding(PRIORITY_DOUBLES, LOSS_DIGITS)}, TARGET, priority_rank, "
+            f"SELECT SK_ID_CURR, {rounding(PRIORITY_DOUBLES)}, TARGET, priority_rank, "
             "0.3e0 AS contact_eff_assumption FROM ranked",
             *policies,
         ),
         "loss_sample": query(
-            f"SELECT SK_ID_CURR, {rounding(['PD', 'EAD', 'expected_loss'], LOSS_DIGITS)} FROM called "
+            f"SELECT SK_ID_CURR, {rounding(['PD', 'EAD', 'expected_loss'])} FROM called "
             f"WHERE strategy = '{policy.RANDOM}' AND calls <= 5000",
             *policies,
         ),
@@ -789,7 +786,7 @@ def oracle_sql() -> dict[str, str]:
             *policies,
         ),
         "priority_top1000": query(
-            f"SELECT SK_ID_CURR, {rounding(PRIORITY_DOUBLES, LOSS_DIGITS)}, TARGET, priority_rank, "
+            f"SELECT SK_ID_CURR, {rounding(PRIORITY_DOUBLES)}, TARGET, priority_rank, "
             "0.3e0 AS contact_eff_assumption FROM ranked WHERE priority_rank <= 1000",
             *policies,
         ),
@@ -814,7 +811,7 @@ def oracle_sql() -> dict[str, str]:
             *policies,
         ),
         "top20": query(
-            top.format(rounding(["PD", "EAD", "expected_loss"], LOSS_DIGITS)) + " WHERE priority_rank <= 20", *policies
+            top.format(rounding(["PD", "EAD", "expected_loss"])) + " WHERE priority_rank <= 20", *policies
         ),
         "portfolio_kpis": query(
             "SELECT CASE WHEN grouping(NAME_CONTRACT_TYPE) = 1 THEN 'All' ELSE NAME_CONTRACT_TYPE END AS segment, "
@@ -828,8 +825,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "customer_dimension": query(
             f"SELECT {', '.join('fs.' + c for c in STORE_INTEGERS)}, "
-            f"{rounding(STORE_DOUBLES, LOSS_DIGITS, 'fs.')}, "
-            f"{rounding(PRIORITY_DOUBLES, LOSS_DIGITS)}, priority_rank, 0.3e0 AS contact_eff_assumption, "
+            f"{rounding(STORE_DOUBLES, 'fs.')}, "
+            f"{rounding(PRIORITY_DOUBLES)}, priority_rank, 0.3e0 AS contact_eff_assumption, "
             "ew_score, ew_flag, risk_tier "
             "FROM fs LEFT JOIN ranked USING (SK_ID_CURR) LEFT JOIN flags USING (SK_ID_CURR)",
             *policies,
