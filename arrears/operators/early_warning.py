@@ -11,6 +11,7 @@ from arrears.functions.columns import clip, share, stack_columns
 from arrears.operators.installments import DAYS_PER_MONTH
 from arrears.operators.metrics import rank_metrics, ranked_scores
 from arrears.operators.store import available
+from arrears.sources.staging import stage
 
 LEAD_MONTHS = (12, 9, 6, 3, 1)
 THRESHOLD = 0.50
@@ -183,6 +184,7 @@ def lead_time(
     ``false_alarm_rate_pct`` is the flagged share of all rows; ``false_positive_rate_pct``
     counts flagged good customers among the good ones.
     """
+    scored = stage(scored.select(month, label, score))
     flagged = F.col(score) >= threshold
     bad, good = F.col(label) == 1, F.col(label) == 0
 

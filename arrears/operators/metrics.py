@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from arrears.functions.columns import share
 from arrears.functions.ordering import exact_quantiles, number_in_order, with_group_totals
 from arrears.operators.quality import density
+from arrears.sources.staging import stage
 
 PSI_BINS = 10
 EMPTY_SHARE = 1e-6  # stands in for an empty bin's share
@@ -93,8 +94,10 @@ def psi_bins(
     The outer bins are open; an empty bin gets a tiny share.
     """
     by = list(by)
-    scored = df.select(*by, F.col(score).alias("score"), F.col(expected).alias("expected")).where(
-        F.col("score").isNotNull()
+    scored = stage(
+        df.select(*by, F.col(score).alias("score"), F.col(expected).alias("expected")).where(
+            F.col("score").isNotNull()
+        )
     )
     shares = [i / bins for i in range(1, bins)]
     edges = exact_quantiles(scored.where("expected"), "score", shares, by)
@@ -171,10 +174,12 @@ def fit_checks(metrics: DataFrame) -> DataFrame:
 
 def score_density(df: DataFrame, score: str = "score", label: str = "label", bins: int = 50) -> DataFrame:
     """Density of the score per sample and class."""
-    scored = df.where(F.col(score).isNotNull()).select(
-        F.when(F.col("is_train"), "train").otherwise("test").alias("sample"),
-        F.col(label).alias("label"),
-        F.col(score).alias("value"),
+    scored = stage(
+        df.where(F.col(score).isNotNull()).select(
+            F.when(F.col("is_train"), "train").otherwise("test").alias("sample"),
+            F.col(label).alias("label"),
+            F.col(score).alias("value"),
+        )
     )
     return density(scored, "value", ["sample", "label"], bins)
 
@@ -214,8 +219,10 @@ def gain_curve(
 
 def model_comparison(df: DataFrame, baseline: str) -> DataFrame:
     """Test AUC, Gini, KS and PSI per ``model`` and the AUC gained over the baseline."""
-    ranked = ranked_scores(df.where(~F.col("is_train")), ["model"])
-    joined = rank_metrics(ranked, ["model"]).join(psi(psi_bins(df, ["model"]), ["model"]), "model", "left")
+    scores = stage(df.select("model", "score", "label", "is_train"))
+    ranked = ranked_scores(scores.where(~F.col("is_train")), ["model"])
+    drift = psi(psi_bins(scores, ["model"]), ["model"])
+    joined = rank_metrics(ranked, ["model"]).join(F.broadcast(drift), "model", "left")
     base = F.max(F.when(F.col("model") == baseline, F.col("auc"))).alias("base_auc")
     compared = with_group_totals(joined, (), [base])
     return compared.select(

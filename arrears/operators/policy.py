@@ -49,14 +49,16 @@ def priority_frame(
     """Exposure, expected loss and recovery per customer from ``PD``.
 
     PD is rounded before it enters the loss; a missing loan amount becomes the median.
+    The scores are staged, because every report below reads this table several times.
     """
-    amount = F.col("app_loan_amount")
-    median = exact_quantiles(scored, "app_loan_amount", [0.5]).scalar()
-    exposed = scored.select(
+    narrow = stage(scored.select("SK_ID_CURR", "TARGET", "PD", "app_loan_amount", *keep))
+    median = exact_quantiles(narrow, "app_loan_amount", [0.5]).first()
+    typical = F.lit(None if median is None else median.q0).cast("double")
+    exposed = narrow.select(
         "SK_ID_CURR",
         "TARGET",
         F.round("PD", 4).alias("PD"),
-        F.coalesce(amount, median).alias("EAD"),
+        F.coalesce("app_loan_amount", typical).alias("EAD"),
         F.lit(lgd).alias("LGD"),
         *keep,
     )
@@ -109,7 +111,7 @@ def evaluate_strategies(
 ) -> DataFrame:
     """Loss reached, recovery, cost and profit of each strategy at ``capacity`` calls."""
     orders = orders or strategies()
-    narrow = stage(priority.select("SK_ID_CURR", "PD", "expected_loss"))
+    narrow = priority.select("SK_ID_CURR", "PD", "expected_loss")
     called = _union(
         [
             first_calls(narrow, order, capacity).select(F.lit(name).alias("strategy"), "expected_loss")
@@ -147,7 +149,7 @@ def recovery_curve(
     effectiveness: float = EFFECTIVENESS,
 ) -> DataFrame:
     """Recovery after every ``step`` calls, below ``end`` and below the portfolio size."""
-    narrow = stage(priority.select("SK_ID_CURR", "PD", "expected_loss"))
+    narrow = priority.select("SK_ID_CURR", "PD", "expected_loss")
     size = narrow.agg(F.count(F.lit(1))).scalar()
     curves = _union(
         [

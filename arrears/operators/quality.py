@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from arrears.functions.columns import clip, share, stack_columns
 from arrears.functions.ordering import exact_quantiles
 from arrears.operators.store import available
+from arrears.sources.staging import stage
 
 # The features of the correlation matrix.
 KEY_FEATURES = [
@@ -146,20 +147,15 @@ def target_correlation(
     return ranked if top is None else ranked.limit(top)
 
 
-def density(
-    long: DataFrame, value: str, by: Sequence[str], bins: int, bounds: DataFrame | None = None
-) -> DataFrame:
+def density(long: DataFrame, value: str, by: Sequence[str], bins: int) -> DataFrame:
     """Density histogram of ``value`` per group over the group's own range.
 
-    ``bounds`` has one row per group with the ``low`` and ``high`` of its range; by
-    default the smallest and largest value. Every bin is listed, also the empty ones.
-    The number of groups must be small.
+    Every bin is listed, also the empty ones. The number of groups must be small.
     """
     by = list(by)
-    if bounds is None:
-        bounds = long.groupBy(*by).agg(
-            F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("total")
-        )
+    bounds = long.groupBy(*by).agg(
+        F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("total")
+    )
     flat = F.col("low") == F.col("high")
     ranges = bounds.select(
         *by,
@@ -189,7 +185,8 @@ def class_histogram(
     store: DataFrame, features: Sequence[str], bins: int = 50, tails: tuple[float, float] = (0.01, 0.99)
 ) -> DataFrame:
     """Density of each feature per class after clipping both classes to common tails."""
-    long = store.select("TARGET", stack_columns(list(features), "feature", "value")).where(
+    wide = stage(store.select("TARGET", *features))
+    long = wide.select("TARGET", stack_columns(list(features), "feature", "value")).where(
         F.col("value").isNotNull()
     )
     edges = exact_quantiles(long, "value", tails, by=["feature"])

@@ -16,7 +16,6 @@ from arrears.operators.policy import (
     call_positions,
     strategies,
 )
-from arrears.sources.staging import stage
 
 
 def _outcome(el: F.Column, effectiveness: F.Column, cost: F.Column, calls: F.Column) -> dict[str, F.Column]:
@@ -60,10 +59,8 @@ def scenario_grid(
     One running sum per strategy answers all capacities; the loss is linear in LGD and
     its order does not depend on it, so LGD scales the sum.
     """
-    exposed = stage(
-        priority.select(
-            "SK_ID_CURR", "PD", "expected_loss", (F.col("PD") * F.col("EAD")).alias("exposure")
-        )
+    exposed = priority.select(
+        "SK_ID_CURR", "PD", "expected_loss", (F.col("PD") * F.col("EAD")).alias("exposure")
     )
     size = exposed.agg(F.count(F.lit(1))).scalar()
     prefixes = reduce(

@@ -154,7 +154,7 @@ def _priority(spark: SparkSession, sf: str) -> DataFrame:
         "app_loan_amount",
         F.coalesce(baseline_score(), F.lit(0.1)).alias("PD"),
     )
-    return policy.priority_frame(stage(scored), keep=["NAME_CONTRACT_TYPE"])
+    return policy.priority_frame(scored, keep=["NAME_CONTRACT_TYPE"])
 
 
 def _flags(spark: SparkSession, sf: str) -> DataFrame:
@@ -398,7 +398,7 @@ def gain_curve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(metrics.model_comparison(stage(_two_models(spark, sf)), "Baseline"))
+    return rounded(metrics.model_comparison(_two_models(spark, sf), "Baseline"))
 
 
 def model_health(spark: SparkSession, sf: str) -> DataFrame:
@@ -436,7 +436,7 @@ def fitted_comparison(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     both = scores(card_model, "Baseline").unionByName(scores(trees, "Challenger"))
-    return rounded(metrics.model_health(metrics.model_comparison(stage(both), "Baseline")))
+    return rounded(metrics.model_health(metrics.model_comparison(both, "Baseline")))
 
 
 def tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
@@ -485,7 +485,7 @@ def aligned_features(spark: SparkSession, sf: str) -> DataFrame:
 def lead_time(spark: SparkSession, sf: str) -> DataFrame:
     aligned = early_warning.align_features(_snapshots(spark, sf)).where(~_in_train())
     scored = aligned.select("months_before_default", "TARGET", warning_score().alias("score"))
-    return early_warning.lead_time(stage(scored))
+    return early_warning.lead_time(scored)
 
 
 def lead_time_masked(spark: SparkSession, sf: str) -> DataFrame:
@@ -493,7 +493,7 @@ def lead_time_masked(spark: SparkSession, sf: str) -> DataFrame:
     masked = early_warning.masked_features(behaviour.where(~_in_train()))
     aligned = early_warning.align_features(masked)
     scored = aligned.select("months_before_default", "TARGET", masked_score().alias("score"))
-    return early_warning.lead_time(stage(scored))
+    return early_warning.lead_time(scored)
 
 
 def stress_trajectory(spark: SparkSession, sf: str) -> DataFrame:
@@ -517,7 +517,7 @@ def fitted_warning(spark: SparkSession, sf: str) -> DataFrame:
     seen = early_warning.snapshot_features(tested, raw["installments"], raw["card_balance"])
     aligned = early_warning.align_features(seen)
     scored = scorecard.probability_of_default(model.transform(aligned), "score")
-    return early_warning.lead_time(stage(scored.select("months_before_default", "TARGET", "score")))
+    return early_warning.lead_time(scored)
 
 
 # --- prioritisation ---------------------------------------------------------------------

@@ -1,0 +1,241 @@
+"""The steps of the analysis, each reading the saved tables of the earlier ones."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from arrears.operators import (
+    attribution,
+    binning,
+    challenger,
+    early_warning,
+    metrics,
+    policy,
+    quality,
+    reporting,
+    scenario,
+    scorecard,
+    split,
+    store,
+)
+from arrears.sources import sinks
+from arrears.sources.tables import Tables, input_contract
+
+BASELINE = "Baseline (Logistic Regression)"
+CHALLENGER = "Challenger (Boosted Trees)"
+
+
+@dataclass
+class Run:
+    """Where a run reads and writes, and the settings of its models and policy."""
+
+    spark: SparkSession
+    folder: str
+    tables: Tables | None = None
+    expected_rows: dict[str, int] | None = None
+    trees: dict = field(default_factory=dict)
+    warning_trees: dict = field(default_factory=dict)
+    capacity: int = policy.CAPACITY
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        return sinks.save_table(df, self.folder, name)
+
+    def load(self, name: str) -> DataFrame:
+        return sinks.load_table(self.spark, self.folder, name)
+
+    def raw(self) -> Tables:
+        if self.tables is None:
+            raise ValueError("this step needs the raw tables")
+        return self.tables
+
+
+def build_store(run: Run) -> list[str]:
+    """Check the inputs, build the feature store and profile it."""
+    contract = run.save(input_contract(run.raw(), run.expected_rows), "input_contract")
+    failed = [r.table_name for r in contract.where(~F.col("ok")).collect()]
+    if failed:
+        raise ValueError(f"unusable input tables: {', '.join(failed)}")
+    built = run.save(store.feature_store(run.raw()), "feature_store")
+    profiles = {
+        "fs_summary": quality.summary(built),
+        "fs_completeness": quality.completeness(built),
+        "fs_default_by_products": quality.default_by_products(built),
+        "fs_means_by_target": quality.means_by_target(built),
+        "missing_profile": quality.missing_profile(built),
+        "corr_matrix": quality.correlation_matrix(built),
+        "target_corr": quality.target_correlation(built),
+    }
+    for name, df in profiles.items():
+        run.save(df, name)
+    top = [r.feature for r in quality.target_correlation(built, top=3).collect()]
+    run.save(quality.class_histogram(built, top), "class_histogram")
+    run.save(split.stratified_split(built), "split_store")
+    return ["input_contract", "feature_store", *profiles, "class_histogram", "split_store"]
+
+
+def _scores(model: PipelineModel, customers: DataFrame, name: str) -> DataFrame:
+    return scorecard.probability_of_default(model.transform(customers), "score").select(
+        F.lit(name).alias("model"), "SK_ID_CURR", F.col("TARGET").alias("label"), "is_train", "score"
+    )
+
+
+def _sample_metrics(scores: DataFrame) -> DataFrame:
+    sample = F.when(F.col("is_train"), "train").otherwise("test")
+    ranked = metrics.ranked_scores(scores.withColumn("sample", sample), ["sample"])
+    return metrics.rank_metrics(ranked, ["sample"])
+
+
+def fit_scorecard(run: Run) -> list[str]:
+    """Bin, fit the points scorecard and measure it."""
+    customers = run.load("split_store")
+    features = store.available(store.MODEL_FEATURES, customers)
+    model, bins, selected = scorecard.fit_scorecard(customers.where("is_train"), features)
+    coefs = scorecard.coefficients(run.spark, model, selected)
+    scores = run.save(_scores(model, customers, BASELINE), "scorecard_scores")
+    measured = run.save(_sample_metrics(scores), "scorecard_metrics")
+    sinks.save_model(model, measured, run.folder, "scorecard_model")
+    drift = metrics.psi(metrics.psi_bins(scores))
+    mean, deviation = scorecard.cross_validated_auc(
+        customers.where("is_train"), binning.woe_expressions(bins, selected)
+    )
+    folds = [(float(mean), float(deviation))]
+    results = {
+        "scorecard_cv": run.spark.createDataFrame(folds, "mean_auc double, sd_auc double"),
+        "woe_table": bins,
+        "iv_table": binning.information_values(bins),
+        "scorecard_table": scorecard.points_table(bins, coefs, model.stages[-1].intercept),
+        "scorecard_checks": metrics.fit_checks(measured),
+        "scorecard_psi": drift.withColumn("status", metrics.psi_status(F.col("psi"))),
+        "scorecard_density": metrics.score_density(scores),
+    }
+    for name, df in results.items():
+        run.save(df, name)
+    return ["scorecard_scores", "scorecard_metrics", *results]
+
+
+def fit_challenger(run: Run) -> list[str]:
+    """Fit the boosted trees and compare both models on the test rows."""
+    customers = run.load("split_store")
+    features = store.available(store.MODEL_FEATURES, customers)
+    model = challenger.fit_boosted_trees(customers.where("is_train"), features, run.trees)
+    scores = run.save(_scores(model, customers, CHALLENGER), "challenger_scores")
+    measured = _sample_metrics(scores)
+    sinks.save_model(model, measured, run.folder, "challenger_model")
+    inputs = model.transform(customers.where(~F.col("is_train")))
+    parts = run.save(
+        attribution.path_contributions(inputs, attribution.tree_nodes(run.spark, model), features),
+        "attributions",
+    )
+    pds = scores.where(~F.col("is_train")).select("SK_ID_CURR", F.col("score").alias("PD"))
+    both = run.load("scorecard_scores").unionByName(scores)
+    comparison = run.save(metrics.model_comparison(both, BASELINE), "model_comparison")
+    tested = both.where(~F.col("is_train"))
+    results = {
+        "importance": attribution.global_importance(parts, features),
+        "riskiest_customer": attribution.explain_riskiest(parts, pds, features),
+        "model_health": metrics.model_health(comparison),
+        "gain_curve": metrics.gain_curve(tested, ["model"]),
+        "roc_points": metrics.roc_points(metrics.ranked_scores(tested, ["model"]), ["model"]),
+    }
+    for name, df in results.items():
+        run.save(df, name)
+    return ["challenger_scores", "attributions", "model_comparison", *results]
+
+
+def warn_early(run: Run) -> list[str]:
+    """Fit the behaviour-only model, measure its lead time and flag customers."""
+    customers = run.load("split_store")
+    features = store.available(early_warning.BEHAVIOUR_FEATURES, customers)
+    settings = {**challenger.EARLY_WARNING, **run.warning_trees}
+    model = challenger.fit_boosted_trees(
+        customers.where("is_train"), features, settings, flag_missing=False
+    )
+    tested = customers.where(~F.col("is_train"))
+    if run.tables is None:
+        snapshots = early_warning.masked_features(tested)
+    else:
+        snapshots = early_warning.snapshot_features(
+            tested, run.tables["installments"], run.tables["card_balance"]
+        )
+    aligned = early_warning.align_features(snapshots, features)
+    seen = scorecard.probability_of_default(model.transform(aligned), "score")
+    scored = scorecard.probability_of_default(model.transform(customers), "score")
+    results = {
+        "lead_time_results": early_warning.lead_time(seen),
+        "stress_trajectory": early_warning.stress_trajectory(customers),
+        "early_warning_flags": early_warning.warning_flags(scored),
+    }
+    for name, df in results.items():
+        run.save(df, name)
+    return list(results)
+
+
+def prioritise(run: Run) -> list[str]:
+    """Rank customers by expected loss and compare the calling strategies."""
+    scores = run.load("challenger_scores").select("SK_ID_CURR", F.col("score").alias("PD"))
+    customers = run.load("feature_store").join(scores, "SK_ID_CURR")
+    frame = policy.priority_frame(customers, keep=["NAME_CONTRACT_TYPE"])
+    flagged = policy.attach_flags(frame, run.load("early_warning_flags"))
+    priority = run.save(flagged, "priority")
+    outcome = run.save(policy.evaluate_strategies(priority, run.capacity), "policy_metrics")
+    results = {
+        "policy_gain": policy.policy_gain(outcome),
+        "recovery_curve": policy.recovery_curve(priority),
+        "priority_list": policy.priority_list(priority),
+        "loss_sample": policy.loss_sample(priority),
+    }
+    for name, df in results.items():
+        run.save(df, name)
+    return ["priority", "policy_metrics", *results]
+
+
+def scenarios(run: Run) -> list[str]:
+    priority, outcome = run.load("priority"), run.load("policy_metrics")
+    results = {
+        "scenario_linear": scenario.linear_scenario(outcome, run.capacity, base_capacity=run.capacity),
+        "scenario_grid": scenario.scenario_grid(priority),
+        "priority_top": reporting.top_of_list(run.load("priority_list")),
+    }
+    for name, df in results.items():
+        run.save(df, name)
+    return list(results)
+
+
+def report(run: Run) -> list[str]:
+    priority, ranked = run.load("priority"), run.load("priority_list")
+    flags = run.load("early_warning_flags")
+    results = {
+        "total_el": reporting.total_expected_loss(priority),
+        "recovery_at_capacity": reporting.recovery_at_capacity(priority, run.capacity),
+        "capture_at_capacity": reporting.capture_at_capacity(priority, run.capacity),
+        "tier_summary": reporting.tier_summary(priority),
+        "pd_by_tier": reporting.pd_by_tier(priority),
+        "call_list": reporting.call_list(policy.attach_flags(ranked, flags)),
+        "portfolio_kpis": reporting.portfolio_kpis(priority, run.capacity),
+        "customer_dimension": reporting.customer_dimension(run.load("feature_store"), ranked, flags),
+    }
+    for name, df in results.items():
+        run.save(df, name)
+    return list(results)
+
+
+STAGES: dict[int, Callable[[Run], list[str]]] = {
+    1: build_store,
+    2: fit_scorecard,
+    3: fit_challenger,
+    4: warn_early,
+    5: prioritise,
+    6: scenarios,
+    7: report,
+}
+
+
+def run_stages(run: Run, only: int | None = None, start: int = 1) -> dict[int, list[str]]:
+    """Run one stage, or all from ``start`` on; returns the tables each stage saved."""
+    chosen: Iterable[int] = [only] if only is not None else [k for k in STAGES if k >= start]
+    return {k: STAGES[k](run) for k in chosen}

@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for staged tables; a temporary one only for local sessions."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="arrears-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    app = spark.conf.get("spark.app.id", "session")
-    return f"{root.rstrip('/')}/arrears-{app}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="arrears-"))
+        root = context.getCheckpointDir()
+    return f"{root.rstrip('/')}/arrears-{context.applicationId}"
 
 
 def new_folder(spark: SparkSession) -> str:
