@@ -23,20 +23,6 @@ def clip(value: Column, low: Column | None = None, high: Column | None = None) -
     return bounded
 
 
-def interval_index(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of ascending ``cuts`` that are <= ``value``, found by bisection."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(float(cuts[middle])), search(low, middle)).otherwise(
-            search(middle + 1, high)
-        )
-
-    return F.when(value.isNotNull(), search(0, len(cuts)))
-
-
 def hash_order(key: str, seed: int) -> Column:
     """A seeded pseudo-random string per key, the same in any engine that has MD5."""
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))

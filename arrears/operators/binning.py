@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from arrears.functions.columns import interval_index, stack_columns
+from arrears.functions.columns import stack_columns
 
 Cuts = Mapping[str, Sequence[float]]
 
@@ -18,7 +19,6 @@ MAX_PREBINS = 20
 MAX_BINS = 10
 MIN_BIN_SHARE = 0.05
 SKETCH_ACCURACY = 2000  # rank error below a hundredth of a fine bin
-SLOTS = 64  # bin numbers per feature in the packed code, more than any feature has
 
 
 def prebin_cuts(df: DataFrame, features: Sequence[str], max_bins: int = MAX_PREBINS) -> dict[str, list[float]]:
@@ -41,28 +41,34 @@ def prebin_cuts(df: DataFrame, features: Sequence[str], max_bins: int = MAX_PREB
 def bin_counts(df: DataFrame, cuts: Cuts, label: str = "TARGET") -> DataFrame:
     """Rows and bad rows per feature and bin; bin -1 holds the missing values.
 
-    Each row becomes one small code per feature, and the partial aggregation keeps at
-    most one entry per code and task before anything is shuffled.
+    Each task counts its own rows and passes on at most one row per feature and bin.
+    Generated code for the hundreds of limits would be too large to be compiled.
     """
     features = list(cuts)
-    if any(len(c) >= SLOTS - 1 for c in cuts.values()):
-        raise ValueError(f"at most {SLOTS - 2} cuts per feature")
-    codes = [
-        F.coalesce(interval_index(F.col(c).cast("double"), cuts[c]) + 1, F.lit(0)) + i * SLOTS
-        for i, c in enumerate(features)
-    ]
+    limits = [np.asarray(cuts[c], dtype=float) for c in features]
+    slots = max(len(values) for values in limits) + 2
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros((2, len(features), slots))
+        for batch in batches:
+            labels = batch["label"].to_numpy(dtype=float)
+            for i, feature in enumerate(features):
+                values = batch[feature].to_numpy(dtype=float)
+                slot = np.where(np.isnan(values), 0, np.searchsorted(limits[i], values, side="right") + 1)
+                held[0, i] += np.bincount(slot, minlength=slots)
+                held[1, i] += np.bincount(slot, weights=labels, minlength=slots)
+        which, slot = np.nonzero(held[0])
+        rows, bad = held[:, which, slot]
+        yield pd.DataFrame({"number": which, "bin": slot - 1, "n": rows, "bad": bad})
+
     counted = (
-        df.select(F.col(label).alias("label"), F.explode(F.array(*codes)).alias("code"))
-        .groupBy("code")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad"))
+        df.select(F.col(label).alias("label"), *[F.col(c).cast("double").alias(c) for c in features])
+        .mapInPandas(count, "number int, bin int, n bigint, bad bigint")
+        .groupBy("number", "bin")
+        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     )
     names = F.array(*[F.lit(c) for c in features])
-    return counted.select(
-        names[F.floor(F.col("code") / SLOTS).cast("int")].alias("feature"),
-        (F.col("code") % SLOTS - 1).alias("bin"),
-        "n",
-        "bad",
-    )
+    return counted.select(names[F.col("number")].alias("feature"), "bin", "n", "bad")
 
 
 def smoothed_woe(good: float, bad: float, all_good: float, all_bad: float) -> tuple[float, float]:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,24 +110,53 @@ def missing_profile(store: DataFrame, top: int | None = None) -> DataFrame:
 def _correlations(store: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson correlation per pair of columns over the rows that have both.
 
-    One struct per column pair goes through a single partial aggregation, since hundreds
-    of separate correlation aggregates make code too large to compile. A constant column
-    gives null.
+    Each task adds up the moments of all pairs with a few matrix products and passes on
+    one row per pair. Built-in aggregates would need several hundred buffers, and their
+    generated code is too large to be compiled. A column whose spread is below a
+    millionth of its size counts as constant and gives null.
     """
-
-    def both(first: str, second: str) -> F.Column:
-        x, y = F.col(first).cast("double"), F.col(second).cast("double")
-        return F.struct(
-            F.lit(first).alias("feature_1"),
-            F.lit(second).alias("feature_2"),
-            F.when(y.isNotNull(), x).alias("x"),
-            F.when(x.isNotNull(), y).alias("y"),
+    columns = sorted({c for pair in pairs for c in pair})
+    place = {c: i for i, c in enumerate(columns)}
+    first, second = [place[a] for a, _ in pairs], [place[b] for _, b in pairs]
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = np.zeros((4, len(columns), len(columns)))
+        for batch in batches:
+            values = batch.to_numpy(dtype=float)
+            have = (~np.isnan(values)).astype(float)
+            values = np.nan_to_num(values)
+            totals += [have.T @ have, values.T @ have, (values * values).T @ have, values.T @ values]
+        n, total, square, product = totals
+        yield pd.DataFrame(
+            {
+                "pair": np.arange(len(pairs)),
+                "n": n[first, second],
+                "sx": total[first, second],
+                "sy": total[second, first],
+                "sxx": square[first, second],
+                "syy": square[second, first],
+                "sxy": product[first, second],
+            }
         )
 
-    paired = store.select(F.inline(F.array(*[both(a, b) for a, b in pairs])))
-    spread = F.stddev_pop("x") * F.stddev_pop("y")
-    return paired.groupBy("feature_1", "feature_2").agg(
-        F.try_divide(F.covar_pop("x", "y"), spread).alias("corr")
+    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    moments = (
+        store.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        .mapInPandas(add_up, "pair int, " + ", ".join(f"{c} double" for c in sums))
+        .groupBy("pair")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+    )
+
+    def spread(square: str, total: str) -> F.Column:
+        around_mean = F.col(square) - share(F.col(total) * F.col(total), F.col("n"))
+        return F.when(around_mean > F.col(square) * 1e-12, around_mean)
+
+    together = F.col("sxy") - share(F.col("sx") * F.col("sy"), F.col("n"))
+    names = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in pairs])
+    return moments.select(
+        names[F.col("pair")][0].alias("feature_1"),
+        names[F.col("pair")][1].alias("feature_2"),
+        F.try_divide(together, F.sqrt(spread("sxx", "sx") * spread("syy", "sy"))).alias("corr"),
     )
 
 

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from arrears.functions import ordering
-from arrears.functions.columns import clip, interval_index
+from arrears.functions.columns import clip
 from arrears.functions.ordering import exact_quantiles, number_in_order
 from pyspark.sql import functions as F
 
@@ -60,15 +60,6 @@ def test_empty_table(spark):
     assert exact_quantiles(empty, "v", [0.5]).first().q0 is None
 
 
-def test_interval_index_counts_cuts(spark):
-    cuts = [-1.0, 0.0, 0.5, 2.0, 9.0]
-    values = [-2.0, -1.0, -0.5, 0.0, 0.2, 0.5, 1.9, 2.0, 8.9, 9.0, 100.0, None]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    found = df.select("v", interval_index(F.col("v"), cuts).alias("i")).collect()
-    for r in found:
-        assert r.i == (None if r.v is None else sum(c <= r.v for c in cuts))
-
-
 def test_clip_keeps_null(spark):
     df = spark.createDataFrame([(-1.0,), (0.5,), (3.0,), (None,)], "v double")
     got = [r.c for r in df.select(clip(F.col("v"), F.lit(0.0), F.lit(1.0)).alias("c")).collect()]

@@ -1,8 +1,11 @@
+import subprocess
+import sys
+
 import pytest
 from arrears.plans import pipeline
 from arrears.sources import sinks, staging, tables, tpch
 
-from tests.conftest import SMALL
+from tests.conftest import ROOT, SMALL
 
 
 def test_csv_columns_follow_the_header(spark, folder):
@@ -63,3 +66,17 @@ def test_pipeline_stage_by_stage(spark, folder):
     without_raw = pipeline.Run(spark, folder, warning_trees={"maxIter": 2})
     pipeline.run_stages(without_raw, only=4)
     assert run.load("lead_time_results").count() == 5
+
+
+def test_tasks_need_no_installed_package(tmp_path):
+    """Python functions reach the workers even when the driver runs from another folder."""
+    code = (
+        "import sys; sys.path[:0] = [%r, %r]\n"
+        "from compare import local_session\n"
+        "import __spark_entry__ as contract\n"
+        "spark = local_session(2)\n"
+        "print(contract.queries()['optimal_bins'](spark, %r).count())\n"
+    ) % (ROOT, f"{ROOT}/tools", SMALL)
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout.split()[-1]) > 0
