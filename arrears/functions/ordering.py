@@ -1,10 +1,10 @@
 """Positions, running totals and exact quantiles over whole tables of any size.
 
-A window without partition columns sorts the whole table in one task. Here the table is
-cut into slices by range over the complete sort key, so a slice holds about the same
-number of rows however often one sort value repeats. Positions and totals are computed
-inside each slice and shifted by what the earlier slices hold; that shift table has one
-row per slice and group.
+A window without partition columns sorts the whole table in one task, which is right for a
+few rows only. A larger table is cut into slices by range over the complete sort key, so a
+slice holds about the same number of rows however often one sort value repeats. Positions
+and totals are computed inside each slice and shifted by what the earlier slices hold; that
+shift table has one row per slice and group.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from arrears.sources.staging import stage
 
+SMALL_TABLE = 200_000  # rows that one task may sort
+
 
 def with_group_totals(df: DataFrame, by: Sequence[str], totals: Sequence[Column]) -> DataFrame:
     """Append whole-group aggregates to every row, for small sets of groups."""
@@ -39,48 +41,53 @@ def number_in_order(
     ``order`` must decide between any two rows, so end it with a unique key. ``totals``
     maps new column to the summed column; a total includes its own row. ``by`` numbers
     each group on its own; it is for small sets of groups such as strategies or months.
+
+    The rows are staged first: they are read several times, and a repeated task must find
+    the same sort keys or rows could change slices.
     """
     totals = dict(totals or {})
+    rows = stage(df)
+    if rows.count() <= SMALL_TABLE:
+        return _numbered(rows, order, totals, list(by)).select(*df.columns, "position", *totals)
+
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = [F.col(c) for c in by]
     sliced = stage(
-        df.repartitionByRange(width, *groups, *order).withColumn(
-            "_slice", F.spark_partition_id()
-        )
+        rows.repartitionByRange(width, *groups, *order).withColumn("_slice", F.spark_partition_id())
     )
     keys = [*by, "_slice"]
     sizes = sliced.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.sum(source).alias(f"_sum_{name}") for name, source in totals.items()],
     )
-    earlier = (
-        Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    held = {"position": "_rows", **{name: f"_sum_{name}" for name in totals}}
     shifts = sizes.select(
         *keys,
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
         *[
-            F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}")
-            for name in totals
+            F.coalesce(F.sum(source).over(earlier), F.lit(0)).alias(f"_before_{name}")
+            for name, source in held.items()
         ],
     )
-    inside = Window.partitionBy(*keys).orderBy(*order)
+    # One row per slice and group: at most shuffle partitions + number of groups.
+    shifted = _numbered(sliced, order, totals, keys).join(F.broadcast(shifts), keys)
+    return shifted.select(
+        *df.columns, *[(F.col(f"_before_{name}") + F.col(name)).alias(name) for name in held]
+    )
+
+
+def _numbered(
+    df: DataFrame, order: Sequence[Column], totals: Mapping[str, str], within: Sequence[str]
+) -> DataFrame:
+    """Positions and running totals inside each group of ``within``."""
+    inside = Window.partitionBy(*within).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = sliced.withColumns(
+    return df.withColumns(
         {
-            "_row": F.row_number().over(inside),
-            **{f"_upto_{name}": F.sum(source).over(upto) for name, source in totals.items()},
+            "position": F.row_number().over(inside).cast("bigint"),
+            **{n: F.coalesce(F.sum(c).over(upto), F.lit(0)) for n, c in totals.items()},
         }
     )
-    # One row per slice and group: at most shuffle partitions + number of groups.
-    return numbered.join(F.broadcast(shifts), keys).select(
-        *[c for c in df.columns],
-        (F.col("_rows_before") + F.col("_row")).cast("bigint").alias("position"),
-        *[
-            (F.col(f"_before_{name}") + F.coalesce(F.col(f"_upto_{name}"), F.lit(0))).alias(name)
-            for name in totals
-        ],
-    )
 
 
 def exact_quantiles(
