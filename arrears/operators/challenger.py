@@ -22,11 +22,19 @@ VALIDATION_SHARE = 0.2
 CELLS = 2**20
 
 
+def class_weights(train: DataFrame, label: str = "TARGET") -> DataFrame:
+    """One row: whole number of good rows per bad row, and the balanced class weights."""
+    n, bad = F.count(F.lit(1)), F.sum(F.col(label))
+    return train.agg(
+        F.floor(F.try_divide(n - bad, bad)).alias("positive_weight"),
+        F.try_divide(n, 2 * (n - bad)).alias("balanced_good"),
+        F.try_divide(n, 2 * bad).alias("balanced_bad"),
+    )
+
+
 def positive_weight(train: DataFrame, label: str = "TARGET") -> int:
-    """Whole number of good rows per bad row."""
-    bad = F.sum(F.col(label))
-    found = train.agg(F.floor(F.try_divide(F.count(F.lit(1)) - bad, bad)).alias("w")).first()
-    return max(int(found.w or 1), 1)
+    """Weight of a bad row in boosting; at least one."""
+    return max(int(class_weights(train, label).first().positive_weight or 1), 1)
 
 
 def input_names(features: Sequence[str], flag_missing: bool) -> list[str]:

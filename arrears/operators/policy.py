@@ -26,9 +26,9 @@ RANDOM = "1. Call Everyone (Random)"
 HIGHEST_PD = "2. Highest PD First"
 EXPECTED_LOSS = "3. Expected Loss Policy"
 
-# A call list up to this length is taken by a top-k, which keeps that many rows per task;
-# a longer one is cut from the whole distributed order.
-SHORT_LIST = 100_000
+# A call list up to this length is taken by a top-k: every task passes on at most that many
+# rows to the last one. A longer list is cut from the whole distributed order.
+SHORT_LIST = 10_000
 
 
 def strategies(seed: int = SEED, key: str = "SK_ID_CURR") -> dict[str, list[Column]]:

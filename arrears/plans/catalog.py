@@ -286,6 +286,11 @@ def class_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(quality.class_histogram(_store(spark, sf), HISTOGRAM_FEATURES))
 
 
+def stress_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    found = quality.class_histogram(_store(spark, sf), early_warning.STRESS_FEATURES, bins=40)
+    return rounded(found)
+
+
 # --- scorecard --------------------------------------------------------------------------
 
 
@@ -301,6 +306,10 @@ def cv_folds(spark: SparkSession, sf: str) -> DataFrame:
     return split.folds(_store(spark, sf).select("SK_ID_CURR", "TARGET"))
 
 
+def class_weights(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(challenger.class_weights(_store(spark, sf).where(_in_train())))
+
+
 def woe_iv(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_woe(spark, sf))
 
@@ -619,9 +628,11 @@ QUERIES: Sequence[Query] = [
     corr_matrix,
     target_corr,
     class_histogram,
+    stress_histogram,
     stratified_split,
     split_counts,
     cv_folds,
+    class_weights,
     woe_iv,
     iv_rank,
     iv_selection,

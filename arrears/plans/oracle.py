@@ -379,6 +379,16 @@ def _correlations(pairs: list[tuple[str, str]]) -> str:
     )
 
 
+def _clipped(features: Iterable[str]) -> str:
+    """Values of each feature and class, clipped to the feature's 1% and 99% quantiles."""
+    return " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, TARGET, greatest(least(CAST({f} AS DOUBLE), hi), lo) AS value FROM fs, "
+        f"(SELECT quantile_cont(CAST({f} AS DOUBLE), 0.01) AS lo, quantile_cont(CAST({f} AS DOUBLE), 0.99) AS hi "
+        f"FROM fs) WHERE {f} IS NOT NULL"
+        for f in features
+    )
+
+
 def _density(source: str, by: str, bins: int) -> str:
     """Statement over ``source`` (by..., value)."""
     return f"""
@@ -527,11 +537,6 @@ def oracle_sql() -> dict[str, str]:
     numeric = [c for c in STORE_COLUMNS if c not in ("SK_ID_CURR", "TARGET", "CODE_GENDER", "NAME_CONTRACT_TYPE")]
     key = [*quality.KEY_FEATURES, "TARGET"]
     pairs = [(a, b) for i, a in enumerate(key) for b in key[i + 1 :]]
-    clipped = " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, TARGET, greatest(least({f}, hi), lo) AS value FROM fs, "
-        f"(SELECT quantile_cont({f}, 0.01) AS lo, quantile_cont({f}, 0.99) AS hi FROM fs) WHERE {f} IS NOT NULL"
-        for f in HISTOGRAM_FEATURES
-    )
     trajectory = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, avg({f}) FILTER (TARGET = 0) AS good_mean, "
         f"avg({f}) FILTER (TARGET = 1) AS bad_mean FROM fs"
@@ -625,7 +630,13 @@ def oracle_sql() -> dict[str, str]:
             + _correlations([(f, "TARGET") for f in quality.KEY_FEATURES])
             + ") ORDER BY abs(corr) DESC NULLS LAST, feature LIMIT 10"
         ),
-        "class_histogram": query("", _density(clipped, "feature, TARGET", 50)),
+        "class_histogram": query("", _density(_clipped(HISTOGRAM_FEATURES), "feature, TARGET", 50)),
+        "stress_histogram": query("", _density(_clipped(early_warning.STRESS_FEATURES), "feature, TARGET", 40)),
+        "class_weights": query(
+            "SELECT CAST(floor(count(*) FILTER (TARGET = 0) / sum(TARGET)) AS BIGINT) AS positive_weight, "
+            "round(count(*) / (2 * count(*) FILTER (TARGET = 0)), 9) AS balanced_good, "
+            "round(count(*) / (2 * sum(TARGET)), 9) AS balanced_bad FROM fs WHERE SK_ID_CURR % 10 < 7"
+        ),
         "stratified_split": query("SELECT * FROM split", SPLIT),
         "split_counts": query("SELECT TARGET, is_train, count(*) AS n FROM split GROUP BY ALL", SPLIT),
         "cv_folds": query(f"SELECT SK_ID_CURR, TARGET, {_cell(43)} % 5 AS fold FROM fs"),
