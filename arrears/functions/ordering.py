@@ -10,6 +10,8 @@ shift table has one row per slice and group.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,24 +19,31 @@ from pyspark.sql import functions as F
 from arrears.sources.staging import stage
 
 SMALL_TABLE = 200_000  # rows that one task may sort
+SKETCH_ACCURACY = 10_000  # the sketch misses a rank by at most 1 / accuracy of the rows
+BRACKET = 5 / SKETCH_ACCURACY  # so a bracket this much wider on both sides holds its quantile
 
 
-def with_group_totals(df: DataFrame, by: Sequence[str], totals: Sequence[Column]) -> DataFrame:
-    """Append whole-group aggregates to every row, for small sets of groups."""
+def with_group_values(df: DataFrame, by: Sequence[str], values: DataFrame) -> DataFrame:
+    """Append the columns of ``values``, one row per group, for small sets of groups."""
     if by:
-        return df.join(F.broadcast(df.groupBy(*by).agg(*totals)), list(by))
-    whole = df.agg(*totals)
-    packed = whole.select(F.struct(*whole.columns)).scalar()
+        return df.join(F.broadcast(values), list(by))
+    packed = values.select(F.struct(*values.columns)).scalar()
     return df.withColumn("_whole", packed).select(
-        *df.columns, *[F.col("_whole")[c].alias(c) for c in whole.columns]
+        *df.columns, *[F.col("_whole")[c].alias(c) for c in values.columns]
     )
 
 
+def with_group_totals(df: DataFrame, by: Sequence[str], totals: Sequence[Column]) -> DataFrame:
+    """Append whole-group aggregates of ``df`` to every row, for small sets of groups."""
+    return with_group_values(df, by, df.groupBy(*by).agg(*totals))
+
+
 def number_in_order(
     df: DataFrame,
     order: Sequence[Column],
     totals: Mapping[str, str] | None = None,
     by: Sequence[str] = (),
+    staged: bool = False,
 ) -> DataFrame:
     """Append ``position`` (1-based) and running totals in the given total order.
 
@@ -42,11 +51,11 @@ def number_in_order(
     maps new column to the summed column; a total includes its own row. ``by`` numbers
     each group on its own; it is for small sets of groups such as strategies or months.
 
-    The rows are staged first: they are read several times, and a repeated task must find
-    the same sort keys or rows could change slices.
+    The rows are staged first, unless ``staged`` says they are: they are read several
+    times, and a repeated task must find the same sort keys or rows could change slices.
     """
     totals = dict(totals or {})
-    rows = stage(df)
+    rows = df if staged else stage(df)
     if rows.count() <= SMALL_TABLE:
         return _numbered(rows, order, totals, list(by)).select(*df.columns, "position", *totals)
 
@@ -95,34 +104,76 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles ``q0, q1, ...`` of the non-null values, per group.
 
-    Equal values collapse to one counted row before any sorting, and no task ever holds
-    the values of a whole group.
+    In a large table a quantile sketch first brackets each quantile, and only the values
+    inside the brackets are sorted; the others are counted. Equal values collapse to one
+    row before sorting. ``df`` is read several times, so stage it if it is costly.
     """
     by = list(by)
     present = df.select(*by, value).where(F.col(value).isNotNull())
+    if present.count() > SMALL_TABLE:
+        found = _bracketed_quantiles(present, value, shares, by)
+        rows = found.collect()  # one row per group
+        if all(q is not None for r in rows for q in r):
+            return df.sparkSession.createDataFrame(rows, found.schema)
     counted = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_count"))
     placed = number_in_order(counted, [F.col(value)], totals={"_upto": "_count"}, by=by)
     sized = with_group_totals(placed, by, [F.sum("_count").alias("_total")])
+    anywhere = [(F.lit(True), F.col("_upto")) for _ in shares]
+    return _interpolated(sized, value, shares, by, anywhere)
 
-    def at(rank: Column) -> Column:
-        held = (rank >= F.col("_upto") - F.col("_count")) & (rank < F.col("_upto"))
-        return F.max(F.when(held, F.col(value)))
 
-    parts = []
+def _bracketed_quantiles(
+    present: DataFrame, value: str, shares: Sequence[float], by: Sequence[str]
+) -> DataFrame:
+    """Quantiles from the values near them; null where a bracket misses its quantile."""
+    near = [(max(p - BRACKET, 0.0), min(p + BRACKET, 1.0)) for p in shares]
+    sketch = F.percentile_approx(value, [p for pair in near for p in pair], SKETCH_ACCURACY)
+    guessed = present.groupBy(*by).agg(sketch.alias("_limits"))
+    bracketed = with_group_values(present, by, guessed)
+    v = F.col(value)
+
+    def inside(i: int) -> Column:
+        return (v >= F.col("_limits")[2 * i]) & (v <= F.col("_limits")[2 * i + 1])
+
+    kept = reduce(or_, [inside(i) for i in range(len(shares))])
+    below = [~kept & (v < F.col("_limits")[2 * i]) for i in range(len(shares))]
+    tally = bracketed.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_total"),
+        F.first("_limits").alias("_limits"),
+        *[F.count(F.when(b, 1)).alias(f"_below{i}") for i, b in enumerate(below)],
+    )
+    counted = (
+        bracketed.where(kept).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_count"))
+    )
+    placed = number_in_order(counted, [v], totals={"_upto": "_count"}, by=by)
+    sized = with_group_values(placed, by, stage(tally))
+    where = [(inside(i), F.col("_upto") + F.col(f"_below{i}")) for i in range(len(shares))]
+    return _interpolated(sized, value, shares, by, where)
+
+
+def _interpolated(
+    sized: DataFrame,
+    value: str,
+    shares: Sequence[float],
+    by: Sequence[str],
+    where: Sequence[tuple[Column, Column]],
+) -> DataFrame:
+    """Quantiles from counted values; ``where`` gives, per share, the eligible rows and
+    the number of values up to and including theirs."""
+    parts, quantiles = [], []
     for i, p in enumerate(shares):
+        eligible, upto = where[i]
         spot = F.lit(float(p)) * (F.col("_total") - 1)
+
+        def at(rank: Column, eligible: Column = eligible, upto: Column = upto) -> Column:
+            held = eligible & (rank >= upto - F.col("_count")) & (rank < upto)
+            return F.max(F.when(held, F.col(value)))
+
         parts += [
             at(F.floor(spot)).alias(f"_low{i}"),
             at(F.ceil(spot)).alias(f"_high{i}"),
             F.max(spot - F.floor(spot)).alias(f"_part{i}"),
         ]
-    found = sized.groupBy(*by).agg(*parts)
-    return found.select(
-        *by,
-        *[
-            (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_part{i}")).alias(
-                f"q{i}"
-            )
-            for i in range(len(shares))
-        ],
-    )
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        quantiles.append((low + (high - low) * F.col(f"_part{i}")).alias(f"q{i}"))
+    return sized.groupBy(*by).agg(*parts).select(*by, *quantiles)

@@ -10,7 +10,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.operators.split import SEED, hash_cell
+from arrears.operators.split import CELLS, SEED, hash_cell
 from arrears.sources.staging import stage
 
 # Boosting settings of the challenger and of the early-warning model.
@@ -19,7 +19,6 @@ EARLY_WARNING = {"maxIter": 300, "maxDepth": 4, "stepSize": 0.05}
 COMMON = {"subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInstancesPerNode": 10}
 
 VALIDATION_SHARE = 0.2
-CELLS = 2**20
 
 
 def class_weights(train: DataFrame, label: str = "TARGET") -> DataFrame:

@@ -68,30 +68,17 @@ SNAPSHOT_CARD = ["cc_util_mean", "cc_dpd_mean", "cc_dpd_max", "cc_balance_mean_s
 def _per_month(
     df: DataFrame, months: Sequence[int], seen: Mapping[int, Column], features: Mapping[str, tuple]
 ) -> DataFrame:
-    """One aggregation for all months, then one row per customer and month."""
-    wide = df.groupBy("SK_ID_CURR").agg(
-        F.count(F.lit(1)).alias("_all"),
-        *[F.count(F.when(seen[m], 1)).alias(f"_n_{m}") for m in months],
+    """One row per customer with each feature as of each month, in one aggregation."""
+    return df.groupBy("SK_ID_CURR").agg(
         *[
-            how(F.when(seen[m], value)).alias(f"{name}_{m}")
+            how(F.when(seen[m], value)).cast("double").alias(f"{name}_{m}")
             for m in months
             for name, (how, value) in features.items()
-        ],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("months_before_default"),
-                F.col(f"_n_{m}").alias("_n"),
-                *[F.col(f"{name}_{m}").cast("double").alias(name) for name in features],
-            )
-            for m in months
         ]
     )
-    return wide.select("SK_ID_CURR", F.inline(rows)).where("_n > 0").drop("_n")
 
 
-def snapshot_installments(installments: DataFrame, months: Sequence[int] = LEAD_MONTHS) -> DataFrame:
+def installment_snapshots(installments: DataFrame, months: Sequence[int] = LEAD_MONTHS) -> DataFrame:
     """Installment behaviour known ``m`` months back; delays are clipped at zero."""
     late = clip(F.col("DAYS_ENTRY_PAYMENT") - F.col("DAYS_INSTALMENT"), low=F.lit(0.0))
     short = clip(1 - F.try_divide("AMT_PAYMENT", "AMT_INSTALMENT"), low=F.lit(0.0))
@@ -106,7 +93,7 @@ def snapshot_installments(installments: DataFrame, months: Sequence[int] = LEAD_
     return _per_month(known, months, seen, features)
 
 
-def snapshot_card(card_balance: DataFrame, months: Sequence[int] = LEAD_MONTHS) -> DataFrame:
+def card_snapshots(card_balance: DataFrame, months: Sequence[int] = LEAD_MONTHS) -> DataFrame:
     """Card behaviour known ``m`` months back; utilization is clipped to [0, 1]."""
     used = clip(F.try_divide("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL"), F.lit(0.0), F.lit(1.0))
     seen = {m: F.col("MONTHS_BALANCE") <= -m for m in months}
@@ -126,20 +113,28 @@ def snapshot_features(
     card_balance: DataFrame,
     months: Sequence[int] = LEAD_MONTHS,
 ) -> DataFrame:
-    """Every customer at every snapshot: recomputed behaviour and carried features."""
-    keys = ["SK_ID_CURR", "months_before_default"]
+    """Every customer at every snapshot: recomputed behaviour and carried features.
+
+    The joins run on one row per customer; months become rows afterwards.
+    """
     carried = available(CARRIED_FEATURES, store)
-    spine = store.select(
-        "SK_ID_CURR",
-        "TARGET",
-        F.explode(F.array(*[F.lit(m) for m in months])).alias("months_before_default"),
-        *carried,
+    recomputed = SNAPSHOT_INSTALLMENTS + SNAPSHOT_CARD
+    wide = (
+        store.select("SK_ID_CURR", "TARGET", *carried)
+        .join(installment_snapshots(installments, months), "SK_ID_CURR", "left")
+        .join(card_snapshots(card_balance, months), "SK_ID_CURR", "left")
     )
-    return (
-        spine.join(snapshot_installments(installments, months), keys, "left")
-        .join(snapshot_card(card_balance, months), keys, "left")
-        .select(*keys, "TARGET", *SNAPSHOT_INSTALLMENTS, *SNAPSHOT_CARD, *carried)
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(m).alias("months_before_default"),
+                *[F.col(f"{name}_{m}").alias(name) for name in recomputed],
+            )
+            for m in months
+        ]
     )
+    long = wide.select("SK_ID_CURR", "TARGET", *carried, F.inline(rows))
+    return long.select("SK_ID_CURR", "months_before_default", "TARGET", *recomputed, *carried)
 
 
 def masked_features(store: DataFrame, months: Sequence[int] = LEAD_MONTHS) -> DataFrame:

@@ -13,7 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.functions.columns import share
-from arrears.functions.ordering import exact_quantiles, number_in_order, with_group_totals
+from arrears.functions.ordering import (
+    exact_quantiles,
+    number_in_order,
+    with_group_totals,
+    with_group_values,
+)
 from arrears.operators.quality import density
 from arrears.sources.staging import stage
 
@@ -194,23 +199,23 @@ def gain_curve(
 ) -> DataFrame:
     """Share of all bad customers among the highest scores, in equal rank bins."""
     by = list(by)
-    rows = df.select(*by, key, F.col(score).alias("score"), F.col(label).alias("label")).where(
-        F.col("score").isNotNull()
+    rows = stage(
+        df.select(*by, key, F.col(score).alias("score"), F.col(label).alias("label")).where(
+            F.col("score").isNotNull()
+        )
     )
-    placed = number_in_order(rows, [F.desc("score"), F.col(key)], by=by)
-    sized = with_group_totals(
-        placed, by, [F.count(F.lit(1)).alias("size"), F.sum("label").alias("all_bad")]
+    whole = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("size"), F.sum("label").alias("all_bad")
     )
+    placed = number_in_order(rows, [F.desc("score"), F.col(key)], by=by, staged=True)
+    sized = with_group_values(placed, by, whole)
     reach = F.try_divide((F.col("position") - 1) * bins, F.col("size") - 1)
     index = F.greatest(F.ceil(F.coalesce(reach, F.lit(0.0))).cast("int") - 1, F.lit(0))
-    held = sized.groupBy(*by, index.alias("bin")).agg(
-        F.sum("label").alias("bad"), F.max("all_bad").alias("all_bad")
-    )
-    whole = held.groupBy(*by).agg(F.max("all_bad").alias("all_bad"))
+    held = sized.groupBy(*by, index.alias("bin")).agg(F.sum("label").alias("bad"))
     grid = whole.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     upto = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     # One row per bin and group.
-    return grid.join(held.drop("all_bad"), [*by, "bin"], "left").select(
+    return grid.join(held, [*by, "bin"], "left").select(
         *by,
         ((F.col("bin") + 1) / bins).alias("pct_pop"),
         share(F.sum(F.coalesce("bad", F.lit(0))).over(upto), F.col("all_bad")).alias("cum_bad_rate"),

@@ -188,11 +188,13 @@ def density(long: DataFrame, value: str, by: Sequence[str], bins: int) -> DataFr
         F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("total")
     )
     flat = F.col("low") == F.col("high")
-    ranges = bounds.select(
-        *by,
-        "total",
-        F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
-        F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
+    ranges = stage(
+        bounds.select(
+            *by,
+            "total",
+            F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
+            F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
+        )
     )
     index = F.floor((F.col(value) - F.col("low")) * bins / (F.col("high") - F.col("low")))
     counted = (

@@ -9,11 +9,12 @@ from arrears.functions.columns import hash_order
 from arrears.functions.ordering import number_in_order, with_group_totals
 
 SEED = 42
+CELLS = 16**4
 
 
 def hash_cell(key: str, seed: int) -> Column:
-    """One of 2**20 equally likely cells per key."""
-    return F.conv(F.substring(hash_order(key, seed), 1, 5), 16, 10).cast("int")
+    """One of ``CELLS`` equally likely cells per key."""
+    return F.conv(F.substring(hash_order(key, seed), 1, 4), 16, 10).cast("int")
 
 
 def stratified_split(

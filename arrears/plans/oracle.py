@@ -518,7 +518,7 @@ def _contract() -> str:
 
 
 def _cell(seed: int) -> str:
-    return f"CAST('0x' || substr(md5(CAST(SK_ID_CURR AS VARCHAR) || ':{seed}'), 1, 5) AS INT)"
+    return f"CAST('0x' || substr(md5(CAST(SK_ID_CURR AS VARCHAR) || ':{seed}'), 1, 4) AS INT)"
 
 
 SPLIT = f"""

@@ -42,8 +42,9 @@ def test_shortfall_of_unpaid_and_zero_instalments(spark):
     assert r.ins_days_late_mean is None
     assert r.ins_pct_late == 0.0
     assert (r.ins_obs_l3m, r.ins_missed_count_l3m, r.ins_days_late_l3m) == (None, None, None)
-    snapshot = early_warning.snapshot_installments(df, [1]).collect()
-    assert snapshot[0].ins_underpay_ratio_mean is None
+    snapshot = one(early_warning.installment_snapshots(df, [1, 12]))
+    assert snapshot.ins_underpay_ratio_mean_1 is None
+    assert (snapshot.ins_pct_missed_1, snapshot.ins_pct_missed_12) == (0.0, 0.0)
 
 
 def test_window_edges(spark):
@@ -82,8 +83,7 @@ def test_card_month_zero_and_limits(spark):
     assert r.cc_min_pay_ratio_mean == 0.5
     assert r.cc_drawings_trend == 0.0
     assert one(card.card_features(df, as_of=1)).cc_total_obs == 2
-    clipped = early_warning.snapshot_card(df, [1]).collect()[0]
-    assert clipped.cc_util_mean == 0.75
+    assert one(early_warning.card_snapshots(df, [1])).cc_util_mean_1 == 0.75
 
 
 def accounts(spark):
