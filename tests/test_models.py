@@ -20,6 +20,16 @@ def test_trees_find_the_signal(fitted, planted):
     assert int(np.argmax(importance)) == 0
 
 
+def test_rounds_stop_at_the_lowest_validation_loss(planted):
+    settings = {"maxIter": 24, "maxDepth": 4, "stepSize": 1.0, "patience": 3}
+    stopped = challenger.fit_boosted_trees(planted, FEATURES, settings).stages[-1]
+    longer = challenger.fit_boosted_trees(planted, FEATURES, {**settings, "patience": 24}).stages[-1]
+    assert 1 <= stopped.getNumTrees < 24  # steps this large soon overfit
+    assert stopped.getNumTrees <= longer.getNumTrees <= 24
+    first = min(stopped.getNumTrees, longer.getNumTrees)
+    assert [t.numNodes for t in stopped.trees[:first]] == [t.numNodes for t in longer.trees[:first]]
+
+
 def test_path_contributions_sum_to_the_margin(spark, fitted, planted):
     scored = fitted.transform(planted)
     nodes = attribution.tree_nodes(spark, fitted)
