@@ -104,17 +104,21 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles ``q0, q1, ...`` of the non-null values, per group.
 
-    In a large table a quantile sketch first brackets each quantile, and only the values
-    inside the brackets are sorted; the others are counted. Equal values collapse to one
-    row before sorting. ``df`` is read several times, so stage it if it is costly.
+    The built-in exact percentile keeps all distinct values of a group in one task, so it
+    serves small tables only. In a large one a quantile sketch first brackets each
+    quantile, and only the values inside the brackets are sorted; the others are counted.
+    Equal values collapse to one row before sorting. ``df`` is read several times, so
+    stage it if it is costly.
     """
     by = list(by)
     present = df.select(*by, value).where(F.col(value).isNotNull())
-    if present.count() > SMALL_TABLE:
-        found = _bracketed_quantiles(present, value, shares, by)
-        rows = found.collect()  # one row per group
-        if all(q is not None for r in rows for q in r):
-            return df.sparkSession.createDataFrame(rows, found.schema)
+    if present.count() <= SMALL_TABLE:
+        exact = present.groupBy(*by).agg(F.percentile(value, list(shares)).alias("_q"))
+        return exact.select(*by, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(shares))])
+    found = _bracketed_quantiles(present, value, shares, by)
+    rows = found.collect()  # one row per group
+    if all(q is not None for r in rows for q in r):
+        return df.sparkSession.createDataFrame(rows, found.schema)
     counted = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_count"))
     placed = number_in_order(counted, [F.col(value)], totals={"_upto": "_count"}, by=by)
     sized = with_group_totals(placed, by, [F.sum("_count").alias("_total")])

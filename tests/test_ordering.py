@@ -16,10 +16,18 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id bigint, v double, g string, w int")
 
 
-@pytest.fixture(params=["one task", "slices"])
+@pytest.fixture(params=["one task", "slices", "missed brackets"])
 def path(request, monkeypatch):
-    if request.param == "slices":
+    if request.param != "one task":
         monkeypatch.setattr(ordering, "SMALL_TABLE", 0)
+    if request.param == "missed brackets":
+        real = ordering._bracketed_quantiles
+
+        def missing(present, value, shares, by):
+            found = real(present, value, shares, by)
+            return found.withColumn("q0", F.when(F.lit(False), F.col("q0")))
+
+        monkeypatch.setattr(ordering, "_bracketed_quantiles", missing)
 
 
 def expected_positions(rows, by_group):
@@ -61,6 +69,25 @@ def test_quantiles_equal_numpy(skewed, path, by):
         assert np.allclose([r[f"q{i}"] for i in range(len(shares))], np.quantile(values, shares), atol=1e-12)
 
 
+def test_brackets_narrow_a_wide_table(spark, monkeypatch):
+    """Many distinct values: quantiles come from the few inside the brackets."""
+    monkeypatch.setattr(ordering, "SMALL_TABLE", 0)
+    rng = np.random.default_rng(11)
+    values = np.round(rng.lognormal(3, 2, 40_000), 4)
+    values[::3] = 17.5
+    df = spark.createDataFrame([(float(v), "ab"[i % 2]) for i, v in enumerate(values)], "v double, g string")
+    sorted_rows = []
+    real = ordering.number_in_order
+    monkeypatch.setattr(
+        ordering, "number_in_order", lambda d, *a, **k: sorted_rows.append(d.count()) or real(d, *a, **k)
+    )
+    shares = [0.01, 0.1, 0.5, 0.9, 0.99]
+    for r in exact_quantiles(df, "v", shares, ["g"]).collect():
+        own = values["ab".index(r.g) :: 2]
+        assert np.allclose([r[f"q{i}"] for i in range(5)], np.quantile(own, shares), rtol=1e-12)
+    assert len(sorted_rows) == 1 and sorted_rows[0] < 1000
+
+
 def test_empty_table(spark, path):
     empty = spark.createDataFrame([], "id bigint, v double")
     assert number_in_order(empty, [F.col("v"), F.col("id")]).count() == 0

@@ -2,7 +2,7 @@ import subprocess
 import sys
 
 import pytest
-from arrears.plans import pipeline
+from arrears.plans import stages
 from arrears.sources import sinks, staging, tables, tpch
 
 from tests.conftest import ROOT, SMALL
@@ -51,20 +51,20 @@ def test_staging_uses_the_named_folder(spark):
 
 
 def test_pipeline_stage_by_stage(spark, folder):
-    run = pipeline.Run(
+    run = stages.Run(
         spark, folder, tpch.tables(spark, SMALL), trees={"maxIter": 2}, warning_trees={"maxIter": 2}, capacity=20
     )
-    saved = pipeline.run_stages(run, only=1)
+    saved = stages.run_stages(run, only=1)
     assert run.load("feature_store").count() == 147
-    saved |= pipeline.run_stages(run, start=2)
+    saved |= stages.run_stages(run, start=2)
     assert sorted(saved) == [1, 2, 3, 4, 5, 6, 7]
     for names in saved.values():
         for name in names:
             assert run.load(name).columns
     assert run.load("priority_list").count() == 147
     assert run.load("policy_metrics").count() == 3
-    without_raw = pipeline.Run(spark, folder, warning_trees={"maxIter": 2})
-    pipeline.run_stages(without_raw, only=4)
+    without_raw = stages.Run(spark, folder, warning_trees={"maxIter": 2})
+    stages.run_stages(without_raw, only=4)
     assert run.load("lead_time_results").count() == 5
 
 
