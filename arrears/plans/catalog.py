@@ -55,6 +55,8 @@ TREES = {"maxIter": 8, "maxDepth": 4, "stepSize": 0.1}
 DIGITS = 9
 DIGITS_OF = {
     "bur_amt_overdue_sum": 6,
+    "cc_drawings_trend": 10,
+    "stress_composite": 11,
     "cc_util_mean": 11,
     "cc_util_max": 11,
     "cc_util_l3m": 11,
@@ -78,6 +80,14 @@ def rounded(df: DataFrame, digits: int | None = None) -> DataFrame:
     )
 
 
+def _raw(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return tpch.tables(spark, sf, [name])[name]
+
+
+def _bureau(spark: SparkSession, sf: str) -> list[DataFrame]:
+    return list(tpch.tables(spark, sf, ["bureau", "bureau_balance"]).values())
+
+
 def _store(spark: SparkSession, sf: str, as_of: int = 0) -> DataFrame:
     return store.feature_store(tpch.tables(spark, sf), as_of)
 
@@ -195,7 +205,7 @@ def input_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Installment features from a CSV export of the installments."""
-    raw = tpch.tables(spark, sf)["installments"]
+    raw = _raw(spark, sf, "installments")
     path = sinks.export_csv(raw, new_folder(spark), "installments_payments")
     return rounded(installments.installment_features(tables.read_csv(spark, path, "installments")))
 
@@ -209,38 +219,35 @@ def saved_store(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def installment_base(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(installments.installment_base(tpch.tables(spark, sf)["installments"]))
+    return rounded(installments.installment_base(_raw(spark, sf, "installments")))
 
 
 def ins_features(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(installments.installment_features(tpch.tables(spark, sf)["installments"]))
+    return rounded(installments.installment_features(_raw(spark, sf, "installments")))
 
 
 def card_base(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(card.card_base(tpch.tables(spark, sf)["card_balance"]))
+    return rounded(card.card_base(_raw(spark, sf, "card_balance")))
 
 
 def cc_features(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(card.card_features(tpch.tables(spark, sf)["card_balance"]))
+    return rounded(card.card_features(_raw(spark, sf, "card_balance")))
 
 
 def bureau_months(spark: SparkSession, sf: str) -> DataFrame:
-    raw = tpch.tables(spark, sf)
-    return bureau.bureau_months(raw["bureau"], raw["bureau_balance"])
+    return bureau.bureau_months(*_bureau(spark, sf))
 
 
 def bureau_status(spark: SparkSession, sf: str) -> DataFrame:
-    raw = tpch.tables(spark, sf)
-    return rounded(bureau.bureau_status(raw["bureau"], raw["bureau_balance"]))
+    return rounded(bureau.bureau_status(*_bureau(spark, sf)))
 
 
 def bureau_accounts(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(bureau.bureau_accounts(tpch.tables(spark, sf)["bureau"]))
+    return rounded(bureau.bureau_accounts(_raw(spark, sf, "bureau")))
 
 
 def bur_features(spark: SparkSession, sf: str) -> DataFrame:
-    raw = tpch.tables(spark, sf)
-    return rounded(bureau.bureau_features(raw["bureau"], raw["bureau_balance"]))
+    return rounded(bureau.bureau_features(*_bureau(spark, sf)))
 
 
 def feature_store(spark: SparkSession, sf: str) -> DataFrame:

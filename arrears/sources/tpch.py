@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,15 +103,23 @@ def bureau_balance(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
+VIEWS = {
+    "application": (application, ["customer"]),
+    "installments": (installments, ["lineitem", "orders"]),
+    "card_balance": (card_balance, ["events"]),
+    "bureau": (bureau, ["orders"]),
+    "bureau_balance": (bureau_balance, ["lineitem"]),
+}
+
+
+def tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = tuple(VIEWS)) -> Tables:
+    """The wanted raw tables over the test tables in ``sf_dir``, each file opened once."""
+    files: dict[str, DataFrame] = {}
+
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-    lineitem, orders = read("lineitem"), read("orders")
-    return {
-        "application": application(read("customer")),
-        "installments": installments(lineitem, orders),
-        "card_balance": card_balance(read("events")),
-        "bureau": bureau(orders),
-        "bureau_balance": bureau_balance(lineitem),
-    }
+        if name not in files:
+            files[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        return files[name]
+
+    views = {name: VIEWS[name] for name in names}
+    return {name: view(*[read(f) for f in needed]) for name, (view, needed) in views.items()}
