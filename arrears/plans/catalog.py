@@ -156,8 +156,8 @@ def _two_models(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _priority(spark: SparkSession, sf: str) -> DataFrame:
-    scored = _store(spark, sf).select(
+def _priority_of(customers: DataFrame) -> DataFrame:
+    scored = customers.select(
         "SK_ID_CURR",
         "TARGET",
         "NAME_CONTRACT_TYPE",
@@ -167,25 +167,38 @@ def _priority(spark: SparkSession, sf: str) -> DataFrame:
     return policy.priority_frame(scored, keep=["NAME_CONTRACT_TYPE"])
 
 
-def _flags(spark: SparkSession, sf: str) -> DataFrame:
-    aligned = early_warning.align_features(
-        _store(spark, sf).select("SK_ID_CURR", "TARGET", *early_warning.BEHAVIOUR_FEATURES)
-    )
+def _flags_of(customers: DataFrame) -> DataFrame:
+    behaviour = customers.select("SK_ID_CURR", "TARGET", *early_warning.BEHAVIOUR_FEATURES)
+    aligned = early_warning.align_features(behaviour)
     return early_warning.warning_flags(aligned.withColumn("score", warning_score()))
 
 
+def _priority(spark: SparkSession, sf: str) -> DataFrame:
+    return _priority_of(_store(spark, sf))
+
+
+def _staged_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The store, written once for queries that use it more than once."""
+    return stage(_store(spark, sf))
+
+
 def _dimension(spark: SparkSession, sf: str) -> DataFrame:
-    return policy.attach_flags(_priority(spark, sf), _flags(spark, sf))
+    customers = _staged_store(spark, sf)
+    return policy.attach_flags(_priority_of(customers), _flags_of(customers))
 
 
-def _woe(spark: SparkSession, sf: str) -> DataFrame:
-    train = _store(spark, sf).where(_in_train()).select("TARGET", *CUTS)
+def _woe_of(customers: DataFrame) -> DataFrame:
+    train = customers.where(_in_train()).select("TARGET", *CUTS)
     return binning.with_limits(binning.woe_table(binning.bin_counts(train, CUTS)), CUTS)
 
 
+def _woe(spark: SparkSession, sf: str) -> DataFrame:
+    return _woe_of(_store(spark, sf))
+
+
 def _woe_values(spark: SparkSession, sf: str) -> DataFrame:
-    customers = _store(spark, sf).select("SK_ID_CURR", *CUTS)
-    return binning.woe_transform(customers, _woe(spark, sf), list(CUTS))
+    customers = stage(_store(spark, sf).select("SK_ID_CURR", "TARGET", *CUTS))
+    return binning.woe_transform(customers.drop("TARGET"), _woe_of(customers), list(CUTS))
 
 
 def _contributions(spark: SparkSession, sf: str) -> DataFrame:
@@ -517,7 +530,7 @@ def stress_trajectory(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def warning_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_flags(spark, sf))
+    return rounded(_flags_of(_store(spark, sf)))
 
 
 def fitted_warning(spark: SparkSession, sf: str) -> DataFrame:
@@ -600,8 +613,9 @@ def pd_by_tier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top20(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = policy.priority_list(_priority(spark, sf))
-    return rounded(reporting.call_list(policy.attach_flags(ranked, _flags(spark, sf))))
+    customers = _staged_store(spark, sf)
+    ranked = policy.priority_list(_priority_of(customers))
+    return rounded(reporting.call_list(policy.attach_flags(ranked, _flags_of(customers))))
 
 
 def portfolio_kpis(spark: SparkSession, sf: str) -> DataFrame:
@@ -609,8 +623,9 @@ def portfolio_kpis(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = policy.priority_list(_priority(spark, sf))
-    return rounded(reporting.customer_dimension(_store(spark, sf), ranked, _flags(spark, sf)))
+    customers = _staged_store(spark, sf)
+    ranked = policy.priority_list(_priority_of(customers))
+    return rounded(reporting.customer_dimension(customers, ranked, _flags_of(customers)))
 
 
 QUERIES: Sequence[Query] = [
