@@ -12,16 +12,26 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
-def staging_root(spark: SparkSession) -> str:
-    """The shared folder for staged tables; a temporary one only for local sessions."""
+def use_local_folder(spark: SparkSession) -> None:
+    """Give a ``local`` session without a checkpoint folder one of its own, as tests do.
+
+    A session of any other master, or one that has a folder, is left as it is.
+    """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if context.master.split("[")[0] == "local" and not _configured(spark):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="arrears-"))
-        root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/arrears-{context.applicationId}"
+
+
+def staging_root(spark: SparkSession) -> str:
+    """The shared folder for staged tables, from the session's ``spark.checkpoint.dir``."""
+    root = _configured(spark)
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return f"{root.rstrip('/')}/arrears-{spark.sparkContext.applicationId}"
+
+
+def _configured(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession) -> str:
