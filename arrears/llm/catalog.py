@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from arrears.llm import (
     chat_format,
+    decontamination,
     fingerprints,
     sentencepiece_codec,
     sharding,
+    simhash,
     token_counts,
 )
 from arrears.llm.batches import read
@@ -54,6 +56,21 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), piece_model(), limit=4096)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+    items = F.array_sort(F.array_distinct(F.col("matches.item_id")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     case = spark.range(2).select(
@@ -66,12 +83,18 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(windows)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
+    "op7_decontamination": op7_decontamination,
     "op8_chat_format": op8_chat_format,
+    "op10_simhash": op10_simhash,
 }
 
 SQL: dict[str, str] = {}
