@@ -12,6 +12,9 @@ from arrears.llm import (
     chat_format,
     decontamination,
     fingerprints,
+    language_id,
+    line_dedup,
+    quality,
     sentencepiece_codec,
     sharding,
     simhash,
@@ -48,6 +51,16 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeated_lines(
+        read(spark, sf_dir, "documents").select("doc_id", "text")
+    )
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(read(spark, sf_dir, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
 
@@ -83,6 +96,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(windows)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.drop("text_hash")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -90,10 +108,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_language_id": op4_language_id,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
     "op8_chat_format": op8_chat_format,
+    "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
 
