@@ -39,18 +39,23 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"), shards=16)
 
 
-def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = sentencepiece_codec.encode_decode(read(spark, sf_dir, "documents"), piece_model())
+def coded_digests(coded: DataFrame) -> DataFrame:
+    """Token count and digests of ids and decoded text, of what the codec returns."""
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         # The spans tile the source: the last one ends with it.
-        (F.coalesce(F.element_at("ends", -1), F.lit(0)) == F.col("n_bytes")).alias("spans_cover"),
+        (F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)) == F.col("n_bytes")).alias("spans_cover"),
     )
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepiece_codec.encode_decode(read(spark, sf_dir, "documents"), piece_model())
+    return coded_digests(coded)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeated_lines(
         read(spark, sf_dir, "documents").select("doc_id", "text")
