@@ -12,6 +12,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def spans_by_size(sizes: Sequence[int], limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges whose sizes add up to ``limit`` at most, or that hold one item."""
     start, held = 0, 0

@@ -102,8 +102,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return found.drop("text_hash")
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,16 +17,18 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrears.llm.batches import parts_by_text
+from arrears.llm.batches import fresh, parts_by_text
+from arrears.sources.staging import stage
 
 WINDOW = 13
 SHARE = 20  # contaminated: hit words times this are at least all words
 BLOCK_BYTES = 32_000_000  # benchmark text that a task holds at once
 SHARD_BYTES = 4_000_000
+PASSES = 8  # blocks looked up in one stage; then the state is written
 
 # Digits, letters and everything beyond ASCII are word characters; A-Z become a-z.
 _WORD_BYTES = bytes(
@@ -194,73 +196,82 @@ MATCHES = T.ArrayType(
 _MATCHES_ARROW = pa.list_(
     pa.struct([("item_id", pa.string()), ("n_words", pa.int32()), ("doc_word", pa.int32()), ("item_word", pa.int32())])
 )
-FOUND = {"_n_words": T.LongType(), "_spans": T.ArrayType(T.IntegerType()), "_matches": MATCHES}
-
-
 def _spans(hit: np.ndarray) -> list[int]:
     """Begin and end of each run of hit words, one after the other."""
     return np.flatnonzero(np.diff(np.r_[0, hit.astype(np.int8), 0])).tolist()
 
 
-def _matched(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> DataFrame:
-    """``docs`` with the columns of FOUND; an input column of such a name is replaced.
+def _matched(
+    docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int
+) -> tuple[DataFrame, list[str]]:
+    """``docs`` with three more columns, and their names: words, hit spans and matches.
 
     The benchmark goes to the tasks in blocks of about ``block_bytes``, each looked up in a
-    pass over the documents as they stream by; the passes follow each other in one stage.
+    pass over the documents as they stream by; ``PASSES`` of them follow each other in one
+    stage.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text"))
+    items = benchmark.select(
+        F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text")
+    )
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    own = docs.drop(*FOUND)
-    names = list(own.columns)
-    kinds = {"_n_words": pa.int64(), "_spans": pa.list_(pa.int32()), "_matches": _MATCHES_ARROW}
-    schema = T.StructType([*own.schema.fields, *(T.StructField(n, t) for n, t in FOUND.items())])
-    found = own
+    own = list(docs.columns)
+    added = [fresh(docs, n) for n in ("_n_words", "_spans", "_matches")]
+    kinds = [pa.int64(), pa.list_(pa.int32()), _MATCHES_ARROW]
+    types = [T.LongType(), T.ArrayType(T.IntegerType()), MATCHES]
+    fields = [T.StructField(n, t) for n, t in zip(added, types, strict=True)]
+    schema = T.StructType([*docs.schema.fields, *fields])
+    found = docs
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        # At most about block_bytes of text; a null item_id has no name to report.
-        shared = spark.sparkContext.broadcast([(r.item or "", r.text) for r in part.sort("item", "text").collect()])
+        # About block_bytes of text; a null item_id is reported as the empty one.
+        rows = [(r.item or "", r.text) for r in part.sort("item", "text").collect()]
+        shared = spark.sparkContext.broadcast(rows)
 
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(
+            batches: Iterable[pa.RecordBatch], shared=shared, again: bool = block > 0
+        ) -> Iterator[pa.RecordBatch]:
             tests = TestSet(shared.value, window)
             for shard, texts in parts_by_text(batches, "text", SHARD_BYTES):
                 match = Match(tests, texts)
-                before = shard.schema.names[len(names) :]
-                earlier = {n: shard.column(n).to_pylist() for n in before}
+                earlier = [shard.column(n).to_pylist() for n in added[1:]] if again else None
                 spans, matches = [], []
                 for i, (start, n) in enumerate(zip(match.begins, match.counts, strict=False)):
                     hit = match.hit[start : start + n]
-                    if before:
-                        hit = hit.copy()
-                        marks = earlier["_spans"][i]
-                        for a, b in zip(marks[::2], marks[1::2], strict=True):
-                            hit[a:b] = True
-                    spans.append(_spans(hit))
                     listed = [
                         {"item_id": tests.items[k], "n_words": w, "doc_word": d, "item_word": at}
                         for k, w, d, at in match.longest.get(i, [])
                     ]
-                    matches.append((earlier["_matches"][i] if before else []) + listed)
-                new = {"_n_words": match.counts.tolist(), "_spans": spans, "_matches": matches}
+                    if again:
+                        hit = hit.copy()
+                        marks = earlier[0][i]
+                        for a, b in zip(marks[::2], marks[1::2], strict=True):
+                            hit[a:b] = True
+                        listed = earlier[1][i] + listed
+                    spans.append(_spans(hit))
+                    matches.append(listed)
+                new = zip((match.counts.tolist(), spans, matches), kinds, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [shard.column(n) for n in names] + [pa.array(new[n], k) for n, k in kinds.items()],
-                    names=[*names, *kinds],
+                    [shard.column(n) for n in own] + [pa.array(x, k) for x, k in new],
+                    names=[*own, *added],
                 )
 
+        if block and block % PASSES == 0:
+            found = stage(found)
         found = found.mapInArrow(run, schema)
-    return found
+    return found, added
 
 
-def _hits():
-    pairs = F.sequence(F.lit(0), F.size("_spans") - 2, F.lit(2))
-    span = F.transform(pairs, lambda i: F.element_at("_spans", i + 2) - F.element_at("_spans", i + 1))
-    total = F.aggregate(span, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return F.when(F.size("_spans") > 0, total).otherwise(F.lit(0).cast("bigint"))
+def _hits(spans: str) -> Column:
+    begins = F.sequence(F.lit(1), F.size(spans), F.lit(2))
+    sizes = F.transform(begins, lambda i: F.element_at(spans, i + 1) - F.element_at(spans, i))
+    total = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return F.when(F.size(spans) > 0, total).otherwise(F.lit(0).cast("bigint"))
 
 
-def _is_contaminated():
-    return (_hits() > 0) & (_hits() * SHARE >= F.col("_n_words"))
+def _is_contaminated(words: str, spans: str) -> Column:
+    return (_hits(spans) > 0) & (_hits(spans) * SHARE >= F.col(words))
 
 
 def contamination(
@@ -276,14 +287,15 @@ def contamination(
     are hit). Null and empty texts have no words and are clean; items without words have no
     windows; items with equal words are all reported; an empty benchmark finds nothing.
     """
-    found = _matched(docs.select("doc_id", "text"), benchmark, window, block_bytes)
+    own = docs.select("doc_id", "text")
+    found, (words, spans, matches) = _matched(own, benchmark, window, block_bytes)
     return found.select(
         "doc_id",
-        F.col("_n_words").alias("n_words"),
-        _hits().alias("n_hit"),
-        F.col("_spans").alias("spans"),
-        F.col("_matches").alias("matches"),
-        _is_contaminated().alias("contaminated"),
+        F.col(words).alias("n_words"),
+        _hits(spans).alias("n_hit"),
+        F.col(spans).alias("spans"),
+        F.col(matches).alias("matches"),
+        _is_contaminated(words, spans).alias("contaminated"),
     )
 
 
@@ -291,5 +303,5 @@ def decontaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The documents that are not contaminated, with all their columns, row by row."""
-    found = _matched(docs, benchmark, window, block_bytes)
-    return found.where(~_is_contaminated()).select(*docs.columns)
+    found, (words, spans, _) = _matched(docs, benchmark, window, block_bytes)
+    return found.where(~_is_contaminated(words, spans)).select(*docs.columns)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrears.llm.batches import parts_by_text
+from arrears.llm.batches import fresh, parts_by_text
 
 ANCHOR_WORDS = 8
 MIN_WORDS = 25  # a block of fewer words stays, so that stock lines do
@@ -249,19 +249,21 @@ def without_repeated_lines(
     added = {"n_deleted_lines": T.LongType(), "n_deleted_words": T.LongType()}
     own = docs.drop(*added)
     spans = repeated_lines(own, anchor_words)
+    mark = fresh(own, "_spans")
+    spans = spans.withColumnRenamed("_spans", mark)
     joined = own.join(
         spans,
         own["doc_id"].eqNullSafe(spans["_doc_id"])
         & (F.xxhash64(own["doc_id"], own["text"]) == spans["_uid"]),
         "left",
-    ).select(*[own[c] for c in own.columns], spans["_spans"])
+    ).select(*[own[c] for c in own.columns], spans[mark])
     names = list(own.columns)
     schema = T.StructType([*own.schema.fields, *(T.StructField(n, t) for n, t in added.items())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _ in parts_by_text(batches, "text"):
             texts, lines_gone, words_gone = part.column("text").to_pylist(), [], []
-            for i, spans_ in enumerate(part.column("_spans").to_pylist()):
+            for i, spans_ in enumerate(part.column(mark).to_pylist()):
                 gone_lines = gone_words = 0
                 if spans_:
                     lines = texts[i].split("\n")

@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from arrears.llm.batches import parts_by_text
+from arrears.llm.batches import fresh, parts_by_text
 from arrears.sources.staging import stage
 
 SINGLES, PAIRS = 1 << 19, 1 << 18  # buckets of the two orders
@@ -106,24 +107,27 @@ def lowest_passages(texts: list[str], ratios: np.ndarray, tokens: Tokens) -> np.
     """
     h, owner = tokens(texts)
     single, pair = ngrams(h, owner)
-    value = ratios[single] + np.where(pair >= 0, ratios[pair], 0.0)
-    sums = np.concatenate([[0.0], np.cumsum(value, dtype=float)])
+    value = ratios[single] + np.where(pair >= 0, ratios[pair], np.float32(0))
+    value = np.concatenate([value.astype(float), np.zeros(PASSAGE)])
+    n = len(owner)
     begins = np.searchsorted(owner, np.arange(len(texts) + 1))
     sizes = np.diff(begins)
     lowest = np.zeros(len(texts))
-    short = (sizes > 0) & (sizes <= PASSAGE)
-    lowest[short] = sums[begins[1:]][short] - sums[begins[:-1]][short]
-    if (sizes > PASSAGE).any():
-        passage = sums[PASSAGE:] - sums[:-PASSAGE]  # one from every token on
-        inside = np.flatnonzero(owner[: len(owner) - PASSAGE + 1] == owner[PASSAGE - 1 :])
-        of = owner[inside]
-        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-        least = np.minimum.reduceat(passage[inside], first)
-        long = sizes[of[first]] > PASSAGE
-        lowest[of[first][long]] = least[long]
+    # Added up token by token, so a text scores the same whatever it shares a batch with.
+    passage = np.zeros(n)
+    for i in range(PASSAGE):
+        passage += value[i : n + i] * (np.arange(n) + i < begins[1:][owner])
+    # A text's first passage counts always, a later one only if it is whole.
+    counts = np.arange(n) + PASSAGE <= begins[1:][owner]
+    counts[begins[:-1][sizes > 0]] = True
+    if n:
+        inside = np.flatnonzero(counts)
+        first = np.searchsorted(inside, begins[:-1][sizes > 0])
+        lowest[sizes > 0] = np.minimum.reduceat(passage[inside], first)
     return lowest
 
 
+
 @dataclass(frozen=True)
 class Labels:
     """A bounded sample of labelled ids, each list sorted."""
@@ -270,32 +274,54 @@ def kth_largest(rows: DataFrame, column: str, k: int, parts: int = 1024) -> floa
     return low
 
 
-SCORED = "doc_id bigint, text_hash bigint, log_importance double"
-
-
-def _scored(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
+def _with_importance(docs: DataFrame, ratios: np.ndarray, names: list[str], result: str) -> DataFrame:
+    """The named columns of ``docs`` and the log-importance of its texts as ``result``."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)  # fixed size: 3 MB
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
         for part, texts in parts_by_text(batches, "text", 2_000_000):
+            found = pa.array(lowest_passages(texts, shared.value, tokens))
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    part.column("text_hash"),
-                    pa.array(lowest_passages(texts, shared.value, tokens)),
-                ],
-                names=["doc_id", "text_hash", "log_importance"],
+                [part.column(n) for n in names] + [found], names=[*names, result]
             )
 
+    own = docs.select(*dict.fromkeys([*names, "text"]))
+    kinds = T.StructType([own.schema[n] for n in names])
+    return own.mapInArrow(run, kinds.add(result, T.DoubleType()))
+
+
+@dataclass(frozen=True)
+class Classifier:
+    """The log ratio of every bucket, and the smallest key that is sampled."""
+
+    ratios: np.ndarray
+    threshold: float
+
+
+def _key(importance: str, doc_id: str, text_hash: str) -> Column:
+    return F.col(importance) * SHARPNESS + gumbel(SEED, doc_id, text_hash)
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> tuple[Classifier, DataFrame]:
+    """The classifier for ``docs``, and their doc_id, log_importance and sampling key."""
+    sample = sampled_labels(labels, labelled_rows)
+    target, raw = count_ngrams(docs, sample.target)
+    ratios = log_ratios(target, raw)
     own = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     )
-    return own.mapInArrow(run, SCORED)
-
-
-def _key() -> Column:
-    return F.col("log_importance") * SHARPNESS + gumbel(SEED, "doc_id", "text_hash")
+    scored = stage(_with_importance(own, ratios, ["doc_id", "text_hash"], "log_importance"))
+    keyed = scored.withColumn("key", _key("log_importance", "doc_id", "text_hash")).drop("text_hash")
+    good, known = set(sample.held_good), sample.held_good + sample.held_bad
+    held = scored.where(F.col("doc_id").isin(known)).collect() if known else []
+    cut = best_cut(
+        [r.log_importance for r in held if r.doc_id in good],
+        [r.log_importance for r in held if r.doc_id not in good],
+    )
+    k = scored.where(F.col("log_importance") >= cut).count()
+    threshold = kth_largest(keyed, "key", k) if k else float("inf")
+    return Classifier(ratios, threshold), keyed
 
 
 def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> DataFrame:
@@ -311,30 +337,18 @@ def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_R
     is kept. Repeated rows share their noise and stay or go together; a null id is never
     labelled. An empty table gives an empty result.
     """
-    sample = sampled_labels(labels, labelled_rows)
-    target, raw = count_ngrams(docs, sample.target)
-    scored = stage(_scored(docs, log_ratios(target, raw)))
-    held = scored.where(F.col("doc_id").isin(sample.held_good + sample.held_bad))
-    good = set(sample.held_good)
-    rows = held.select("doc_id", "log_importance").collect() if good or sample.held_bad else []
-    cut = best_cut(
-        [r.log_importance for r in rows if r.doc_id in good],
-        [r.log_importance for r in rows if r.doc_id not in good],
-    )
-    keyed = scored.withColumn("key", _key())
-    k = keyed.where(F.col("log_importance") >= cut).count()
-    threshold = kth_largest(keyed, "key", k) if k else float("inf")
-    kept = (F.col("key") >= threshold) if threshold is not None else F.lit(True)
-    return keyed.select("doc_id", "text_hash", "log_importance", "key", kept.alias("kept"))
+    model, keyed = fit(docs, labels, labelled_rows)
+    return keyed.withColumn("kept", F.col("key") >= model.threshold)
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> DataFrame:
-    """The rows of ``docs`` that ``classify`` keeps, with all their columns."""
-    found = classify(docs, labels, labelled_rows)
-    going = found.where(~F.col("kept")).select(
-        F.col("doc_id").alias("_going_id"), F.col("text_hash").alias("_going_text")
-    ).distinct()
-    gone = docs["doc_id"].cast("bigint").eqNullSafe(going["_going_id"]) & (
-        F.xxhash64(docs["text"]) == going["_going_text"]
-    )
-    return docs.join(going, gone, "left_anti")
+    """The rows of ``docs`` that ``classify`` keeps, with all their columns.
+
+    Each row is scored once more as it passes, which costs less than moving all texts to
+    join them with the decisions.
+    """
+    model, _ = fit(docs, labels, labelled_rows)
+    importance, own_id, own_text = (fresh(docs, n) for n in ("_importance", "_id", "_text"))
+    own = docs.withColumns({own_id: F.col("doc_id").cast("bigint"), own_text: F.xxhash64("text")})
+    scored = _with_importance(own, model.ratios, own.columns, importance)
+    return scored.where(_key(importance, own_id, own_text) >= model.threshold).select(*docs.columns)
