@@ -1,32 +1,38 @@
 """Positions, running totals and exact quantiles over whole tables of any size.
 
-A window without partition columns sorts the whole table in one task, which is right for a
-few rows only. A larger table is cut into slices by range over the complete sort key, so a
-slice holds about the same number of rows however often one sort value repeats. Positions
-and totals are computed inside each slice and shifted by what the earlier slices hold; that
-shift table has one row per slice and group.
+A window without partition columns sorts the whole table in one task. Here the table is cut
+into slices by range over the complete sort key, so a slice holds about the same number of
+rows however often one sort value repeats. Each task numbers and sums its sorted slice as it
+streams by, and the result is shifted by what the earlier slices hold; that shift table has
+one row per slice and group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arrears.sources.staging import stage
 
-SMALL_TABLE = 200_000  # rows that one task may sort
 SKETCH_ACCURACY = 10_000  # the sketch misses a rank by at most 1 / accuracy of the rows
-BRACKET = 5 / SKETCH_ACCURACY  # so a bracket this much wider on both sides holds its quantile
+BRACKETS = (5 / SKETCH_ACCURACY, 500 / SKETCH_ACCURACY, 1.0)  # half widths; the last holds all
 
 
 def with_group_values(df: DataFrame, by: Sequence[str], values: DataFrame) -> DataFrame:
-    """Append the columns of ``values``, one row per group, for small sets of groups."""
+    """Append the columns of ``values``, one row per group.
+
+    The values are staged, so the optimizer knows their size and broadcasts them only when
+    they are small; for many groups it joins by key.
+    """
     if by:
-        return df.join(F.broadcast(values), list(by))
+        return df.join(stage(values), list(by))
     packed = values.select(F.struct(*values.columns)).scalar()
     return df.withColumn("_whole", packed).select(
         *df.columns, *[F.col("_whole")[c].alias(c) for c in values.columns]
@@ -34,7 +40,7 @@ def with_group_values(df: DataFrame, by: Sequence[str], values: DataFrame) -> Da
 
 
 def with_group_totals(df: DataFrame, by: Sequence[str], totals: Sequence[Column]) -> DataFrame:
-    """Append whole-group aggregates of ``df`` to every row, for small sets of groups."""
+    """Append whole-group aggregates of ``df`` to every row. ``df`` is read twice."""
     return with_group_values(df, by, df.groupBy(*by).agg(*totals))
 
 
@@ -43,60 +49,94 @@ def number_in_order(
     order: Sequence[Column],
     totals: Mapping[str, str] | None = None,
     by: Sequence[str] = (),
-    staged: bool = False,
 ) -> DataFrame:
     """Append ``position`` (1-based) and running totals in the given total order.
 
     ``order`` must decide between any two rows, so end it with a unique key. ``totals``
-    maps new column to the summed column; a total includes its own row. ``by`` numbers
-    each group on its own; it is for small sets of groups such as strategies or months.
+    maps new column to the summed column; a total includes its own row and passes over
+    nulls. ``by`` numbers each group on its own; a null is a group of its own.
 
-    The rows are staged first, unless ``staged`` says they are: they are read several
-    times, and a repeated task must find the same sort keys or rows could change slices.
+    One range shuffle and one write: the shuffle takes as many slices as the size asks
+    for, and the numbered slices are staged, which also makes their last rows cheap to
+    read for the shift.
     """
-    totals = dict(totals or {})
-    rows = df if staged else stage(df)
-    if rows.count() <= SMALL_TABLE:
-        return _numbered(rows, order, totals, list(by)).select(*df.columns, "position", *totals)
+    totals, by = dict(totals or {}), list(by)
+    names = list(df.columns)
+    at = [names.index(c) for c in by]
+    exact = {
+        name: not isinstance(df.schema[source].dataType, (T.DoubleType, T.FloatType))
+        for name, source in totals.items()
+    }
+    added = [
+        T.StructField("_slice", T.IntegerType()),
+        T.StructField("position", T.LongType()),
+        *[T.StructField(n, T.LongType() if exact[n] else T.DoubleType()) for n in totals],
+    ]
+
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, held_rows, held_sums = None, 0, dict.fromkeys(totals, 0)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            columns = [batch.column(i) for i in range(len(names) + 1)]
+            new = _changes([columns[i] for i in at], n)
+            if held_key is not None:
+                new[0] = held_key != [columns[i][0].as_py() for i in at]
+            starts = np.flatnonzero(np.append(True, new[1:]))
+            group = np.cumsum(np.append(False, new[1:]))
+            position = np.arange(n) - starts[group] + 1
+            goes_on = group == 0 if held_key is not None and not new[0] else np.zeros(n, dtype=bool)
+            position = position + goes_on * held_rows
+            sums = []
+            for name, source in totals.items():
+                kind = np.int64 if exact[name] else np.float64
+                value = columns[names.index(source)].fill_null(0).to_numpy(zero_copy_only=False).astype(kind)
+                # Sums of each group on their own: no rounding comes from other groups.
+                own = np.concatenate([np.cumsum(v) for v in np.split(value, starts[1:])])
+                own = own + goes_on * kind(held_sums[name])
+                sums.append(pa.array(own))
+                held_sums[name] = own[-1]
+            held_key, held_rows = [columns[i][n - 1].as_py() for i in at], int(position[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(position), *sums], names=[*names, "_slice", "position", *totals]
+            )
 
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = [F.col(c) for c in by]
-    sliced = stage(
-        rows.repartitionByRange(width, *groups, *order).withColumn("_slice", F.spark_partition_id())
-    )
-    keys = [*by, "_slice"]
-    sizes = sliced.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(source).alias(f"_sum_{name}") for name, source in totals.items()],
+    sliced = df.repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
+    marked = sliced.withColumn("_slice", F.spark_partition_id())
+    numbered = stage(marked.mapInArrow(number, T.StructType([*df.schema.fields, *added])))
+
+    last = {name: f"_last_{name}" for name in totals}
+    sizes = numbered.groupBy(*by, "_slice").agg(
+        F.max("position").alias("_rows"),
+        *[F.max_by(name, "position").alias(column) for name, column in last.items()],
     )
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    held = {"position": "_rows", **{name: f"_sum_{name}" for name in totals}}
-    shifts = sizes.select(
-        *keys,
-        *[
-            F.coalesce(F.sum(source).over(earlier), F.lit(0)).alias(f"_before_{name}")
-            for name, source in held.items()
-        ],
+    held = {"position": "_rows", **last}
+    shifts = stage(
+        sizes.select(
+            *[F.col(c).alias(f"_by_{c}") for c in by],
+            F.col("_slice").alias("_of_slice"),
+            *[F.sum(source).over(earlier).alias(f"_before_{name}") for name, source in held.items()],
+        ).where(F.col("_before_position").isNotNull())
     )
-    # One row per slice and group: at most shuffle partitions + number of groups.
-    shifted = _numbered(sliced, order, totals, keys).join(F.broadcast(shifts), keys)
-    return shifted.select(
-        *df.columns, *[(F.col(f"_before_{name}") + F.col(name)).alias(name) for name in held]
+    # Only groups that go on from an earlier slice: fewer than there are slices.
+    same = [F.col("_slice") == F.col("_of_slice"), *[F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]]
+    return numbered.join(shifts, reduce(and_, same), "left").select(
+        *names,
+        *[(F.col(name) + F.coalesce(f"_before_{name}", F.lit(0))).alias(name) for name in held],
     )
 
 
-def _numbered(
-    df: DataFrame, order: Sequence[Column], totals: Mapping[str, str], within: Sequence[str]
-) -> DataFrame:
-    """Positions and running totals inside each group of ``within``."""
-    inside = Window.partitionBy(*within).orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns(
-        {
-            "position": F.row_number().over(inside).cast("bigint"),
-            **{n: F.coalesce(F.sum(c).over(upto), F.lit(0)) for n, c in totals.items()},
-        }
-    )
+def _changes(keys: Sequence[pa.Array], n: int) -> np.ndarray:
+    """Where a row's keys differ from those of the row before; true at the first."""
+    new = np.zeros(n, dtype=bool)
+    new[0] = True
+    for key in keys:
+        codes = key.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return new
 
 
 def exact_quantiles(
@@ -104,33 +144,28 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles ``q0, q1, ...`` of the non-null values, per group.
 
-    The built-in exact percentile keeps all distinct values of a group in one task, so it
-    serves small tables only. In a large one a quantile sketch first brackets each
-    quantile, and only the values inside the brackets are sorted; the others are counted.
-    Equal values collapse to one row before sorting. ``df`` is read several times, so
-    stage it if it is costly.
+    A quantile sketch first brackets each quantile; only the values inside the brackets
+    are sorted, the others are counted. The counts tell whether a bracket holds its
+    quantile. Should one miss, all are widened; the widest holds all values. Equal values
+    collapse to one row before sorting. Without values the quantiles are null. ``df`` is
+    read several times, so stage it if it is costly.
     """
     by = list(by)
     present = df.select(*by, value).where(F.col(value).isNotNull())
-    if present.count() <= SMALL_TABLE:
-        exact = present.groupBy(*by).agg(F.percentile(value, list(shares)).alias("_q"))
-        return exact.select(*by, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(shares))])
-    found = _bracketed_quantiles(present, value, shares, by)
-    rows = found.collect()  # one row per group
-    if all(q is not None for r in rows for q in r):
-        return df.sparkSession.createDataFrame(rows, found.schema)
-    counted = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_count"))
-    placed = number_in_order(counted, [F.col(value)], totals={"_upto": "_count"}, by=by)
-    sized = with_group_totals(placed, by, [F.sum("_count").alias("_total")])
-    anywhere = [(F.lit(True), F.col("_upto")) for _ in shares]
-    return _interpolated(sized, value, shares, by, anywhere)
+    found = present
+    for bracket in BRACKETS:
+        found = stage(_bracketed_quantiles(present, value, shares, by, bracket))
+        missed = reduce(or_, [F.col(f"q{i}").isNull() for i in range(len(shares))], F.lit(False))
+        if found.where(missed & (F.col("_total") > 0)).isEmpty():
+            break
+    return found.drop("_total")
 
 
 def _bracketed_quantiles(
-    present: DataFrame, value: str, shares: Sequence[float], by: Sequence[str]
+    present: DataFrame, value: str, shares: Sequence[float], by: Sequence[str], bracket: float
 ) -> DataFrame:
     """Quantiles from the values near them; null where a bracket misses its quantile."""
-    near = [(max(p - BRACKET, 0.0), min(p + BRACKET, 1.0)) for p in shares]
+    near = [(max(p - bracket, 0.0), min(p + bracket, 1.0)) for p in shares]
     sketch = F.percentile_approx(value, [p for pair in near for p in pair], SKETCH_ACCURACY)
     guessed = present.groupBy(*by).agg(sketch.alias("_limits"))
     bracketed = with_group_values(present, by, guessed)
@@ -146,32 +181,17 @@ def _bracketed_quantiles(
         F.first("_limits").alias("_limits"),
         *[F.count(F.when(b, 1)).alias(f"_below{i}") for i, b in enumerate(below)],
     )
-    counted = (
-        bracketed.where(kept).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_count"))
-    )
+    counted = bracketed.where(kept).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_count"))
     placed = number_in_order(counted, [v], totals={"_upto": "_count"}, by=by)
-    sized = with_group_values(placed, by, stage(tally))
-    where = [(inside(i), F.col("_upto") + F.col(f"_below{i}")) for i in range(len(shares))]
-    return _interpolated(sized, value, shares, by, where)
-
-
-def _interpolated(
-    sized: DataFrame,
-    value: str,
-    shares: Sequence[float],
-    by: Sequence[str],
-    where: Sequence[tuple[Column, Column]],
-) -> DataFrame:
-    """Quantiles from counted values; ``where`` gives, per share, the eligible rows and
-    the number of values up to and including theirs."""
-    parts, quantiles = [], []
+    sized = with_group_values(placed, by, tally)
+    parts, quantiles = [F.max("_total").alias("_total")], []
     for i, p in enumerate(shares):
-        eligible, upto = where[i]
         spot = F.lit(float(p)) * (F.col("_total") - 1)
+        upto = F.col("_upto") + F.col(f"_below{i}")
 
-        def at(rank: Column, eligible: Column = eligible, upto: Column = upto) -> Column:
-            held = eligible & (rank >= upto - F.col("_count")) & (rank < upto)
-            return F.max(F.when(held, F.col(value)))
+        def at(rank: Column, i: int = i, upto: Column = upto) -> Column:
+            held = inside(i) & (rank >= upto - F.col("_count")) & (rank < upto)
+            return F.max(F.when(held, v))
 
         parts += [
             at(F.floor(spot)).alias(f"_low{i}"),
@@ -180,4 +200,4 @@ def _interpolated(
         ]
         low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
         quantiles.append((low + (high - low) * F.col(f"_part{i}")).alias(f"q{i}"))
-    return sized.groupBy(*by).agg(*parts).select(*by, *quantiles)
+    return sized.groupBy(*by).agg(*parts).select(*by, "_total", *quantiles)

@@ -26,31 +26,31 @@ def linear_contributions(
     )
 
 
-def global_importance(contributions: DataFrame, features: Sequence[str], top: int = 20) -> DataFrame:
-    """Mean absolute contribution per feature, largest first."""
+def global_importance(
+    contributions: DataFrame, features: Sequence[str], top: int | None = 20
+) -> DataFrame:
+    """Mean absolute contribution per feature, largest first; None lists all features."""
     means = contributions.agg(*[F.avg(F.abs(f)).alias(f) for f in features])
-    return (
-        means.select(stack_columns(features, "feature", "importance"))
-        .orderBy(F.desc("importance"), "feature")
-        .limit(top)
+    ranked = means.select(stack_columns(features, "feature", "importance")).orderBy(
+        F.desc("importance"), "feature"
     )
+    return ranked if top is None else ranked.limit(top)
 
 
 def explain_riskiest(
     contributions: DataFrame,
     scores: DataFrame,
     features: Sequence[str],
-    top: int = 15,
+    top: int | None = 15,
     key: str = "SK_ID_CURR",
 ) -> DataFrame:
-    """The largest contributions of the customer with the highest ``PD``."""
+    """The largest contributions (None: all) of the customer with the highest ``PD``."""
     riskiest = scores.orderBy(F.desc_nulls_last("PD"), key).limit(1).select(key, "PD")
     one = contributions.join(F.broadcast(riskiest), key)
-    return (
-        one.select(key, "PD", stack_columns(features, "feature", "contribution"))
-        .orderBy(F.desc(F.abs("contribution")), "feature")
-        .limit(top)
+    ranked = one.select(key, "PD", stack_columns(features, "feature", "contribution")).orderBy(
+        F.desc(F.abs("contribution")), "feature"
     )
+    return ranked if top is None else ranked.limit(top)
 
 
 def tree_nodes(spark: SparkSession, model: PipelineModel) -> pd.DataFrame:
@@ -77,15 +77,26 @@ def tree_nodes(spark: SparkSession, model: PipelineModel) -> pd.DataFrame:
     return table
 
 
-def walk_trees(nodes: pd.DataFrame, inputs: np.ndarray) -> tuple[float, np.ndarray]:
+Tree = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def tree_arrays(nodes: pd.DataFrame) -> list[Tree]:
+    """Per tree: left and right child, feature, threshold and weighted prediction of each node."""
+    return [
+        (
+            *[tree[c].to_numpy() for c in ("left", "right", "feature", "threshold")],
+            tree["prediction"].to_numpy() * tree["weight"].to_numpy(),
+        )
+        for _, tree in nodes.groupby("tree")
+    ]
+
+
+def walk_trees(trees: Sequence[Tree], inputs: np.ndarray) -> tuple[float, np.ndarray]:
     """Expected margin, and per row and input what the splits on its paths add to it."""
     added = np.zeros_like(inputs)
     rows = np.arange(len(inputs))
     base = 0.0
-    for _, tree in nodes.groupby("tree"):
-        left, right = tree["left"].to_numpy(), tree["right"].to_numpy()
-        feature, threshold = tree["feature"].to_numpy(), tree["threshold"].to_numpy()
-        value = tree["prediction"].to_numpy() * tree["weight"].to_numpy()
+    for left, right, feature, threshold, value in trees:
         base += value[0]
         at = np.zeros(len(inputs), dtype=int)
         inner = left[at] >= 0
@@ -108,12 +119,13 @@ def path_contributions(
     by their missing flags if the model has any; a flag's part goes to its feature.
     """
     names = list(features)
+    shared = scored.sparkSession.sparkContext.broadcast(tree_arrays(nodes))
 
     def contribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            base, added = walk_trees(nodes, np.vstack(batch["inputs"].to_numpy()))
+            base, added = walk_trees(shared.value, np.vstack(batch["inputs"].to_numpy()))
             parts = added.reshape(len(batch), -1, len(names)).sum(axis=1)
             out = pd.DataFrame(parts, columns=names)
             out.insert(0, "base", base)

@@ -10,8 +10,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from arrears.functions.columns import stack_columns
-
 Cuts = Mapping[str, Sequence[float]]
 
 MISSING = -1
@@ -24,18 +22,13 @@ SKETCH_ACCURACY = 2000  # rank error below a hundredth of a fine bin
 def prebin_cuts(df: DataFrame, features: Sequence[str], max_bins: int = MAX_PREBINS) -> dict[str, list[float]]:
     """Distinct interior quantiles of each feature; features without values are left out.
 
-    One pass sketches all features; each feature's sketches merge in a task of their own,
-    and only the cut points reach the driver.
+    One pass with one sketch per feature; only the cut points reach the driver.
     """
     shares = [i / max_bins for i in range(1, max_bins)]
-    sketched = (
-        df.select(stack_columns(features, "feature", "value"))
-        .where(F.col("value").isNotNull())
-        .groupBy("feature")
-        .agg(F.percentile_approx("value", shares, SKETCH_ACCURACY).alias("cuts"))
-    )
-    found = {r.feature: sorted(set(r.cuts)) for r in sketched.collect()}
-    return {c: found[c] for c in features if c in found}
+    found = df.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), shares, SKETCH_ACCURACY).alias(c) for c in features]
+    ).first()
+    return {c: sorted(set(found[c])) for c in features if found[c]}
 
 
 def bin_counts(df: DataFrame, cuts: Cuts, label: str = "TARGET") -> DataFrame:

@@ -80,18 +80,32 @@ def bureau_status(bureau: DataFrame, bureau_balance: DataFrame, as_of: int = 0)
 
 
 def bureau_accounts(bureau: DataFrame, as_of: int = 0) -> DataFrame:
-    """Account counts, overdue days and amounts, leverage and age of credit per customer."""
+    """Account counts, overdue days and amounts, leverage and age of credit per customer.
+
+    Accounts carry today's state only. As of an earlier month, what hangs on it (status,
+    overdue days and amounts, debt) is unknown and null.
+    """
     shift = as_of * DAYS_PER_MONTH
     opened = F.col("DAYS_CREDIT") + shift
     known = bureau.where(F.col("DAYS_CREDIT") <= -shift) if as_of else bureau
     credit = F.sum("AMT_CREDIT_SUM")
+    active = F.sum(F.when(F.col("CREDIT_ACTIVE") == "Active", 1).otherwise(0))
+    today = {
+        "bur_active_accounts": (active, "bigint"),
+        "bur_days_overdue_mean": (F.avg("CREDIT_DAY_OVERDUE"), "double"),
+        "bur_days_overdue_max": (F.max("CREDIT_DAY_OVERDUE"), "int"),
+        "bur_amt_overdue_sum": (F.sum("AMT_CREDIT_SUM_OVERDUE"), "double"),
+        "bur_debt_credit_ratio": (
+            F.when(credit > 0, F.try_divide(F.sum("AMT_CREDIT_SUM_DEBT"), credit)),
+            "double",
+        ),
+    }
     return known.groupBy("SK_ID_CURR").agg(
         F.count(F.lit(1)).alias("bur_total_accounts"),
-        F.sum(F.when(F.col("CREDIT_ACTIVE") == "Active", 1).otherwise(0)).alias("bur_active_accounts"),
-        F.avg("CREDIT_DAY_OVERDUE").alias("bur_days_overdue_mean"),
-        F.max("CREDIT_DAY_OVERDUE").alias("bur_days_overdue_max"),
-        F.sum("AMT_CREDIT_SUM_OVERDUE").alias("bur_amt_overdue_sum"),
-        F.when(credit > 0, F.try_divide(F.sum("AMT_CREDIT_SUM_DEBT"), credit)).alias("bur_debt_credit_ratio"),
+        *[
+            (F.lit(None) if as_of else value).cast(kind).alias(name)
+            for name, (value, kind) in today.items()
+        ],
         F.min(opened).alias("bur_days_credit_min"),
         F.avg(opened).alias("bur_days_credit_mean"),
     )

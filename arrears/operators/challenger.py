@@ -6,9 +6,9 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.operators.split import CELLS, SEED, hash_cell
@@ -64,8 +64,9 @@ def fit_boosted_trees(
     """Fit on the training rows and keep the rounds up to the lowest validation loss.
 
     A hashed slice of the training rows, never of the test rows, measures the loss after
-    every round. Rounds grow until ``patience`` of them bring nothing; equal seeds and
-    equal input make the first rounds of every fit the same trees.
+    every round. The rounds double until ``patience`` of them bring nothing, so that a
+    model that stops early does not pay for all rounds; the kept model is the first
+    ``best`` trees of the last fit, without another one.
     """
     chosen = {**CHALLENGER, **(settings or {})}
     most, patience = chosen.pop("maxIter"), chosen.pop("patience")
@@ -96,6 +97,20 @@ def fit_boosted_trees(
         if rounds == most or best + patience <= rounds:
             break
         rounds = min(2 * rounds, most)
-    if best < rounds:
-        model = trees.copy({trees.maxIter: best}).fit(learning)
-    return PipelineModel([*stages, model])
+    return PipelineModel([*stages, first_trees(model, best)])
+
+
+def first_trees(model: GBTClassificationModel, count: int) -> GBTClassificationModel:
+    """The model after its first ``count`` rounds."""
+    if count >= model.getNumTrees:
+        return model
+    whole, gateway = model._java_obj, SparkSession.active().sparkContext._gateway
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees = gateway.new_array(kind, count)
+    weights = gateway.new_array(gateway.jvm.double, count)
+    for i in range(count):
+        trees[i], weights[i] = whole.trees()[i], whole.treeWeights()[i]
+    shorter = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        whole.uid(), trees, weights, whole.numFeatures(), whole.numClasses()
+    )
+    return model._copyValues(GBTClassificationModel(shorter))

@@ -193,7 +193,7 @@ def lead_time(
     )
     aucs = rank_metrics(ranked_scores(scored, [month], score, label), [month])
     return (
-        rates.join(F.broadcast(aucs.select(month, F.round("auc", 4).alias("auc"))), month, "left")
+        rates.join(aucs.select(month, F.round("auc", 4).alias("auc")), month, "left")
         .withColumnRenamed(month, "months_before_default")
         .orderBy(F.desc("months_before_default"))
     )

@@ -1,7 +1,7 @@
 """Discrimination and stability of scores.
 
 Frames hold one row per scored customer: the optional group columns ``by`` (model, sample,
-month; a small set), a ``score`` and a 0/1 ``label``. Equal scores collapse to one row
+month), a ``score`` and a 0/1 ``label``. Equal scores collapse to one row
 before any ordering, so ties are exact and cheap.
 """
 
@@ -39,8 +39,9 @@ def ranked_scores(
     placed = number_in_order(
         distinct, [F.desc("score")], totals={"cum_bad": "bad", "cum_good": "good"}, by=by
     )
+    # The rows are staged by now, and the last running total is that of the group.
     return with_group_totals(
-        placed, by, [F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good")]
+        placed, by, [F.max("cum_bad").alias("all_bad"), F.max("cum_good").alias("all_good")]
     )
 
 
@@ -107,12 +108,7 @@ def psi_bins(
     shares = [i / bins for i in range(1, bins)]
     edges = exact_quantiles(scored.where("expected"), "score", shares, by)
     columns = [f"q{i}" for i in range(bins - 1)]
-    if by:
-        edged = scored.join(F.broadcast(edges), by)
-    else:
-        edged = scored.withColumn("_edges", edges.select(F.struct(*columns)).scalar()).select(
-            "score", "expected", "_edges.*"
-        )
+    edged = with_group_values(scored, by, edges)
     index = sum(((F.col("score") >= F.col(c)).cast("int") for c in columns), F.lit(0))
     counted = edged.groupBy(*by, index.alias("bin")).agg(
         F.count(F.when(F.col("expected"), 1)).alias("n_expected"),
@@ -207,7 +203,7 @@ def gain_curve(
     whole = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("size"), F.sum("label").alias("all_bad")
     )
-    placed = number_in_order(rows, [F.desc("score"), F.col(key)], by=by, staged=True)
+    placed = number_in_order(rows, [F.desc("score"), F.col(key)], by=by)
     sized = with_group_values(placed, by, whole)
     reach = F.try_divide((F.col("position") - 1) * bins, F.col("size") - 1)
     index = F.greatest(F.ceil(F.coalesce(reach, F.lit(0.0))).cast("int") - 1, F.lit(0))
@@ -227,7 +223,8 @@ def model_comparison(df: DataFrame, baseline: str) -> DataFrame:
     scores = stage(df.select("model", "score", "label", "is_train"))
     ranked = ranked_scores(scores.where(~F.col("is_train")), ["model"])
     drift = psi(psi_bins(scores, ["model"]), ["model"])
-    joined = rank_metrics(ranked, ["model"]).join(F.broadcast(drift), "model", "left")
+    # One row per model; staged, as the baseline is looked up in it.
+    joined = stage(rank_metrics(ranked, ["model"]).join(drift, "model", "left"))
     base = F.max(F.when(F.col("model") == baseline, F.col("auc"))).alias("base_auc")
     compared = with_group_totals(joined, (), [base])
     return compared.select(

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions.columns import hash_order, share
@@ -21,25 +20,30 @@ COST_PER_CALL = 150
 HOURS_PER_CALL = 0.25
 CURVE_STEP = 100
 CURVE_END = 5000
+SAMPLE_SIZE = 5000
 
 RANDOM = "1. Call Everyone (Random)"
 HIGHEST_PD = "2. Highest PD First"
 EXPECTED_LOSS = "3. Expected Loss Policy"
 
-# A call list up to this length is taken by a top-k: every task passes on at most that many
-# rows to the last one. A longer list is cut from the whole distributed order.
-SHORT_LIST = 10_000
 
 
-def strategies(seed: int = SEED, key: str = "SK_ID_CURR") -> dict[str, list[Column]]:
-    """The total order in which each strategy calls the customers."""
+def strategies(seed: int = SEED, key: str = "SK_ID_CURR") -> dict[str, tuple[Column, Column]]:
+    """A text and a number by which each strategy calls the customers, both ascending.
+
+    Customers with equal ones are called by their key.
+    """
     return {
-        RANDOM: [hash_order(key, seed), F.col(key)],
-        HIGHEST_PD: [F.desc("PD"), F.col(key)],
-        EXPECTED_LOSS: [F.desc("expected_loss"), F.col(key)],
+        RANDOM: (hash_order(key, seed), F.lit(0.0)),
+        HIGHEST_PD: (F.lit(""), -F.col("PD")),
+        EXPECTED_LOSS: (F.lit(""), -F.col("expected_loss")),
     }
 
 
+def _order(text: Column, number: Column, key: str) -> list[Column]:
+    return [text, number.asc_nulls_last(), F.col(key)]
+
+
 def priority_frame(
     scored: DataFrame,
     lgd: float = LGD,
@@ -52,8 +56,7 @@ def priority_frame(
     The scores are staged, because every report below reads this table several times.
     """
     narrow = stage(scored.select("SK_ID_CURR", "TARGET", "PD", "app_loan_amount", *keep))
-    median = exact_quantiles(narrow, "app_loan_amount", [0.5]).first()
-    typical = F.lit(None if median is None else median.q0).cast("double")
+    typical = exact_quantiles(narrow, "app_loan_amount", [0.5]).scalar()
     exposed = narrow.select(
         "SK_ID_CURR",
         "TARGET",
@@ -75,31 +78,34 @@ def attach_flags(priority: DataFrame, flags: DataFrame) -> DataFrame:
     return priority.join(flags.select("SK_ID_CURR", "ew_flag", "risk_tier"), "SK_ID_CURR", "left")
 
 
-def first_calls(df: DataFrame, order: Sequence[Column], calls: int) -> DataFrame:
-    """The first ``calls`` customers in the given order, or all if there are fewer."""
-    if calls <= SHORT_LIST:
-        return df.orderBy(*order).limit(calls)
-    return number_in_order(df, order).where(F.col("position") <= calls).drop("position")
-
+def first_calls(
+    df: DataFrame, strategy: str, calls: int | None, seed: int = SEED, key: str = "SK_ID_CURR"
+) -> DataFrame:
+    """The first ``calls`` customers of a strategy, or all if there are fewer."""
+    if calls is None:
+        return df
+    placed = number_in_order(df, _order(*strategies(seed, key)[strategy], key))
+    return placed.where(F.col("position") <= calls).select(*df.columns)
 
-def call_positions(df: DataFrame, order: Sequence[Column], calls: int, total: str) -> DataFrame:
-    """The first ``calls`` customers with ``position`` and the running sum of ``total``."""
-    running = f"running_{total}"
-    if calls > SHORT_LIST:
-        placed = number_in_order(df, order, totals={running: total})
-        return placed.where(F.col("position") <= calls)
-    listed = Window.orderBy(*order)  # at most SHORT_LIST rows
-    upto = listed.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.orderBy(*order).limit(calls).withColumns(
-        {
-            "position": F.row_number().over(listed).cast("bigint"),
-            running: F.sum(total).over(upto),
-        }
-    )
 
+def call_positions(
+    df: DataFrame, totals: Sequence[str] = (), seed: int = SEED, key: str = "SK_ID_CURR"
+) -> DataFrame:
+    """Every customer's ``position`` in every strategy, and ``running_`` sums up to it.
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    All strategies are put in order together, as groups of one range shuffle.
+    """
+    calls = F.array(
+        *[
+            F.struct(F.lit(name).alias("strategy"), text.alias("_text"), number.alias("_number"))
+            for name, (text, number) in strategies(seed, key).items()
+        ]
+    )
+    listed = df.select(key, *totals, F.inline(calls))
+    running = {f"running_{c}": c for c in totals}
+    order = _order(F.col("_text"), F.col("_number"), key)
+    placed = number_in_order(listed, order, totals=running, by=["strategy"])
+    return placed.drop("_text", "_number")
 
 
 def evaluate_strategies(
@@ -107,17 +113,10 @@ def evaluate_strategies(
     capacity: int = CAPACITY,
     cost: float = COST_PER_CALL,
     effectiveness: float = EFFECTIVENESS,
-    orders: Mapping[str, Sequence[Column]] | None = None,
 ) -> DataFrame:
     """Loss reached, recovery, cost and profit of each strategy at ``capacity`` calls."""
-    orders = orders or strategies()
     narrow = priority.select("SK_ID_CURR", "PD", "expected_loss")
-    called = _union(
-        [
-            first_calls(narrow, order, capacity).select(F.lit(name).alias("strategy"), "expected_loss")
-            for name, order in orders.items()
-        ]
-    )
+    called = call_positions(narrow, ["expected_loss"]).where(F.col("position") <= capacity)
     portfolio = narrow.agg(F.sum("expected_loss")).scalar()
     reached = called.groupBy("strategy").agg(
         F.count(F.lit(1)).alias("customers_called"), F.sum("expected_loss").alias("el")
@@ -145,30 +144,26 @@ def evaluate_strategies(
 def recovery_curve(
     priority: DataFrame,
     step: int = CURVE_STEP,
-    end: int = CURVE_END,
+    end: int | None = CURVE_END,
     effectiveness: float = EFFECTIVENESS,
 ) -> DataFrame:
-    """Recovery after every ``step`` calls, below ``end`` and below the portfolio size."""
+    """Recovery after every ``step`` calls, below ``end`` (None: no end) and the portfolio size."""
     narrow = priority.select("SK_ID_CURR", "PD", "expected_loss")
     size = narrow.agg(F.count(F.lit(1))).scalar()
-    curves = _union(
-        [
-            call_positions(narrow, order, end, "expected_loss").select(
-                F.lit(name).alias("strategy"),
-                F.col("position").alias("calls"),
-                (F.col("running_expected_loss") * effectiveness).alias("recovery"),
-            )
-            for name, order in strategies().items()
-        ]
+    placed = call_positions(narrow, ["expected_loss"])
+    last = size if end is None else F.least(F.lit(end), size)
+    return placed.where((F.col("position") % step == 0) & (F.col("position") < last)).select(
+        "strategy",
+        F.col("position").alias("calls"),
+        (F.col("running_expected_loss") * effectiveness).alias("recovery"),
     )
-    last = F.least(F.lit(end), size)
-    return curves.where((F.col("calls") % step == 0) & (F.col("calls") < last))
 
 
 def priority_list(priority: DataFrame, effectiveness: float = EFFECTIVENESS) -> DataFrame:
     """All customers ranked 1..N by expected loss."""
     columns = ["SK_ID_CURR", "PD", "EAD", "LGD", "expected_loss", "recovery_if_called", "TARGET"]
-    placed = number_in_order(priority.select(*columns), strategies()[EXPECTED_LOSS])
+    order = _order(*strategies()[EXPECTED_LOSS], "SK_ID_CURR")
+    placed = number_in_order(priority.select(*columns), order)
     return placed.select(
         *columns,
         F.col("position").alias("priority_rank"),
@@ -197,7 +192,7 @@ def policy_gain(metrics: DataFrame) -> DataFrame:
     )
 
 
-def loss_sample(priority: DataFrame, size: int = 5000, seed: int = SEED) -> DataFrame:
-    """A seeded random sample of customers for the PD against EAD view."""
+def loss_sample(priority: DataFrame, size: int | None = SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
+    """A seeded random sample of customers for the PD against EAD view; None takes all."""
     columns = ["SK_ID_CURR", "PD", "EAD", "expected_loss"]
-    return first_calls(priority.select(*columns), strategies(seed)[RANDOM], size)
+    return first_calls(priority.select(*columns), RANDOM, size, seed)

@@ -107,56 +107,79 @@ def missing_profile(store: DataFrame, top: int | None = None) -> DataFrame:
     return ranked if top is None else ranked.limit(top)
 
 
+def _moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Rows, means, centred squares and product of two columns where both have values.
+
+    Values are taken relative to the first one, so a constant column has squares of
+    exactly zero, whatever its size.
+    """
+    both = ~(np.isnan(x) | np.isnan(y))
+    if not both.any():
+        return np.zeros(6)
+    x, y = x[both], y[both]
+    dx, dy = x - x[0], y - y[0]
+    mx, my = dx.mean(), dy.mean()
+    ex, ey = dx - mx, dy - my
+    return np.array([len(x), x[0] + mx, y[0] + my, ex @ ex, ey @ ey, ex @ ey])
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of two disjoint sets of rows; one row per pair of columns."""
+    n = a[:, 0] + b[:, 0]
+    part = b[:, 0] / np.where(n > 0, n, 1)
+    shift = np.where(a[:, 0:1] > 0, b[:, 1:3] - a[:, 1:3], 0.0)
+    mean = np.where(a[:, 0:1] > 0, a[:, 1:3] + shift * part[:, None], b[:, 1:3])
+    mean = np.where(b[:, 0:1] > 0, mean, a[:, 1:3])
+    shift = np.where(b[:, 0:1] > 0, shift, 0.0)
+    apart = np.stack([shift[:, 0] ** 2, shift[:, 1] ** 2, shift[:, 0] * shift[:, 1]], axis=1)
+    spread = a[:, 3:] + b[:, 3:] + apart * (a[:, 0] * part)[:, None]
+    return np.concatenate([n[:, None], mean, spread], axis=1)
+
+
 def _correlations(store: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson correlation per pair of columns over the rows that have both.
 
-    Each task adds up the moments of all pairs with a few matrix products and passes on
-    one row per pair. Built-in aggregates would need several hundred buffers, and their
-    generated code is too large to be compiled. A column whose spread is below a
-    millionth of its size counts as constant and gives null.
+    Each task centres and adds up the moments of all pairs and passes on one row per
+    pair; these are merged pairwise. Built-in aggregates would need several hundred
+    buffers, and their generated code is too large to be compiled. A constant column has
+    no correlation.
     """
     columns = sorted({c for pair in pairs for c in pair})
     place = {c: i for i, c in enumerate(columns)}
-    first, second = [place[a] for a, _ in pairs], [place[b] for _, b in pairs]
+    sums = ["n", "mx", "my", "sxx", "syy", "sxy"]
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros((4, len(columns), len(columns)))
+        total = np.zeros((len(pairs), 6))
         for batch in batches:
-            values = batch.to_numpy(dtype=float)
-            have = (~np.isnan(values)).astype(float)
-            values = np.nan_to_num(values)
-            totals += [have.T @ have, values.T @ have, (values * values).T @ have, values.T @ values]
-        n, total, square, product = totals
-        yield pd.DataFrame(
-            {
-                "pair": np.arange(len(pairs)),
-                "n": n[first, second],
-                "sx": total[first, second],
-                "sy": total[second, first],
-                "sxx": square[first, second],
-                "syy": square[second, first],
-                "sxy": product[first, second],
-            }
-        )
-
-    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+            values = batch.to_numpy(dtype=float).T
+            total = _merged(total, np.array([_moments(values[place[a]], values[place[b]]) for a, b in pairs]))
+        out = pd.DataFrame(total, columns=sums)
+        out.insert(0, "pair", np.arange(len(pairs)))
+        yield out[out["n"] > 0]
+
+    def merge(parts: pd.DataFrame) -> pd.DataFrame:
+        rows = parts.sort_values(sums)[sums].to_numpy(dtype=float)
+        total = np.zeros((1, 6))
+        for row in rows:  # one per task
+            total = _merged(total, row[None, :])
+        out = pd.DataFrame(total, columns=sums)
+        out.insert(0, "pair", parts["pair"].iloc[0])
+        return out
+
+    kinds = "pair int, " + ", ".join(f"{c} double" for c in sums)
     moments = (
         store.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .mapInPandas(add_up, "pair int, " + ", ".join(f"{c} double" for c in sums))
+        .mapInPandas(add_up, kinds)
         .groupBy("pair")
-        .agg(*[F.sum(c).alias(c) for c in sums])
+        .applyInPandas(merge, kinds)
     )
-
-    def spread(square: str, total: str) -> F.Column:
-        around_mean = F.col(square) - share(F.col(total) * F.col(total), F.col("n"))
-        return F.when(around_mean > F.col(square) * 1e-12, around_mean)
-
-    together = F.col("sxy") - share(F.col("sx") * F.col("sy"), F.col("n"))
-    names = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in pairs])
-    return moments.select(
-        names[F.col("pair")][0].alias("feature_1"),
-        names[F.col("pair")][1].alias("feature_2"),
-        F.try_divide(together, F.sqrt(spread("sxx", "sx") * spread("syy", "sy"))).alias("corr"),
+    named = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    listed = store.sparkSession.range(1).select(F.posexplode(named).alias("pair", "names"))
+    spread = F.sqrt("sxx") * F.sqrt("syy")
+    return listed.join(moments, "pair", "left").select(
+        F.col("names.a").alias("feature_1"),
+        F.col("names.b").alias("feature_2"),
+        F.try_divide("sxy", spread).alias("corr"),
     )
 
 
@@ -181,7 +204,7 @@ def target_correlation(
 def density(long: DataFrame, value: str, by: Sequence[str], bins: int) -> DataFrame:
     """Density histogram of ``value`` per group over the group's own range.
 
-    Every bin is listed, also the empty ones. The number of groups must be small.
+    Every bin is listed, also the empty ones.
     """
     by = list(by)
     bounds = long.groupBy(*by).agg(
@@ -198,7 +221,7 @@ def density(long: DataFrame, value: str, by: Sequence[str], bins: int) -> DataFr
     )
     index = F.floor((F.col(value) - F.col("low")) * bins / (F.col("high") - F.col("low")))
     counted = (
-        long.join(F.broadcast(ranges), by)
+        long.join(ranges, by)
         .groupBy(*by, F.least(index, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.count(value).alias("n"))
     )
@@ -223,7 +246,7 @@ def class_histogram(
         F.col("value").isNotNull()
     )
     edges = exact_quantiles(long, "value", tails, by=["feature"])
-    clipped = long.join(F.broadcast(edges), "feature").select(
+    clipped = long.join(edges, "feature").select(
         "feature", "TARGET", clip(F.col("value"), F.col("q0"), F.col("q1")).alias("value")
     )
     return density(clipped, "value", ["feature", "TARGET"], bins)

@@ -11,9 +11,7 @@ from arrears.operators.policy import (
     CAPACITY,
     EFFECTIVENESS,
     EXPECTED_LOSS,
-    SHORT_LIST,
     first_calls,
-    strategies,
 )
 
 
@@ -24,8 +22,6 @@ def total_expected_loss(customers: DataFrame) -> DataFrame:
 def top_n_bar(df: DataFrame, column: str, n: int) -> DataFrame:
     """The lowest value among the ``n`` highest; one row."""
     values = df.select(column).where(F.col(column).isNotNull())
-    if n <= SHORT_LIST:
-        return values.orderBy(F.desc(column)).limit(n).agg(F.min(column))
     counted = values.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     placed = number_in_order(counted, [F.desc(column)], totals={"upto": "n"})
     return placed.where(F.col("upto") - F.col("n") < n).agg(F.min(column))
@@ -86,7 +82,7 @@ def portfolio_kpis(
     The called customers enter once more as extra rows, so one rollup counts both.
     """
     rows = customers.select("SK_ID_CURR", segment, "EAD", "expected_loss")
-    called = first_calls(rows, strategies()[EXPECTED_LOSS], capacity)
+    called = first_calls(rows, EXPECTED_LOSS, capacity)
     both = rows.withColumn("called", F.lit(False)).unionByName(called.withColumn("called", F.lit(True)))
     held, reached = ~F.col("called"), F.col("called")
     totals = both.rollup(segment).agg(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from arrears.operators.policy import (
     EFFECTIVENESS,
     HOURS_PER_CALL,
     call_positions,
-    strategies,
 )
 
 
@@ -63,15 +61,7 @@ def scenario_grid(
         "SK_ID_CURR", "PD", "expected_loss", (F.col("PD") * F.col("EAD")).alias("exposure")
     )
     size = exposed.agg(F.count(F.lit(1))).scalar()
-    prefixes = reduce(
-        DataFrame.unionByName,
-        [
-            call_positions(exposed, order, max(capacities), "exposure").select(
-                F.lit(name).alias("strategy"), "position", "running_exposure"
-            )
-            for name, order in strategies().items()
-        ],
-    )
+    prefixes = call_positions(exposed, ["exposure"])
 
     def each(values: Sequence[float]) -> F.Column:
         return F.explode(F.array(*[F.lit(v) for v in values]))

@@ -42,6 +42,12 @@ def stratified_split(
     )
 
 
-def folds(df: DataFrame, k: int = 5, seed: int = SEED, key: str = "SK_ID_CURR") -> DataFrame:
-    """Append ``fold`` 0..k-1 by hashed key, independent of the split."""
-    return df.withColumn("fold", F.pmod(hash_cell(key, seed + 1), F.lit(k)).cast("int"))
+def folds(
+    df: DataFrame, k: int = 5, seed: int = SEED, key: str = "SK_ID_CURR", label: str = "TARGET"
+) -> DataFrame:
+    """Append ``fold`` 0..k-1, dealt in hashed order within each class.
+
+    The folds of a class differ by one row at most. They do not depend on the split.
+    """
+    placed = number_in_order(df, [hash_order(key, seed + 1), F.col(key)], by=[label])
+    return placed.select(*df.columns, F.pmod(F.col("position") - 1, F.lit(k)).cast("int").alias("fold"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arrears.operators.bureau import bureau_features
 from arrears.operators.card import card_features
-from arrears.operators.installments import installment_features
+from arrears.operators.installments import DAYS_PER_MONTH, installment_features
 from arrears.sources.tables import Tables
 
 # Application columns and their names in the store.
@@ -79,8 +79,14 @@ def feature_store(tables: Tables, as_of: int = 0) -> DataFrame:
     Each family arrives grouped by the join key, so its join needs no second shuffle.
     """
     spine = tables["application"].where(F.col("TARGET").isNotNull())
+    days = as_of * DAYS_PER_MONTH  # ages count days back from the moment of the store
     spine = spine.select(
-        "SK_ID_CURR", "TARGET", *[F.col(c).alias(n) for c, n in APPLICATION_NAMES.items()]
+        "SK_ID_CURR",
+        "TARGET",
+        *[
+            (F.col(c) + days if c.startswith("DAYS_") else F.col(c)).alias(n)
+            for c, n in APPLICATION_NAMES.items()
+        ],
     )
     joined = (
         spine.join(installment_features(tables["installments"], as_of), "SK_ID_CURR", "left")

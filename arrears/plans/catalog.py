@@ -47,7 +47,8 @@ COEFS = {"ins_days_late_mean": -0.8, "ins_pct_late": -0.55, "bur_debt_credit_rat
 INTERCEPT = -2.4
 HISTOGRAM_FEATURES = ["ins_days_late_mean", "ins_pct_late", "bur_debt_credit_ratio"]
 AS_OF_MONTHS = 3
-TREES = {"maxIter": 8, "maxDepth": 4, "stepSize": 0.1}
+EXPECTED_ROWS = {"application": 1500, "bureau": 1}
+SAMPLE = 500
 
 
 # Digits kept in results: more where values are short decimals and a tie could occur,
@@ -97,7 +98,9 @@ def _logistic(margin: Column) -> Column:
 
 
 def baseline_score() -> Column:
-    return F.round(_logistic(F.lit(0.5) * F.col("ins_days_late_mean") / 5 + F.col("ins_pct_late") - 1), 3)
+    delay = F.coalesce("ins_days_late_mean", F.lit(0.0))
+    late = F.coalesce("ins_pct_late", F.lit(0.0))
+    return F.round(_logistic(F.lit(0.5) * delay / 5 + late - 1), 3)
 
 
 def challenger_score() -> Column:
@@ -128,16 +131,19 @@ def masked_score() -> Column:
     return F.round(_logistic(margin), 4)
 
 
-def _in_train() -> Column:
-    return F.col("SK_ID_CURR") % 10 < 7
+def _staged_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The store, written once for queries that use it more than once."""
+    return stage(_store(spark, sf))
+
+
+def _split_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The store with ``is_train``: the one split of all queries."""
+    return split.stratified_split(_staged_store(spark, sf))
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    return _store(spark, sf).select(
-        "SK_ID_CURR",
-        F.col("TARGET").alias("label"),
-        baseline_score().alias("score"),
-        _in_train().alias("is_train"),
+    return _split_store(spark, sf).select(
+        "SK_ID_CURR", F.col("TARGET").alias("label"), baseline_score().alias("score"), "is_train"
     )
 
 
@@ -151,8 +157,8 @@ def _two_models(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.lit("Baseline").alias("model"), baseline_score().alias("score")),
         F.struct(F.lit("Challenger").alias("model"), challenger_score().alias("score")),
     )
-    return _store(spark, sf).select(
-        "SK_ID_CURR", F.col("TARGET").alias("label"), _in_train().alias("is_train"), F.inline(models)
+    return _split_store(spark, sf).select(
+        "SK_ID_CURR", F.col("TARGET").alias("label"), "is_train", F.inline(models)
     )
 
 
@@ -162,7 +168,7 @@ def _priority_of(customers: DataFrame) -> DataFrame:
         "TARGET",
         "NAME_CONTRACT_TYPE",
         "app_loan_amount",
-        F.coalesce(baseline_score(), F.lit(0.1)).alias("PD"),
+        baseline_score().alias("PD"),
     )
     return policy.priority_frame(scored, keep=["NAME_CONTRACT_TYPE"])
 
@@ -177,28 +183,27 @@ def _priority(spark: SparkSession, sf: str) -> DataFrame:
     return _priority_of(_store(spark, sf))
 
 
-def _staged_store(spark: SparkSession, sf: str) -> DataFrame:
-    """The store, written once for queries that use it more than once."""
-    return stage(_store(spark, sf))
-
-
 def _dimension(spark: SparkSession, sf: str) -> DataFrame:
     customers = _staged_store(spark, sf)
     return policy.attach_flags(_priority_of(customers), _flags_of(customers))
 
 
 def _woe_of(customers: DataFrame) -> DataFrame:
-    train = customers.where(_in_train()).select("TARGET", *CUTS)
+    train = customers.where("is_train").select("TARGET", *CUTS)
     return binning.with_limits(binning.woe_table(binning.bin_counts(train, CUTS)), CUTS)
 
 
 def _woe(spark: SparkSession, sf: str) -> DataFrame:
-    return _woe_of(_store(spark, sf))
+    return _woe_of(_split_store(spark, sf))
+
+
+def _woe_values_of(customers: DataFrame) -> DataFrame:
+    rows = stage(customers.select("SK_ID_CURR", "TARGET", "is_train", *CUTS))
+    return binning.woe_transform(rows.drop("TARGET", "is_train"), _woe_of(rows), list(CUTS))
 
 
 def _woe_values(spark: SparkSession, sf: str) -> DataFrame:
-    customers = stage(_store(spark, sf).select("SK_ID_CURR", "TARGET", *CUTS))
-    return binning.woe_transform(customers.drop("TARGET"), _woe_of(customers), list(CUTS))
+    return _woe_values_of(_split_store(spark, sf))
 
 
 def _contributions(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,6 +221,19 @@ def input_contract(spark: SparkSession, sf: str) -> DataFrame:
     return tables.input_contract(tpch.tables(spark, sf))
 
 
+def input_contract_expected(spark: SparkSession, sf: str) -> DataFrame:
+    """The input check where some tables must have a given number of rows."""
+    return tables.input_contract(tpch.tables(spark, sf), EXPECTED_ROWS)
+
+
+def csv_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature store from CSV exports of all five tables."""
+    folder = new_folder(spark)
+    for name, df in tpch.tables(spark, sf).items():
+        sinks.export_csv(df, folder, tables.FILES[name])
+    return rounded(store.feature_store(tables.read_tables(spark, folder)))
+
+
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Installment features from a CSV export of the installments."""
     raw = _raw(spark, sf, "installments")
@@ -327,7 +345,7 @@ def cv_folds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def class_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(challenger.class_weights(_store(spark, sf).where(_in_train())))
+    return rounded(challenger.class_weights(_split_store(spark, sf).where("is_train")))
 
 
 def woe_iv(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,7 +373,7 @@ def scorecard_points_anchored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def optimal_bins(spark: SparkSession, sf: str) -> DataFrame:
-    train = stage(_store(spark, sf).where(_in_train()).select("TARGET", *store.MODEL_FEATURES))
+    train = stage(_split_store(spark, sf).where("is_train").select("TARGET", *store.MODEL_FEATURES))
     return rounded(binning.optimal_bins(train, store.MODEL_FEATURES))
 
 
@@ -439,7 +457,7 @@ def model_health(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fitted_trees(spark: SparkSession, sf: str):
     modelled = _modelled(spark, sf)
-    model = challenger.fit_boosted_trees(modelled.where("is_train"), store.MODEL_FEATURES, TREES)
+    model = challenger.fit_boosted_trees(modelled.where("is_train"), store.MODEL_FEATURES)
     return model, modelled
 
 
@@ -488,8 +506,10 @@ def attribution_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def explain_riskiest(spark: SparkSession, sf: str) -> DataFrame:
-    scores = _scored(spark, sf).select("SK_ID_CURR", F.col("score").alias("PD"))
-    return rounded(attribution.explain_riskiest(_contributions(spark, sf), scores, list(COEFS)))
+    customers = _split_store(spark, sf)
+    scores = customers.select("SK_ID_CURR", baseline_score().alias("PD"))
+    parts = attribution.linear_contributions(_woe_values_of(customers), COEFS)
+    return rounded(attribution.explain_riskiest(parts, scores, list(COEFS)))
 
 
 # --- early warning ----------------------------------------------------------------------
@@ -512,14 +532,18 @@ def aligned_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lead_time(spark: SparkSession, sf: str) -> DataFrame:
-    aligned = early_warning.align_features(_snapshots(spark, sf)).where(~_in_train())
+    raw = tpch.tables(spark, sf)
+    tested = split.stratified_split(stage(store.feature_store(raw))).where("NOT is_train")
+    seen = early_warning.snapshot_features(tested, raw["installments"], raw["card_balance"])
+    aligned = early_warning.align_features(seen)
     scored = aligned.select("months_before_default", "TARGET", warning_score().alias("score"))
     return early_warning.lead_time(scored)
 
 
 def lead_time_masked(spark: SparkSession, sf: str) -> DataFrame:
-    behaviour = _store(spark, sf).select("SK_ID_CURR", "TARGET", *early_warning.BEHAVIOUR_FEATURES)
-    masked = early_warning.masked_features(behaviour.where(~_in_train()))
+    tested = _split_store(spark, sf).where("NOT is_train")
+    behaviour = tested.select("SK_ID_CURR", "TARGET", *early_warning.BEHAVIOUR_FEATURES)
+    masked = early_warning.masked_features(behaviour)
     aligned = early_warning.align_features(masked)
     scored = aligned.select("months_before_default", "TARGET", masked_score().alias("score"))
     return early_warning.lead_time(scored)
@@ -538,9 +562,11 @@ def fitted_warning(spark: SparkSession, sf: str) -> DataFrame:
     raw = tpch.tables(spark, sf)
     behaviour = store.feature_store(raw).select("SK_ID_CURR", "TARGET", *early_warning.BEHAVIOUR_FEATURES)
     customers = stage(split.stratified_split(stage(behaviour)))
-    settings = {**challenger.EARLY_WARNING, "maxIter": 8}
     model = challenger.fit_boosted_trees(
-        customers.where("is_train"), early_warning.BEHAVIOUR_FEATURES, settings, flag_missing=False
+        customers.where("is_train"),
+        early_warning.BEHAVIOUR_FEATURES,
+        challenger.EARLY_WARNING,
+        flag_missing=False,
     )
     tested = customers.where(~F.col("is_train"))
     seen = early_warning.snapshot_features(tested, raw["installments"], raw["card_balance"])
@@ -576,6 +602,15 @@ def loss_sample(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(policy.loss_sample(_priority(spark, sf)))
 
 
+def loss_sample_500(spark: SparkSession, sf: str) -> DataFrame:
+    """A sample smaller than the test tables, so that the cut shows."""
+    return rounded(policy.loss_sample(_priority(spark, sf), SAMPLE))
+
+
+def recovery_curve_whole(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(policy.recovery_curve(_priority(spark, sf), end=None), 4)
+
+
 # --- scenarios and reports --------------------------------------------------------------
 
 
@@ -630,7 +665,9 @@ def customer_dimension(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: Sequence[Query] = [
     input_contract,
+    input_contract_expected,
     csv_round_trip,
+    csv_store,
     saved_store,
     installment_base,
     ins_features,
@@ -695,6 +732,8 @@ QUERIES: Sequence[Query] = [
     recovery_curve,
     priority_list,
     loss_sample,
+    loss_sample_500,
+    recovery_curve_whole,
     scenario_linear,
     scenario_grid,
     priority_top1000,

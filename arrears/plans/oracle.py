@@ -6,7 +6,7 @@ functions and exact quantile functions, none of which the Spark operators use.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from arrears.operators import early_warning, policy, quality, store
 from arrears.plans.catalog import (
@@ -15,14 +15,16 @@ from arrears.plans.catalog import (
     CUTS,
     DIGITS,
     DIGITS_OF,
+    EXPECTED_ROWS,
     HISTOGRAM_FEATURES,
     INTERCEPT,
+    SAMPLE,
 )
 
 RAW = """
 app AS (
   SELECT c_custkey AS SK_ID_CURR,
-         CASE WHEN c_custkey % 50 = 49 THEN NULL WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS TARGET,
+         CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS TARGET,
          CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE 10000 + 10 * abs(c_acctbal) END AS AMT_CREDIT,
          c_mktsegment AS NAME_CONTRACT_TYPE
   FROM customer),
@@ -59,7 +61,7 @@ bur AS (
          CASE WHEN o_orderstatus = 'F' THEN 0e0 WHEN o_orderstatus = 'P' THEN NULL
               ELSE o_totalprice * 0.4e0 END AS AMT_CREDIT_SUM_DEBT,
          CAST(date_diff('day', DATE '2001-12-01', CAST(o_orderdate AS DATE)) AS INT) AS DAYS_CREDIT
-  FROM orders WHERE o_orderkey % 97 <> 0 AND o_custkey % 13 <> 0),
+  FROM orders),
 bb AS (
   SELECT l_orderkey AS SK_ID_BUREAU,
          CAST((year(l_shipdate) - 2001) * 12 + month(l_shipdate) - 11 AS INT) AS MONTHS_BALANCE,
@@ -78,6 +80,11 @@ def families(as_of: int = 0) -> str:
     days = 30 * as_of
     hidden = f"DAYS_ENTRY_PAYMENT + {days} > 0" if as_of else "FALSE"
     opened = f"DAYS_CREDIT <= {-days}" if as_of else "TRUE"
+
+    def today(value: str, kind: str) -> str:
+        """Accounts carry today's state only, which an earlier month does not know."""
+        return f"CAST(NULL AS {kind})" if as_of else value
+
     features = ", ".join(
         store.INSTALLMENT_COLUMNS + store.CARD_COLUMNS + store.BUREAU_COLUMNS
     )
@@ -147,11 +154,12 @@ bur_status AS (
   FROM bur_months GROUP BY SK_ID_CURR),
 bur_acc AS (
   SELECT SK_ID_CURR, count(*) AS bur_total_accounts,
-         count(*) FILTER (CREDIT_ACTIVE = 'Active') AS bur_active_accounts,
-         avg(CREDIT_DAY_OVERDUE) AS bur_days_overdue_mean, max(CREDIT_DAY_OVERDUE) AS bur_days_overdue_max,
-         sum(AMT_CREDIT_SUM_OVERDUE) AS bur_amt_overdue_sum,
-         CASE WHEN sum(AMT_CREDIT_SUM) > 0
-              THEN sum(AMT_CREDIT_SUM_DEBT) / sum(AMT_CREDIT_SUM) END AS bur_debt_credit_ratio,
+         {today("count(*) FILTER (CREDIT_ACTIVE = 'Active')", "BIGINT")} AS bur_active_accounts,
+         {today("avg(CREDIT_DAY_OVERDUE)", "DOUBLE")} AS bur_days_overdue_mean,
+         {today("max(CREDIT_DAY_OVERDUE)", "INT")} AS bur_days_overdue_max,
+         {today("sum(AMT_CREDIT_SUM_OVERDUE)", "DOUBLE")} AS bur_amt_overdue_sum,
+         {today("CASE WHEN sum(AMT_CREDIT_SUM) > 0 THEN sum(AMT_CREDIT_SUM_DEBT) / sum(AMT_CREDIT_SUM) END", "DOUBLE")}
+           AS bur_debt_credit_ratio,
          min(DAYS_CREDIT) + {days} AS bur_days_credit_min, avg(DAYS_CREDIT + {days}) AS bur_days_credit_mean
   FROM bur WHERE {opened} GROUP BY SK_ID_CURR),
 bur_f AS (SELECT * FROM bur_acc LEFT JOIN bur_status USING (SK_ID_CURR)),
@@ -170,7 +178,25 @@ fs AS (
   WHERE TARGET IS NOT NULL)"""
 
 
-BASELINE = "round(1 / (1 + exp(-(0.5e0 * ins_days_late_mean / 5 + ins_pct_late - 1))), 3)"
+def _cell(seed: int) -> str:
+    return f"CAST('0x' || substr(md5(CAST(SK_ID_CURR AS VARCHAR) || ':{seed}'), 1, 4) AS INT)"
+
+
+SPLIT = f"""
+cells AS (SELECT SK_ID_CURR, TARGET, {_cell(42)} AS cell FROM fs),
+bounds AS (
+  SELECT TARGET, min(cell) AS last_cell
+  FROM (SELECT TARGET, cell, count(*) OVER (PARTITION BY TARGET ORDER BY cell) AS upto,
+               count(*) OVER (PARTITION BY TARGET) AS total FROM cells)
+  WHERE upto >= total * 0.7e0 GROUP BY TARGET),
+split AS (SELECT SK_ID_CURR, TARGET, cell <= last_cell AS is_train FROM cells JOIN bounds USING (TARGET)),
+fst AS (SELECT fs.*, is_train FROM fs JOIN split USING (SK_ID_CURR))"""
+
+
+BASELINE = (
+    "round(1 / (1 + exp(-(0.5e0 * coalesce(ins_days_late_mean, 0) / 5"
+    " + coalesce(ins_pct_late, 0) - 1))), 3)"
+)
 CHALLENGER = "round(1 / (1 + exp(-(2 * coalesce(bur_delinq_rate, 0) + coalesce(ins_pct_late, 0) - 1.5e0))), 3)"
 WARNING = (
     "round(1 / (1 + exp(-(0.1e0 * ins_days_late_mean + 2 * ins_pct_late + 1.5e0 * cc_util_mean"
@@ -190,14 +216,13 @@ def zeroed(columns: Iterable[str]) -> str:
 
 SCORED = f"""
 scored AS (
-  SELECT SK_ID_CURR, TARGET AS label, {BASELINE} AS score, SK_ID_CURR % 10 < 7 AS is_train,
-         CASE WHEN SK_ID_CURR % 10 < 7 THEN 'train' ELSE 'test' END AS sample
-  FROM fs),
+  SELECT SK_ID_CURR, TARGET AS label, {BASELINE} AS score, is_train,
+         CASE WHEN is_train THEN 'train' ELSE 'test' END AS sample
+  FROM fst),
 models AS (
-  SELECT SK_ID_CURR, TARGET AS label, SK_ID_CURR % 10 < 7 AS is_train, 'Baseline' AS model, {BASELINE} AS score
-  FROM fs
+  SELECT SK_ID_CURR, TARGET AS label, is_train, 'Baseline' AS model, {BASELINE} AS score FROM fst
   UNION ALL
-  SELECT SK_ID_CURR, TARGET, SK_ID_CURR % 10 < 7, 'Challenger', {CHALLENGER} FROM fs)"""
+  SELECT SK_ID_CURR, TARGET, is_train, 'Challenger', {CHALLENGER} FROM fst)"""
 
 FLAGS = f"""
 flags AS (
@@ -210,7 +235,7 @@ flags AS (
 PRIORITY = f"""
 priority AS (
   SELECT *, PD * EAD * LGD AS expected_loss, 0.3e0 AS contact_eff, PD * EAD * LGD * 0.3e0 AS recovery_if_called
-  FROM (SELECT SK_ID_CURR, TARGET, coalesce({BASELINE}, 0.1e0) AS PD,
+  FROM (SELECT SK_ID_CURR, TARGET, {BASELINE} AS PD,
                coalesce(app_loan_amount, (SELECT quantile_cont(app_loan_amount, 0.5) FROM fs)) AS EAD,
                0.45e0 AS LGD, NAME_CONTRACT_TYPE
         FROM fs)),
@@ -246,7 +271,7 @@ def _bin_case(feature: str) -> str:
 def _woe_cte() -> str:
     counted = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, {_bin_case(f)} AS bin, count(*) AS n, CAST(sum(TARGET) AS BIGINT) AS bad "
-        f"FROM fs WHERE SK_ID_CURR % 10 < 7 GROUP BY 2"
+        f"FROM fst WHERE is_train GROUP BY 2"
         for f in CUTS
     )
     limits = ", ".join(
@@ -319,7 +344,7 @@ def rounding(columns: Iterable[str], table: str = "") -> str:
 
 def query(body: str, *ctes: str, as_of: int = 0) -> str:
     """A statement over the raw tables and the store; an empty body if the last part has it."""
-    return "WITH " + ",".join([RAW, families(as_of), *ctes]) + "\n" + body
+    return "WITH " + ",".join([RAW, families(as_of), SPLIT, *ctes]) + "\n" + body
 
 
 INS_INTEGERS = ["SK_ID_CURR", "ins_total_obs", "ins_missed_count_l3m", "ins_obs_l3m", "ins_obs_l6m"]
@@ -489,7 +514,7 @@ def _masked_source() -> str:
     months = ", ".join(str(v) for v in early_warning.LEAD_MONTHS)
     return (
         f"SELECT {m}, TARGET AS label, {MASKED} AS score FROM (SELECT {m}, TARGET, {columns} FROM "
-        f"(SELECT *, unnest([{months}]) AS {m} FROM fs WHERE SK_ID_CURR % 10 >= 7))"
+        f"(SELECT *, unnest([{months}]) AS {m} FROM fst WHERE NOT is_train))"
     )
 
 
@@ -502,7 +527,7 @@ SELECT feature, {label} AS bin, round(woe, 4) + 0e0 AS woe, round(iv, 4) + 0e0 A
 FROM woe JOIN (VALUES {coefs}) c(feature, coef) USING (feature) WHERE bin >= 0"""
 
 
-def _contract() -> str:
+def _contract(expected: Mapping[str, int] | None = None) -> str:
     keys = {
         "application": ("app", "SK_ID_CURR"),
         "installments": ("ins", "SK_ID_CURR"),
@@ -512,25 +537,12 @@ def _contract() -> str:
     }
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n_rows, count(DISTINCT {key}) AS distinct_keys, "
-        f"count(*) > 0 AS ok FROM {source}"
+        f"{f'count(*) = {(expected or {})[name]}' if name in (expected or {}) else 'count(*) > 0'} AS ok "
+        f"FROM {source}"
         for name, (source, key) in keys.items()
     )
 
 
-def _cell(seed: int) -> str:
-    return f"CAST('0x' || substr(md5(CAST(SK_ID_CURR AS VARCHAR) || ':{seed}'), 1, 4) AS INT)"
-
-
-SPLIT = f"""
-cells AS (SELECT SK_ID_CURR, TARGET, {_cell(42)} AS cell FROM fs),
-bounds AS (
-  SELECT TARGET, min(cell) AS last_cell
-  FROM (SELECT TARGET, cell, count(*) OVER (PARTITION BY TARGET ORDER BY cell) AS upto,
-               count(*) OVER (PARTITION BY TARGET) AS total FROM cells)
-  WHERE upto >= total * 0.7e0 GROUP BY TARGET),
-split AS (SELECT SK_ID_CURR, TARGET, cell <= last_cell AS is_train FROM cells JOIN bounds USING (TARGET))"""
-
-
 def oracle_sql() -> dict[str, str]:
     woe, woe_values, snapshots = _woe_cte(), _woe_values_cte(), _snapshot_cte()
     policies = (FLAGS, PRIORITY)
@@ -577,7 +589,9 @@ def oracle_sql() -> dict[str, str]:
     top = "SELECT priority_rank, SK_ID_CURR, ew_flag, risk_tier, {} FROM ranked LEFT JOIN flags USING (SK_ID_CURR)"
     return {
         "input_contract": query(_contract()),
+        "input_contract_expected": query(_contract(EXPECTED_ROWS)),
         "csv_round_trip": ins_sql,
+        "csv_store": _store_sql(),
         "saved_store": _store_sql(),
         "installment_base": query(
             "SELECT SK_ID_CURR, SK_ID_PREV, NUM_INSTALMENT_NUMBER, is_missed, "
@@ -635,11 +649,14 @@ def oracle_sql() -> dict[str, str]:
         "class_weights": query(
             "SELECT CAST(floor(count(*) FILTER (TARGET = 0) / sum(TARGET)) AS BIGINT) AS positive_weight, "
             "round(count(*) / (2 * count(*) FILTER (TARGET = 0)), 9) AS balanced_good, "
-            "round(count(*) / (2 * sum(TARGET)), 9) AS balanced_bad FROM fs WHERE SK_ID_CURR % 10 < 7"
+            "round(count(*) / (2 * sum(TARGET)), 9) AS balanced_bad FROM fst WHERE is_train"
+        ),
+        "stratified_split": query("SELECT * FROM split"),
+        "split_counts": query("SELECT TARGET, is_train, count(*) AS n FROM split GROUP BY ALL"),
+        "cv_folds": query(
+            "SELECT SK_ID_CURR, TARGET, CAST((row_number() OVER (PARTITION BY TARGET ORDER BY "
+            "md5(CAST(SK_ID_CURR AS VARCHAR) || ':43'), SK_ID_CURR) - 1) % 5 AS INT) AS fold FROM fs"
         ),
-        "stratified_split": query("SELECT * FROM split", SPLIT),
-        "split_counts": query("SELECT TARGET, is_train, count(*) AS n FROM split GROUP BY ALL", SPLIT),
-        "cv_folds": query(f"SELECT SK_ID_CURR, TARGET, {_cell(43)} % 5 AS fold FROM fs"),
         "woe_iv": query(f"SELECT feature, bin, n, bad, {rounding(['woe', 'iv', 'low', 'high'])} FROM woe", woe),
         "iv_rank": query("SELECT * FROM ivs ORDER BY IV DESC, feature", woe),
         "iv_selection": query(
@@ -737,7 +754,7 @@ def oracle_sql() -> dict[str, str]:
             snapshots,
             _lead_time(
                 f"SELECT months_before_default, TARGET AS label, {WARNING} AS score FROM (SELECT months_before_default, "
-                f"TARGET, {zeroed(WARNING_INPUTS)} FROM snapshots WHERE SK_ID_CURR % 10 >= 7)"
+                f"TARGET, {zeroed(WARNING_INPUTS)} FROM snapshots JOIN split USING (SK_ID_CURR, TARGET) WHERE NOT is_train)"
             ),
         ),
         "lead_time_masked": query("", _lead_time(_masked_source())),
@@ -778,6 +795,17 @@ def oracle_sql() -> dict[str, str]:
             f"WHERE strategy = '{policy.RANDOM}' AND calls <= 5000",
             *policies,
         ),
+        "loss_sample_500": query(
+            f"SELECT SK_ID_CURR, {rounding(['PD', 'EAD', 'expected_loss'])} FROM called "
+            f"WHERE strategy = '{policy.RANDOM}' AND calls <= {SAMPLE}",
+            *policies,
+        ),
+        "recovery_curve_whole": query(
+            "SELECT strategy, calls, round(running * 0.3, 4) AS recovery FROM (SELECT strategy, calls, "
+            "sum(expected_loss) OVER (PARTITION BY strategy ORDER BY calls) AS running FROM called) "
+            "WHERE calls % 100 = 0 AND calls < (SELECT count(*) FROM priority)",
+            *policies,
+        ),
         "scenario_linear": query(
             "SELECT strategy, 350 AS customers_called, round(el, 2) AS el_called, round(el * 0.25, 2) AS recovery, "
             "350 * 120e0 AS call_cost, round(el * 0.25 - 350 * 120, 2) AS net_profit, "

@@ -41,6 +41,7 @@ class Run:
     trees: dict = field(default_factory=dict)
     warning_trees: dict = field(default_factory=dict)
     capacity: int = policy.CAPACITY
+    lead_time_from: str = "raw"  # or "masked": from the store alone, without raw history
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         return sinks.save_table(df, self.folder, name)
@@ -156,17 +157,18 @@ def warn_early(run: Run) -> list[str]:
         customers.where("is_train"), features, settings, flag_missing=False
     )
     tested = customers.where(~F.col("is_train"))
-    if run.tables is None:
+    if run.lead_time_from == "masked":
         snapshots = early_warning.masked_features(tested)
     else:
-        snapshots = early_warning.snapshot_features(
-            tested, run.tables["installments"], run.tables["card_balance"]
-        )
+        raw = run.raw()
+        snapshots = early_warning.snapshot_features(tested, raw["installments"], raw["card_balance"])
     aligned = early_warning.align_features(snapshots, features)
     seen = scorecard.probability_of_default(model.transform(aligned), "score")
     scored = scorecard.probability_of_default(model.transform(customers), "score")
     results = {
-        "lead_time_results": early_warning.lead_time(seen),
+        "lead_time_results": early_warning.lead_time(seen).withColumn(
+            "features_from", F.lit(run.lead_time_from)
+        ),
         "stress_trajectory": early_warning.stress_trajectory(customers),
         "early_warning_flags": early_warning.warning_flags(scored),
     }

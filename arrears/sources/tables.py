@@ -102,8 +102,9 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Read one table from CSV, matching columns by the header and inferring nothing.
 
-    A CSV schema is applied by position, so the header names every column first;
-    columns that are not used stay strings and are never parsed.
+    A CSV schema is applied by position, so the header names every column first; every
+    file must have that header, and a cell that its type cannot hold is an error. Columns
+    that are not used stay strings and are never parsed.
     """
     types = SCHEMAS[table]
     header = spark.read.option("header", True).csv(path).columns
@@ -111,7 +112,8 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     if missing:
         raise ValueError(f"{path} lacks {', '.join(missing)}")
     schema = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in header)
-    return nan_to_null(spark.read.schema(schema).option("header", True).csv(path).select(*types))
+    strict = {"header": True, "enforceSchema": False, "mode": "FAILFAST"}
+    return nan_to_null(spark.read.schema(schema).options(**strict).csv(path).select(*types))
 
 
 def read_parquet(spark: SparkSession, path: str, table: str, nan_marks: bool = False) -> DataFrame:

@@ -22,7 +22,7 @@ def application(customer: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     return customer.select(
         key.alias("SK_ID_CURR"),
-        F.when(key % 50 == 49, None).when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("TARGET"),
+        F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("TARGET"),
         F.when(key % 20 != 0, 10000 + 10 * F.abs("c_acctbal")).alias("AMT_CREDIT"),
         F.lit(None).cast("double").alias("AMT_ANNUITY"),
         F.lit(None).cast("double").alias("AMT_INCOME_TOTAL"),
@@ -77,8 +77,7 @@ def bureau(orders: DataFrame) -> DataFrame:
     price = F.col("o_totalprice")
     status = F.col("o_orderstatus")
     urgent = F.col("o_orderpriority") == "1-URGENT"
-    kept = orders.where("o_orderkey % 97 <> 0 AND o_custkey % 13 <> 0")
-    return kept.select(
+    return orders.select(
         F.col("o_custkey").alias("SK_ID_CURR"),
         F.col("o_orderkey").alias("SK_ID_BUREAU"),
         F.when(status == "O", "Active").when(status == "F", "Closed").otherwise("Sold").alias("CREDIT_ACTIVE"),

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from arrears.operators import bureau, card, early_warning, installments, store
-from arrears.sources import tpch
+from arrears.sources import tables, tpch
 
 from tests.conftest import SMALL
 
@@ -138,3 +138,56 @@ def test_hot_customer_equals_plain_aggregation(spark):
     late = [i % 9 for i in range(6000) if i % 3 == 0 or i == 1]
     assert r.ins_total_obs == len(late)
     assert r.ins_days_late_mean == pytest.approx(np.mean(late))
+
+
+@pytest.fixture
+def raw_tables(spark):
+    """Three customers: one without a label, one without any history, one with all of it."""
+
+    def frame(name, rows):
+        columns = tables.SCHEMAS[name]
+        full = [tuple(r.get(c) for c in columns) for r in rows]
+        return spark.createDataFrame(full, ", ".join(f"{c} {t}" for c, t in columns.items()))
+
+    def make(**bureau_today):
+        account = {
+            "SK_ID_CURR": 1, "SK_ID_BUREAU": 10, "CREDIT_ACTIVE": "Active", "CREDIT_DAY_OVERDUE": 3,
+            "AMT_CREDIT_SUM_OVERDUE": 5.0, "AMT_CREDIT_SUM": 100.0, "AMT_CREDIT_SUM_DEBT": 40.0, "DAYS_CREDIT": -900,
+        }
+        return {
+            "application": frame("application", [
+                {"SK_ID_CURR": 1, "TARGET": 1, "DAYS_BIRTH": -10000, "DAYS_EMPLOYED": -500},
+                {"SK_ID_CURR": 2, "TARGET": 0}, {"SK_ID_CURR": 3, "TARGET": None},
+            ]),
+            "installments": frame("installments", [
+                {"SK_ID_CURR": 1, "SK_ID_PREV": 5, "NUM_INSTALMENT_NUMBER": 1, "DAYS_INSTALMENT": -500.0,
+                 "DAYS_ENTRY_PAYMENT": -490.0, "AMT_INSTALMENT": 10.0, "AMT_PAYMENT": 10.0},
+            ]),
+            "card_balance": frame("card_balance", []),
+            "bureau": frame("bureau", [{**account, **bureau_today}]),
+            "bureau_balance": frame("bureau_balance", [
+                {"SK_ID_BUREAU": 10, "MONTHS_BALANCE": -14, "STATUS": "1"},
+                {"SK_ID_BUREAU": 99, "MONTHS_BALANCE": -14, "STATUS": "5"},  # of no known account
+            ]),
+        }
+
+    return make
+
+
+def test_store_rows_of_odd_customers(raw_tables):
+    rows = {r.SK_ID_CURR: r for r in store.feature_store(raw_tables()).collect()}
+    assert sorted(rows) == [1, 2]  # no label, no row
+    assert rows[1].bur_worst_status_ever == 1 and rows[1].bur_delinq_rate == 1.0
+    assert rows[2].bur_total_accounts is None and rows[2].stress_composite == 0.0
+
+
+def test_earlier_store_does_not_know_today(raw_tables):
+    before = store.feature_store(raw_tables(), as_of=12).collect()
+    changed = raw_tables(
+        CREDIT_ACTIVE="Closed", CREDIT_DAY_OVERDUE=99, AMT_CREDIT_SUM_OVERDUE=1e6, AMT_CREDIT_SUM_DEBT=1e6
+    )
+    assert store.feature_store(changed, as_of=12).collect() == before
+    row = next(r for r in before if r.SK_ID_CURR == 1)
+    assert row.app_age_days == -10000 + 360 and row.app_days_employed == -500 + 360
+    assert row.bur_total_accounts == 1 and row.bur_active_accounts is None
+    assert row.bur_days_credit_min == -900 + 360

@@ -30,6 +30,23 @@ def test_rounds_stop_at_the_lowest_validation_loss(planted):
     assert [t.numNodes for t in stopped.trees[:first]] == [t.numNodes for t in longer.trees[:first]]
 
 
+def test_kept_trees_equal_a_fit_of_that_length(planted):
+    settings = {"maxDepth": 3, "stepSize": 0.3, "patience": 50}
+    long = challenger.fit_boosted_trees(planted, FEATURES, {**settings, "maxIter": 7})
+    short = challenger.fit_boosted_trees(planted, FEATURES, {**settings, "maxIter": 4})
+    count = short.stages[-1].getNumTrees
+    kept = challenger.first_trees(long.stages[-1], count)
+    assert kept.getNumTrees == count and list(kept.treeWeights) == list(short.stages[-1].treeWeights)
+    nodes = lambda m: [t.toDebugString.split("\n")[1:] for t in m.trees]
+    assert nodes(kept) == nodes(short.stages[-1])
+    inputs = planted
+    for transformer in long.stages[:-1]:
+        inputs = transformer.transform(inputs)
+    ours = scorecard.probability_of_default(kept.transform(inputs)).select("SK_ID_CURR", "PD")
+    theirs = scorecard.probability_of_default(short.transform(planted)).select("SK_ID_CURR", "PD")
+    assert ours.exceptAll(theirs).count() == 0
+
+
 def test_path_contributions_sum_to_the_margin(spark, fitted, planted):
     scored = fitted.transform(planted)
     nodes = attribution.tree_nodes(spark, fitted)

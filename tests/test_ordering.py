@@ -16,15 +16,16 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id bigint, v double, g string, w int")
 
 
-@pytest.fixture(params=["one task", "slices", "missed brackets"])
-def path(request, monkeypatch):
-    if request.param != "one task":
-        monkeypatch.setattr(ordering, "SMALL_TABLE", 0)
-    if request.param == "missed brackets":
+@pytest.fixture(params=["as set", "too narrow"])
+def brackets(request, monkeypatch):
+    """Brackets that hold their quantiles, and first ones that miss and must be widened."""
+    if request.param == "too narrow":
         real = ordering._bracketed_quantiles
 
-        def missing(present, value, shares, by):
-            found = real(present, value, shares, by)
+        def missing(present, value, shares, by, bracket):
+            found = real(present, value, shares, by, bracket)
+            if bracket == ordering.BRACKETS[-1]:
+                return found
             return found.withColumn("q0", F.when(F.lit(False), F.col("q0")))
 
         monkeypatch.setattr(ordering, "_bracketed_quantiles", missing)
@@ -41,25 +42,40 @@ def expected_positions(rows, by_group):
 
 
 @pytest.mark.parametrize("by", [[], ["g"]])
-def test_positions_and_totals(skewed, path, by):
+def test_positions_and_totals(skewed, by):
     got = number_in_order(skewed, [F.desc("v"), F.col("id")], totals={"upto": "w"}, by=by).collect()
     want = expected_positions(skewed.collect(), bool(by))
     assert {r.id: (r.position, r.upto) for r in got} == want
 
 
-def test_repeated_value_is_spread_over_slices(skewed, monkeypatch):
+def test_repeated_value_is_spread_over_slices(spark, monkeypatch):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     kept = []
     real = ordering.stage
-    monkeypatch.setattr(ordering, "SMALL_TABLE", 0)
     monkeypatch.setattr(ordering, "stage", lambda df: kept.append(real(df)) or kept[-1])
-    number_in_order(skewed, [F.desc("v"), F.col("id")])
-    sizes = [r["count"] for r in kept[1].groupBy("_slice").count().collect()]
+    rows = [(i, 0.5 if i % 3 == 0 else i / 3000) for i in range(3000)]
+    number_in_order(spark.createDataFrame(rows, "id bigint, v double"), [F.desc("v"), F.col("id")])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(kept) == 2  # the numbered rows and their shifts
+    sizes = [r["count"] for r in kept[0].groupBy("_slice").count().collect()]
     assert sum(sizes) == 3000
     assert max(sizes) < 2.5 * 3000 / 8
 
 
+def test_null_groups_and_doubles(spark):
+    rows = [(i, None if i % 4 == 0 else "ab"[i % 2], None if i % 5 == 0 else i / 7) for i in range(500)]
+    df = spark.createDataFrame(rows, "id bigint, g string, w double").repartition(7)
+    found = number_in_order(df, [F.col("id")], totals={"upto": "w"}, by=["g"]).collect()
+    seen = {}
+    for r in sorted(found, key=lambda r: r.id):
+        n, total = seen.get(r.g, (0, 0.0))
+        seen[r.g] = (n + 1, total + (r.w or 0.0))
+        assert (r.position, r.upto) == (seen[r.g][0], pytest.approx(seen[r.g][1]))
+    assert len(found) == 500
+
+
 @pytest.mark.parametrize("by", [[], ["g"]])
-def test_quantiles_equal_numpy(skewed, path, by):
+def test_quantiles_equal_numpy(skewed, brackets, by):
     shares = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
     with_nulls = skewed.withColumn("v", F.when(F.col("id") % 7 != 0, F.col("v")))
     found = exact_quantiles(with_nulls, "v", shares, by).collect()
@@ -71,7 +87,6 @@ def test_quantiles_equal_numpy(skewed, path, by):
 
 def test_brackets_narrow_a_wide_table(spark, monkeypatch):
     """Many distinct values: quantiles come from the few inside the brackets."""
-    monkeypatch.setattr(ordering, "SMALL_TABLE", 0)
     rng = np.random.default_rng(11)
     values = np.round(rng.lognormal(3, 2, 40_000), 4)
     values[::3] = 17.5
@@ -88,7 +103,7 @@ def test_brackets_narrow_a_wide_table(spark, monkeypatch):
     assert len(sorted_rows) == 1 and sorted_rows[0] < 1000
 
 
-def test_empty_table(spark, path):
+def test_empty_table(spark):
     empty = spark.createDataFrame([], "id bigint, v double")
     assert number_in_order(empty, [F.col("v"), F.col("id")]).count() == 0
     assert exact_quantiles(empty, "v", [0.5]).first().q0 is None

@@ -1,6 +1,5 @@
 import pytest
 from arrears.operators import policy, reporting, scenario
-from pyspark.sql import functions as F
 
 
 @pytest.fixture(scope="module")
@@ -33,28 +32,30 @@ def test_capacity_beyond_the_portfolio(priority):
     assert {r.call_cost for r in rows} == {900 * 150}
 
 
-def test_long_lists_equal_short_ones(priority, monkeypatch):
-    def results():
-        frames = [
-            policy.evaluate_strategies(priority, 200),
-            policy.recovery_curve(priority),
-            policy.loss_sample(priority, 300),
-            scenario.scenario_grid(priority, capacities=(100, 2000)),
-            reporting.recovery_at_capacity(priority, 200),
-            reporting.capture_at_capacity(priority, 200),
-            reporting.portfolio_kpis(priority, 200),
-        ]
-        ordered = [df.select(*sorted(df.columns, key=lambda c: dict(df.dtypes)[c] == "double")) for df in frames]
-        rows = [sorted(map(tuple, df.collect()), key=str) for df in ordered]
-        cells = [cell for table in rows for row in table for cell in row]
-        return [c for c in cells if not isinstance(c, float)], [c for c in cells if isinstance(c, float)]
-
-    short = results()
-    monkeypatch.setattr(policy, "SHORT_LIST", 0)
-    monkeypatch.setattr(reporting, "SHORT_LIST", 0)
-    long = results()
-    assert long[0] == short[0]
-    assert long[1] == pytest.approx(short[1], abs=0.02)
+def test_positions_follow_each_strategy(priority):
+    placed = policy.call_positions(priority.select("SK_ID_CURR", "PD", "expected_loss"), ["expected_loss"])
+    rows = placed.collect()
+    known = {r.SK_ID_CURR: r for r in priority.collect()}
+    keys = {
+        policy.HIGHEST_PD: lambda i: (-known[i].PD, i),
+        policy.EXPECTED_LOSS: lambda i: (-known[i].expected_loss, i),
+    }
+    for strategy, key in keys.items():
+        own = sorted((r for r in rows if r.strategy == strategy), key=lambda r: r.position)
+        assert [r.SK_ID_CURR for r in own] == sorted(known, key=key)
+        running = 0.0
+        for r in own:
+            running += r.expected_loss
+            assert r.running_expected_loss == pytest.approx(running)
+    assert sorted(r.position for r in rows if r.strategy == policy.RANDOM) == list(range(1, 901))
+
+
+def test_curve_and_sample_without_an_end(priority):
+    whole = policy.recovery_curve(priority, step=50, end=None)
+    assert {r.calls for r in whole.collect()} == set(range(50, 900, 50))
+    assert {r.calls for r in policy.recovery_curve(priority, step=50, end=300).collect()} == {50, 100, 150, 200, 250}
+    assert policy.loss_sample(priority, None).count() == 900
+    assert policy.loss_sample(priority, 300).count() == 300
 
 
 def test_priority_list_is_a_full_ranking(priority):

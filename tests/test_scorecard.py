@@ -150,3 +150,21 @@ def test_constant_feature_has_no_correlation(spark):
     got = {(r.feature_1, r.feature_2): r.corr for r in quality.correlation_matrix(df, ["a", "b"]).collect()}
     assert got["a", "TARGET"] is None
     assert got["b", "TARGET"] is not None
+
+
+def test_folds_keep_the_class_shares(planted):
+    dealt = split.folds(planted, 5).groupBy("TARGET", "fold").count().collect()
+    for label in (0, 1):
+        sizes = [r["count"] for r in dealt if r.TARGET == label]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
+def test_correlation_of_large_numbers(spark):
+    rows = [(float(i % 7 + 1e8), float(i % 7 > 3), 0.1, None if i % 3 else float(i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, TARGET double, c double, d double").repartition(6)
+    found = {(r.feature_1, r.feature_2): r["corr"] for r in quality.correlation_matrix(df, ["a", "c", "d"]).collect()}
+    small = df.selectExpr("a - 1e8 AS a", "TARGET", "d")
+    assert found["a", "TARGET"] == pytest.approx(small.corr("a", "TARGET"), abs=1e-9)
+    held = small.where("d IS NOT NULL")
+    assert found["a", "d"] == pytest.approx(held.corr("a", "d"), abs=1e-9)
+    assert found["a", "c"] is None and found["c", "TARGET"] is None

@@ -24,6 +24,26 @@ def test_csv_without_a_needed_column_is_refused(spark, folder):
         tables.read_csv(spark, path, "bureau_balance")
 
 
+def test_csv_files_must_share_the_header(spark, folder):
+    import os
+
+    path = f"{folder}/bureau_balance.csv"
+    os.mkdir(path)
+    for name, lines in {"a": "SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n7,-3,C\n", "b": "SK_ID_BUREAU,STATUS,MONTHS_BALANCE\n8,2,-5\n"}.items():
+        with open(f"{path}/{name}.csv", "w") as f:
+            f.write(lines)
+    with pytest.raises(Exception, match="CSV header"):
+        tables.read_csv(spark, path, "bureau_balance").collect()
+
+
+def test_csv_cell_of_another_type_is_refused(spark, folder):
+    path = f"{folder}/bureau_balance.csv"
+    with open(path, "w") as f:
+        f.write("SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n7,-3,C\n8,oops,0\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        tables.read_csv(spark, path, "bureau_balance").collect()
+
+
 def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(1, float("nan")), (2, 0.5)], "a int, b double")
     assert [r.b for r in tables.nan_to_null(df).orderBy("a").collect()] == [None, 0.5]
@@ -55,16 +75,21 @@ def test_pipeline_stage_by_stage(spark, folder):
         spark, folder, tpch.tables(spark, SMALL), trees={"maxIter": 2}, warning_trees={"maxIter": 2}, capacity=20
     )
     saved = stages.run_stages(run, only=1)
-    assert run.load("feature_store").count() == 147
+    assert run.load("feature_store").count() == 150
     saved |= stages.run_stages(run, start=2)
     assert sorted(saved) == [1, 2, 3, 4, 5, 6, 7]
     for names in saved.values():
         for name in names:
             assert run.load(name).columns
-    assert run.load("priority_list").count() == 147
+    assert run.load("priority_list").count() == 150
     assert run.load("policy_metrics").count() == 3
     without_raw = stages.Run(spark, folder, warning_trees={"maxIter": 2})
+    with pytest.raises(ValueError, match="raw tables"):
+        stages.run_stages(without_raw, only=4)
+    assert {r.features_from for r in run.load("lead_time_results").collect()} == {"raw"}
+    without_raw.lead_time_from = "masked"
     stages.run_stages(without_raw, only=4)
+    assert {r.features_from for r in run.load("lead_time_results").collect()} == {"masked"}
     assert run.load("lead_time_results").count() == 5
 
 
