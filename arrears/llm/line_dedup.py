@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrears.llm.batches import fresh, parts_by_text
+from arrears.sources.staging import stage
 
 ANCHOR_WORDS = 8
 MIN_WORDS = 25  # a block of fewer words stays, so that stock lines do
@@ -203,10 +204,12 @@ def _aligned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_lines(docs: DataFrame, anchor_words: int = ANCHOR_WORDS) -> DataFrame:
     """``_doc_id``, ``_uid`` and ``_spans``: begin and end of each range of lines that a
     document repeats from earlier ones, for documents that have any."""
-    rows = _anchor_rows(_keyed(docs.select("doc_id", "text")), anchor_words)
+    # Staged, so that both sides of the join below are plain tables: a hot anchor's
+    # partition can then be split, which a join on top of an aggregation cannot do.
+    rows = stage(_anchor_rows(_keyed(docs.select("doc_id", "text")), anchor_words))
     holder = F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("line").alias("l"), F.col("line_end").alias("e"))
     # A struct with a null id is smaller than one with an id, so null ids count as earliest.
-    shared = (
+    shared = stage(
         rows.groupBy("anchor")
         .agg(
             F.min(holder).alias("first"),
