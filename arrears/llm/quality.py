@@ -7,9 +7,9 @@ single bad passage spoils it however long the rest is. Documents are then sample
 replacement, in proportion to a power of their importance: the k largest of log-importance
 plus Gumbel noise. k is the number of documents that score like good ones.
 
-N-grams are single tokens and pairs of tokens; a pair of equal tokens is one n-gram
-whatever the token. Tokens are runs of letters, digits and non-ASCII characters, or runs of
-other visible ones.
+Tokens are runs of letters, digits and non-ASCII characters, or runs of other visible ones.
+N-grams are single tokens, cut to a stem so that the forms of a word share their evidence,
+and pairs of whole tokens; a pair of equal tokens is one n-gram whatever the token.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ BUCKETS = SINGLES + PAIRS
 REPEAT = SINGLES  # the bucket of a pair of equal tokens
 SINGLE_PRIOR, PAIR_PRIOR = 1.0, 20.0  # target counts that pull a bucket's ratio towards 1
 PASSAGE = 4  # tokens
+STEM = 5  # bytes of a token that count when it stands alone
 LABELLED_ROWS = 40_000  # labelled documents that are used, at most
 HELD_OUT = 5  # one of so many of them sets the cut and is not counted as target
 SHARPNESS = 40.0  # the power of the importance in the sampling
@@ -59,8 +60,8 @@ class Tokens:
             step[0] = back[0] = 1
             self.powers, self.inverse = np.cumprod(step), np.cumprod(back)
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of every token, and the text that each belongs to."""
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash of every token, hash of its stem, and the text that it belongs to."""
         coded = [t.lower().encode() for t in texts]
         data = np.frombuffer(b" ".join(coded) + b" ", dtype=np.uint8)
         self._grow(len(data))
@@ -71,15 +72,21 @@ class Tokens:
         start, end = edge[real], end[real]
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)], out=sums[1:])
-        h = (sums[end] - sums[start]) * self.inverse[start]
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        limits = np.cumsum([len(c) + 1 for c in coded])
-        return h ^ (h >> np.uint64(29)), np.searchsorted(limits, start, side="right")
 
+        def hashed(end: np.ndarray) -> np.ndarray:
+            h = (sums[end] - sums[start]) * self.inverse[start]
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            return h ^ (h >> np.uint64(29))
 
-def ngrams(tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every token, and of the pair that begins with it (-1 at a text's end)."""
-    single = (tokens >> np.uint64(40)) % np.uint64(SINGLES)
+        owner = np.searchsorted(np.cumsum([len(c) + 1 for c in coded]), start, side="right")
+        return hashed(end), hashed(np.minimum(end, start + STEM)), owner
+
+
+def ngrams(
+    tokens: np.ndarray, stems: np.ndarray, owner: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of every stem, and of the pair that begins with its token (-1 at a text's end)."""
+    single = (stems >> np.uint64(40)) % np.uint64(SINGLES)
     pair = np.full(len(tokens), -1, dtype=np.int64)
     if len(tokens) > 1:
         mixed = (tokens[:-1] * np.uint64(0x100000001B3)) ^ tokens[1:]
@@ -105,8 +112,8 @@ def lowest_passages(texts: list[str], ratios: np.ndarray, tokens: Tokens) -> np.
 
     A shorter text is one passage, one without tokens scores 0.
     """
-    h, owner = tokens(texts)
-    single, pair = ngrams(h, owner)
+    *hashes, owner = tokens(texts)
+    single, pair = ngrams(*hashes, owner)
     value = ratios[single] + np.where(pair >= 0, ratios[pair], np.float32(0))
     value = np.concatenate([value.astype(float), np.zeros(PASSAGE)])
     n = len(owner)
@@ -181,8 +188,8 @@ def count_ngrams(docs: DataFrame, target: list[int]) -> tuple[np.ndarray, np.nda
         seen = False
         for part, texts in parts_by_text(batches, "text", 2_000_000):
             seen = True
-            h, owner = tokens(texts)
-            single, pair = ngrams(h, owner)
+            *hashes, owner = tokens(texts)
+            single, pair = ngrams(*hashes, owner)
             ids = part.column("doc_id").fill_null(-(2**63)).to_numpy()
             chosen = np.isin(ids, wanted.value)[owner]
             for row, keep in ((0, chosen), (1, slice(None))):

@@ -19,14 +19,18 @@ def slow_tokens(text):
 
 
 def test_tokens_match_a_plain_split():
-    texts = ["Ab cd!! ab", "", "é_1 ***x\ty\n\nab", "!!", "ab"]
-    h, owner = q.Tokens()(texts)
+    texts = ["Ab cd!! ab", "", "é_1 ***x\ty\n\nab", "!!", "ab stemmed stemming stem"]
+    h, stems, owner = q.Tokens()(texts)
     plain = [(i, t) for i, text in enumerate(texts) for t in slow_tokens(text)]
     assert owner.tolist() == [i for i, _ in plain]
     names = {}
     for value, (_, t) in zip(h.tolist(), plain, strict=True):
         assert names.setdefault(t, value) == value
     assert len(set(names.values())) == len(names)
+    cut = {}
+    for value, (_, t) in zip(stems.tolist(), plain, strict=True):
+        assert cut.setdefault(t.encode()[: q.STEM], value) == value
+    assert len(set(cut.values())) == len(cut) < len(names)
 
 
 def test_passages_match_brute_force():
@@ -35,8 +39,7 @@ def test_passages_match_brute_force():
     ratios = np.random.default_rng(1).normal(size=q.BUCKETS).astype(np.float32)
     found = q.lowest_passages(texts, ratios, q.Tokens())
     for i, text in enumerate(texts):
-        h, owner = q.Tokens()([text])
-        single, pair = q.ngrams(h, owner)
+        single, pair = q.ngrams(*q.Tokens()([text]))
         v = [float(ratios[s]) + (float(ratios[p]) if p >= 0 else 0.0) for s, p in zip(single, pair, strict=True)]
         width = min(q.PASSAGE, len(v))
         low = min((sum(v[k : k + width]) for k in range(len(v) - width + 1)), default=0.0) if v else 0.0
