@@ -720,6 +720,41 @@ def oracle_sql() -> dict[str, str]:
             SCORED,
             _comparison_cte(),
         ),
+        "optimal_bins_checks": query(
+            " UNION ALL ".join(
+                f"SELECT '{f}' AS feature, count(*) AS n, CAST(sum(TARGET) AS BIGINT) AS bad, "
+                f"count(*) - count({f}) AS n_missing, TRUE AS information, TRUE AS few, TRUE AS large, "
+                f"TRUE AS monotone, TRUE AS adjoining FROM fst WHERE is_train HAVING count({f}) > 0"
+                for f in store.MODEL_FEATURES
+            )
+        ),
+        "scorecard_checks": query(
+            "SELECT count(*) AS n, CAST(sum(TARGET) AS BIGINT) AS bad, TRUE AS at_minimum, "
+            "TRUE AS intercept_at_minimum, TRUE AS classes_balanced, TRUE AS points_follow FROM fst WHERE is_train"
+        ),
+        "cv_checks": query(
+            "SELECT TARGET, fold, count(*) AS n, TRUE AS valid_auc FROM (SELECT TARGET, "
+            "CAST((row_number() OVER (PARTITION BY TARGET ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || ':43'), "
+            "SK_ID_CURR) - 1) % 5 AS INT) AS fold FROM fst WHERE is_train) GROUP BY TARGET, fold"
+        ),
+        "challenger_checks": query(
+            "SELECT SK_ID_CURR, TARGET, is_train, TRUE AS pd_inside, TRUE AS same_when_loaded, "
+            "TRUE AS parts_sum_to_margin FROM fst"
+        ),
+        "tree_importance_checks": query(
+            f"SELECT count(*) AS n_customers, {len(store.MODEL_FEATURES)} AS n_features, TRUE AS mean_of_parts, "
+            "TRUE AS in_order FROM fst WHERE NOT is_train"
+        ),
+        "fitted_comparison_checks": query(
+            "SELECT model, count(*) AS n, CAST(sum(TARGET) AS BIGINT) AS bad, TRUE AS same_auc, "
+            "TRUE AS gini_follows, TRUE AS in_range FROM fst, (VALUES ('Baseline'), ('Challenger')) m(model) "
+            "WHERE NOT is_train GROUP BY model"
+        ),
+        "fitted_warning_checks": query(
+            "SELECT months_before_default, TRUE AS rates_are_shares, TRUE AS flagged_between, TRUE AS auc_in_range "
+            f"FROM (SELECT unnest([{', '.join(map(str, early_warning.LEAD_MONTHS))}]) AS months_before_default), fst "
+            "WHERE NOT is_train GROUP BY 1"
+        ),
         "linear_attribution": query(f"SELECT SK_ID_CURR, {rounding(COEFS)} FROM parts", woe, woe_values),
         "attribution_importance": query(
             " UNION ALL ".join(
