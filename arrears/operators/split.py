@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.functions.columns import hash_order
-from arrears.functions.ordering import number_in_order, with_group_totals
+from arrears.functions.ordering import number_in_order
 
 SEED = 42
 CELLS = 16**4
@@ -27,9 +27,11 @@ def stratified_split(
     """Append ``is_train``: the given share of every class, chosen by hashed key."""
     celled = df.select(label, hash_cell(key, seed).alias("cell"))
     counted = celled.groupBy(label, "cell").agg(F.count(F.lit(1)).alias("n"))
-    placed = number_in_order(counted, [F.col("cell")], totals={"upto": "n"}, by=[label])
+    of_class = Window.partitionBy(label)  # at most CELLS rows, however many customers
     bounds = (
-        with_group_totals(placed, [label], [F.sum("n").alias("total")])
+        counted.withColumns(
+            {"upto": F.sum("n").over(of_class.orderBy("cell")), "total": F.sum("n").over(of_class)}
+        )
         .where(F.col("upto") >= F.col("total") * train_share)
         .groupBy(label)
         .agg(F.min("cell").alias("_last_train_cell"))

@@ -24,6 +24,7 @@ from arrears.operators import (
     store,
 )
 from arrears.sources import sinks
+from arrears.sources.staging import scope
 from arrears.sources.tables import Tables, input_contract
 
 BASELINE = "Baseline (Logistic Regression)"
@@ -238,6 +239,13 @@ STAGES: dict[int, Callable[[Run], list[str]]] = {
 
 
 def run_stages(run: Run, only: int | None = None, start: int = 1) -> dict[int, list[str]]:
-    """Run one stage, or all from ``start`` on; returns the tables each stage saved."""
+    """Run one stage, or all from ``start`` on; returns the tables each stage saved.
+
+    What a stage has staged on its way is removed when it has saved its tables.
+    """
     chosen: Iterable[int] = [only] if only is not None else [k for k in STAGES if k >= start]
-    return {k: STAGES[k](run) for k in chosen}
+    saved = {}
+    for k in chosen:
+        with scope(run.spark):
+            saved[k] = STAGES[k](run)
+    return saved

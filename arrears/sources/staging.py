@@ -7,10 +7,14 @@ it outlives lost executors and later passes read only the columns they need.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPES: list[list[str]] = []  # folders made inside each open scope, the innermost last
+
 
 def use_local_folder(spark: SparkSession) -> None:
     """Give a ``local`` session without a checkpoint folder one of its own, as tests do.
@@ -36,7 +40,38 @@ def _configured(spark: SparkSession) -> str | None:
 
 def new_folder(spark: SparkSession) -> str:
     """A fresh path in the shared folder."""
-    return f"{staging_root(spark)}/{uuid4().hex}"
+    path = f"{staging_root(spark)}/{uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Removes what is staged inside the block at its end.
+
+    For a step that has written its results by then. A query that returns a lazy frame
+    cannot use one, as its caller still has to read what it staged.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        settings = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in _SCOPES.pop():
+            path = hadoop(folder)
+            path.getFileSystem(settings).delete(path, True)
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Stage ``df`` outside of the innermost scope, so that it stays when that ends."""
+    inner = _SCOPES.pop() if _SCOPES else None
+    try:
+        return stage(df)
+    finally:
+        if inner is not None:
+            _SCOPES.append(inner)
 
 
 def stage(df: DataFrame) -> DataFrame:

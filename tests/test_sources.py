@@ -70,6 +70,19 @@ def test_staging_uses_the_named_folder(spark):
     assert root.removeprefix("file:") in staged.inputFiles()[0]
 
 
+def test_a_scope_removes_what_was_staged_inside(spark):
+    import os
+
+    place = lambda df: os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    outside = staging.stage(spark.range(3).toDF("id"))
+    with staging.scope(spark):
+        inside = place(staging.stage(spark.range(4).toDF("id")))
+        kept = staging.keep(spark.range(5).toDF("id"))
+        assert os.path.exists(inside)
+    assert not os.path.exists(inside)
+    assert outside.count() == 3 and kept.count() == 5
+
+
 def test_pipeline_stage_by_stage(spark, folder):
     run = stages.Run(
         spark, folder, tpch.tables(spark, SMALL), trees={"maxIter": 2}, warning_trees={"maxIter": 2}, capacity=20
