@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from arrears.llm import decontamination, line_dedup, quality, sentencepiece_codec, simhash
 from arrears.llm.batches import read
 from arrears.llm.catalog import coded_digests, piece_model
-from arrears.sources.staging import stage
+from arrears.sources.staging import keep, scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -69,7 +69,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what the stages before have written is removed on the way."""
     docs = read(spark, sf_dir, "documents")
-    for _, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
-    return stage(STAGES[-1][1](spark, docs, sf_dir))
+    with scope(spark):
+        for _, step in STAGES[:-1]:
+            with scope(spark):
+                docs = keep(step(spark, docs, sf_dir))
+        return keep(STAGES[-1][1](spark, docs, sf_dir))
