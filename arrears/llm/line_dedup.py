@@ -1,7 +1,8 @@
 """Repeated passages, found by shared lines, aligned, and deleted from the later document.
 
-An anchor is a run of whole lines that just reaches ``ANCHOR_WORDS`` words, forwards from a
-line or backwards to one. Short lines are thereby taken together with their neighbours, so
+A line here ends with a line break or with a sentence, so that a passage inside a long line
+is found as well. An anchor is a run of whole lines that just reaches ``ANCHOR_WORDS`` words,
+forwards from a line or backwards to one. Short lines are thereby taken together with their neighbours, so
 an anchor that two documents share is rare unless a passage really repeats, and every line
 of a common block of that many words lies in a shared anchor.
 
@@ -13,6 +14,7 @@ earlier document stands in a first holder.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
@@ -28,10 +30,29 @@ ANCHOR_WORDS = 8
 MIN_WORDS = 25  # a block of fewer words stays, so that stock lines do
 
 
+_END = re.compile(r"[.!?][^\w\s]*\s+|\n")
+
+
+def split_lines(text: str) -> list[str]:
+    """The lines with what separates them, so that joined they are the text again."""
+    lines, start = [], 0
+    for end in _END.finditer(text):
+        lines.append(text[start : end.end()])
+        start = end.end()
+    if start < len(text):
+        lines.append(text[start:])
+    return lines
+
+
 def line_words(line: str) -> int:
     return len(line.split())
 
 
+def run_text(lines: list[str]) -> str:
+    """What two runs of lines must share to be equal: all but the space around lines."""
+    return "\n".join(x.strip() for x in lines)
+
+
 def anchors(lines: list[str], anchor_words: int = ANCHOR_WORDS) -> list[tuple[int, int]]:
     """First and past-the-last line of every anchor, in order and without repeats."""
     sizes = [line_words(x) for x in lines]
@@ -123,6 +144,11 @@ def covered_lines(blocks: Iterable[tuple[int, int]]) -> list[list[int]]:
     return runs
 
 
+def remaining(kept: list[str], last: str) -> str:
+    """The kept lines as a text; one that has lost its last line ends without a separator."""
+    return "".join(kept) if kept and kept[-1] is last else "".join(kept).rstrip()
+
+
 ANCHORS = "doc_id bigint, uid bigint, anchor bigint, line int, line_end int"
 KEY = ["doc_id", "uid"]
 
@@ -140,12 +166,12 @@ def _anchor_rows(docs: DataFrame, anchor_words: int) -> DataFrame:
             ids, uids = part.column("doc_id").to_pylist(), part.column("uid").to_pylist()
             rows: list[list] = [[], [], [], [], []]
             for doc_id, uid, text in zip(ids, uids, texts, strict=True):
-                lines = text.split("\n")
+                lines = split_lines(text)
                 own = anchors(lines, anchor_words)
                 rows[0] += [doc_id] * len(own)
                 rows[1] += [uid] * len(own)
                 rows[2] += [
-                    xxh64_intdigest("\n".join(lines[a:b]).encode()) - (1 << 63) for a, b in own
+                    xxh64_intdigest(run_text(lines[a:b]).encode()) - (1 << 63) for a, b in own
                 ]
                 rows[3] += [a for a, _ in own]
                 rows[4] += [b for _, b in own]
@@ -269,7 +295,7 @@ def without_repeated_lines(
             for i, spans_ in enumerate(part.column(mark).to_pylist()):
                 gone_lines = gone_words = 0
                 if spans_:
-                    lines = texts[i].split("\n")
+                    lines = split_lines(texts[i])
                     kept, at = [], 0
                     for a, b in zip(spans_[::2], spans_[1::2], strict=True):
                         size = sum(map(line_words, lines[a:b]))
@@ -281,7 +307,7 @@ def without_repeated_lines(
                             kept += lines[a:b]
                         at = b
                     if gone_lines:
-                        texts[i] = "\n".join(kept + lines[at:])
+                        texts[i] = remaining(kept + lines[at:], lines[-1])
                 lines_gone.append(gone_lines)
                 words_gone.append(gone_words)
             columns = [pa.array(texts, pa.string()) if n == "text" else part.column(n) for n in names]

@@ -18,13 +18,13 @@ def brute_force(docs, min_words=ld.MIN_WORDS, anchor_words=ld.ANCHOR_WORDS):
     run of whole lines of anchor_words or more that some earlier document has too."""
     held, out = set(), {}
     for i, text in sorted(docs):
-        lines = (text or "").split("\n")
+        lines = ld.split_lines(text or "")
         covered = set()
         own = ld.anchors(lines, anchor_words)
         for a, b in own:
-            if "\n".join(lines[a:b]) in held:
+            if ld.run_text(lines[a:b]) in held:
                 covered.update(range(a, b))
-        held |= {"\n".join(lines[a:b]) for a, b in own}
+        held |= {ld.run_text(lines[a:b]) for a, b in own}
         gone, run = set(), []
         for k in range(len(lines) + 1):
             if k in covered:
@@ -33,7 +33,8 @@ def brute_force(docs, min_words=ld.MIN_WORDS, anchor_words=ld.ANCHOR_WORDS):
                 if sum(len(lines[x].split()) for x in run) >= min_words:
                     gone |= set(run)
                 run = []
-        out[i] = text if text is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+        kept = [x for k, x in enumerate(lines) if k not in gone]
+        out[i] = ld.remaining(kept, lines[-1]) if gone else text
     return out
 
 
@@ -57,6 +58,21 @@ def test_common_blocks_go_from_the_later_document(frame):
     assert found[0].text == docs[0] and found[3].text == docs[3]
     assert found[1].text == f"own b\n{ODD}" and (found[1].n_deleted_lines, found[1].n_deleted_words) == (2, 40)
     assert found[2].text == ""  # moved lines are blocks too
+    assert found[1].text.count("\n") == 1
+
+
+def test_passages_inside_lines_are_found(frame):
+    passage = " ".join(f"Start {i} " + " ".join(f"w{i}x{k}" for k in range(9)) + "." for i in range(6))
+    docs = [f"one text {passage} goes on", f"Another, longer one {passage} ends? Yes."]
+    found = by_id(ld.without_repeated_lines(frame(docs)))
+    assert found[0].text == docs[0] and found[1].n_deleted_lines == 5
+    first = passage.split(". ")[0]  # goes on from a sentence of its own, so it is another line
+    assert found[1].text == f"Another, longer one {first}. ends? Yes."
+
+
+def test_lines_joined_are_the_text():
+    for text in ["", "a", "a.\n\nb! c?  d.e\n", "\n\n", " x . y", "é. ü\r\nz"]:
+        assert "".join(ld.split_lines(text)) == text
 
 
 def test_short_lines_go_with_their_block_only(frame):
