@@ -122,7 +122,40 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
 }
 
-SQL: dict[str, str] = {}
+# Word 13-grams of every document against those of every item, joined as text.
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+grams AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[k:k + size - 1], ' ') AS gram
+  FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM (SELECT *, least(13, len(w)) AS size FROM b) WHERE size > 0)),
+places AS (
+  SELECT doc_id, size, k, array_to_string(w[k:k + size - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM d, (SELECT DISTINCT size FROM grams) WHERE len(w) >= size)),
+found AS (SELECT doc_id, k, size, item_id FROM places JOIN grams USING (size, gram)),
+hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS listed
+  FROM found GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+SQL: dict[str, str] = {"op7_decontamination": DECONTAMINATION_SQL}
 
 
 def queries() -> dict[str, Query]:

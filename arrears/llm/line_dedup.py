@@ -18,6 +18,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,28 +57,26 @@ def run_text(lines: list[str]) -> str:
 def anchors(lines: list[str], anchor_words: int = ANCHOR_WORDS) -> list[tuple[int, int]]:
     """First and past-the-last line of every anchor, in order and without repeats."""
     sizes = [line_words(x) for x in lines]
-    found = set()
-    end = held = 0
-    for start, size in enumerate(sizes):  # forwards: the shortest run that reaches the size
-        while held < anchor_words and end < len(lines):
-            held += sizes[end]
-            end += 1
-        if held < anchor_words:
-            break
-        if size:
-            found.add((start, end))
-        held -= size
-    start, held = len(lines), 0
-    for end in range(len(lines), 0, -1):  # and backwards
-        while held < anchor_words and start > 0:
-            start -= 1
-            held += sizes[start]
-        if held < anchor_words:
-            break
-        if sizes[end - 1]:
-            found.add((start, end))
-        held -= sizes[end - 1]
-    return sorted(found)
+    n = len(sizes)
+    found = []
+    short = False
+    for i, size in enumerate(sizes):
+        if size >= anchor_words:  # an anchor by itself, both ways
+            found.append((i, i + 1))
+        elif size:
+            short = True
+            start, end, before, after = i, i + 1, size, size
+            while after < anchor_words and end < n:
+                after += sizes[end]
+                end += 1
+            if after >= anchor_words:
+                found.append((i, end))
+            while before < anchor_words and start > 0:
+                start -= 1
+                before += sizes[start]
+            if before >= anchor_words:
+                found.append((start, i + 1))
+    return sorted(set(found)) if short else found
 
 
 def patience_chains(places: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
@@ -163,21 +162,27 @@ def _anchor_rows(docs: DataFrame, anchor_words: int) -> DataFrame:
         from xxhash import xxh64_intdigest
 
         for part, texts in parts_by_text(batches, "text"):
-            ids, uids = part.column("doc_id").to_pylist(), part.column("uid").to_pylist()
-            rows: list[list] = [[], [], [], [], []]
-            for doc_id, uid, text in zip(ids, uids, texts, strict=True):
+            hashes: list[int] = []
+            spans: list[tuple[int, int]] = []
+            sizes = []
+            for text in texts:
                 lines = split_lines(text)
                 own = anchors(lines, anchor_words)
-                rows[0] += [doc_id] * len(own)
-                rows[1] += [uid] * len(own)
-                rows[2] += [
-                    xxh64_intdigest(run_text(lines[a:b]).encode()) - (1 << 63) for a, b in own
+                spans += own
+                sizes.append(len(own))
+                hashes += [
+                    xxh64_intdigest(lines[a].strip() if b == a + 1 else run_text(lines[a:b])) for a, b in own
                 ]
-                rows[3] += [a for a, _ in own]
-                rows[4] += [b for _, b in own]
-            kinds = [pa.int64()] * 3 + [pa.int32()] * 2
+            owner = pa.array(np.repeat(np.arange(len(texts)), sizes))
+            places = np.array(spans, dtype=np.int32).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)],
+                [
+                    part.column("doc_id").cast(pa.int64()).take(owner),
+                    part.column("uid").take(owner),
+                    pa.array(np.array(hashes, dtype=np.uint64).view(np.int64)),
+                    pa.array(places[:, 0].copy()),
+                    pa.array(places[:, 1].copy()),
+                ],
                 names=["doc_id", "uid", "anchor", "line", "line_end"],
             )
 
@@ -233,20 +238,20 @@ def repeated_lines(docs: DataFrame, anchor_words: int = ANCHOR_WORDS) -> DataFra
     # Staged, so that both sides of the join below are plain tables: a hot anchor's
     # partition can then be split, which a join on top of an aggregation cannot do.
     rows = stage(_anchor_rows(_keyed(docs.select("doc_id", "text")), anchor_words))
-    holder = F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("line").alias("l"), F.col("line_end").alias("e"))
-    # A struct with a null id is smaller than one with an id, so null ids count as earliest.
-    shared = stage(
-        rows.groupBy("anchor")
-        .agg(
-            F.min(holder).alias("first"),
-            F.max(F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"))).alias("last"),
-        )
-        .where(F.struct("first.d", "first.u") != F.col("last"))
-        .select("anchor", "first")
+    # Whether two documents hold an anchor is decided on plain numbers, which aggregate
+    # without sorting; the few that are shared go on with all their occurrences.
+    known = F.coalesce("doc_id", F.lit(-(2**63)))
+    several = rows.groupBy("anchor").agg(
+        F.min(known).alias("d0"), F.max(known).alias("d1"), F.min("uid").alias("u0"), F.max("uid").alias("u1")
     )
+    shared = stage(several.where("d0 <> d1 OR u0 <> u1").select("anchor"))
+    rows = stage(rows.join(shared, "anchor"))
+    # A struct with a null id is smaller than one with an id, so null ids count as earliest.
+    holder = F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("line").alias("l"), F.col("line_end").alias("e"))
+    holders = stage(rows.groupBy("anchor").agg(F.min(holder).alias("first")))
     first = F.col("first")
     matched = (
-        rows.join(shared, "anchor")
+        rows.join(holders, "anchor")
         .where(~(F.col("doc_id").eqNullSafe(first["d"]) & (F.col("uid") == first["u"])))
         .select(
             "doc_id", "uid",
