@@ -2,12 +2,13 @@
 
 import __spark_entry__ as contract
 import pytest
+from arrears.plans import catalog
 from compare import difference, reference
 
 from tests.conftest import SMALL
 
 SQL = contract.oracle_sql()
-MODELS = sorted(set(contract.queries()) - set(SQL))
+MODELS = sorted(set(catalog.queries()) - set(SQL))
 
 
 @pytest.fixture(scope="module")
