@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from arrears.functions.columns import clip, share, stack_columns
 from arrears.operators.installments import DAYS_PER_MONTH
 from arrears.operators.metrics import rank_metrics, ranked_scores
-from arrears.operators.store import available
+from arrears.operators.store import available, feature_store
 from arrears.sources.staging import stage
+from arrears.sources.tables import Tables
 
 LEAD_MONTHS = (12, 9, 6, 3, 1)
 THRESHOLD = 0.50
@@ -66,64 +67,61 @@ SNAPSHOT_CARD = ["cc_util_mean", "cc_dpd_mean", "cc_dpd_max", "cc_balance_mean_s
 
 
 def _per_month(
-    df: DataFrame, months: Sequence[int], seen: Mapping[int, Column], features: Mapping[str, tuple]
-) -> DataFrame:
-    """One row per customer with each feature as of each month, in one aggregation."""
-    return df.groupBy("SK_ID_CURR").agg(
-        *[
-            how(F.when(seen[m], value)).cast("double").alias(f"{name}_{m}")
-            for m in months
-            for name, (how, value) in features.items()
-        ]
-    )
+    months: Sequence[int], seen: Mapping[int, Column], features: Mapping[str, tuple]
+) -> list[Column]:
+    """Each feature as of each month, as aggregates of one pass."""
+    return [
+        how(F.when(seen[m], value)).cast("double").alias(f"{name}_{m}")
+        for m in months
+        for name, (how, value) in features.items()
+    ]
 
 
-def installment_snapshots(installments: DataFrame, months: Sequence[int] = LEAD_MONTHS) -> DataFrame:
+def installment_snapshots(months: Sequence[int] = LEAD_MONTHS) -> list[Column]:
     """Installment behaviour known ``m`` months back; delays are clipped at zero."""
     late = clip(F.col("DAYS_ENTRY_PAYMENT") - F.col("DAYS_INSTALMENT"), low=F.lit(0.0))
     short = clip(1 - F.try_divide("AMT_PAYMENT", "AMT_INSTALMENT"), low=F.lit(0.0))
     seen = {m: F.col("DAYS_INSTALMENT") <= -m * DAYS_PER_MONTH for m in months}
-    known = installments.where(seen[min(months)])
     features = {
         "ins_days_late_mean": (F.avg, late),
         "ins_underpay_ratio_mean": (F.avg, short),
         "ins_pct_missed": (F.avg, F.when(F.col("AMT_PAYMENT") == 0, 1.0).otherwise(0.0)),
         "ins_pct_late": (F.avg, F.when(late > 0, 1.0).otherwise(0.0)),
     }
-    return _per_month(known, months, seen, features)
+    return _per_month(months, seen, features)
 
 
-def card_snapshots(card_balance: DataFrame, months: Sequence[int] = LEAD_MONTHS) -> DataFrame:
+def card_snapshots(months: Sequence[int] = LEAD_MONTHS) -> list[Column]:
     """Card behaviour known ``m`` months back; utilization is clipped to [0, 1]."""
     used = clip(F.try_divide("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL"), F.lit(0.0), F.lit(1.0))
     seen = {m: F.col("MONTHS_BALANCE") <= -m for m in months}
-    known = card_balance.where(seen[min(months)])
     features = {
         "cc_util_mean": (F.avg, used),
         "cc_dpd_mean": (F.avg, F.col("SK_DPD")),
         "cc_dpd_max": (F.max, F.col("SK_DPD")),
         "cc_balance_mean_sim": (F.avg, F.col("AMT_BALANCE")),
     }
-    return _per_month(known, months, seen, features)
+    return _per_month(months, seen, features)
 
 
-def snapshot_features(
-    store: DataFrame,
-    installments: DataFrame,
-    card_balance: DataFrame,
-    months: Sequence[int] = LEAD_MONTHS,
-) -> DataFrame:
+def store_with_history(tables: Tables, months: Sequence[int] = LEAD_MONTHS) -> DataFrame:
+    """The feature store with the recomputed behaviour of every month beside it.
+
+    Features and snapshots of a raw table come from one aggregation, so each table is read
+    and shuffled once.
+    """
+    return feature_store(
+        tables, beside={"installments": installment_snapshots(months), "card_balance": card_snapshots(months)}
+    )
+
+
+def snapshot_features(history: DataFrame, months: Sequence[int] = LEAD_MONTHS) -> DataFrame:
     """Every customer at every snapshot: recomputed behaviour and carried features.
 
-    The joins run on one row per customer; months become rows afterwards.
+    ``history`` are rows of ``store_with_history``; its months become rows here.
     """
-    carried = available(CARRIED_FEATURES, store)
+    carried = available(CARRIED_FEATURES, history)
     recomputed = SNAPSHOT_INSTALLMENTS + SNAPSHOT_CARD
-    wide = (
-        store.select("SK_ID_CURR", "TARGET", *carried)
-        .join(installment_snapshots(installments, months), "SK_ID_CURR", "left")
-        .join(card_snapshots(card_balance, months), "SK_ID_CURR", "left")
-    )
     rows = F.array(
         *[
             F.struct(
@@ -133,7 +131,7 @@ def snapshot_features(
             for m in months
         ]
     )
-    long = wide.select("SK_ID_CURR", "TARGET", *carried, F.inline(rows))
+    long = history.select("SK_ID_CURR", "TARGET", *carried, F.inline(rows))
     return long.select("SK_ID_CURR", "months_before_default", "TARGET", *recomputed, *carried)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears.operators.bureau import bureau_features
@@ -65,6 +67,17 @@ BUREAU_COLUMNS = [
 ]
 CROSS_COLUMNS = ["stress_composite", "n_products_delinquent"]
 
+STORE_FAMILY_COLUMNS = [
+    *INSTALLMENT_COLUMNS,
+    *CARD_COLUMNS,
+    # Counts that the families know and the store leaves out.
+    "ins_total_obs",
+    "ins_obs_l3m",
+    "ins_obs_l6m",
+    "cc_total_obs",
+    "cc_obs_l3m",
+]
+
 MODEL_FEATURES = INSTALLMENT_COLUMNS + CARD_COLUMNS + BUREAU_COLUMNS + CROSS_COLUMNS
 
 
@@ -73,11 +86,20 @@ def available(columns: list[str], df: DataFrame) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
-def feature_store(tables: Tables, as_of: int = 0) -> DataFrame:
+def feature_store(
+    tables: Tables, as_of: int = 0, beside: Mapping[str, Sequence[Column]] | None = None
+) -> DataFrame:
     """Labelled applications with the features of all families, as of months back.
 
     Each family arrives grouped by the join key, so its join needs no second shuffle.
+    ``beside`` are further aggregates of the installments or the card balance by customer;
+    they come from the same pass and stand behind the columns of the store.
     """
+    beside = beside or {}
+    families = [
+        installment_features(tables["installments"], as_of, beside.get("installments", ())),
+        card_features(tables["card_balance"], as_of, beside.get("card_balance", ())),
+    ]
     spine = tables["application"].where(F.col("TARGET").isNotNull())
     days = as_of * DAYS_PER_MONTH  # ages count days back from the moment of the store
     spine = spine.select(
@@ -89,8 +111,8 @@ def feature_store(tables: Tables, as_of: int = 0) -> DataFrame:
         ],
     )
     joined = (
-        spine.join(installment_features(tables["installments"], as_of), "SK_ID_CURR", "left")
-        .join(card_features(tables["card_balance"], as_of), "SK_ID_CURR", "left")
+        spine.join(families[0], "SK_ID_CURR", "left")
+        .join(families[1], "SK_ID_CURR", "left")
         .join(bureau_features(tables["bureau"], tables["bureau_balance"], as_of), "SK_ID_CURR", "left")
     )
 
@@ -114,4 +136,5 @@ def feature_store(tables: Tables, as_of: int = 0) -> DataFrame:
             "n_products_delinquent"
         ),
         F.col("bur_status_trend").alias("bur_momentum"),
+        *[c for f in families for c in f.columns if c not in (*STORE_FAMILY_COLUMNS, "SK_ID_CURR")],
     )

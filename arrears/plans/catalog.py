@@ -516,10 +516,7 @@ def explain_riskiest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    raw = tpch.tables(spark, sf)
-    return early_warning.snapshot_features(
-        store.feature_store(raw), raw["installments"], raw["card_balance"]
-    )
+    return early_warning.snapshot_features(early_warning.store_with_history(tpch.tables(spark, sf)))
 
 
 def snapshot_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -532,9 +529,9 @@ def aligned_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lead_time(spark: SparkSession, sf: str) -> DataFrame:
-    raw = tpch.tables(spark, sf)
-    tested = split.stratified_split(stage(store.feature_store(raw))).where("NOT is_train")
-    seen = early_warning.snapshot_features(tested, raw["installments"], raw["card_balance"])
+    history = early_warning.store_with_history(tpch.tables(spark, sf))
+    tested = split.stratified_split(stage(history)).where("NOT is_train")
+    seen = early_warning.snapshot_features(tested)
     aligned = early_warning.align_features(seen)
     scored = aligned.select("months_before_default", "TARGET", warning_score().alias("score"))
     return early_warning.lead_time(scored)
@@ -559,9 +556,8 @@ def warning_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 def fitted_warning(spark: SparkSession, sf: str) -> DataFrame:
     """Lead times of a fitted behaviour-only model on the test rows."""
-    raw = tpch.tables(spark, sf)
-    behaviour = store.feature_store(raw).select("SK_ID_CURR", "TARGET", *early_warning.BEHAVIOUR_FEATURES)
-    customers = stage(split.stratified_split(stage(behaviour)))
+    history = early_warning.store_with_history(tpch.tables(spark, sf))
+    customers = stage(split.stratified_split(stage(history)))
     model = challenger.fit_boosted_trees(
         customers.where("is_train"),
         early_warning.BEHAVIOUR_FEATURES,
@@ -569,8 +565,7 @@ def fitted_warning(spark: SparkSession, sf: str) -> DataFrame:
         flag_missing=False,
     )
     tested = customers.where(~F.col("is_train"))
-    seen = early_warning.snapshot_features(tested, raw["installments"], raw["card_balance"])
-    aligned = early_warning.align_features(seen)
+    aligned = early_warning.align_features(early_warning.snapshot_features(tested))
     scored = scorecard.probability_of_default(model.transform(aligned), "score")
     return early_warning.lead_time(scored)
 

@@ -161,8 +161,9 @@ def warn_early(run: Run) -> list[str]:
     if run.lead_time_from == "masked":
         snapshots = early_warning.masked_features(tested)
     else:
-        raw = run.raw()
-        snapshots = early_warning.snapshot_features(tested, raw["installments"], raw["card_balance"])
+        history = early_warning.store_with_history(run.raw())
+        listed = history.join(tested.select("SK_ID_CURR"), "SK_ID_CURR", "left_semi")
+        snapshots = early_warning.snapshot_features(listed)
     aligned = early_warning.align_features(snapshots, features)
     seen = scorecard.probability_of_default(model.transform(aligned), "score")
     scored = scorecard.probability_of_default(model.transform(customers), "score")

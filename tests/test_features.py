@@ -42,7 +42,7 @@ def test_shortfall_of_unpaid_and_zero_instalments(spark):
     assert r.ins_days_late_mean is None
     assert r.ins_pct_late == 0.0
     assert (r.ins_obs_l3m, r.ins_missed_count_l3m, r.ins_days_late_l3m) == (None, None, None)
-    snapshot = one(early_warning.installment_snapshots(df, [1, 12]))
+    snapshot = one(df.groupBy("SK_ID_CURR").agg(*early_warning.installment_snapshots([1, 12])))
     assert snapshot.ins_underpay_ratio_mean_1 is None
     assert (snapshot.ins_pct_missed_1, snapshot.ins_pct_missed_12) == (0.0, 0.0)
 
@@ -83,7 +83,7 @@ def test_card_month_zero_and_limits(spark):
     assert r.cc_min_pay_ratio_mean == 0.5
     assert r.cc_drawings_trend == 0.0
     assert one(card.card_features(df, as_of=1)).cc_total_obs == 2
-    assert one(early_warning.card_snapshots(df, [1])).cc_util_mean_1 == 0.75
+    assert one(df.groupBy("SK_ID_CURR").agg(*early_warning.card_snapshots([1]))).cc_util_mean_1 == 0.75
 
 
 def accounts(spark):
@@ -191,3 +191,18 @@ def test_earlier_store_does_not_know_today(raw_tables):
     assert row.app_age_days == -10000 + 360 and row.app_days_employed == -500 + 360
     assert row.bur_total_accounts == 1 and row.bur_active_accounts is None
     assert row.bur_days_credit_min == -900 + 360
+
+
+def test_history_beside_the_store_changes_nothing_in_it(spark, raw_tables):
+    """Also for a customer whose only instalment is outside the base."""
+    raw = raw_tables()
+    odd = {"SK_ID_CURR": 2, "SK_ID_PREV": 6, "NUM_INSTALMENT_NUMBER": 1, "DAYS_INSTALMENT": -400.0,
+           "DAYS_ENTRY_PAYMENT": -390.0, "AMT_INSTALMENT": -1.0, "AMT_PAYMENT": 0.0}
+    columns = ", ".join(f"{c} {t}" for c, t in tables.SCHEMAS["installments"].items())
+    raw["installments"] = raw["installments"].unionByName(spark.createDataFrame([tuple(odd.values())], columns))
+    plain = store.feature_store(raw)
+    both = early_warning.store_with_history(raw)
+    assert both.select(*plain.columns).exceptAll(plain).count() == 0
+    rows = {(r.SK_ID_CURR, r.months_before_default): r for r in early_warning.snapshot_features(both).collect()}
+    assert rows[2, 12].ins_days_late_mean == 10.0 and rows[2, 12].ins_pct_missed == 1.0
+    assert rows[1, 12].ins_days_late_mean == 10.0 and len(rows) == 10
