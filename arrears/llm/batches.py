@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -41,7 +42,7 @@ def parts_by_text(
     """
     for batch in batches:
         texts = batch.column(column)
-        sizes = [n or 0 for n in pa.compute.binary_length(texts).to_pylist()]
+        sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
         for start, end in spans_by_size(sizes, limit):
             part = batch.slice(start, end - start)
             yield part, [t or "" for t in part.column(column).to_pylist()]

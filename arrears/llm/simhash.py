@@ -29,6 +29,7 @@ from arrears.sources.staging import stage
 SHINGLE_WORDS, SEED, LIMIT = 3, 42, 3
 LOW_BITS = 0x5555555555555555  # the lower bit of each segment
 SPLIT = 20_000  # fingerprints of a cell that one task compares; a larger cell is split
+HASHES = 65_536  # shingles of a text that are hashed at once
 FEW = 8  # cells up to this size are compared together, row against row
 
 
@@ -47,13 +48,15 @@ def simhash(text: str, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) ->
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     width = min(shingle_words, len(words))
-    spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)
-    digests = [xxh64_digest(joined[a:b], seed) for a, b in spans]
+    n = len(words) - width + 1
+    starts, ends = starts[:n], ends[width - 1 :]
     counts = np.zeros(64, dtype=np.int64)
-    for i in range(0, len(digests), 65_536):
-        part = np.frombuffer(b"".join(digests[i : i + 65_536]), dtype=np.uint8)
-        counts += np.unpackbits(part).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(digests)).tobytes(), "big")
+    for i in range(0, n, HASHES):
+        spans = zip(starts[i : i + HASHES].tolist(), ends[i : i + HASHES].tolist(), strict=True)
+        digests = b"".join([xxh64_digest(joined[a:b], seed) for a, b in spans])
+        bits = np.unpackbits(np.frombuffer(digests, dtype=np.uint8)).reshape(-1, 64)
+        counts += bits.sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
 def fingerprinted(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ def token_counts(
         processor = pieces.processor()
         for batch in batches:
             texts = batch.column("text")
-            sizes = [n or 0 for n in pa.compute.binary_length(texts).to_pylist()]
+            sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
             for start, end in spans_by_size(sizes, 4 * batch_bytes):
                 part = batch.slice(start, end - start)
                 own = [t or "" for t in part.column("text").to_pylist()]
