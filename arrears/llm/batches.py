@@ -34,7 +34,7 @@ def spans_by_size(sizes: Sequence[int], limit: int) -> Iterator[tuple[int, int]]
 
 
 def parts_by_text(
-    batches: Iterable[pa.RecordBatch], column: str, limit: int = 4_000_000
+    batches: Iterable[pa.RecordBatch], column: str, limit: int = 1_000_000
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches with about ``limit`` bytes of text, and their texts (null: empty).
 

@@ -37,6 +37,7 @@ HELD_OUT = 5  # one of so many of them sets the cut and is not counted as target
 SHARPNESS = 40.0  # the power of the importance in the sampling
 KEEP_WEIGHT = 3.0  # a good document that goes costs as much as so many bad ones that stay
 SEED = 17
+TEXT_BYTES = 500_000  # text whose tokens are hashed at once
 SLICES = 96  # the count tables travel in so many pieces
 
 _KIND = np.full(256, 2, dtype=np.int8)  # 0 blank or control, 1 word, 2 other visible
@@ -186,7 +187,7 @@ def count_ngrams(docs: DataFrame, target: list[int]) -> tuple[np.ndarray, np.nda
         tokens = Tokens()
         counts = np.zeros((2, BUCKETS), dtype=np.int64)
         seen = False
-        for part, texts in parts_by_text(batches, "text", 2_000_000):
+        for part, texts in parts_by_text(batches, "text", TEXT_BYTES):
             seen = True
             *hashes, owner = tokens(texts)
             single, pair = ngrams(*hashes, owner)
@@ -287,7 +288,7 @@ def _with_importance(docs: DataFrame, ratios: np.ndarray, names: list[str], resu
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
-        for part, texts in parts_by_text(batches, "text", 2_000_000):
+        for part, texts in parts_by_text(batches, "text", TEXT_BYTES):
             found = pa.array(lowest_passages(texts, shared.value, tokens))
             yield pa.RecordBatch.from_arrays(
                 [part.column(n) for n in names] + [found], names=[*names, result]
