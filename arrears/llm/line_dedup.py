@@ -1,7 +1,7 @@
 """Repeated passages, found by shared lines, aligned, and deleted from the later document.
 
-A line here ends with a line break or with a sentence of ``SENTENCE_WORDS`` words or more, so
-that a passage inside a long line is found as well. An anchor is a run of whole lines that just reaches ``ANCHOR_WORDS`` words,
+A line here ends with a line break or with a sentence, so that a passage inside a long line
+is found as well. An anchor is a run of whole lines that just reaches ``ANCHOR_WORDS`` words,
 forwards from a line or backwards to one. Short lines are thereby taken together with their neighbours, so
 an anchor that two documents share is rare unless a passage really repeats, and every line
 of a common block of that many words lies in a shared anchor.
@@ -28,7 +28,6 @@ from arrears.llm.batches import fresh, parts_by_text
 from arrears.sources.staging import stage
 
 ANCHOR_WORDS = 8
-SENTENCE_WORDS = 5  # a shorter sentence does not end a line
 MIN_WORDS = 25  # a block of fewer words stays, so that stock lines do
 
 
@@ -37,15 +36,10 @@ _END = re.compile(r"[.!?][^\w\s]*\s+|\n")
 
 def split_lines(text: str) -> list[str]:
     """The lines with what separates them, so that joined they are the text again."""
-    lines, start, sentence = [], 0, 0
+    lines, start = [], 0
     for found in _END.finditer(text):
-        end = found.end()
-        short = text.count(" ", sentence, found.start()) < SENTENCE_WORDS - 1
-        sentence = end
-        if short and "\n" not in found[0]:
-            continue
-        lines.append(text[start:end])
-        start = end
+        lines.append(text[start : found.end()])
+        start = found.end()
     if start < len(text):
         lines.append(text[start:])
     return lines

@@ -70,6 +70,12 @@ def test_passages_inside_lines_are_found(frame):
     assert found[1].text == f"Another, longer one {first}. ends? Yes."
 
 
+def test_a_short_sentence_at_the_edge_costs_its_neighbour_nothing(frame):
+    passage = " ".join(f"s{i} " + " ".join(f"w{i}x{k}" for k in range(12)) + "." for i in range(2))
+    docs = [f"{passage} Yes. End of one.", f"No, no. {passage} Other end."]
+    assert texts(ld.without_repeated_lines(frame(docs)))[1] == "No, no. Other end."
+
+
 def test_lines_joined_are_the_text():
     for text in ["", "a", "a.\n\nb! c?  d.e\n", "\n\n", " x . y", "é. ü\r\nz"]:
         assert "".join(ld.split_lines(text)) == text
