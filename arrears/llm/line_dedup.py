@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +33,24 @@ MIN_WORDS = 25  # a block of fewer words stays, so that stock lines do
 
 
 _END = re.compile(r"[.!?][^\w\s]*\s+|\n")
+_WORD = re.compile(r"\S+")
 
 
 def split_lines(text: str) -> list[str]:
-    """The lines with what separates them, so that joined they are the text again."""
-    lines, start = [], 0
-    for found in _END.finditer(text):
-        lines.append(text[start : found.end()])
-        start = found.end()
-    if start < len(text):
-        lines.append(text[start:])
-    return lines
+    """The lines with what separates them, so that joined they are the text again.
+
+    Blank lines belong to the line before them, at the start of a text to the one behind.
+    """
+    ends: list[int] = []
+    start, words = 0, False
+    for end in [*(found.end() for found in _END.finditer(text)), len(text)]:
+        if _WORD.search(text, start, end):
+            if words:
+                ends.append(start)
+            words = True
+        start = end
+    ends = [0, *ends, len(text)] if text else []
+    return [text[a:b] for a, b in pairwise(ends)]
 
 
 def line_words(line: str) -> int:

@@ -76,6 +76,14 @@ def test_a_short_sentence_at_the_edge_costs_its_neighbour_nothing(frame):
     assert texts(ld.without_repeated_lines(frame(docs)))[1] == "No, no. Other end."
 
 
+def test_blank_lines_do_not_part_a_passage(frame):
+    for gap in ["\n\n", "\n \n", "\n\n\n\t\n"]:
+        docs = [f"own{gap}{gap.join(P[:5])}{gap}end", f"{gap}mine{gap}{gap.join(P[:5])}{gap}other"]
+        assert texts(ld.without_repeated_lines(frame(docs))) == {0: docs[0], 1: f"{gap}mine{gap}other"}
+    assert ld.split_lines("\n \na\n\nb.\n\n c\n\n") == ["\n \na\n\n", "b.\n\n ", "c\n\n"]
+    assert ld.split_lines("\n\n") == ["\n\n"] and ld.split_lines("") == []
+
+
 def test_lines_joined_are_the_text():
     for text in ["", "a", "a.\n\nb! c?  d.e\n", "\n\n", " x . y", "é. ü\r\nz"]:
         assert "".join(ld.split_lines(text)) == text
