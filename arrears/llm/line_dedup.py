@@ -1,7 +1,11 @@
 """Repeated passages, found by shared lines, aligned, and deleted from the later document.
 
-A line here ends with a line break or with a sentence, so that a passage inside a long line
-is found as well. An anchor is a run of whole lines that just reaches ``ANCHOR_WORDS`` words,
+A line here ends with a line break or with a sentence, and a sentence of more than
+``2 * CUT_WORDS - 2`` words is cut again at words that its content chooses: the word with the
+smallest checksum of every ``CUT_WORDS`` in a row. Two documents that share a passage share
+its cuts but for that many words at either edge, wherever they enter it. So every shared
+passage of ``MIN_WORDS + 2 * (2 * CUT_WORDS - 2)`` words or more, in runs of the same lines,
+is found, and what may stay of it are ``2 * CUT_WORDS - 2`` words at each edge. An anchor is a run of whole lines that just reaches ``ANCHOR_WORDS`` words,
 forwards from a line or backwards to one. Short lines are thereby taken together with their neighbours, so
 an anchor that two documents share is rare unless a passage really repeats, and every line
 of a common block of that many words lies in a shared anchor.
@@ -15,9 +19,10 @@ earlier document stands in a first holder.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import pairwise
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +34,7 @@ from arrears.llm.batches import fresh, parts_by_text
 from arrears.sources.staging import stage
 
 ANCHOR_WORDS = 8
+CUT_WORDS = 8  # a sentence is cut at the word with the smallest checksum of so many
 MIN_WORDS = 25  # a block of fewer words stays, so that stock lines do
 
 
@@ -50,7 +56,35 @@ def split_lines(text: str) -> list[str]:
             words = True
         start = end
     ends = [0, *ends, len(text)] if text else []
-    return [text[a:b] for a, b in pairwise(ends)]
+    return [text[a:b] for start, end in pairwise(ends) for a, b in pairwise(_cuts(text, start, end))]
+
+
+def _cuts(text: str, start: int, end: int) -> list[int]:
+    """Begin and end of a sentence, and between them where its content cuts it."""
+    begins, sums = [], []
+    for word in _WORD.finditer(text, start, end):
+        begins.append(word.start())
+        sums.append(crc32(word[0].encode()))
+    if len(sums) <= 2 * CUT_WORDS - 2:
+        return [start, end]
+    chosen, least = [], -1
+    for i in range(len(sums) - CUT_WORDS + 1):
+        if least < i:  # the smallest has left, or nothing is chosen yet
+            least = min(range(i, i + CUT_WORDS), key=sums.__getitem__)
+        elif sums[i + CUT_WORDS - 1] < sums[least]:
+            least = i + CUT_WORDS - 1
+        else:
+            continue
+        chosen.append(least)
+    return [start, *(begins[i] for i in chosen if i), end]
+
+
+def whole_lines(lines: list[str], start: int, end: int) -> int:
+    """How many lines, with all the parts they are cut into, lie in a range of parts."""
+    closed = [i for i in range(max(start - 1, 0), end) if i == len(lines) - 1 or _END.search(lines[i].lstrip())]
+    if start:  # the line that ends in front of the range, or one that begins there
+        return max(len(closed) - 1, 0)
+    return len(closed)
 
 
 def line_words(line: str) -> int:
@@ -91,33 +125,39 @@ def patience_chains(places: list[tuple[int, int]]) -> list[list[tuple[int, int]]
     """Aligned chains of matches (place here, place there): the longest in both orders first.
 
     Patience sorting finds the longest chain that ascends in both documents. What it leaves
-    out has moved against it and is aligned again, until every match is in a chain.
+    out has moved against it; each such match goes on with the chain that ends nearest below
+    it, or begins one, so that every match is in a chain and a periodic text takes no longer.
     """
-    left = sorted(places)
-    chains = []
-    while left:
-        tops: list[int] = []  # the smallest last place there of a chain of each length
-        ends: list[int] = []
-        before: list[int] = []
-        for i, (_, there) in enumerate(left):
-            pile = bisect_left(tops, there)
-            before.append(ends[pile - 1] if pile else -1)
-            if pile == len(tops):
-                tops.append(there)
-                ends.append(i)
-            else:
-                tops[pile], ends[pile] = there, i
-        chain, i = [], ends[-1]
-        while i >= 0:
-            chain.append(i)
-            i = before[i]
-        chains.append([left[i] for i in reversed(chain)])
-        inside = set(chain)
-        left = [m for i, m in enumerate(left) if i not in inside]
-        if len(chain) == 1:  # all that is left descends: blocks of one match each
-            chains += [[m] for m in left]
-            break
-    return chains
+    places = sorted(places)
+    if not places:
+        return []
+    tops: list[int] = []  # the smallest last place there of a chain of each length
+    ends: list[int] = []
+    before: list[int] = []
+    for i, (_, there) in enumerate(places):
+        pile = bisect_left(tops, there)
+        before.append(ends[pile - 1] if pile else -1)
+        if pile == len(tops):
+            tops.append(there)
+            ends.append(i)
+        else:
+            tops[pile], ends[pile] = there, i
+    chain, i = [], ends[-1]
+    while i >= 0:
+        chain.append(i)
+        i = before[i]
+    chains = [[places[i] for i in reversed(chain)]]
+    inside = set(chain)
+    tops, rest = [], []  # minus the last place there of each chain of the rest, ascending
+    for match in (m for i, m in enumerate(places) if i not in inside):
+        pile = bisect_right(tops, -match[1])
+        if pile == len(tops):
+            tops.append(-match[1])
+            rest.append([match])
+        else:
+            tops[pile] = -match[1]
+            rest[pile].append(match)
+    return chains + sorted(rest)
 
 
 def common_blocks(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
@@ -283,8 +323,8 @@ def without_repeated_lines(
     A block is a run of whole lines that an earlier document has too (smaller doc_id, at a
     tie smaller digest of id and text; null ids first), aligned line by line, with
     ``min_words`` words or more; an earlier document keeps its own. All other lines, and
-    all other columns, stay as they are. ``n_deleted_lines`` and ``n_deleted_words`` count
-    what went (columns of those names are replaced). A document that loses all lines gets
+    all other columns, stay as they are. ``n_deleted_lines`` (lines that went whole) and
+    ``n_deleted_words`` count what went (columns of those names are replaced). A document that loses all lines gets
     the empty text. Null and empty texts stay. Rows equal in id and text are one document
     and get the same result; a repeat inside one document is not touched.
     """
@@ -314,12 +354,12 @@ def without_repeated_lines(
                         size = sum(map(line_words, lines[a:b]))
                         kept += lines[at:a]
                         if size >= min_words:
-                            gone_lines += b - a
+                            gone_lines += whole_lines(lines, a, b)
                             gone_words += size
                         else:
                             kept += lines[a:b]
                         at = b
-                    if gone_lines:
+                    if gone_words:
                         texts[i] = remaining(kept + lines[at:], lines[-1])
                 lines_gone.append(gone_lines)
                 words_gone.append(gone_words)

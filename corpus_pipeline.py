@@ -31,8 +31,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ``n_chars`` follows the text. Documents that came without text stay.
     """
     found = line_dedup.without_repeated_lines(docs)
-    kept = found.where((F.col("n_deleted_lines") == 0) | (F.trim("text") != ""))
-    changed = F.col("n_deleted_lines") > 0
+    kept = found.where((F.col("n_deleted_words") == 0) | (F.trim("text") != ""))
+    changed = F.col("n_deleted_words") > 0
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         length = F.char_length("text").cast(kind)

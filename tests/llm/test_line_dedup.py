@@ -70,6 +70,41 @@ def test_passages_inside_lines_are_found(frame):
     assert found[1].text == f"Another, longer one {first}. ends? Yes."
 
 
+def test_passages_without_sentence_ends_are_found(frame):
+    inside = " ".join(f"i{k}" for k in range(120))
+    parted = " ".join(f"o{k}" + "." * (k in (19, 41)) for k in range(62))
+    docs = [f"one text {inside} goes on. Then {parted} ends.", f"Quite another {parted} stops. It has {inside} too."]
+    found = by_id(ld.without_repeated_lines(frame(docs)))
+    kept = found[1].text.split()
+    edge = 2 * ld.CUT_WORDS - 2
+    assert found[0].text == docs[0]
+    assert sum(w[0] == "i" and w[1:].isdigit() for w in kept) <= 2 * edge
+    assert sum(w[0] == "o" and w[1:].strip(".").isdigit() for w in kept) <= 2 * edge
+
+
+def test_every_long_shared_passage_goes_but_for_its_edges(frame):
+    rng = random.Random(11)
+    edge = 2 * ld.CUT_WORDS - 2
+    size = ld.MIN_WORDS + 2 * edge
+
+    def own(i, n):
+        return [f"d{i}x{rng.randint(0, 10**6)}" + "." * (rng.random() < rate) for _ in range(n)]
+
+    docs, placed = [], []
+    for i in range(40):
+        rate = rng.choice([0, 0.02, 0.1, 0.3])
+        passage = [f"p{i}x{k}" + "." * (rng.random() < rate) for k in range(size + rng.randint(0, 60))]
+        for side in "ab":
+            docs.append(" ".join([*own(f"{i}{side}", rng.randint(1, 40)), *passage, *own(f"{i}{side}", rng.randint(1, 40))]))
+        placed.append(passage)
+    found = texts(ld.without_repeated_lines(frame(docs)))
+    for i, passage in enumerate(placed):
+        assert found[2 * i] == docs[2 * i]
+        kept = set(found[2 * i + 1].split())
+        assert not kept & set(passage[edge:-edge]), (i, kept & set(passage))
+        assert {w for w in docs[2 * i + 1].split() if w[0] == "d"} <= kept | set()
+
+
 def test_a_short_sentence_at_the_edge_costs_its_neighbour_nothing(frame):
     passage = " ".join(f"s{i} " + " ".join(f"w{i}x{k}" for k in range(12)) + "." for i in range(2))
     docs = [f"{passage} Yes. End of one.", f"No, no. {passage} Other end."]
