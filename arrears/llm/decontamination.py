@@ -208,12 +208,13 @@ def _matched(
 
     The benchmark goes to the tasks in blocks of about ``block_bytes``, each looked up in a
     pass over the documents as they stream by; ``PASSES`` of them follow each other in one
-    stage.
+    stage. Blocks are dealt by id and text, repeated rows once, so neither an id nor a text
+    that many rows share makes a block larger.
     """
     spark = docs.sparkSession
-    items = benchmark.select(
-        F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text")
-    )
+    # A null item_id is reported as the empty one.
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item")
+    items = stage(benchmark.select(item, F.coalesce("text", F.lit("")).alias("text")).distinct())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     own = list(docs.columns)
@@ -224,9 +225,9 @@ def _matched(
     schema = T.StructType([*docs.schema.fields, *fields])
     found = docs
     for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        # About block_bytes of text; a null item_id is reported as the empty one.
-        rows = [(r.item or "", r.text) for r in part.sort("item", "text").collect()]
+        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+        # About block_bytes of text.
+        rows = [(r.item, r.text) for r in part.sort("item", "text").collect()]
         shared = spark.sparkContext.broadcast(rows)
 
         def run(

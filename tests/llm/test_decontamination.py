@@ -88,3 +88,21 @@ def test_query_on_the_whole_table(spark, table):
         digest = sha256(",".join(names).encode()).hexdigest()
         r = found[i]
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (n, hit, len(names), digest, bad)
+
+
+@pytest.mark.parametrize("item", [7, None])
+def test_blocks_stay_small_when_rows_share_an_item_id(spark, frame, monkeypatch, item):
+    sizes = []
+    broadcast = type(spark.sparkContext).broadcast
+
+    def recorded(context, rows):
+        sizes.append(sum(len(text) for _, text in rows))
+        return broadcast(context, rows)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", recorded)
+    items = [(item, " ".join(f"t{i}w{k}" for k in range(20))) for i in range(40)] + [(item, "again and again")] * 500
+    docs = [(0, f"a {items[3][1]} b"), (1, items[17][1]), (2, "nothing of it"), (3, "again and again")]
+    found = result(d.contamination(frame(docs), spark.createDataFrame(items, ITEMS), 13, 1_000))
+    assert sum(sizes) < 6_000 and max(sizes) < 2_500
+    found = {i: (n, hit, sorted(set(of)), bad) for i, (n, hit, of, bad) in found.items()}
+    assert found == brute_force(docs, items)
