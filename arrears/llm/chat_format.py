@@ -14,16 +14,18 @@ control string can come from a text and the escape can be undone.
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrears.llm.batches import spans_by_size
 from arrears.llm.pieces import PieceModel, safe_parts
+from arrears.sources.staging import stage
 
 MARKS = {
     "system": ("[SYS]", "[/SYS]"),
@@ -34,8 +36,8 @@ OTHER, ROLE_END, OTHER_END = "[TURN]", "[ROLE]", "[/TURN]"
 TARGET = "assistant"
 BUDGET = 2048  # tokens of a window
 HISTORY = 512  # tokens of earlier turns that a window repeats, at most
-BLOCK_TURNS = 4096  # turn numbers that are packed together; a window ends there too
-HALO_TURNS = 8  # turn numbers before a block that may serve as its history
+BLOCK_TURNS = 4096  # turns that are packed together; a window ends there too
+GRAIN = 64  # a block is put together from about so many ranges of turn numbers
 
 _TURN = re.compile(
     r"(?P<system>\[SYS\])|(?P<user><s>\[INST\])|(?P<assistant>\[ANS\])|(?P<other>\[TURN\])"
@@ -103,19 +105,23 @@ class _Packer:
         self.turns: list[tuple] = []  # (role, text, tokens): history, then the window's own
         self.repeated = 0
         self.windows = 0
-        self.waiting: list[tuple] = []  # the halo of the block
+        self.waiting: deque[tuple] = deque()  # of the halo, the last turns that fit into history
+        self.waiting_tokens = 0
         self.began = False
 
     def halo(self, turn: tuple, is_system: bool) -> None:
         if is_system:
             self.system = turn
-        else:
+        elif turn != self.system:
             self.waiting.append(turn)
+            self.waiting_tokens += turn[2]
+            while self.waiting_tokens > self.history:
+                self.waiting_tokens -= self.waiting.popleft()[2]
 
     def add(self, turn: tuple, is_system: bool) -> Iterator[tuple]:
         if not self.began:
             self.began = True
-            self.turns = self._repeat(self.waiting, turn[2])
+            self.turns = self._repeat(list(self.waiting), turn[2])
             self.repeated = len(self.turns)
         elif self._tokens() + turn[2] > self.budget:
             yield self._window()
@@ -184,31 +190,50 @@ def chat_windows(
     conversation of its own; repeated rows are turns of their own. An empty table gives no
     windows.
 
-    Turns are dealt by conversation and by block of turn numbers, so a conversation of any
-    length spreads over tasks and each task streams through its blocks holding one window.
-    A block gets copies of the system turn and of the last ``HALO_TURNS`` turn numbers
-    before it, for its history.
+    Turns are dealt by conversation and by blocks of about ``block_turns`` turns, counted in
+    order whatever their numbers are, so a conversation of any length spreads over tasks and
+    each task streams through its blocks holding one window. A window ends with its block;
+    turns of one number are in one block. A block gets copies of the system turn and of the
+    last ``history`` turns before it; those that fit into ``history`` tokens serve as its
+    history, and as a turn has a token or more, no others could.
     """
     spark = conversations.sparkSession
     shared = spark.sparkContext.broadcast(model)
+    grain = max(1, block_turns // GRAIN)
     rows = conversations.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
         F.col("turn").cast("bigint").alias("turn"),
         "role",
         F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-(2**62))).alias("block"),
-    ).withColumn("kind", F.lit(2))
-    near = rows.where(F.pmod("turn", F.lit(block_turns)) >= block_turns - HALO_TURNS)
-    history_rows = near.withColumns({"block": F.col("block") + 1, "kind": F.lit(1)})
-    # Only conversations of several blocks need their system turn in the later ones.
-    blocks = rows.select("conv_id", "block").distinct()
-    many = blocks.groupBy("conv_id").agg(F.min("block").alias("first"), F.count(F.lit(1)).alias("n"))
-    later = (
-        blocks.withColumnRenamed("conv_id", "c")
-        .join(many.where("n > 1"), F.col("c").eqNullSafe(F.col("conv_id")))
-        .where(F.col("block") > F.col("first"))
-        .select("conv_id", F.col("block").alias("to_block"))
+        F.coalesce(F.floor(F.col("turn") / grain), F.lit(-(2**62))).alias("range"),
+    )
+    # Conversations of one range of turn numbers are one block. In others ranges are counted.
+    sizes = rows.groupBy("conv_id", "range").agg(F.count(F.lit(1)).alias("n"))
+    conversation = Window.partitionBy("conv_id")
+    end = F.sum("n").over(conversation.orderBy("range"))
+    counted = sizes.withColumns({"end": end, "ranges": F.count(F.lit(1)).over(conversation)})
+    own_block = F.floor((F.col("end") - F.col("n")) / block_turns)
+    # A later block begins behind the range, and the range is near if at most history turns are between.
+    near_first = F.greatest(own_block + 1, F.floor(F.col("end") / block_turns))
+    near_last = F.floor((F.col("end") + (history - 1)) / block_turns)
+    near_blocks = F.when(near_first <= near_last, F.sequence(near_first, near_last))
+    placed = stage(
+        counted.where("ranges > 1").select(
+            F.col("conv_id").alias("c"),
+            F.col("range").alias("r"),
+            own_block.alias("block"),
+            near_blocks.alias("near_blocks"),
+        )
     )
+    rows = (
+        rows.join(placed, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("range") == F.col("r")), "left")
+        .withColumns({"block": F.coalesce("block", F.lit(0).cast("bigint")), "kind": F.lit(2)})
+        .drop("c", "r", "range")
+    )
+    history_rows = rows.withColumns({"block": F.explode("near_blocks"), "kind": F.lit(1)}).drop("near_blocks")
+    rows = rows.drop("near_blocks")
+    # Only conversations of several blocks need their system turn in the later ones.
+    later = placed.where("block > 0").select(F.col("c").alias("conv_id"), F.col("block").alias("to_block")).distinct()
     order = F.struct(F.coalesce("turn", F.lit(-(2**62))).alias("t"), "text")
     systems = rows.where(F.col("role") == "system").groupBy("conv_id").agg(F.min(order).alias("s"))
     system_rows = (

@@ -45,6 +45,29 @@ def test_long_conversations_in_windows(spark, model, budget, history, block):
         assert all(b >= max(ends, default=0) for b in w.loss_begins)
 
 
+def test_windows_do_not_depend_on_how_turns_are_numbered(spark, model):
+    def packed(step, history=60, block=4096):
+        rows = [(c, t * step, ("user", "assistant")[t % 2], f"turn {t}") for c in (1, None) for t in range(200)]
+        windows = chat.chat_windows(spark.createDataFrame(rows, SCHEMA), model, 150, history, block)
+        assert read(chat.read_back(windows)) == expected(rows)
+        found = [(w.conv_id or 0, w.block, w.window, w.formatted, w.n_repeated, w.n_tokens) for w in windows.collect()]
+        return sorted(found)
+
+    dense = packed(1)
+    assert len({w[1] for w in dense}) == 1 and packed(5000) == dense
+    assert packed(1, block=32) == packed(10**9, block=32) and packed(1, block=4) == packed(7, block=4)
+
+
+@pytest.mark.parametrize("block", [4, 32])
+def test_history_of_a_block_is_all_that_fits(spark, model, block):
+    rows = [(1, t, "user", "a") for t in range(100)]
+    windows = chat.chat_windows(spark.createDataFrame(rows, SCHEMA), model, 5000, 400, block).collect()
+    size = {w.n_tokens // len(chat.parsed_turns(w.formatted)) for w in windows}
+    assert len(size) == 1 and 400 // max(size) > 8
+    for w in windows:
+        assert w.n_repeated == min(w.block * block, 400 // max(size))
+
+
 def test_nulls_ties_empty_and_odd_texts(spark, model):
     odd = ["", "\\", "<", "[", "[\\", "</s>", "[/INST]", "<\\s>", "a\\[b", "[TURN]=x[ROLE]", "é🙂\n" * 2000]
     rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(odd)]
