@@ -320,9 +320,9 @@ def without_repeated_lines(
 ) -> DataFrame:
     """``docs`` with repeated blocks deleted from ``text``, and two columns more.
 
-    A block is a run of whole lines that an earlier document has too (smaller doc_id, at a
-    tie smaller digest of id and text; null ids first), aligned line by line, with
-    ``min_words`` words or more; an earlier document keeps its own. All other lines, and
+    A block is a run of lines in anchors that earlier documents have too (smaller doc_id, at a
+    tie smaller digest of id and text; null ids first), with ``min_words`` words or more. The
+    anchors of a run may come from several documents and in another order; an earlier document keeps its own. All other lines, and
     all other columns, stay as they are. ``n_deleted_lines`` (lines that went whole) and
     ``n_deleted_words`` count what went (columns of those names are replaced). A document that loses all lines gets
     the empty text. Null and empty texts stay. Rows equal in id and text are one document
