@@ -19,6 +19,7 @@ from arrears.llm import (
     sharding,
     simhash,
     token_counts,
+    vector_codes,
 )
 from arrears.llm.batches import read
 
@@ -109,6 +110,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
@@ -120,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 # Word 13-grams of every document against those of every item, joined as text.
