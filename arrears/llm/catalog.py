@@ -14,6 +14,7 @@ from arrears.llm import (
     fingerprints,
     language_id,
     line_dedup,
+    mixing,
     quality,
     sentencepiece_codec,
     sharding,
@@ -110,6 +111,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(read(spark, sf_dir, "documents")).taken()
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(read(spark, sf_dir, "embeddings"))
 
@@ -125,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op12_mixing": op12_mixing,
     "op13_vector_codes": op13_vector_codes,
 }
 
