@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from arrears.llm import (
     chat_format,
+    collocations,
     decontamination,
     fingerprints,
     language_id,
@@ -111,6 +112,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read(spark, sf_dir, "documents")).taken()
 
@@ -130,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_collocations": op11_collocations,
     "op12_mixing": op12_mixing,
     "op13_vector_codes": op13_vector_codes,
 }
