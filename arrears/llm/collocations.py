@@ -35,8 +35,8 @@ LEAST = 100  # occurrences of a phrase
 BEST = 2000
 UNKNOWN = "und"
 FIRST_REACH, REACH_STEP = 32, 32  # counts, in multiples of the least, that rounds go up to
-SLICE_BYTES = 4_000_000
-HELD_WORDS = 200_000  # distinct words a task counts before it passes them on
+SLICE_BYTES = 1_000_000
+HELD_WORDS = 100_000  # distinct words a task counts before it passes them on
 BITS = 24  # slots of a bitmap, as a power of two: 2 MB
 TASK_ROWS = 20_000  # rows that are ranked together, about
 
@@ -85,6 +85,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def _word_keys(lang: str, words: Iterable[bytes]) -> np.ndarray:
+    """The same as ``xxhash64(lang, word)`` of Spark."""
     seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
     return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], dtype=np.uint64)
 
@@ -95,6 +96,19 @@ def _longer(key: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
+def with_keys(phrases: DataFrame) -> DataFrame:
+    """Columns lang, phrase and key."""
+
+    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)
+            words = [_word_keys(lang, phrase.encode().split(b" ")) for lang, phrase in pairs]
+            keys = np.array([reduce(_longer, w[1:, None], w[:1])[0] for w in words], dtype=np.uint64)
+            yield batch.append_column("key", pa.array(keys.view(np.int64)))
+
+    return phrases.select("lang", "phrase").mapInArrow(hashed, "lang string, phrase string, key bigint")
+
+
 class Bitmap:
     """Which keys may be in a set; it holds one bit per slot of hashed keys."""
 
@@ -102,23 +116,11 @@ class Bitmap:
         self.bits = bits
 
     @classmethod
-    def of(cls, phrases: DataFrame) -> Bitmap:
-        """Of columns lang and phrase. The driver gets the bits, however many phrases there are."""
-
-        def slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = set()
-                pairs = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)
-                for lang, phrase in pairs:
-                    keys = _word_keys(lang, phrase.encode().split(b" "))
-                    key = reduce(_longer, keys[1:, None], keys[:1])
-                    found.add(int(key[0] >> np.uint64(64 - BITS)))
-                yield pa.RecordBatch.from_pydict({"slot": pa.array(sorted(found), pa.int64())})
-
-        slot = F.col("slot")
+    def of(cls, keys: DataFrame) -> Bitmap:
+        """Of a column key. The driver gets the bits, however many keys there are."""
+        slot = F.shiftrightunsigned("key", 64 - BITS)
         mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
-        rows = phrases.select("lang", "phrase").mapInArrow(slots, "slot bigint")
-        packed = rows.groupBy(F.floor(slot / 64).alias("at")).agg(F.bit_or(mask).alias("mask")).collect()
+        packed = keys.groupBy(F.floor(slot / 64).alias("at")).agg(F.bit_or(mask).alias("mask")).collect()
         words = np.zeros(2**BITS // 64, dtype=np.int64)
         for at, mask in packed:
             words[at] = mask
@@ -193,9 +195,10 @@ def _read_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[_Slice]:
 
 
 def grown(corpus: DataFrame, first: Bitmap, known: Mapping[int, Bitmap], size: int) -> DataFrame:
-    """Columns lang, phrase and n of phrases of this size that grow from the first words.
+    """Keys of phrases of this size that grow from the first words and may occur often enough.
 
-    ``known`` has the phrases of each smaller size that occur often enough.
+    ``known`` has those of each smaller size. Equal keys are counted together, so no phrase
+    that occurs often enough is missing; a row is two numbers, whatever the words are.
     """
 
     def grow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,18 +213,11 @@ def grown(corpus: DataFrame, first: Bitmap, known: Mapping[int, Bitmap], size: i
                     goes_on &= known[j].holds(key)
                 at, key, word = at[goes_on], key[goes_on], word[goes_on]
                 key = _longer(key, part.keys[word])
-            at, starts = part.grouped(at, size)
-            if len(at):
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "lang": pa.array([part.lang] * len(starts), pa.string()),
-                        "phrase": part.phrases(at[starts], size),
-                        "n": pa.array(np.diff(np.append(starts, len(at)))),
-                    }
-                )
+            keys, counts = np.unique(key, return_counts=True)
+            yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "n": pa.array(counts)})
 
-    partial = corpus.mapInArrow(grow, "lang string, phrase string, n bigint")
-    return partial.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    partial = corpus.mapInArrow(grow, "key bigint, n bigint")
+    return partial.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST).select("key")
 
 
 def measured(corpus: DataFrame, wanted: Mapping[int, Bitmap]) -> DataFrame:
@@ -243,7 +239,8 @@ def measured(corpus: DataFrame, wanted: Mapping[int, Bitmap]) -> DataFrame:
                 word = part.ids[at + size - 1]
                 at, key, word = at[word > 0], key[word > 0], word[word > 0]
                 key = _longer(key, part.keys[word])
-                hits, starts = part.grouped(at[wanted[size].holds(key)], size)
+                hit = wanted[size].holds(key) if size in wanted else np.zeros(len(at), dtype=bool)
+                hits, starts = part.grouped(at[hit], size)
                 if len(hits):
                     sides = [same(part.ids[hits - 1], starts), same(part.ids[hits + size], starts)]
                     left, right = (part.words.take(pa.array(s)).cast(pa.string()) for s in sides)
@@ -267,8 +264,12 @@ def measured(corpus: DataFrame, wanted: Mapping[int, Bitmap]) -> DataFrame:
     )
 
 
-def _size(phrase: str | Column = "phrase") -> Column:
-    return F.size(F.split(phrase, " "))
+def _size() -> Column:
+    return F.size(F.split("phrase", " "))
+
+
+def _of_words(words: DataFrame) -> DataFrame:
+    return words.select(F.xxhash64("lang", "phrase").alias("key"))
 
 
 def _scored(found: DataFrame, known: DataFrame, totals: DataFrame) -> DataFrame:
@@ -296,7 +297,8 @@ def _scored(found: DataFrame, known: DataFrame, totals: DataFrame) -> DataFrame:
     scored = scored.withColumn("score", F.expr("_above div _below"))
     best = F.min(F.struct("score", "k", "l", "r", "a", "n")).alias("_best")
     lowest = scored.groupBy("lang", "phrase").agg(best)
-    inside = known.where(F.col("inside")).select("lang", "phrase")
+    # What would replace one of the longest phrases is too long to be a phrase.
+    inside = known.where(F.col("inside") & (_size() < LONGEST)).select("lang", "phrase")
     return lowest.join(inside, ["lang", "phrase"], "left_anti").select("lang", "phrase", "_best.*").drop("k")
 
 
@@ -335,7 +337,7 @@ def collocations(docs: DataFrame, best: int = BEST) -> DataFrame:
     totals = stage(counts.groupBy("lang").agg(F.sum("n").alias("n")))
     often = counts.where(F.col("n") >= LEAST)
     words = stage(often.select("lang", F.col("word").alias("phrase"), "n", F.lit(False).alias("inside")))
-    corpus = stage(skeleton(texts, Bitmap.of(words)))
+    corpus = stage(skeleton(texts, Bitmap.of(_of_words(words))))
     above = (F.col("total").cast("decimal(20,0)") * F.lit(1000).cast("decimal(4,0)")).alias("_above")
     frontier = words.join(totals.withColumnRenamed("n", "total"), "lang").select("lang", "phrase", "n", above)
     frontier = frontier.withColumn("bound", F.expr("_above div n")).drop("_above")
@@ -369,28 +371,26 @@ def _round(corpus: DataFrame, first: DataFrame, words: DataFrame, totals: DataFr
     """Scored phrases that grow from these words; None if there are no such phrases."""
     if first.isEmpty():
         return None
-    start, known, sizes = Bitmap.of(first), {}, []
+    start, known = Bitmap.of(_of_words(first)), {}
     for size in range(2, LONGEST + 1):
         level = stage(grown(corpus, start, known, size))
-        # A hashed word that is no frontier word may have come in beside one.
-        level = level.withColumn("_first", F.substring_index("phrase", " ", 1))
-        chosen = first.select("lang", F.col("phrase").alias("_first"))
-        level = stage(level.join(chosen, ["lang", "_first"], "left_semi").drop("_first"))
         if level.isEmpty():
             break
-        sizes.append(level)
         known[size] = Bitmap.of(level)
-    if not sizes:
+    if not known:
         return None
-    found = reduce(DataFrame.unionByName, sizes)
-    rest = found.select("lang", F.expr("substring(phrase, instr(phrase, ' ') + 1)").alias("phrase"))
-    parts = found.select("lang", "phrase").unionByName(rest)
-    for _ in range(LONGEST - 3):  # what remains behind a later cut
+    chosen = first.select("lang", F.col("phrase").alias("_first"))
+    counted = measured(corpus, known).where(F.col("n") >= LEAST)
+    counted = counted.withColumn("_first", F.substring_index("phrase", " ", 1))
+    found = stage(counted.join(chosen, ["lang", "_first"], "left_semi").drop("_first"))
+    parts = rest = found
+    for _ in range(LONGEST - 2):  # what remains behind a cut
         rest = rest.where(_size() > 2).select(
             "lang", F.expr("substring(phrase, instr(phrase, ' ') + 1)").alias("phrase")
         )
-        parts = parts.unionByName(rest)
-    parts = stage(parts.where(_size().between(2, LONGEST - 1)).distinct())
-    wanted = {size: Bitmap.of(parts.where(_size() == size)) for size in range(2, LONGEST)}
-    known = stage(words.unionByName(measured(corpus, wanted).join(parts, ["lang", "phrase"], "left_semi")))
-    return stage(_scored(found, known, totals))
+        parts = rest if parts is found else parts.unionByName(rest)
+    parts = parts.where(_size() > 1).distinct().join(found, ["lang", "phrase"], "left_anti")
+    parts = stage(with_keys(parts).withColumn("size", _size()))
+    wanted = {size: Bitmap.of(parts.where(F.col("size") == size)) for size in range(2, LONGEST)}
+    others = measured(corpus, wanted).join(parts.select("lang", "phrase"), ["lang", "phrase"], "left_semi")
+    return stage(_scored(found, stage(words.unionByName(found).unionByName(others)), totals))
