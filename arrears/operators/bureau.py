@@ -12,7 +12,8 @@ ARREARS_CODES = ("0", "1", "2", "3", "4", "5")
 CLOSED = "C"
 
 
-def _bucketed_months(bureau_balance: DataFrame, as_of: int) -> DataFrame:
+def bucketed_months(bureau_balance: DataFrame, as_of: int) -> DataFrame:
+    """Past account months with their numeric arrears bucket."""
     status = F.col("STATUS")
     bucket = F.when(status.isin(*ARREARS_CODES), status.try_cast("int")).when(status == CLOSED, 0)
     return bureau_balance.where(F.col("MONTHS_BALANCE") < -as_of).select(
@@ -26,7 +27,7 @@ def _bucketed_months(bureau_balance: DataFrame, as_of: int) -> DataFrame:
 def bureau_months(bureau: DataFrame, bureau_balance: DataFrame, as_of: int = 0) -> DataFrame:
     """Past account months of known accounts with their numeric arrears bucket."""
     owners = bureau.select("SK_ID_BUREAU", "SK_ID_CURR")
-    return _bucketed_months(bureau_balance, as_of).join(owners, "SK_ID_BUREAU")
+    return bucketed_months(bureau_balance, as_of).join(owners, "SK_ID_BUREAU")
 
 
 def bureau_status(bureau: DataFrame, bureau_balance: DataFrame, as_of: int = 0) -> DataFrame:
@@ -39,7 +40,7 @@ def bureau_status(bureau: DataFrame, bureau_balance: DataFrame, as_of: int = 0)
     month, bucket = F.col("MONTHS_BALANCE").cast("bigint"), F.col("dpd_bucket")
     known, delinquent, last_year = bucket.isNotNull(), bucket >= 1, F.col("MONTHS_BALANCE") >= -12
     per_account = (
-        _bucketed_months(bureau_balance, as_of)
+        bucketed_months(bureau_balance, as_of)
         .groupBy("SK_ID_BUREAU")
         .agg(
             F.count(F.lit(1)).alias("months"),

@@ -86,35 +86,34 @@ def available(columns: list[str], df: DataFrame) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
-def feature_store(
-    tables: Tables, as_of: int = 0, beside: Mapping[str, Sequence[Column]] | None = None
+def application_spine(
+    application: DataFrame, days: int | Column = 0, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Labelled applications with the features of all families, as of months back.
+    """Labelled applications under their names in the store, as of so many days back.
 
-    Each family arrives grouped by the join key, so its join needs no second shuffle.
-    ``beside`` are further aggregates of the installments or the card balance by customer;
-    they come from the same pass and stand behind the columns of the store.
+    Ages count days back from the moment of the store.
     """
-    beside = beside or {}
-    families = [
-        installment_features(tables["installments"], as_of, beside.get("installments", ())),
-        card_features(tables["card_balance"], as_of, beside.get("card_balance", ())),
-    ]
-    spine = tables["application"].where(F.col("TARGET").isNotNull())
-    days = as_of * DAYS_PER_MONTH  # ages count days back from the moment of the store
-    spine = spine.select(
+    return application.where(F.col("TARGET").isNotNull()).select(
         "SK_ID_CURR",
         "TARGET",
+        *keep,
         *[
             (F.col(c) + days if c.startswith("DAYS_") else F.col(c)).alias(n)
             for c, n in APPLICATION_NAMES.items()
         ],
     )
-    joined = (
-        spine.join(families[0], "SK_ID_CURR", "left")
-        .join(families[1], "SK_ID_CURR", "left")
-        .join(bureau_features(tables["bureau"], tables["bureau_balance"], as_of), "SK_ID_CURR", "left")
-    )
+
+
+def with_families(
+    spine: DataFrame, families: Sequence[DataFrame], on: Sequence[str], beside: Sequence[str] = ()
+) -> DataFrame:
+    """The columns of the store from the spine and its families, which share the key ``on``.
+
+    Each family arrives grouped by the key, so its join needs no second shuffle.
+    """
+    joined = spine
+    for family in families:
+        joined = joined.join(family, list(on), "left")
 
     def signal(column: str) -> F.Column:
         return F.coalesce(F.col(column), F.lit(0.0))
@@ -123,7 +122,7 @@ def feature_store(
         return F.when(signal(column) > 0, 1).otherwise(0)
 
     return joined.select(
-        "SK_ID_CURR",
+        *on,
         "TARGET",
         *APPLICATION_NAMES.values(),
         *INSTALLMENT_COLUMNS,
@@ -136,5 +135,26 @@ def feature_store(
             "n_products_delinquent"
         ),
         F.col("bur_status_trend").alias("bur_momentum"),
-        *[c for f in families for c in f.columns if c not in (*STORE_FAMILY_COLUMNS, "SK_ID_CURR")],
+        *beside,
     )
+
+
+def feature_store(
+    tables: Tables, as_of: int = 0, beside: Mapping[str, Sequence[Column]] | None = None
+) -> DataFrame:
+    """Labelled applications with the features of all families, as of months back.
+
+    ``beside`` are further aggregates of the installments or the card balance by customer;
+    they come from the same pass and stand behind the columns of the store.
+    """
+    beside = beside or {}
+    families = [
+        installment_features(tables["installments"], as_of, beside.get("installments", ())),
+        card_features(tables["card_balance"], as_of, beside.get("card_balance", ())),
+        bureau_features(tables["bureau"], tables["bureau_balance"], as_of),
+    ]
+    further = [
+        c for f in families[:2] for c in f.columns if c not in (*STORE_FAMILY_COLUMNS, "SK_ID_CURR")
+    ]
+    spine = application_spine(tables["application"], as_of * DAYS_PER_MONTH)
+    return with_families(spine, families, ["SK_ID_CURR"], further)

@@ -19,6 +19,7 @@ from arrears.operators import (
     card,
     challenger,
     early_warning,
+    history,
     installments,
     metrics,
     policy,
@@ -289,6 +290,11 @@ def feature_store_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_store(spark, sf, AS_OF_MONTHS))
 
 
+def store_as_of_months(spark: SparkSession, sf: str) -> DataFrame:
+    """The store as of every lead month, from one pass over the raw tables."""
+    return rounded(history.store_as_of_months(tpch.tables(spark, sf)))
+
+
 # --- checks and profiles ----------------------------------------------------------------
 
 
@@ -537,6 +543,17 @@ def lead_time(spark: SparkSession, sf: str) -> DataFrame:
     return early_warning.lead_time(scored)
 
 
+def lead_time_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Lead times on the store as it was in each month."""
+    raw = tpch.tables(spark, sf)
+    tested = split.stratified_split(stage(raw["application"].select("SK_ID_CURR", "TARGET").dropna()))
+    ids = tested.where("NOT is_train").select("SK_ID_CURR")
+    seen = history.store_as_of_months(raw).join(ids, "SK_ID_CURR", "left_semi")
+    inputs = seen.select(history.MONTH, "TARGET", *early_warning.BEHAVIOUR_FEATURES)
+    aligned = early_warning.align_features(inputs)
+    return early_warning.lead_time(aligned.withColumn("score", warning_score()))
+
+
 def lead_time_masked(spark: SparkSession, sf: str) -> DataFrame:
     tested = _split_store(spark, sf).where("NOT is_train")
     behaviour = tested.select("SK_ID_CURR", "TARGET", *early_warning.BEHAVIOUR_FEATURES)
@@ -674,6 +691,7 @@ QUERIES: Sequence[Query] = [
     bur_features,
     feature_store,
     feature_store_as_of,
+    store_as_of_months,
     fs_summary,
     fs_completeness,
     fs_default_by_products,
@@ -717,6 +735,7 @@ QUERIES: Sequence[Query] = [
     snapshot_features,
     aligned_features,
     lead_time,
+    lead_time_as_of,
     lead_time_masked,
     stress_trajectory,
     warning_flags,

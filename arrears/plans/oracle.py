@@ -394,6 +394,14 @@ def _store_sql(as_of: int = 0) -> str:
     return query(f"SELECT {', '.join(STORE_INTEGERS)}, {rounding(STORE_DOUBLES)} FROM fs", as_of=as_of)
 
 
+def _as_of_months(columns: str, table: str) -> str:
+    """The store of every lead month, each rebuilt from the raw tables on its own."""
+    return " UNION ALL ".join(
+        f"SELECT * FROM ({query(f'SELECT {m} AS months_before_default, {columns} FROM {table}', as_of=m)})"
+        for m in early_warning.LEAD_MONTHS
+    )
+
+
 def _corr(a: str, b: str) -> str:
     return f"CASE WHEN isnan(corr({a}, {b})) THEN NULL ELSE corr({a}, {b}) END"
 
@@ -618,6 +626,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "feature_store": _store_sql(),
         "feature_store_as_of": _store_sql(AS_OF_MONTHS),
+        "store_as_of_months": _as_of_months(
+            f"{', '.join(STORE_INTEGERS)}, {rounding(STORE_DOUBLES)}", "fs"
+        ),
         "fs_summary": query(
             "SELECT count(*) AS total_customers, CAST(sum(TARGET) AS BIGINT) AS total_defaults, "
             "round(100 * avg(TARGET), 2) AS default_rate_pct FROM fs"
@@ -792,6 +803,13 @@ def oracle_sql() -> dict[str, str]:
                 f"TARGET, {zeroed(WARNING_INPUTS)} FROM snapshots JOIN split USING (SK_ID_CURR, TARGET) WHERE NOT is_train)"
             ),
         ),
+        "lead_time_as_of": "WITH "
+        + _lead_time(
+            f"SELECT months_before_default, TARGET AS label, {WARNING} AS score FROM (SELECT months_before_default, "
+            f"TARGET, {zeroed(WARNING_INPUTS)} FROM ("
+            + _as_of_months(f"TARGET, {', '.join(WARNING_INPUTS)}", "fst WHERE NOT is_train")
+            + "))"
+        ),
         "lead_time_masked": query("", _lead_time(_masked_source())),
         "stress_trajectory": query(
             "SELECT feature, round(good_mean, 9) + 0e0 AS good_mean, round(bad_mean, 9) + 0e0 AS bad_mean, "

@@ -14,6 +14,7 @@ from arrears.operators import (
     binning,
     challenger,
     early_warning,
+    history,
     metrics,
     policy,
     quality,
@@ -42,7 +43,8 @@ class Run:
     trees: dict = field(default_factory=dict)
     warning_trees: dict = field(default_factory=dict)
     capacity: int = policy.CAPACITY
-    lead_time_from: str = "raw"  # or "masked": from the store alone, without raw history
+    # "as_of": on the store of each month; "masked": from the store alone, without raw history
+    lead_time_from: str = "raw"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         return sinks.save_table(df, self.folder, name)
@@ -160,9 +162,12 @@ def warn_early(run: Run) -> list[str]:
     tested = customers.where(~F.col("is_train"))
     if run.lead_time_from == "masked":
         snapshots = early_warning.masked_features(tested)
+    elif run.lead_time_from == "as_of":
+        earlier = history.store_as_of_months(run.raw())
+        snapshots = earlier.join(tested.select("SK_ID_CURR"), "SK_ID_CURR", "left_semi")
     else:
-        history = early_warning.store_with_history(run.raw())
-        listed = history.join(tested.select("SK_ID_CURR"), "SK_ID_CURR", "left_semi")
+        beside = early_warning.store_with_history(run.raw())
+        listed = beside.join(tested.select("SK_ID_CURR"), "SK_ID_CURR", "left_semi")
         snapshots = early_warning.snapshot_features(listed)
     aligned = early_warning.align_features(snapshots, features)
     seen = scorecard.probability_of_default(model.transform(aligned), "score")
