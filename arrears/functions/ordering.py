@@ -19,9 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arrears.functions.counting import values_at
 from arrears.sources.staging import stage
 
 SKETCH_ACCURACY = 10_000  # the sketch misses a rank by at most 1 / accuracy of the rows
+ONE_TASK = 50_000  # rows that one task may number
 BRACKETS = (5 / SKETCH_ACCURACY, 500 / SKETCH_ACCURACY, 1.0)  # half widths; the last holds all
 
 
@@ -129,6 +131,86 @@ def number_in_order(
     )
 
 
+def first_in_order(
+    df: DataFrame,
+    orders: Mapping[str, tuple[Sequence[Column], Sequence[Column]]],
+    n: int,
+    name: str,
+    totals: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The first ``n`` rows of each order with ``position`` and running totals, or all if fewer.
+
+    An order is its sort columns, ascending with nulls last and deciding between any two
+    rows, and its levels: numbers that never fall along the sort, the second among rows that
+    agree in the first, and so on; nulls and NaN stand last. All orders have as many sort
+    columns of the same types. ``name`` becomes the column with the order.
+
+    The value of the n-th row is found by counting, level by level and for all orders in the
+    same passes. Only the rows up to it are put in order: n, and those that agree with the
+    last of them in all levels. The counts also tell how many rows that is; up to
+    ``ONE_TASK`` of an order are numbered by one task. ``df`` is read a few times, so stage
+    it if it is costly.
+    """
+    inside, most = _first_rows(df, {o: levels for o, (_, levels) in orders.items()}, n)
+    width = len(next(iter(orders.values()))[0])
+    sorts = [f"_sort{i}" for i in range(width)]
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(o).alias(name),
+                inside[o].alias("_inside"),
+                *[value.alias(c) for c, value in zip(sorts, sort, strict=True)],
+            )
+            for o, (sort, _) in orders.items()
+        ]
+    )
+    kept = df.where(reduce(or_, inside.values()))
+    rows = kept.select(*df.columns, F.inline(listed)).where("_inside").drop("_inside")
+    order = [F.asc_nulls_last(c) for c in sorts]
+    if most > ONE_TASK:
+        placed = number_in_order(rows, order, totals, by=[name])
+    else:
+        counted = Window.partitionBy(name).orderBy(*order)
+        upto = counted.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = {c: F.coalesce(F.sum(source).over(upto), F.lit(0)) for c, source in (totals or {}).items()}
+        placed = rows.withColumns({"position": F.row_number().over(counted).cast("bigint"), **sums})
+    return placed.where(F.col("position") <= n).drop(*sorts)
+
+
+def _first_rows(
+    df: DataFrame, orders: Mapping[str, Sequence[Column]], n: int
+) -> tuple[dict[str, Column], int]:
+    """For each order, given by its levels, a condition that holds for its first ``n`` rows.
+
+    Also the largest number of rows for which one of the conditions holds.
+    """
+    last = F.lit(float("inf"))
+    before: dict[str, Column] = dict.fromkeys(orders, F.lit(False))
+    equal: dict[str, Column] = dict.fromkeys(orders, F.lit(True))
+    needed, held = dict.fromkeys(orders, n), dict.fromkeys(orders, 0)
+    open_orders = list(orders)
+    for level in range(max(map(len, orders.values()))):
+        open_orders = [o for o in open_orders if level < len(orders[o])]
+        if not open_orders:
+            break
+        values = {o: F.coalesce(F.nanvl(orders[o][level].cast("double"), last), last) for o in open_orders}
+        columns = {f"_value{i}": o for i, o in enumerate(open_orders)}
+        numbers = df.select(*[F.when(equal[o], values[o]).alias(c) for c, o in columns.items()])
+        found = values_at(
+            numbers, list(columns), lambda c, total, at=columns: [min(needed[at[c]], total) - 1]
+        )
+        for (_, column), (_, places) in found.items():
+            o = columns[column]
+            for place in places.values():
+                before[o] = before[o] | (equal[o] & (values[o] < place.value))
+                equal[o] = equal[o] & (values[o] == place.value)
+                if place.upto <= needed[o]:
+                    open_orders.remove(o)  # all that agree with the last row are needed
+                held[o] = n - needed[o] + place.upto
+                needed[o] -= place.below
+    return {o: before[o] | equal[o] for o in orders}, max(held.values())
+
+
 def _changes(keys: Sequence[pa.Array], n: int) -> np.ndarray:
     """Where a row's keys differ from those of the row before; true at the first."""
     new = np.zeros(n, dtype=bool)

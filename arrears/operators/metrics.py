@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.functions.columns import share
+from arrears.functions.counting import counted_quantiles
 from arrears.functions.ordering import (
     exact_quantiles,
     number_in_order,
@@ -106,7 +107,12 @@ def psi_bins(
         )
     )
     shares = [i / bins for i in range(1, bins)]
-    edges = exact_quantiles(scored.where("expected"), "score", shares, by)
+    of_expected = scored.where("expected")
+    # Groups may be many; without them the edges are counted.
+    if by:
+        edges = exact_quantiles(of_expected, "score", shares, by)
+    else:
+        edges = counted_quantiles(of_expected, ["score"], shares).drop("column")
     columns = [f"q{i}" for i in range(bins - 1)]
     edged = with_group_values(scored, by, edges)
     index = sum(((F.col("score") >= F.col(c)).cast("int") for c in columns), F.lit(0))

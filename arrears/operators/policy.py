@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions.columns import hash_order, share
-from arrears.functions.ordering import exact_quantiles, number_in_order
+from arrears.functions.counting import counted_quantiles
+from arrears.functions.ordering import first_in_order, number_in_order
 from arrears.operators.split import SEED
 from arrears.sources.staging import stage
 
@@ -22,6 +23,8 @@ CURVE_STEP = 100
 CURVE_END = 5000
 SAMPLE_SIZE = 5000
 
+HASH_DIGITS = 12  # 48 bits, which a double holds
+
 RANDOM = "1. Call Everyone (Random)"
 HIGHEST_PD = "2. Highest PD First"
 EXPECTED_LOSS = "3. Expected Loss Policy"
@@ -31,10 +34,12 @@ EXPECTED_LOSS = "3. Expected Loss Policy"
 def strategies(seed: int = SEED, key: str = "SK_ID_CURR") -> dict[str, tuple[Column, Column]]:
     """A text and a number by which each strategy calls the customers, both ascending.
 
-    Customers with equal ones are called by their key.
+    Customers with equal ones are called by their key. The number of a text never falls
+    along the text: it is that of its first hexadecimal digits.
     """
+    text = hash_order(key, seed)
     return {
-        RANDOM: (hash_order(key, seed), F.lit(0.0)),
+        RANDOM: (text, F.conv(F.substring(text, 1, HASH_DIGITS), 16, 10).cast("double")),
         HIGHEST_PD: (F.lit(""), -F.col("PD")),
         EXPECTED_LOSS: (F.lit(""), -F.col("expected_loss")),
     }
@@ -44,6 +49,17 @@ def _order(text: Column, number: Column, key: str) -> list[Column]:
     return [text, number.asc_nulls_last(), F.col(key)]
 
 
+def _first(
+    df: DataFrame, names: Sequence[str], calls: int, totals: Sequence[str], seed: int, key: str
+) -> DataFrame:
+    """The first calls of some strategies with their positions."""
+    chosen = {name: strategies(seed, key)[name] for name in names}
+    # Equal numbers leave the key to decide, but where a text stands before it.
+    levels = {name: [number] if name == RANDOM else [number, F.col(key)] for name, (_, number) in chosen.items()}
+    orders = {name: ([text, number, F.col(key)], levels[name]) for name, (text, number) in chosen.items()}
+    return first_in_order(df, orders, calls, "strategy", {f"running_{c}": c for c in totals})
+
+
 def priority_frame(
     scored: DataFrame,
     lgd: float = LGD,
@@ -56,7 +72,7 @@ def priority_frame(
     The scores are staged, because every report below reads this table several times.
     """
     narrow = stage(scored.select("SK_ID_CURR", "TARGET", "PD", "app_loan_amount", *keep))
-    typical = exact_quantiles(narrow, "app_loan_amount", [0.5]).scalar()
+    typical = F.lit(counted_quantiles(narrow, ["app_loan_amount"], [0.5]).first().q0)
     exposed = narrow.select(
         "SK_ID_CURR",
         "TARGET",
@@ -84,24 +100,33 @@ def first_calls(
     """The first ``calls`` customers of a strategy, or all if there are fewer."""
     if calls is None:
         return df
-    placed = number_in_order(df, _order(*strategies(seed, key)[strategy], key))
-    return placed.where(F.col("position") <= calls).select(*df.columns)
+    return _first(df, [strategy], calls, [], seed, key).select(*df.columns)
 
 
 def call_positions(
-    df: DataFrame, totals: Sequence[str] = (), seed: int = SEED, key: str = "SK_ID_CURR"
+    df: DataFrame,
+    totals: Sequence[str] = (),
+    seed: int = SEED,
+    key: str = "SK_ID_CURR",
+    calls: int | None = None,
 ) -> DataFrame:
     """Every customer's ``position`` in every strategy, and ``running_`` sums up to it.
 
-    All strategies are put in order together, as groups of one range shuffle.
+    All strategies are put in order together, as groups of one range shuffle; with ``calls``
+    only the first so many customers of each.
     """
-    calls = F.array(
+    if calls is not None:
+        narrow = df.select(key, "PD", "expected_loss", *[c for c in totals if c != "expected_loss"])
+        placed = _first(narrow, list(strategies()), calls, totals, seed, key)
+        running = [f"running_{c}" for c in totals]
+        return placed.select(key, *totals, "strategy", "position", *running)
+    listed_calls = F.array(
         *[
             F.struct(F.lit(name).alias("strategy"), text.alias("_text"), number.alias("_number"))
             for name, (text, number) in strategies(seed, key).items()
         ]
     )
-    listed = df.select(key, *totals, F.inline(calls))
+    listed = df.select(key, *totals, F.inline(listed_calls))
     running = {f"running_{c}": c for c in totals}
     order = _order(F.col("_text"), F.col("_number"), key)
     placed = number_in_order(listed, order, totals=running, by=["strategy"])
@@ -116,7 +141,7 @@ def evaluate_strategies(
 ) -> DataFrame:
     """Loss reached, recovery, cost and profit of each strategy at ``capacity`` calls."""
     narrow = priority.select("SK_ID_CURR", "PD", "expected_loss")
-    called = call_positions(narrow, ["expected_loss"]).where(F.col("position") <= capacity)
+    called = call_positions(narrow, ["expected_loss"], calls=capacity)
     portfolio = narrow.agg(F.sum("expected_loss")).scalar()
     reached = called.groupBy("strategy").agg(
         F.count(F.lit(1)).alias("customers_called"), F.sum("expected_loss").alias("el")
@@ -150,7 +175,7 @@ def recovery_curve(
     """Recovery after every ``step`` calls, below ``end`` (None: no end) and the portfolio size."""
     narrow = priority.select("SK_ID_CURR", "PD", "expected_loss")
     size = narrow.agg(F.count(F.lit(1))).scalar()
-    placed = call_positions(narrow, ["expected_loss"])
+    placed = call_positions(narrow, ["expected_loss"], calls=end)
     last = size if end is None else F.least(F.lit(end), size)
     return placed.where((F.col("position") % step == 0) & (F.col("position") < last)).select(
         "strategy",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrears.functions.columns import clip, share, stack_columns
-from arrears.functions.ordering import exact_quantiles
+from arrears.functions.counting import counted_quantiles
 from arrears.operators.store import available
 from arrears.sources.staging import stage
 
@@ -245,7 +245,7 @@ def class_histogram(
     long = wide.select("TARGET", stack_columns(list(features), "feature", "value")).where(
         F.col("value").isNotNull()
     )
-    edges = exact_quantiles(long, "value", tails, by=["feature"])
+    edges = counted_quantiles(wide, list(features), tails).withColumnRenamed("column", "feature")
     clipped = long.join(edges, "feature").select(
         "feature", "TARGET", clip(F.col("value"), F.col("q0"), F.col("q1")).alias("value")
     )

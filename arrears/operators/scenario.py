@@ -61,7 +61,7 @@ def scenario_grid(
         "SK_ID_CURR", "PD", "expected_loss", (F.col("PD") * F.col("EAD")).alias("exposure")
     )
     size = exposed.agg(F.count(F.lit(1))).scalar()
-    prefixes = call_positions(exposed, ["exposure"])
+    prefixes = call_positions(exposed, ["exposure"], calls=max(capacities))
 
     def each(values: Sequence[float]) -> F.Column:
         return F.explode(F.array(*[F.lit(v) for v in values]))

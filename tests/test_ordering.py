@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from arrears.functions import ordering
 from arrears.functions.columns import clip
-from arrears.functions.ordering import exact_quantiles, number_in_order
+from arrears.functions.ordering import exact_quantiles, first_in_order, number_in_order
 from pyspark.sql import functions as F
 
 
@@ -113,3 +113,47 @@ def test_clip_keeps_null(spark):
     df = spark.createDataFrame([(-1.0,), (0.5,), (3.0,), (None,)], "v double")
     got = [r.c for r in df.select(clip(F.col("v"), F.lit(0.0), F.lit(1.0)).alias("c")).collect()]
     assert got == [0.0, 0.5, 1.0, None]
+
+
+def first_rows(df, n, key_level=True):
+    """First rows by v falling and by w, with ids deciding."""
+    levels = [F.col("id")] if key_level else []
+    orders = {
+        "v": ([-F.col("v"), F.col("id")], [-F.col("v"), *levels]),
+        "w": ([F.col("w").cast("double"), F.col("id")], [F.col("w"), *levels]),
+    }
+    return first_in_order(df, orders, n, "order", {"upto": "w"})
+
+
+@pytest.mark.parametrize("n,one_task", [(1, 50_000), (7, 0), (1000, 0), (1000, 50_000), (2999, 0), (5000, 50_000)])
+@pytest.mark.parametrize("key_level", [True, False])
+def test_first_rows_of_several_orders(skewed, monkeypatch, n, one_task, key_level):
+    monkeypatch.setattr(ordering, "ONE_TASK", one_task)
+    found = first_rows(skewed, n, key_level).collect()
+    rows = skewed.collect()
+    for order, key in (("v", lambda r: (-r.v, r.id)), ("w", lambda r: (r.w, r.id))):
+        total = 0
+        own = sorted((r for r in found if r.order == order), key=lambda r: r.position)
+        for place, (got, want) in enumerate(zip(own, sorted(rows, key=key)[:n], strict=True), 1):
+            total += want.w
+            assert (got.position, got.id, got.upto) == (place, want.id, total)
+
+
+def test_only_the_first_rows_are_put_in_order(skewed, monkeypatch):
+    sorted_rows = []
+    real = ordering.number_in_order
+    monkeypatch.setattr(ordering, "ONE_TASK", 0)
+    monkeypatch.setattr(
+        ordering, "number_in_order", lambda d, *a, **k: sorted_rows.append(d.count()) or real(d, *a, **k)
+    )
+    assert first_rows(skewed, 20).count() == 40
+    assert sorted_rows == [40]  # although a fifth of the rows share the lowest w
+
+
+def test_first_rows_with_nulls_and_nan(spark):
+    values = [3.0, None, float("nan"), 1.0, float("inf"), None, -2.0]
+    df = spark.createDataFrame(list(enumerate(values)), "id bigint, v double")
+    found = first_in_order(df, {"v": ([F.col("v"), F.col("id")], [F.col("v"), F.col("id")])}, 6, "o").collect()
+    assert [r.id for r in sorted(found, key=lambda r: r.position)] == [6, 3, 0, 4, 2, 1]
+    empty = df.where("id < 0")
+    assert first_in_order(empty, {"v": ([F.col("v"), F.col("id")], [F.col("v")])}, 6, "o").count() == 0
