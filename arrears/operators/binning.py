@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 Cuts = Mapping[str, Sequence[float]]
+Grouping = Callable[[Sequence[tuple[int, int]], int, int], list[tuple[int, int]]]
 
 MISSING = -1
+FINE_CELLS = 200  # quantile cells that the tree sees
 MAX_PREBINS = 20
 MAX_BINS = 10
 MIN_BIN_SHARE = 0.05
-SKETCH_ACCURACY = 2000  # rank error below a hundredth of a fine bin
+SKETCH_ACCURACY = 20_000  # rank error below a hundredth of a fine cell
+GAIN_DIGITS = 9
 
 
 def prebin_cuts(df: DataFrame, features: Sequence[str], max_bins: int = MAX_PREBINS) -> dict[str, list[float]]:
@@ -72,14 +75,55 @@ def smoothed_woe(good: float, bad: float, all_good: float, all_bad: float) -> tu
     return woe, (share_good - share_bad) * woe
 
 
+def tree_grouping(
+    cells: Sequence[tuple[int, int]], max_leaves: int = MAX_PREBINS, min_share: float = MIN_BIN_SHARE
+) -> list[tuple[int, int]]:
+    """Split consecutive cells (rows, bad) as a decision tree would; the leaves as ranges.
+
+    The leaf whose best cut lowers the Gini impurity of all rows most is split next, until
+    there are ``max_leaves`` or no cut helps that leaves ``min_share`` of the rows on both
+    sides. Equal gains are told apart by position, after rounding.
+    """
+    n = np.concatenate([[0], np.cumsum([r for r, _ in cells])])
+    bad = np.concatenate([[0], np.cumsum([b for _, b in cells])])
+    least = max(min_share * n[-1], 1)
+
+    def mixed(rows: np.ndarray, bads: np.ndarray) -> np.ndarray:
+        return bads * (rows - bads) / np.maximum(rows, 1)
+
+    def best_cut(start: int, end: int) -> tuple[float, int]:
+        at = np.arange(start + 1, end)
+        left, left_bad = n[at] - n[start], bad[at] - bad[start]
+        right, right_bad = n[end] - n[at], bad[end] - bad[at]
+        whole = mixed(n[end] - n[start], bad[end] - bad[start])
+        gain = np.round(whole - mixed(left, left_bad) - mixed(right, right_bad), GAIN_DIGITS)
+        gain = np.where((left >= least) & (right >= least), gain, 0.0)
+        return (float(gain.max()), int(at[gain.argmax()])) if len(at) else (0.0, end)
+
+    leaves = {(0, len(cells)): best_cut(0, len(cells))}
+    while len(leaves) < max_leaves:
+        (start, end), (gain, at) = min(leaves.items(), key=lambda leaf: (-leaf[1][0], leaf[0]))
+        if gain <= 0:
+            break
+        del leaves[start, end]
+        leaves |= {(start, at): best_cut(start, at), (at, end): best_cut(at, end)}
+    return sorted(leaves)
+
+
 def best_grouping(
-    rows: Sequence[tuple[int, int]], all_rows: int, all_bad: int, max_bins: int, min_share: float
+    rows: Sequence[tuple[int, int]],
+    all_rows: int,
+    all_bad: int,
+    max_bins: int,
+    min_share: float,
+    turns: int = 0,
 ) -> list[tuple[int, int]]:
     """Split consecutive fine bins (rows, bad) into ranges with the highest total IV.
 
     Ranges hold at least ``min_share`` of all rows and their bad rate rises or falls
-    throughout. ``best[end][start]`` is the best total of groupings whose last range is
-    ``start:end``, kept per number of ranges. Without an admissible split all bins form
+    throughout; with one of ``turns`` it may also rise to a peak and fall, or fall to a
+    valley and rise. A state is the last range and whether the trend has turned; the best
+    total of each is kept per number of ranges. Without an admissible split all bins form
     one range.
     """
     size = len(rows)
@@ -98,30 +142,33 @@ def best_grouping(
 
     best_total, best_ranges = -1.0, [(0, size)]
     for direction in (1, -1):
-        # (last range) -> (total IV, ranges), for a growing number of ranges
-        layer = {r: (v, [r]) for r, v in value.items() if r[0] == 0}
+        # (last range, turns made) -> (total IV, ranges), for a growing number of ranges
+        layer = {(r, 0): (v, [r]) for r, v in value.items() if r[0] == 0}
         for _ in range(max_bins):
-            for (_, end), (total, ranges) in layer.items():
+            for ((_, end), _), (total, ranges) in layer.items():
                 if end == size and total > best_total:
                     best_total, best_ranges = total, ranges
-            grown: dict[tuple[int, int], tuple[float, list[tuple[int, int]]]] = {}
-            for last, (total, ranges) in layer.items():
+            grown: dict[tuple[tuple[int, int], int], tuple[float, list[tuple[int, int]]]] = {}
+            for (last, turned), (total, ranges) in layer.items():
                 for end in range(last[1] + 1, size + 1):
                     new = (last[1], end)
-                    if new not in value or (rate[new] - rate[last]) * direction < 0:
+                    if new not in value:
                         continue
-                    if new not in grown or total + value[new] > grown[new][0]:
-                        grown[new] = (total + value[new], [*ranges, new])
+                    step = (rate[new] - rate[last]) * direction
+                    for now in range(turned, turns + 1):
+                        if (step if now % 2 == 0 else -step) < 0:
+                            continue
+                        if (new, now) not in grown or total + value[new] > grown[new, now][0]:
+                            grown[new, now] = (total + value[new], [*ranges, new])
             layer = grown
     return best_ranges
 
 
-def merge_bins(
-    counts: DataFrame, cuts: Cuts, max_bins: int = MAX_BINS, min_share: float = MIN_BIN_SHARE
-) -> DataFrame:
-    """Merge fine bins of each feature; returns feature, bin, low, high, n, bad.
+def grouped_bins(counts: DataFrame, cuts: Cuts, grouping: Grouping) -> DataFrame:
+    """Merge cells of each feature into ranges; returns feature, bin, low, high, n, bad.
 
-    The search sees one feature's fine bins at a time, about twenty rows.
+    ``grouping`` sees one feature's cells (rows, bad) at a time, a few hundred at most, and
+    the rows and bad rows of all its values, missing ones too.
     """
     limits = {c: [None, *values, None] for c, values in cuts.items()}
 
@@ -130,10 +177,10 @@ def merge_bins(
         edges = limits[feature]
         all_rows, all_bad = int(table["n"].sum()), int(table["bad"].sum())
         held = {b: (int(n), int(bad)) for b, n, bad in zip(table["bin"], table["n"], table["bad"], strict=True)}
-        fine = [held.get(b, (0, 0)) for b in range(len(edges) - 1)]
+        cells = [held.get(b, (0, 0)) for b in range(len(edges) - 1)]
         out = []
-        for number, (start, end) in enumerate(best_grouping(fine, all_rows, all_bad, max_bins, min_share)):
-            inside = fine[start:end]
+        for number, (start, end) in enumerate(grouping(cells, all_rows, all_bad)):
+            inside = cells[start:end]
             out.append((number, edges[start], edges[end], sum(r for r, _ in inside), sum(b for _, b in inside)))
         if MISSING in held:
             out.append((MISSING, None, None, *held[MISSING]))
@@ -148,6 +195,29 @@ def merge_bins(
     return merged.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("low", "high")})
 
 
+def merge_bins(
+    counts: DataFrame,
+    cuts: Cuts,
+    max_bins: int = MAX_BINS,
+    min_share: float = MIN_BIN_SHARE,
+    turns: int = 0,
+) -> DataFrame:
+    """Cells of each feature to leaves of a tree, and those to few bins with a trend."""
+
+    def grouping(cells: Sequence[tuple[int, int]], all_rows: int, all_bad: int) -> list[tuple[int, int]]:
+        leaves = tree_grouping(cells, MAX_PREBINS, min_share)
+        sums = [(sum(r for r, _ in cells[a:b]), sum(x for _, x in cells[a:b])) for a, b in leaves]
+        ranges = best_grouping(sums, all_rows, all_bad, max_bins, min_share, turns)
+        return [(leaves[a][0], leaves[b - 1][1]) for a, b in ranges]
+
+    return grouped_bins(counts, cuts, grouping)
+
+
+def tree_bins(counts: DataFrame, cuts: Cuts, max_leaves: int = MAX_PREBINS) -> DataFrame:
+    """The leaves of each feature's tree as bins."""
+    return grouped_bins(counts, cuts, lambda cells, *_: tree_grouping(cells, max_leaves))
+
+
 def woe_table(counts: DataFrame) -> DataFrame:
     """Append ``woe`` and ``iv`` to rows of (feature, bin, n, bad)."""
     feature = Window.partitionBy("feature")  # a few dozen rows each
@@ -178,10 +248,15 @@ def select_by_iv(ivs: DataFrame, wanted: float = 0.02, fallback: float = 0.005)
     return ivs.where(F.col("IV") >= bar)
 
 
-def optimal_bins(train: DataFrame, features: Sequence[str], label: str = "TARGET") -> DataFrame:
-    """Merged bins with WOE and IV for every feature that has values."""
-    cuts = prebin_cuts(train, features)
-    return woe_table(merge_bins(bin_counts(train, cuts, label), cuts))
+def optimal_bins(
+    train: DataFrame, features: Sequence[str], label: str = "TARGET", turns: int = 0
+) -> DataFrame:
+    """Merged bins with WOE and IV for every feature that has values.
+
+    ``turns`` is how often the trend of a feature's bad rate may turn, 0 or 1.
+    """
+    cuts = prebin_cuts(train, features, FINE_CELLS)
+    return woe_table(merge_bins(bin_counts(train, cuts, label), cuts, turns=turns))
 
 
 def woe_expression(feature: str, bins: Iterable[Row]) -> str:

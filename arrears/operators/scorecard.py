@@ -66,9 +66,12 @@ def woe_stages(expressions: Mapping[str, str]) -> list:
 def informative_bins(
     train: DataFrame, features: Sequence[str], label: str = "TARGET"
 ) -> tuple[DataFrame, list[str]]:
-    """Bin table of all features and the features with enough information, best first."""
+    """Bin table of all features and the features with enough information, best first.
+
+    The trend of a feature may turn once.
+    """
     narrow = stage(train.select(label, *features))
-    bins = stage(optimal_bins(narrow, features, label))
+    bins = stage(optimal_bins(narrow, features, label, turns=1))
     selected = [r.feature for r in select_by_iv(information_values(bins)).collect()]
     if not selected:
         raise ValueError("no feature carries information about the label")

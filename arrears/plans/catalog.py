@@ -44,6 +44,13 @@ CUTS = {
     "bur_delinq_rate": [0.25, 0.375, 0.45],
     "n_products_delinquent": [1.0, 2.0, 3.0],
 }
+FINE_CUTS = {
+    "ins_days_late_mean": [i / 4 for i in range(-8, 56)],
+    "ins_pct_late": [i / 64 for i in range(1, 64)],
+    "bur_debt_credit_ratio": [i / 128 for i in range(1, 51)],
+    "cc_util_mean": [i / 32 for i in range(1, 40)],
+    "bur_delinq_rate": [i / 64 for i in range(1, 64)],
+}
 COEFS = {"ins_days_late_mean": -0.8, "ins_pct_late": -0.55, "bur_debt_credit_ratio": -0.35}
 INTERCEPT = -2.4
 HISTOGRAM_FEATURES = ["ins_days_late_mean", "ins_pct_late", "bur_debt_credit_ratio"]
@@ -378,6 +385,18 @@ def scorecard_points_anchored(spark: SparkSession, sf: str) -> DataFrame:
     return scorecard.points_table(_woe(spark, sf), _coefs(spark), INTERCEPT, anchor=True)
 
 
+def tree_bins(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaves of a tree per feature over fixed fine cells."""
+    train = _split_store(spark, sf).where("is_train").select("TARGET", *FINE_CUTS)
+    return binning.tree_bins(binning.bin_counts(train, FINE_CUTS), FINE_CUTS)
+
+
+def turning_bins(spark: SparkSession, sf: str) -> DataFrame:
+    """Merged bins whose trend may turn once."""
+    train = stage(_split_store(spark, sf).where("is_train").select("TARGET", *store.MODEL_FEATURES))
+    return rounded(binning.optimal_bins(train, store.MODEL_FEATURES, turns=1))
+
+
 def optimal_bins(spark: SparkSession, sf: str) -> DataFrame:
     train = stage(_split_store(spark, sf).where("is_train").select("TARGET", *store.MODEL_FEATURES))
     return rounded(binning.optimal_bins(train, store.MODEL_FEATURES))
@@ -711,7 +730,9 @@ QUERIES: Sequence[Query] = [
     woe_transform,
     scorecard_points,
     scorecard_points_anchored,
+    tree_bins,
     optimal_bins,
+    turning_bins,
     scorecard_fit,
     cv_auc,
     auc_gini_ks,

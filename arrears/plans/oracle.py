@@ -16,6 +16,7 @@ from arrears.plans.catalog import (
     DIGITS,
     DIGITS_OF,
     EXPECTED_ROWS,
+    FINE_CUTS,
     HISTOGRAM_FEATURES,
     INTERCEPT,
     SAMPLE,
@@ -268,6 +269,66 @@ def _bin_case(feature: str) -> str:
     return f"CASE WHEN {feature} IS NULL THEN -1 {steps} ELSE {len(cuts)} END"
 
 
+def _tree_bins() -> str:
+    """A tree per feature over fixed cells: a step splits the leaf with the best cut.
+
+    Rows of a step are the leaves so far. Sums up to a cell are kept with a row per limit.
+    """
+    cells = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, len(list_filter({values}, lambda c: c <= {f})) + 1 AS cell, TARGET FROM fst "
+        f"WHERE is_train AND {f} IS NOT NULL"
+        for f, values in FINE_CUTS.items()
+    )
+    missing = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST(-1 AS INT) AS bin, CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high, "
+        f"count(*) AS n, CAST(sum(TARGET) AS BIGINT) AS bad FROM fst WHERE is_train AND {f} IS NULL HAVING count(*) > 0"
+        for f in FINE_CUTS
+    )
+    edges = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, unnest(range(0, {len(v) + 2})) AS pos, unnest([NULL, {', '.join(map(str, v))}, NULL]) "
+        "AS edge"
+        for f, v in FINE_CUTS.items()
+    )
+    rounds = " UNION ALL ".join(f"SELECT '{f}' AS feature, {len(v) + 1} AS size" for f, v in FINE_CUTS.items())
+
+    def mixed(rows: str, bads: str) -> str:
+        return f"(({bads}) * (({rows}) - ({bads})) / greatest(({rows}), 1))"
+
+    return query(
+        "SELECT feature, CAST(row_number() OVER (PARTITION BY feature ORDER BY lo) - 1 AS INT) AS bin, "
+        "low.edge AS low, high.edge AS high, CAST(b.n - a.n AS BIGINT) AS n, CAST(b.bad - a.bad AS BIGINT) AS bad "
+        "FROM (SELECT * FROM tree QUALIFY step = max(step) OVER (PARTITION BY feature)) t "
+        "JOIN edges low USING (feature) JOIN edges high USING (feature) "
+        "JOIN upto a USING (feature) JOIN upto b USING (feature) "
+        "WHERE low.pos = lo AND high.pos = hi AND a.pos = lo AND b.pos = hi UNION ALL "
+        + missing,
+        f"fine AS ({cells}), sizes AS ({rounds}), edges AS ({edges}),"
+        " limits AS (SELECT feature, unnest(range(0, size + 1)) AS pos FROM sizes),"
+        " upto AS (SELECT feature, pos, (SELECT count(*) FROM fine c WHERE c.feature = limits.feature AND cell <= pos) AS n,"
+        " (SELECT coalesce(sum(TARGET), 0) FROM fine c WHERE c.feature = limits.feature AND cell <= pos) AS bad"
+        " FROM limits),"
+        " wholes AS (SELECT feature, max(n) AS whole FROM upto GROUP BY feature),"
+        " cuts AS (SELECT feature, l.pos AS lo, m.pos, h.pos AS hi, round("
+        + mixed("h.n - l.n", "h.bad - l.bad")
+        + " - "
+        + mixed("m.n - l.n", "m.bad - l.bad")
+        + " - "
+        + mixed("h.n - m.n", "h.bad - m.bad")
+        + ", 9) AS gain FROM upto l JOIN upto m USING (feature) JOIN upto h USING (feature) JOIN wholes USING (feature)"
+        " WHERE l.pos < m.pos AND m.pos < h.pos AND m.n - l.n >= greatest(0.05e0 * whole, 1)"
+        " AND h.n - m.n >= greatest(0.05e0 * whole, 1)),"
+        " best AS (SELECT * FROM cuts WHERE gain > 0"
+        " QUALIFY row_number() OVER (PARTITION BY feature, lo, hi ORDER BY gain DESC, pos) = 1),"
+        " tree AS (SELECT feature, 1 AS step, 0 AS lo, size AS hi FROM sizes UNION ALL"
+        " SELECT feature, step + 1, unnest(CASE WHEN first THEN [lo, pos] ELSE [lo] END),"
+        " unnest(CASE WHEN first THEN [pos, hi] ELSE [hi] END)"
+        " FROM (SELECT t.feature, t.step, t.lo, t.hi, b.pos, b.gain IS NOT NULL AND row_number() OVER"
+        " (PARTITION BY t.feature ORDER BY b.gain DESC NULLS LAST, t.lo) = 1 AS first,"
+        " max(b.gain) OVER (PARTITION BY t.feature) AS any_gain FROM tree t LEFT JOIN best b USING (feature, lo, hi))"
+        " WHERE any_gain IS NOT NULL AND step < 20)",
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _woe_cte() -> str:
     counted = " UNION ALL ".join(
         f"SELECT '{f}' AS feature, {_bin_case(f)} AS bin, count(*) AS n, CAST(sum(TARGET) AS BIGINT) AS bad "
@@ -731,6 +792,7 @@ def oracle_sql() -> dict[str, str]:
             SCORED,
             _comparison_cte(),
         ),
+        "tree_bins": _tree_bins(),
         "optimal_bins_checks": query(
             " UNION ALL ".join(
                 f"SELECT '{f}' AS feature, count(*) AS n, CAST(sum(TARGET) AS BIGINT) AS bad, "

@@ -9,7 +9,14 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 
-def brute_force(rows, all_rows, all_bad, max_bins, min_share):
+def trend_of(rate, turns):
+    """Whether the rates rise or fall throughout, or with one turn if that is allowed."""
+    steps = [step for step in np.diff(rate) if step != 0]
+    changes = sum(a * b < 0 for a, b in zip(steps, steps[1:], strict=False))
+    return changes <= turns
+
+
+def brute_force(rows, all_rows, all_bad, max_bins, min_share, turns=0):
     best = -1.0
     size = len(rows)
     for k in range(min(max_bins, size)):
@@ -21,7 +28,7 @@ def brute_force(rows, all_rows, all_bad, max_bins, min_share):
             if min(n) <= 0 or min(n) < min_share * all_rows:
                 continue
             rate = np.array(b) / np.array(n)
-            if not (np.all(np.diff(rate) >= 0) or np.all(np.diff(rate) <= 0)):
+            if not trend_of(rate, turns):
                 continue
             iv = sum(
                 binning.smoothed_woe(ni - bi, bi, all_rows - all_bad, all_bad)[1]
@@ -32,11 +39,15 @@ def brute_force(rows, all_rows, all_bad, max_bins, min_share):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.integers(1, 60), st.floats(0, 1)), min_size=1, max_size=8), st.integers(1, 5))
-def test_grouping_is_the_best_admissible_one(cells, max_bins):
+@given(
+    st.lists(st.tuples(st.integers(1, 60), st.floats(0, 1)), min_size=1, max_size=8),
+    st.integers(1, 5),
+    st.integers(0, 1),
+)
+def test_grouping_is_the_best_admissible_one(cells, max_bins, turns):
     rows = [(n, round(n * share)) for n, share in cells]
     all_rows, all_bad = sum(n for n, _ in rows), sum(b for _, b in rows)
-    ranges = binning.best_grouping(rows, all_rows, all_bad, max_bins, 0.1)
+    ranges = binning.best_grouping(rows, all_rows, all_bad, max_bins, 0.1, turns)
     assert [a for a, _ in ranges] == [0, *[b for _, b in ranges[:-1]]]
     assert ranges[-1][1] == len(rows)
     total = sum(
@@ -45,7 +56,73 @@ def test_grouping_is_the_best_admissible_one(cells, max_bins):
         )[1]
         for i, j in ranges
     )
-    assert total == pytest.approx(brute_force(rows, all_rows, all_bad, max_bins, 0.1), abs=1e-9)
+    assert total == pytest.approx(brute_force(rows, all_rows, all_bad, max_bins, 0.1, turns), abs=1e-9)
+
+
+def plain_tree(cells, max_leaves, least):
+    """Leaves by trying every cut of every leaf again and again."""
+    leaves = [(0, len(cells))]
+
+    def impurity(start, end):
+        n, b = (sum(c[k] for c in cells[start:end]) for k in (0, 1))
+        return b * (n - b) / n if n else 0.0
+
+    while len(leaves) < max_leaves:
+        found = []
+        for start, end in leaves:
+            for at in range(start + 1, end):
+                sizes = [sum(n for n, _ in cells[a:b]) for a, b in ((start, at), (at, end))]
+                gain = round(impurity(start, end) - impurity(start, at) - impurity(at, end), 9)
+                if min(sizes) >= least and gain > 0:
+                    found.append((-gain, start, end, at))
+        if not found:
+            break
+        _, start, end, at = min(found, key=lambda f: (f[0], f[1], f[2], f[3]))
+        leaves.remove((start, end))
+        leaves += [(start, at), (at, end)]
+    return sorted(leaves)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.floats(0, 1)), min_size=1, max_size=25), st.integers(1, 8))
+def test_tree_takes_the_best_cut_each_time(cells, max_leaves):
+    rows = [(n, round(n * share)) for n, share in cells]
+    least = max(0.05 * sum(n for n, _ in rows), 1)
+    assert binning.tree_grouping(rows, max_leaves) == plain_tree(rows, max_leaves, least)
+
+
+def test_leaves_hold_their_share_and_lose_no_information(planted):
+    """Against the bins that plain quantiles gave before."""
+    features = [f"f{j}" for j in range(5)]
+    fine = binning.prebin_cuts(planted, features, binning.FINE_CELLS)
+    leaves = binning.tree_bins(binning.bin_counts(planted, fine), fine).collect()
+    for f in features:
+        own = [b.n for b in leaves if b.feature == f and b.bin >= 0]
+        assert len(own) <= 20 and min(own) >= 0.05 * sum(own)
+    coarse = binning.prebin_cuts(planted, features)
+
+    def quantiles(cells, all_rows, all_bad):
+        return binning.best_grouping(cells, all_rows, all_bad, 10, 0.05)
+
+    before = binning.grouped_bins(binning.bin_counts(planted, coarse), coarse, quantiles)
+    old = {r.feature: r.IV for r in binning.information_values(binning.woe_table(before)).collect()}
+    new = {r.feature: r.IV for r in binning.information_values(binning.optimal_bins(planted, features)).collect()}
+    assert new["f0"] >= old["f0"]
+    assert sum(new.values()) >= sum(old.values())
+
+
+def test_a_valley_keeps_its_information(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=8000)
+    y = rng.random(8000) < 1 / (1 + np.exp(-(1.5 * x * x - 2)))
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, y, strict=True)], "x double, TARGET int")
+    cuts = binning.prebin_cuts(df, ["x"])
+    fine = binning.information_values(binning.woe_table(binning.bin_counts(df, cuts))).first().IV
+    turning = binning.optimal_bins(df, ["x"], turns=1)
+    assert binning.information_values(turning).first().IV >= 0.8 * fine
+    assert binning.information_values(binning.optimal_bins(df, ["x"])).first().IV < 0.6 * fine
+    rates = [b.bad / b.n for b in turning.orderBy("bin").collect()]
+    assert trend_of(rates, 1) and not trend_of(rates, 0)
 
 
 def test_merged_bins_hold_the_constraints(planted):
