@@ -415,12 +415,15 @@ def scorecard_fit(spark: SparkSession, sf: str) -> DataFrame:
     return scorecard.points_table(bins, coefs, model.stages[-1].intercept)
 
 
+def _woe_inputs(train: DataFrame) -> dict[str, str]:
+    bins, selected = scorecard.informative_bins(train, store.MODEL_FEATURES)
+    return binning.woe_expressions(bins, selected)
+
+
 def cv_auc(spark: SparkSession, sf: str) -> DataFrame:
     train = _modelled(spark, sf).where("is_train")
-    bins, selected = scorecard.informative_bins(train, store.MODEL_FEATURES)
-    expressions = binning.woe_expressions(bins, selected)
-    mean, deviation = scorecard.cross_validated_auc(train, expressions)
-    return spark.createDataFrame([(float(mean), float(deviation))], "mean_auc double, sd_auc double")
+    mean, deviation = scorecard.cross_validated_auc(train, _woe_inputs(train))
+    return spark.createDataFrame([(mean, deviation)], "mean_auc double, sd_auc double")
 
 
 # --- model metrics ----------------------------------------------------------------------

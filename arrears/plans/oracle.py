@@ -806,7 +806,7 @@ def oracle_sql() -> dict[str, str]:
             "TRUE AS intercept_at_minimum, TRUE AS classes_balanced, TRUE AS points_follow FROM fst WHERE is_train"
         ),
         "cv_checks": query(
-            "SELECT TARGET, fold, count(*) AS n, TRUE AS valid_auc FROM (SELECT TARGET, "
+            "SELECT TARGET, fold, count(*) AS n, TRUE AS auc_by_sql FROM (SELECT TARGET, "
             "CAST((row_number() OVER (PARTITION BY TARGET ORDER BY md5(CAST(SK_ID_CURR AS VARCHAR) || ':43'), "
             "SK_ID_CURR) - 1) % 5 AS INT) AS fold FROM fst WHERE is_train) GROUP BY TARGET, fold"
         ),

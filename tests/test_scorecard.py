@@ -204,6 +204,27 @@ def test_cross_validation_finds_the_signal(planted):
     assert deviation < 0.1
 
 
+def test_folds_models_equal_single_fits(spark, planted):
+    """Against a Newton solve of each fold on its own, and the AUC by comparing all pairs."""
+    bins, selected = scorecard.informative_bins(planted, [f"f{j}" for j in range(5)])
+    expressions = binning.woe_expressions(bins, selected)
+    scored = scorecard.cross_validated_scores(planted, expressions).toPandas()
+    woe = planted.select("SK_ID_CURR", *[F.expr(e).alias(f"x{i}") for i, e in enumerate(expressions.values())])
+    data = woe.toPandas().merge(scored, on="SK_ID_CURR")
+    x, y, fold = data.filter(regex="^x").to_numpy(), data["TARGET"].to_numpy(), data["fold"].to_numpy()
+    aucs = []
+    for m in range(5):
+        seen, own = fold != m, fold == m
+        counts = np.bincount(y[seen], minlength=2)
+        beta = newton(x[seen], y[seen], (seen.sum() / (2 * counts))[y[seen]], 0.1)
+        want = 1 / (1 + np.exp(-(x[own] @ beta[:-1] + beta[-1])))
+        assert np.allclose(data["score"][own], want, atol=1e-8)
+        bad, good = data["score"][own & (y == 1)].to_numpy(), data["score"][own & (y == 0)].to_numpy()
+        aucs.append(np.mean((bad[:, None] > good) + 0.5 * (bad[:, None] == good)))
+    mean, deviation = scorecard.cross_validated_auc(planted, expressions)
+    assert (mean, deviation) == pytest.approx((np.mean(aucs), np.std(aucs)), abs=1e-9)
+
+
 def test_points_anchor(spark):
     woe = spark.createDataFrame([("a", 0, None, None, 0.0, 0.0), ("b", 0, None, None, 0.0, 0.0)], "feature string, bin int, low double, high double, woe double, iv double")
     coefs = spark.createDataFrame([("a", -1.0), ("b", -1.0)], "feature string, coef double")
