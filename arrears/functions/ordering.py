@@ -56,13 +56,17 @@ def number_in_order(
 
     ``order`` must decide between any two rows, so end it with a unique key. ``totals``
     maps new column to the summed column; a total includes its own row and passes over
-    nulls. ``by`` numbers each group on its own; a null is a group of its own.
+    nulls and stays exact for whole numbers and decimals. ``by`` numbers each group on its
+    own; a null is a group of its own.
 
     One range shuffle and one write: the shuffle takes as many slices as the size asks
     for, and the numbered slices are staged, which also makes their last rows cheap to
     read for the shift.
     """
     totals, by = dict(totals or {}), list(by)
+    decimals = {t: df.schema[c].dataType for t, c in totals.items() if isinstance(df.schema[c].dataType, T.DecimalType)}
+    if decimals:
+        return _with_decimal_totals(df, order, totals, by, decimals)
     names = list(df.columns)
     at = [names.index(c) for c in by]
     exact = {
@@ -131,6 +135,28 @@ def number_in_order(
     )
 
 
+def _with_decimal_totals(
+    df: DataFrame,
+    order: Sequence[Column],
+    totals: Mapping[str, str],
+    by: Sequence[str],
+    decimals: Mapping[str, T.DecimalType],
+) -> DataFrame:
+    """``number_in_order`` with decimals summed as whole numbers of their last digit."""
+    units = {f"_units_{t}": (t, 10**kind.scale) for t, kind in decimals.items()}
+    scaled = df.withColumns(
+        {c: (F.col(totals[t]) * F.lit(unit)).cast("bigint") for c, (t, unit) in units.items()}
+    )
+    sources = dict(totals) | {t: c for c, (t, _) in units.items()}
+    placed = number_in_order(scaled, order, sources, by).drop(*units)
+    return placed.withColumns(
+        {
+            t: (F.col(t).cast("decimal(19,0)") / F.lit(unit)).cast(T.DecimalType(38, decimals[t].scale))
+            for t, unit in units.values()
+        }
+    )
+
+
 def first_in_order(
     df: DataFrame,
     orders: Mapping[str, tuple[Sequence[Column], Sequence[Column]]],

@@ -107,6 +107,9 @@ def missing_profile(store: DataFrame, top: int | None = None) -> DataFrame:
     return ranked if top is None else ranked.limit(top)
 
 
+NEARLY_NOTHING = 1e-6  # of a sum of squares
+
+
 def _moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Rows, means, centred squares and product of two columns where both have values.
 
@@ -123,6 +126,34 @@ def _moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array([len(x), x[0] + mx, y[0] + my, ex @ ex, ey @ ey, ex @ ey])
 
 
+def _all_moments(values: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """``_moments`` of many pairs of columns at once, by four matrix products.
+
+    ``left`` and ``right`` number the columns of the pairs. Values are taken relative to the
+    first one of their column. Where sums of squares nearly cancel, as for a column that is
+    constant beside the other one only, the pair is worked out on its own.
+    """
+    known = ~np.isnan(values)
+    first = values[known.argmax(axis=0), np.arange(values.shape[1])]
+    first = np.where(known.any(axis=0), first, 0.0)
+    x, held = np.where(known, values - first, 0.0), known.astype(float)
+    sums, squares = x.T @ held, (x * x).T @ held  # of the first column, over rows that have both
+    n = (held.T @ held)[left, right]
+    some = np.maximum(n, 1)
+    sum_a, sum_b = sums[left, right], sums[right, left]
+    square_a, square_b = squares[left, right], squares[right, left]
+    spread_a, spread_b = square_a - sum_a**2 / some, square_b - sum_b**2 / some
+    product = (x.T @ x)[left, right] - sum_a * sum_b / some
+    out = np.stack(
+        [n, first[left] + sum_a / some, first[right] + sum_b / some, spread_a, spread_b, product], axis=1
+    )
+    out[n == 0] = 0.0
+    unsure = (spread_a < NEARLY_NOTHING * square_a) | (spread_b < NEARLY_NOTHING * square_b)
+    for i in np.flatnonzero(unsure):
+        out[i] = _moments(values[:, left[i]], values[:, right[i]])
+    return out
+
+
 def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Moments of two disjoint sets of rows; one row per pair of columns."""
     n = a[:, 0] + b[:, 0]
@@ -145,14 +176,14 @@ def _correlations(store: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
     no correlation.
     """
     columns = sorted({c for pair in pairs for c in pair})
-    place = {c: i for i, c in enumerate(columns)}
+    left, right = (np.array([columns.index(pair[side]) for pair in pairs]) for side in (0, 1))
     sums = ["n", "mx", "my", "sxx", "syy", "sxy"]
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((len(pairs), 6))
         for batch in batches:
-            values = batch.to_numpy(dtype=float).T
-            total = _merged(total, np.array([_moments(values[place[a]], values[place[b]]) for a, b in pairs]))
+            if len(batch):
+                total = _merged(total, _all_moments(batch.to_numpy(dtype=float), left, right))
         out = pd.DataFrame(total, columns=sums)
         out.insert(0, "pair", np.arange(len(pairs)))
         yield out[out["n"] > 0]

@@ -7,13 +7,25 @@ it outlives lost executors and later passes read only the columns they need.
 from __future__ import annotations
 
 import tempfile
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SCOPES: list[list[str]] = []  # folders made inside each open scope, the innermost last
+
+class _Scopes(threading.local):
+    """Folders made inside each open scope of a thread and application, the innermost last."""
+
+    def __init__(self):
+        self.by_application: dict[str, list[list[str]]] = {}
+
+    def of(self, spark: SparkSession) -> list[list[str]]:
+        return self.by_application.setdefault(spark.sparkContext.applicationId, [])
+
+
+_SCOPES = _Scopes()
 
 
 def use_local_folder(spark: SparkSession) -> None:
@@ -41,8 +53,9 @@ def _configured(spark: SparkSession) -> str | None:
 def new_folder(spark: SparkSession) -> str:
     """A fresh path in the shared folder."""
     path = f"{staging_root(spark)}/{uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scopes = _SCOPES.of(spark)
+    if scopes:
+        scopes[-1].append(path)
     return path
 
 
@@ -53,25 +66,26 @@ def scope(spark: SparkSession) -> Iterator[None]:
     For a step that has written its results by then. A query that returns a lazy frame
     cannot use one, as its caller still has to read what it staged.
     """
-    _SCOPES.append([])
+    _SCOPES.of(spark).append([])
     try:
         yield
     finally:
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         settings = spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in _SCOPES.pop():
+        for folder in _SCOPES.of(spark).pop():
             path = hadoop(folder)
             path.getFileSystem(settings).delete(path, True)
 
 
 def keep(df: DataFrame) -> DataFrame:
     """Stage ``df`` outside of the innermost scope, so that it stays when that ends."""
-    inner = _SCOPES.pop() if _SCOPES else None
+    scopes = _SCOPES.of(df.sparkSession)
+    inner = scopes.pop() if scopes else None
     try:
         return stage(df)
     finally:
         if inner is not None:
-            _SCOPES.append(inner)
+            scopes.append(inner)
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import numpy as np
 import pytest
 from arrears.functions import ordering
@@ -74,6 +76,15 @@ def test_null_groups_and_doubles(spark):
     assert len(found) == 500
 
 
+def test_totals_of_decimals_are_exact(spark):
+    df = spark.range(9).selectExpr("id", "CAST(IF(id = 4, NULL, id + 0.75) AS DECIMAL(12,2)) AS m", "id AS w")
+    found = number_in_order(df.repartition(3), [F.col("id")], totals={"upto": "m", "n": "w"}).collect()
+    total, n = Decimal("0.00"), 0
+    for r in sorted(found, key=lambda r: r.id):
+        total, n = total + (r.m or 0), n + r.w
+        assert (r.upto, r.n) == (total, n)
+
+
 @pytest.mark.parametrize("by", [[], ["g"]])
 def test_quantiles_equal_numpy(skewed, brackets, by):
     shares = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]

@@ -266,3 +266,25 @@ def test_correlation_of_large_numbers(spark):
     held = small.where("d IS NOT NULL")
     assert found["a", "d"] == pytest.approx(held.corr("a", "d"), abs=1e-9)
     assert found["a", "c"] is None and found["c", "TARGET"] is None
+
+
+def test_moments_by_matrix_products(monkeypatch):
+    """Equal to each pair on its own; constant, empty and partly constant columns too."""
+    rng = np.random.default_rng(9)
+    values = rng.normal(size=(400, 7)) * [1, 1e6, 1e-5, 1, 1, 1, 1] + [0, 1e9, 0, 5, 0, 0, 0]
+    values[rng.random(values.shape) < 0.3] = np.nan
+    values[:, 4] = 0.1
+    values[:, 5] = np.nan
+    values[~np.isnan(values[:, 0]), 6] = 0.7  # constant beside the first column only
+    left, right = (np.array(side) for side in zip(*combinations(range(7), 2), strict=True))
+    found = quality._all_moments(values, left, right)
+    want = np.array([quality._moments(values[:, a], values[:, b]) for a, b in zip(left, right, strict=True)])
+    assert np.allclose(found[:, :3], want[:, :3], rtol=1e-12)
+    for part in (3, 4):
+        assert np.array_equal(found[:, part] == 0, want[:, part] == 0)
+
+    def corr(moments):
+        spread = np.sqrt(moments[:, 3] * moments[:, 4])
+        return moments[:, 5] / np.where(spread > 0, spread, 1)
+
+    assert np.allclose(corr(found), corr(want), atol=1e-12)
