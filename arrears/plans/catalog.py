@@ -30,6 +30,7 @@ from arrears.operators import (
     split,
     store,
 )
+from arrears.plans import stages
 from arrears.sources import sinks, tables, tpch
 from arrears.sources.staging import new_folder, stage
 
@@ -254,6 +255,33 @@ def saved_store(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sinks.save_table(_store(spark, sf), new_folder(spark), "feature_store"))
 
 
+def resumed_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The priority list of a run that broke off between two tables and was resumed."""
+    broken = []
+
+    def build(run: stages.Run) -> list[str]:
+        run.save(store.feature_store(run.raw()), "feature_store")
+        return ["feature_store"]
+
+    def rank(run: stages.Run) -> list[str]:
+        frame = run.save(_priority_of(run.load("feature_store")), "priority")
+        if not broken:
+            broken.append(True)
+            raise InterruptedError
+        run.save(policy.priority_list(frame), "priority_list")
+        return ["priority", "priority_list"]
+
+    run = stages.Run(spark, new_folder(spark), tpch.tables(spark, sf))
+    steps = {1: build, 2: rank}
+    try:
+        stages.run_stages(run, stages=steps)
+    except InterruptedError:
+        redone = stages.run_stages(run, resume=True, stages=steps)
+        if list(redone) != [2]:
+            raise RuntimeError("only the stage that broke off had to run again") from None
+    return rounded(run.load("priority_list"))
+
+
 # --- feature families -------------------------------------------------------------------
 
 
@@ -703,6 +731,7 @@ QUERIES: Sequence[Query] = [
     csv_round_trip,
     csv_store,
     saved_store,
+    resumed_run,
     installment_base,
     ins_features,
     card_base,

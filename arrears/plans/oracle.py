@@ -655,6 +655,11 @@ def oracle_sql() -> dict[str, str]:
         f"(SELECT unnest({values}::{'INT' if name == 'capacity' else 'DOUBLE'}[]) AS {name})"
         for name, values in grid_values.items()
     )
+    priority_list = query(
+        f"SELECT SK_ID_CURR, {rounding(PRIORITY_DOUBLES)}, TARGET, priority_rank, "
+        "0.3e0 AS contact_eff_assumption FROM ranked",
+        *policies,
+    )
     top = "SELECT priority_rank, SK_ID_CURR, ew_flag, risk_tier, {} FROM ranked LEFT JOIN flags USING (SK_ID_CURR)"
     return {
         "input_contract": query(_contract()),
@@ -900,11 +905,8 @@ def oracle_sql() -> dict[str, str]:
             "WHERE calls % 100 = 0 AND calls < least(5000, (SELECT count(*) FROM priority))",
             *policies,
         ),
-        "priority_list": query(
-            f"SELECT SK_ID_CURR, {rounding(PRIORITY_DOUBLES)}, TARGET, priority_rank, "
-            "0.3e0 AS contact_eff_assumption FROM ranked",
-            *policies,
-        ),
+        "priority_list": priority_list,
+        "resumed_run": priority_list,
         "loss_sample": query(
             f"SELECT SK_ID_CURR, {rounding(['PD', 'EAD', 'expected_loss'])} FROM called "
             f"WHERE strategy = '{policy.RANDOM}' AND calls <= 5000",

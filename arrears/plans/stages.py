@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import json
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ from arrears.operators import (
     split,
     store,
 )
+from arrears.plans.manifests import Manifests, raw_state
 from arrears.sources import sinks
 from arrears.sources.staging import scope
 from arrears.sources.tables import Tables, input_contract
@@ -46,17 +49,81 @@ class Run:
     # "as_of": on the store of each month; "masked": from the store alone, without raw history
     lead_time_from: str = "raw"
 
+    def __post_init__(self):
+        self.manifests = Manifests(self.spark, self.folder)
+        self._stage: dict | None = None  # what the running stage has written and read
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        return sinks.save_table(df, self.folder, name)
+        return sinks.save_table(df, self.folder, self._new_version(name))
+
+    def save_model(self, model: PipelineModel, measured: DataFrame, name: str) -> None:
+        sinks.save_model(model, measured, self.folder, self._new_version(name))
 
     def load(self, name: str) -> DataFrame:
-        return sinks.load_table(self.spark, self.folder, name)
+        return sinks.load_table(self.spark, self.folder, self._version(name))
+
+    def load_model(self, name: str) -> tuple[PipelineModel, DataFrame]:
+        return sinks.load_model(self.spark, self.folder, self._version(name))
 
     def raw(self) -> Tables:
         if self.tables is None:
             raise ValueError("this step needs the raw tables")
+        if self._stage:
+            self._stage["raw"] = raw_state(self.tables)
         return self.tables
 
+    def _new_version(self, name: str) -> str:
+        if self._stage is None:
+            return name
+        self._stage["tables"][name] = self._stage["version"]
+        return f"{name}/{self._stage['version']}"
+
+    def _version(self, name: str) -> str:
+        """The place of a table: of the running stage, or of the stage that published it."""
+        if self._stage and name in self._stage["tables"]:
+            return f"{name}/{self._stage['tables'][name]}"
+        version = self.published().get(name)
+        if self._stage and version:
+            self._stage["inputs"][name] = version
+        return f"{name}/{version}" if version else name
+
+    def published(self) -> dict[str, str]:
+        found = {}
+        for stage in STAGES:
+            found |= (self.manifests.current(stage) or {"tables": {}})["tables"]
+        return found
+
+    def settings(self, stage: int) -> dict:
+        """What of the settings the stage depends on."""
+        return {name: getattr(self, name) for name in SETTINGS.get(stage, ())}
+
+    def outdated(self, stage: int) -> str | None:
+        """Why a stage's results do not fit the inputs and settings there are; None if they do."""
+        manifest = self.manifests.current(stage)
+        if manifest is None:
+            return "has not finished"
+        if manifest["settings"] != json.loads(json.dumps(self.settings(stage))):
+            return "ran with other settings"
+        published = self.published()
+        changed = [name for name, version in manifest["inputs"].items() if published.get(name) != version]
+        if changed:
+            return f"read {', '.join(sorted(changed))} before the present version"
+        if manifest["raw"] and self.tables is not None and manifest["raw"] != raw_state(self.tables):
+            return "read other raw tables"
+        return None
+
+    def run_stage(self, stage: int, work: Callable[[Run], list[str]]) -> list[str]:
+        """Run a stage and publish its manifest; until then its last results stand."""
+        self._stage = {"version": uuid4().hex, "tables": {}, "inputs": {}, "raw": {}}
+        try:
+            with scope(self.spark):
+                saved = work(self)
+            manifest = {k: self._stage[k] for k in ("tables", "inputs", "raw")}
+        finally:
+            self._stage = None
+        self.manifests.publish(stage, manifest | {"settings": self.settings(stage)})
+        return saved
+
 
 def build_store(run: Run) -> list[str]:
     """Check the inputs, build the feature store and profile it."""
@@ -102,7 +169,7 @@ def fit_scorecard(run: Run) -> list[str]:
     coefs = scorecard.coefficients(run.spark, model, selected)
     scores = run.save(_scores(model, customers, BASELINE), "scorecard_scores")
     measured = run.save(_sample_metrics(scores), "scorecard_metrics")
-    sinks.save_model(model, measured, run.folder, "scorecard_model")
+    run.save_model(model, measured, "scorecard_model")
     drift = metrics.psi(metrics.psi_bins(scores))
     mean, deviation = scorecard.cross_validated_auc(
         customers.where("is_train"), binning.woe_expressions(bins, selected)
@@ -129,7 +196,7 @@ def fit_challenger(run: Run) -> list[str]:
     model = challenger.fit_boosted_trees(customers.where("is_train"), features, run.trees)
     scores = run.save(_scores(model, customers, CHALLENGER), "challenger_scores")
     measured = _sample_metrics(scores)
-    sinks.save_model(model, measured, run.folder, "challenger_model")
+    run.save_model(model, measured, "challenger_model")
     inputs = model.transform(customers.where(~F.col("is_train")))
     parts = run.save(
         attribution.path_contributions(inputs, attribution.tree_nodes(run.spark, model), features),
@@ -244,14 +311,38 @@ STAGES: dict[int, Callable[[Run], list[str]]] = {
 }
 
 
-def run_stages(run: Run, only: int | None = None, start: int = 1) -> dict[int, list[str]]:
+# The fields of a run that each stage depends on.
+SETTINGS: dict[int, tuple[str, ...]] = {
+    1: ("expected_rows",),
+    3: ("trees",),
+    4: ("warning_trees", "lead_time_from"),
+    5: ("capacity",),
+    6: ("capacity",),
+    7: ("capacity",),
+}
+
+
+def run_stages(
+    run: Run,
+    only: int | None = None,
+    start: int = 1,
+    resume: bool = False,
+    stages: Mapping[int, Callable[[Run], list[str]]] | None = None,
+) -> dict[int, list[str]]:
     """Run one stage, or all from ``start`` on; returns the tables each stage saved.
 
-    What a stage has staged on its way is removed when it has saved its tables.
+    A start after the first stage is refused if an earlier one has not finished, or has read
+    or been set otherwise than now. ``resume`` runs those stages that do not fit, and all
+    whose inputs they change. What a stage has staged on its way is removed at its end.
     """
-    chosen: Iterable[int] = [only] if only is not None else [k for k in STAGES if k >= start]
+    stages = stages or STAGES
     saved = {}
-    for k in chosen:
-        with scope(run.spark):
-            saved[k] = STAGES[k](run)
+    if only is None and not resume:
+        for k in stages:
+            reason = run.outdated(k) if k < start else None
+            if reason:
+                raise ValueError(f"stage {k} {reason}; run it, or resume")
+    for k in [only] if only is not None else stages:
+        if only is not None or (run.outdated(k) if resume else k >= start):
+            saved[k] = run.run_stage(k, stages[k])
     return saved
