@@ -31,7 +31,7 @@ from arrears.operators import (
     store,
 )
 from arrears.plans import stages
-from arrears.sources import sinks, tables, tpch
+from arrears.sources import buckets, sinks, tables, tpch
 from arrears.sources.staging import new_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,6 +255,13 @@ def saved_store(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sinks.save_table(_store(spark, sf), new_folder(spark), "feature_store"))
 
 
+def bucketed_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature store from raw tables that are kept in buckets of their keys."""
+    folder = new_folder(spark)
+    buckets.write_bucketed(tpch.tables(spark, sf), folder)
+    return rounded(store.feature_store(buckets.read_bucketed(spark, folder)))
+
+
 def resumed_run(spark: SparkSession, sf: str) -> DataFrame:
     """The priority list of a run that broke off between two tables and was resumed."""
     broken = []
@@ -731,6 +738,7 @@ QUERIES: Sequence[Query] = [
     csv_round_trip,
     csv_store,
     saved_store,
+    bucketed_store,
     resumed_run,
     installment_base,
     ins_features,

@@ -667,6 +667,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_round_trip": ins_sql,
         "csv_store": _store_sql(),
         "saved_store": _store_sql(),
+        "bucketed_store": _store_sql(),
         "installment_base": query(
             "SELECT SK_ID_CURR, SK_ID_PREV, NUM_INSTALMENT_NUMBER, is_missed, "
             + rounding(["DAYS_INSTALMENT", "days_late", "underpay_ratio"])
