@@ -18,13 +18,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrears.llm.batches import spans_by_size
@@ -36,6 +37,10 @@ BEST = 2000
 UNKNOWN = "und"
 FIRST_REACH, REACH_STEP = 32, 32  # counts, in multiples of the least, that rounds go up to
 SLICE_BYTES = 1_000_000
+# Rows of the skeleton are small: Parquet gathers at least a hundred in a page.
+SKELETON_BYTES = 125_000
+BATCH_BYTES = "8m"
+HELD_KEYS = 500_000  # keys a task counts together
 HELD_WORDS = 100_000  # distinct words a task counts before it passes them on
 BITS = 24  # slots of a bitmap, as a power of two: 2 MB
 TASK_ROWS = 20_000  # rows that are ranked together, about
@@ -45,15 +50,28 @@ GAP = b"\n"
 SEED = 42
 
 
-def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of a few megabytes for the passes run inside, which all end there."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _slices(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[tuple[str, list[bytes]]]:
     """Words and gaps of the texts of one language in a slice; empty strings are no words."""
     for batch in batches:
         for lang in batch.column("lang").unique().to_pylist():
             texts = batch.filter(pc.equal(batch.column("lang"), lang)).column("text")
             sizes = pc.binary_length(texts).to_pylist()
-            for start, end in spans_by_size(sizes, SLICE_BYTES):
+            for start, end in spans_by_size(sizes, limit):
                 said = GAP.join(texts.slice(start, end - start).cast(pa.binary()).to_pylist())
                 yield lang, said.translate(LOWER).replace(GAP, b" \n ").split(b" ")
+        pa.default_memory_pool().release_unused()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -61,7 +79,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
-        for lang, words in _slices(batches):
+        for lang, words in _slices(batches, SLICE_BYTES):
             held.setdefault(lang, Counter()).update(words)
             if sum(map(len, held.values())) > HELD_WORDS:
                 yield from passed_on(held)
@@ -132,13 +150,14 @@ class Bitmap:
 
 
 def skeleton(texts: DataFrame, frequent: Bitmap) -> DataFrame:
-    """Rows of lang, words and numbers (32 bits each, 0 a gap) for every slice of text."""
+    """Rows of lang, words, their keys and numbers (32 bits each, 0 a gap) for slices of text."""
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words in _slices(batches):
+        for lang, words in _slices(batches, SKELETON_BYTES):
             found = list(dict.fromkeys(words))
             usable = [w not in (GAP, b"") for w in found]
-            kept = np.array(usable) & frequent.holds(_word_keys(lang, found))
+            keys = _word_keys(lang, found)
+            kept = np.array(usable) & frequent.holds(keys)
             numbers = np.where(kept, np.cumsum(kept), 0)
             number = dict(zip(found, numbers.tolist(), strict=True))
             number[b""] = -1
@@ -151,22 +170,23 @@ def skeleton(texts: DataFrame, frequent: Bitmap) -> DataFrame:
                     "words": pa.array(
                         [[w for w, k in zip(found, kept, strict=True) if k]], pa.list_(pa.binary())
                     ),
+                    "keys": pa.array([keys[kept].tobytes()], pa.binary()),
                     "numbers": pa.array([ids.tobytes()], pa.binary()),
                 }
             )
 
-    return texts.mapInArrow(write, "lang string, words array<binary>, numbers binary")
+    return texts.mapInArrow(write, "lang string, words array<binary>, keys binary, numbers binary")
 
 
 class _Slice:
     """Numbers of a slice, with gaps around, and its vocabulary; number 0 has no word."""
 
-    def __init__(self, lang: str, words: pa.Array, numbers: bytes):
+    def __init__(self, lang: str, words: pa.Array, keys: bytes, numbers: bytes):
         self.lang = lang
         self.words = pa.concat_arrays([pa.array([None], pa.binary()), words.cast(pa.binary())])
         ids = np.frombuffer(numbers, np.int32).astype(np.int64)
         self.ids = np.concatenate([[0], ids, np.zeros(LONGEST + 1, dtype=np.int64)])
-        self.keys = np.append(np.uint64(0), _word_keys(lang, words.to_pylist()))
+        self.keys = np.append(np.uint64(0), np.frombuffer(keys, np.uint64))
 
     def phrases(self, at: np.ndarray, size: int) -> pa.Array:
         said = [self.words.take(pa.array(self.ids[at + j])) for j in range(size)]
@@ -190,6 +210,7 @@ def _read_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[_Slice]:
             yield _Slice(
                 batch.column("lang")[i].as_py(),
                 batch.column("words")[i].values,
+                batch.column("keys")[i].as_py(),
                 batch.column("numbers")[i].as_py(),
             )
 
@@ -201,7 +222,12 @@ def grown(corpus: DataFrame, first: Bitmap, known: Mapping[int, Bitmap], size: i
     that occurs often enough is missing; a row is two numbers, whatever the words are.
     """
 
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "n": pa.array(counts)})
+
     def grow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for part in _read_slices(batches):
             wanted = np.append(False, first.holds(part.keys[1:]))
             at = np.flatnonzero(wanted[part.ids])
@@ -213,8 +239,12 @@ def grown(corpus: DataFrame, first: Bitmap, known: Mapping[int, Bitmap], size: i
                     goes_on &= known[j].holds(key)
                 at, key, word = at[goes_on], key[goes_on], word[goes_on]
                 key = _longer(key, part.keys[word])
-            keys, counts = np.unique(key, return_counts=True)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "n": pa.array(counts)})
+            held.append(key)
+            if sum(map(len, held)) > HELD_KEYS:
+                yield counted(held)
+                held = []
+        if held:
+            yield counted(held)
 
     partial = corpus.mapInArrow(grow, "key bigint, n bigint")
     return partial.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST).select("key")
@@ -327,10 +357,7 @@ def collocations(docs: DataFrame, best: int = BEST) -> DataFrame:
     are lower-cased in A-Z; phrases do not cross ``.,;:!?`` or line breaks. A phrase has
     2 to 5 words and occurs ``LEAST`` times at least; one whose every occurrence lies in the
     same longer phrase is left out. Ties of score go by count, then by the phrase's bytes.
-    Repeated rows count as often as they stand there. Without such phrases, and for an empty
-    table, the result is empty.
-    """
-    texts = docs.select(
+XX    texts = docs.select(
         F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     )
     counts = stage(word_counts(texts))

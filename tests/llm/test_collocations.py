@@ -86,6 +86,8 @@ def test_random_texts(spark, monkeypatch, least, best, bits):
     monkeypatch.setattr(c, "FIRST_REACH", 2)
     monkeypatch.setattr(c, "REACH_STEP", 3)
     monkeypatch.setattr(c, "SLICE_BYTES", 3000)
+    monkeypatch.setattr(c, "SKELETON_BYTES", 2000)
+    monkeypatch.setattr(c, "HELD_KEYS", 50)
     monkeypatch.setattr(c, "TASK_ROWS", 10)
     rows = corpus(least * best)
     assert result(c.collocations(frame_of(spark, rows), best)) == sorted(brute_force(rows, least, best))
