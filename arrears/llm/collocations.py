@@ -357,7 +357,15 @@ def collocations(docs: DataFrame, best: int = BEST) -> DataFrame:
     are lower-cased in A-Z; phrases do not cross ``.,;:!?`` or line breaks. A phrase has
     2 to 5 words and occurs ``LEAST`` times at least; one whose every occurrence lies in the
     same longer phrase is left out. Ties of score go by count, then by the phrase's bytes.
-XX    texts = docs.select(
+    Repeated rows count as often as they stand there. Without such phrases, and for an empty
+    table, the result is empty.
+    """
+    with small_batches(docs.sparkSession):
+        return _collocations(docs, best)
+
+
+def _collocations(docs: DataFrame, best: int) -> DataFrame:
+    texts = docs.select(
         F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     )
     counts = stage(word_counts(texts))
