@@ -1,28 +1,31 @@
-"""Repeated passages, found by shared lines, aligned, and deleted from the later document.
+"""Repeated passages, found by shared rare lines, aligned, and deleted from the later document.
 
-A line here ends with a line break or with a sentence, and a sentence of more than
+Words are runs of characters other than blanks and the controls 9 to 13. A line ends with a
+line break or with a word that ends a sentence, and a sentence of more than
 ``2 * CUT_WORDS - 2`` words is cut again at words that its content chooses: the word with the
-smallest checksum of every ``CUT_WORDS`` in a row. Two documents that share a passage share
-its cuts but for that many words at either edge, wherever they enter it. So every shared
-passage of ``MIN_WORDS + 2 * (2 * CUT_WORDS - 2)`` words or more, in runs of the same lines,
-is found, and what may stay of it are ``2 * CUT_WORDS - 2`` words at each edge. An anchor is a run of whole lines that just reaches ``ANCHOR_WORDS`` words,
-forwards from a line or backwards to one. Short lines are thereby taken together with their neighbours, so
-an anchor that two documents share is rare unless a passage really repeats, and every line
-of a common block of that many words lies in a shared anchor.
-
-Each anchor has a first holder: the document with the smallest (doc_id, digest). A later
-document is aligned with the first holder of each of its anchors, which gives as many pairs
-as there are repeats, never all pairs of a group, and loses no repeat: whatever stands in an
-earlier document stands in a first holder.
+smallest hash of every ``CUT_WORDS`` in a row. Two documents that share a passage share its
+cuts but for that many words at either edge, wherever they enter it.
+
+Single lines are short and often stock, so they are taken together until they are rare: an
+anchor is a run of whole lines that just reaches ``ANCHOR_WORDS`` words, forwards from a line
+or backwards to one. Each anchor has a first holder, the document with the smallest (doc_id,
+digest). A later document is aligned with the first holder of each of its anchors: as many
+pairs as there are repeats, never all pairs of a group. Patience sorting puts the anchors of
+a pair into chains that ascend in both documents; anchors of a chain that overlap or touch
+on one diagonal are a block, and a block of ``MIN_WORDS`` words or more goes.
+
+With both limits equal, as by default, every run of whole lines of that many words that
+stands in one earlier document goes, whoever else holds parts of it, and nothing else does:
+what goes stands, ``MIN_WORDS`` words in a row, in one earlier document. A shared passage of
+``MIN_WORDS + 2 * (2 * CUT_WORDS - 2)`` words or more always holds such a run; what may stay
+of it are ``2 * CUT_WORDS - 2`` words at an edge that lies inside a sentence.
 """
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
-from itertools import pairwise
-from zlib import crc32
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,92 +36,120 @@ from pyspark.sql import types as T
 from arrears.llm.batches import fresh, parts_by_text
 from arrears.sources.staging import stage
 
-ANCHOR_WORDS = 8
-CUT_WORDS = 8  # a sentence is cut at the word with the smallest checksum of so many
 MIN_WORDS = 25  # a block of fewer words stays, so that stock lines do
-
-
-_END = re.compile(r"[.!?][^\w\s]*\s+|\n")
-_WORD = re.compile(r"\S+")
-
-
-def split_lines(text: str) -> list[str]:
-    """The lines with what separates them, so that joined they are the text again.
-
-    Blank lines belong to the line before them, at the start of a text to the one behind.
-    """
-    ends: list[int] = []
-    start, words = 0, False
-    for end in [*(found.end() for found in _END.finditer(text)), len(text)]:
-        if _WORD.search(text, start, end):
-            if words:
-                ends.append(start)
-            words = True
-        start = end
-    ends = [0, *ends, len(text)] if text else []
-    return [text[a:b] for start, end in pairwise(ends) for a, b in pairwise(_cuts(text, start, end))]
-
-
-def _cuts(text: str, start: int, end: int) -> list[int]:
-    """Begin and end of a sentence, and between them where its content cuts it."""
-    begins, sums = [], []
-    for word in _WORD.finditer(text, start, end):
-        begins.append(word.start())
-        sums.append(crc32(word[0].encode()))
-    if len(sums) <= 2 * CUT_WORDS - 2:
-        return [start, end]
-    chosen, least = [], -1
-    for i in range(len(sums) - CUT_WORDS + 1):
-        if least < i:  # the smallest has left, or nothing is chosen yet
-            least = min(range(i, i + CUT_WORDS), key=sums.__getitem__)
-        elif sums[i + CUT_WORDS - 1] < sums[least]:
-            least = i + CUT_WORDS - 1
-        else:
-            continue
-        chosen.append(least)
-    return [start, *(begins[i] for i in chosen if i), end]
-
-
-def whole_lines(lines: list[str], start: int, end: int) -> int:
-    """How many lines, with all the parts they are cut into, lie in a range of parts."""
-    closed = [i for i in range(max(start - 1, 0), end) if i == len(lines) - 1 or _END.search(lines[i].lstrip())]
-    if start:  # the line that ends in front of the range, or one that begins there
-        return max(len(closed) - 1, 0)
-    return len(closed)
-
-
-def line_words(line: str) -> int:
-    return len(line.split())
-
-
-def run_text(lines: list[str]) -> str:
-    """What two runs of lines must share to be equal: all but the space around lines."""
-    return "\n".join(x.strip() for x in lines)
-
-
-def anchors(lines: list[str], anchor_words: int = ANCHOR_WORDS) -> list[tuple[int, int]]:
-    """First and past-the-last line of every anchor, in order and without repeats."""
-    sizes = [line_words(x) for x in lines]
-    n = len(sizes)
-    found = []
-    short = False
-    for i, size in enumerate(sizes):
-        if size >= anchor_words:  # an anchor by itself, both ways
-            found.append((i, i + 1))
-        elif size:
-            short = True
-            start, end, before, after = i, i + 1, size, size
-            while after < anchor_words and end < n:
-                after += sizes[end]
-                end += 1
-            if after >= anchor_words:
-                found.append((i, end))
-            while before < anchor_words and start > 0:
-                start -= 1
-                before += sizes[start]
-            if before >= anchor_words:
-                found.append((start, i + 1))
-    return sorted(set(found)) if short else found
+ANCHOR_WORDS = MIN_WORDS
+CUT_WORDS = 8  # a sentence is cut at the word with the smallest hash of so many
+
+BLANKS = " \t\n\x0b\x0c\r"
+BASE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2^64
+HASHED = 1 << 20  # bytes that are hashed at once
+
+
+class Lines(NamedTuple):
+    """Words and lines of several texts, in the bytes of all of them one after the other."""
+
+    data: bytes
+    text_starts: np.ndarray  # byte at which each text begins, and one past the last
+    word_starts: np.ndarray
+    first_words: np.ndarray  # first word of each text, and one past the last
+    hashes: np.ndarray  # of the words
+    breaks: np.ndarray  # whether a sentence or a line of the text begins with the word
+    line_starts: np.ndarray  # first word of each line
+    line_ends: np.ndarray
+    line_texts: np.ndarray  # the text a line belongs to
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit words that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    powers = np.full(n, base, dtype=np.uint64)
+    powers[:1] = 1
+    return np.multiply.accumulate(powers)
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + HASHED)))
+        own, sizes = starts[a:b], (ends - starts)[a:b]
+        offsets = np.cumsum(sizes) - sizes
+        within = np.arange(offsets[-1] + sizes[-1]) - np.repeat(offsets, sizes)
+        values = data[within + np.repeat(own, sizes)].astype(np.uint64) + np.uint64(1)
+        values *= _powers(BASE, int(sizes.max()))[within]
+        hashes[a:b] = np.add.reduceat(values, offsets)
+        a = b
+    return _mixed(hashes)
+
+
+def _cut_words(hashes: np.ndarray, sentences: np.ndarray) -> np.ndarray:
+    """The words at which sentences that are too long are cut."""
+    long = np.bincount(sentences)[sentences] > 2 * CUT_WORDS - 2
+    if len(hashes) < CUT_WORDS or not long.any():
+        return np.zeros(0, dtype=np.int64)
+    begins = np.flatnonzero((sentences[: 1 - CUT_WORDS] == sentences[CUT_WORDS - 1 :]) & long[: 1 - CUT_WORDS])
+    windows = np.lib.stride_tricks.sliding_window_view(hashes, CUT_WORDS)[begins]
+    return np.unique(begins + windows.argmin(axis=1))
+
+
+def lines_of(texts: list[str]) -> Lines:
+    encoded = [t.encode() for t in texts]
+    joined = b"\n".join([*encoded, b""])  # a line break parts the texts
+    text_starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in encoded])]).astype(np.int64)
+    data = np.frombuffer(joined, dtype=np.uint8)
+    blank = np.concatenate([[True], (data == 32) | ((data >= 9) & (data <= 13))])
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:])
+    ends = np.flatnonzero(~blank[:-1] & blank[1:])
+    first_words = np.searchsorted(starts, text_starts)
+    # A word ends a sentence if one of .!? stands behind its last letter or digit.
+    mark = np.isin(data, np.frombuffer(b".!?", dtype=np.uint8))
+    low = data | 32
+    letter = (data >= 128) | ((data >= 48) & (data <= 57)) | ((low >= 97) & (low <= 122)) | (data == 95)
+    at = np.arange(len(data), dtype=np.int64)
+    last = [np.maximum.accumulate(np.where(kind, at, -1))[ends - 1] for kind in (mark, letter)]
+    closes = (last[0] > last[1]) & (last[0] >= starts)
+    newlines = np.concatenate([[0], np.cumsum(data == 10)])
+    breaks = np.ones(len(starts), dtype=bool)
+    breaks[1:] = closes[:-1] | (newlines[starts[1:]] > newlines[ends[:-1]])
+    hashes = _word_hashes(data, starts, ends)
+    begins = breaks.copy()
+    begins[_cut_words(hashes, np.cumsum(breaks) - 1)] = True
+    line_starts = np.flatnonzero(begins)
+    line_ends = np.append(line_starts[1:], len(starts)) if len(starts) else line_starts
+    line_texts = np.searchsorted(first_words, line_starts, side="right") - 1
+    return Lines(joined, text_starts, starts, first_words, hashes, breaks, line_starts, line_ends, line_texts)
+
+
+def anchors(lines: Lines, anchor_words: int = ANCHOR_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """First and past-the-last line of every anchor, without repeats."""
+    n = len(lines.line_starts)
+    each = np.arange(n)
+    # Forwards: up to the first line that ends so many words behind the begin.
+    last = np.searchsorted(lines.line_ends, lines.line_starts + anchor_words)
+    inside = np.append(lines.line_texts, -1)
+    forward = inside[last] == lines.line_texts
+    # Backwards: from the last line that begins so many words before the end.
+    first = np.searchsorted(lines.line_starts, lines.line_ends - anchor_words, side="right") - 1
+    backward = (first >= 0) & (lines.line_texts[first] == lines.line_texts)
+    if n:
+        backward &= last[first] != each  # else the two are the same run
+    begins = np.concatenate([each[forward], first[backward]])
+    ends = np.concatenate([last[forward], each[backward]]) + 1
+    order = np.lexsort((ends, begins))
+    return begins[order], ends[order]
+
+
+def run_hashes(lines: Lines, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words ``first`` up to ``end``: equal words, whatever is between them."""
+    n = len(lines.hashes)
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(lines.hashes * _powers(BASE, n))])
+    back = _powers(pow(BASE, -1, 1 << 64), n + 1)
+    return _mixed((sums[end] - sums[first]) * back[first])
 
 
 def patience_chains(places: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
@@ -161,12 +192,12 @@ def patience_chains(places: list[tuple[int, int]]) -> list[list[tuple[int, int]]
 
 
 def common_blocks(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
-    """Line ranges of a document that are aligned with another one's.
+    """Word ranges of a document that are aligned with another one's.
 
     A match is the range of an anchor here and its range there. Overlapping and adjacent
     anchors of a chain that lie on one diagonal are one block.
     """
-    ends = {(a, c): b for a, b, c, _ in matches}
+    ends = {(a, c): b for a, b, c, _ in sorted(matches)}
     blocks = []
     for chain in patience_chains([(a, c) for a, _, c, _ in matches]):
         block = None
@@ -180,8 +211,8 @@ def common_blocks(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, i
     return [(b[0], b[1]) for b in blocks]
 
 
-def covered_lines(blocks: Iterable[tuple[int, int]]) -> list[list[int]]:
-    """The union of line ranges, adjacent ones taken together."""
+def covered_words(blocks: Iterable[tuple[int, int]]) -> list[list[int]]:
+    """The union of word ranges, adjacent ones taken together."""
     runs: list[list[int]] = []
     for start, end in sorted(blocks):
         if runs and start <= runs[-1][1]:
@@ -191,12 +222,7 @@ def covered_lines(blocks: Iterable[tuple[int, int]]) -> list[list[int]]:
     return runs
 
 
-def remaining(kept: list[str], last: str) -> str:
-    """The kept lines as a text; one that has lost its last line ends without a separator."""
-    return "".join(kept) if kept and kept[-1] is last else "".join(kept).rstrip()
-
-
-ANCHORS = "doc_id bigint, uid bigint, anchor bigint, line int, line_end int"
+ANCHORS = "doc_id bigint, uid bigint, anchor bigint, word int, word_end int"
 KEY = ["doc_id", "uid"]
 
 
@@ -207,31 +233,25 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _anchor_rows(docs: DataFrame, anchor_words: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
         for part, texts in parts_by_text(batches, "text"):
-            hashes: list[int] = []
-            spans: list[tuple[int, int]] = []
-            sizes = []
-            for text in texts:
-                lines = split_lines(text)
-                own = anchors(lines, anchor_words)
-                spans += own
-                sizes.append(len(own))
-                hashes += [
-                    xxh64_intdigest(lines[a].strip() if b == a + 1 else run_text(lines[a:b])) for a, b in own
-                ]
-            owner = pa.array(np.repeat(np.arange(len(texts)), sizes))
-            places = np.array(spans, dtype=np.int32).reshape(-1, 2)
+            lines = lines_of(texts)
+            begins, ends = anchors(lines, anchor_words)
+            if not len(begins):
+                continue
+            owner = lines.line_texts[begins]
+            first, end = lines.line_starts[begins], lines.line_ends[ends - 1]
+            hashes = run_hashes(lines, first, end)
+            shift = lines.first_words[owner]
+            rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id").cast(pa.int64()).take(owner),
-                    part.column("uid").take(owner),
-                    pa.array(np.array(hashes, dtype=np.uint64).view(np.int64)),
-                    pa.array(places[:, 0].copy()),
-                    pa.array(places[:, 1].copy()),
+                    part.column("doc_id").cast(pa.int64()).take(rows),
+                    part.column("uid").take(rows),
+                    pa.array(hashes.view(np.int64)),
+                    pa.array((first - shift).astype(np.int32)),
+                    pa.array((end - shift).astype(np.int32)),
                 ],
-                names=["doc_id", "uid", "anchor", "line", "line_end"],
+                names=["doc_id", "uid", "anchor", "word", "word_end"],
             )
 
     return docs.select("doc_id", "uid", "text").mapInArrow(run, ANCHORS)
@@ -246,56 +266,61 @@ SPANS = T.StructType(
 )
 
 
-def _aligned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Covered line ranges per document, from matches sorted by document and first holder."""
-    later = holder = None
-    matches: list[tuple[int, int, int, int]] = []
-    blocks: list[tuple[int, int]] = []
-    out: list[tuple] = []
-
-    def record() -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
-        columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=SPANS.names)
-
-    for batch in batches:
-        for doc_id, uid, first, first_uid, *match in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if later != (doc_id, uid) or holder != (first, first_uid):
-                if matches:
-                    blocks += common_blocks(matches)
-                    matches = []
-                if later != (doc_id, uid) and blocks:
-                    out.append((*later, [x for run in covered_lines(blocks) for x in run]))
-                    blocks = []
-                later, holder = (doc_id, uid), (first, first_uid)
-            matches.append(tuple(match))
-        if len(out) > 2_000:
+def _aligner(min_words: int):
+    """Word ranges that go per document, from matches sorted by document and first holder."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        later = holder = None
+        matches: list[tuple[int, int, int, int]] = []
+        blocks: list[tuple[int, int]] = []
+        out: list[tuple] = []
+
+        def close_pair() -> None:
+            blocks.extend((a, b) for a, b in common_blocks(matches) if b - a >= min_words)
+            matches.clear()
+
+        def close_document() -> None:
+            if blocks:
+                out.append((*later, [x for span in covered_words(blocks) for x in span]))
+            blocks.clear()
+
+        def record() -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, names=SPANS.names)
+
+        for batch in batches:
+            for doc_id, uid, first, first_uid, *match in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if later != (doc_id, uid) or holder != (first, first_uid):
+                    close_pair()
+                    if later != (doc_id, uid):
+                        close_document()
+                    later, holder = (doc_id, uid), (first, first_uid)
+                matches.append(tuple(match))
+            if len(out) > 2_000:
+                yield record()
+        close_pair()
+        close_document()
+        if out:
             yield record()
-            out = []
-    if matches:
-        blocks += common_blocks(matches)
-    if blocks:
-        out.append((*later, [x for run in covered_lines(blocks) for x in run]))
-    if out:
-        yield record()
 
+    return run
 
-def repeated_lines(docs: DataFrame, anchor_words: int = ANCHOR_WORDS) -> DataFrame:
-    """``_doc_id``, ``_uid`` and ``_spans``: begin and end of each range of lines that a
+
+def repeated_words(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: int = ANCHOR_WORDS) -> DataFrame:
+    """``_doc_id``, ``_uid`` and ``_spans``: begin and end of each range of words that a
     document repeats from earlier ones, for documents that have any."""
     # Staged, so that both sides of the join below are plain tables: a hot anchor's
     # partition can then be split, which a join on top of an aggregation cannot do.
     rows = stage(_anchor_rows(_keyed(docs.select("doc_id", "text")), anchor_words))
     # Whether two documents hold an anchor is decided on plain numbers, which aggregate
     # without sorting; the few that are shared go on with all their occurrences.
-    known = F.coalesce("doc_id", F.lit(-(2**63)))
-    several = rows.groupBy("anchor").agg(
-        F.min(known).alias("d0"), F.max(known).alias("d1"), F.min("uid").alias("u0"), F.max("uid").alias("u1")
-    )
-    shared = stage(several.where("d0 <> d1 OR u0 <> u1").select("anchor"))
+    several = rows.groupBy("anchor").agg(F.min("uid").alias("u0"), F.max("uid").alias("u1"))
+    shared = stage(several.where("u0 <> u1").select("anchor"))
     rows = stage(rows.join(shared, "anchor"))
     # A struct with a null id is smaller than one with an id, so null ids count as earliest.
-    holder = F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("line").alias("l"), F.col("line_end").alias("e"))
+    holder = F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("word").alias("w"), F.col("word_end").alias("e"))
     holders = stage(rows.groupBy("anchor").agg(F.min(holder).alias("first")))
     first = F.col("first")
     matched = (
@@ -304,33 +329,56 @@ def repeated_lines(docs: DataFrame, anchor_words: int = ANCHOR_WORDS) -> DataFra
         .select(
             "doc_id", "uid",
             first["d"].alias("first_id"), first["u"].alias("first_uid"),
-            "line", "line_end",
-            first["l"].alias("first_line"), first["e"].alias("first_end"),
+            "word", "word_end",
+            first["w"].alias("first_word"), first["e"].alias("first_end"),
         )
     )
     return (
         matched.repartition(*KEY)
-        .sortWithinPartitions("doc_id", "uid", "first_id", "first_uid", "line", "line_end", "first_line")
-        .mapInArrow(_aligned, SPANS)
+        .sortWithinPartitions("doc_id", "uid", "first_id", "first_uid", "word", "word_end", "first_word")
+        .mapInArrow(_aligner(min_words), SPANS)
     )
 
 
+def without_words(text: str, spans: list[int]) -> tuple[str, int, int]:
+    """The text without ranges of words, how many lines of it went whole, and how many words.
+
+    A word goes with the blanks behind it, the first one with those before it too. A text
+    that loses its last word ends without blanks.
+    """
+    lines = lines_of([text])
+    n = len(lines.word_starts)
+    places = np.append(lines.word_starts, lines.text_starts[1] - 1)
+    gone = np.zeros(n, dtype=bool)
+    kept, at = [], 0
+    for a, b in zip(spans[::2], spans[1::2], strict=True):
+        gone[a:b] = True
+        kept.append(lines.data[at : places[a] if a else 0])
+        at = int(places[b])
+    rest = b"".join([*kept, lines.data[at : places[n]]]).decode()
+    whole = np.logical_and.reduceat(gone, np.flatnonzero(lines.breaks))
+    return rest.rstrip(BLANKS) if gone[-1] else rest, int(whole.sum()), int(gone.sum())
+
+
 def without_repeated_lines(
     docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: int = ANCHOR_WORDS
 ) -> DataFrame:
     """``docs`` with repeated blocks deleted from ``text``, and two columns more.
 
-    A block is a run of lines in anchors that earlier documents have too (smaller doc_id, at a
-    tie smaller digest of id and text; null ids first), with ``min_words`` words or more. The
-    anchors of a run may come from several documents and in another order; an earlier document keeps its own. All other lines, and
-    all other columns, stay as they are. ``n_deleted_lines`` (lines that went whole) and
-    ``n_deleted_words`` count what went (columns of those names are replaced). A document that loses all lines gets
-    the empty text. Null and empty texts stay. Rows equal in id and text are one document
-    and get the same result; a repeat inside one document is not touched.
+    A block is a run of whole lines that one earlier document has too (smaller doc_id, at a
+    tie smaller digest of id and text; null ids first), word by word, with ``min_words`` words
+    or more in one chain of the alignment with it; blocks from several documents do not add
+    up. An earlier document keeps its own. All other words, and all other columns, stay as
+    they are. ``n_deleted_lines`` (sentences and lines that went whole) and
+    ``n_deleted_words`` count what went (columns of those names are replaced). A document
+    that loses all words gets the empty text. Null and empty texts stay. Rows equal in id
+    and text are one document and get the same result; a repeat inside one document is not
+    touched. Shorter anchors than ``min_words`` find the same blocks but for those whose
+    parts have different first holders.
     """
     added = {"n_deleted_lines": T.LongType(), "n_deleted_words": T.LongType()}
     own = docs.drop(*added)
-    spans = repeated_lines(own, anchor_words)
+    spans = repeated_words(own, min_words, anchor_words)
     mark = fresh(own, "_spans")
     spans = spans.withColumnRenamed("_spans", mark)
     joined = own.join(
@@ -344,25 +392,11 @@ def without_repeated_lines(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _ in parts_by_text(batches, "text"):
-            texts, lines_gone, words_gone = part.column("text").to_pylist(), [], []
-            for i, spans_ in enumerate(part.column(mark).to_pylist()):
-                gone_lines = gone_words = 0
-                if spans_:
-                    lines = split_lines(texts[i])
-                    kept, at = [], 0
-                    for a, b in zip(spans_[::2], spans_[1::2], strict=True):
-                        size = sum(map(line_words, lines[a:b]))
-                        kept += lines[at:a]
-                        if size >= min_words:
-                            gone_lines += whole_lines(lines, a, b)
-                            gone_words += size
-                        else:
-                            kept += lines[a:b]
-                        at = b
-                    if gone_words:
-                        texts[i] = remaining(kept + lines[at:], lines[-1])
-                lines_gone.append(gone_lines)
-                words_gone.append(gone_words)
+            texts = part.column("text").to_pylist()
+            lines_gone, words_gone = [0] * len(texts), [0] * len(texts)
+            for i, own_spans in enumerate(part.column(mark).to_pylist()):
+                if own_spans:
+                    texts[i], lines_gone[i], words_gone[i] = without_words(texts[i], own_spans)
             columns = [pa.array(texts, pa.string()) if n == "text" else part.column(n) for n in names]
             columns += [pa.array(lines_gone, pa.int64()), pa.array(words_gone, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *added])

@@ -1,4 +1,7 @@
+import difflib
+import itertools
 import random
+import re
 
 from arrears.llm import line_dedup as ld
 from arrears.llm.catalog import op3_line_dedup
@@ -13,31 +16,61 @@ def texts(df):
     return {r.doc_id: r.text for r in df.collect()}
 
 
-def brute_force(docs, min_words=ld.MIN_WORDS, anchor_words=ld.ANCHOR_WORDS):
-    """A line goes if it lies in a run of covered lines of enough words; covered: inside a
-    run of whole lines of anchor_words or more that some earlier document has too."""
+def plain_hash(word):
+    """The word hash, one byte at a time."""
+    x = sum((c + 1) * pow(ld.BASE, k, 2**64) for k, c in enumerate(word.encode())) % 2**64
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB % 2**64
+    return x ^ (x >> 31)
+
+
+WORD = re.compile(r"[^ \t-\r]+[ \t-\r]*")
+
+
+def plain_lines(text):
+    """Lines as lists of words, each with the blanks behind it; begins of the text's own lines."""
+    sentences = [[]]
+    for word in WORD.findall(text):
+        sentences[-1].append(word)
+        if "\n" in word or re.search(r"[.!?][^A-Za-z0-9_\x80-\U0010ffff]*$", word.rstrip()):
+            sentences.append([])
+    lines = []
+    for words in filter(None, sentences):
+        cuts = {0, len(words)}
+        if len(words) > 14:
+            sums = [plain_hash(w.rstrip(ld.BLANKS)) for w in words]
+            cuts |= {min(range(i, i + 8), key=sums.__getitem__) for i in range(len(words) - 7)}
+        cuts = sorted(cuts)
+        lines += [words[x:y] for x, y in zip(cuts, cuts[1:])]
+    return lines
+
+
+def brute_force(docs, min_words=25):
+    """A word goes if it lies in a run of whole lines of min_words or more that stands in one
+    earlier document."""
     held, out = set(), {}
     for i, text in sorted(docs):
-        lines = ld.split_lines(text or "")
-        covered = set()
-        own = ld.anchors(lines, anchor_words)
-        for a, b in own:
-            if ld.run_text(lines[a:b]) in held:
-                covered.update(range(a, b))
-        held |= {ld.run_text(lines[a:b]) for a, b in own}
-        gone, run = set(), []
-        for k in range(len(lines) + 1):
-            if k in covered:
-                run.append(k)
-            else:
-                if sum(len(lines[x].split()) for x in run) >= min_words:
-                    gone |= set(run)
-                run = []
-        kept = [x for k, x in enumerate(lines) if k not in gone]
-        out[i] = ld.remaining(kept, lines[-1]) if gone else text
+        lines = plain_lines(text or "")
+        words = [w for line in lines for w in line]
+        bare = [w.rstrip(ld.BLANKS) for w in words]
+        limits = [0, *itertools.accumulate(map(len, lines))]
+        runs = set()
+        for x in limits:
+            runs |= {(x, y) for y in [z for z in limits if z >= x + min_words][:1]}
+            runs |= {(y, x) for y in [z for z in limits if z <= x - min_words][-1:]}
+        gone = {k for x, y in runs if tuple(bare[x:y]) in held for k in range(x, y)}
+        held |= {tuple(bare[x:y]) for x, y in runs}
+        lead = re.match(r"[ \t-\r]*", text or "")[0]
+        kept = ("" if 0 in gone else lead) + "".join(w for k, w in enumerate(words) if k not in gone)
+        out[i] = (kept.rstrip(ld.BLANKS) if len(words) - 1 in gone else kept) if gone else text
     return out
 
 
+def deleted_words(before, after):
+    """Places of the words that went; the rest is the text in its order."""
+    return [op for op in difflib.SequenceMatcher(None, before, after, autojunk=False).get_opcodes() if op[0] != "equal"]
+
+
 def test_query_on_the_whole_table(spark, table):
     docs = [(r.doc_id, r.text) for r in table("documents").collect()]
     found = texts(op3_line_dedup(spark, "/root/testdata/sf0.001"))
@@ -45,6 +78,43 @@ def test_query_on_the_whole_table(spark, table):
     assert found != dict(docs)
 
 
+def test_what_goes_stands_in_one_earlier_document(spark, table):
+    """On the whole table, by words alone: 25 in a row around every deleted word."""
+    docs = sorted((r.doc_id, r.text or "") for r in table("documents").collect())
+    found = texts(op3_line_dedup(spark, "/root/testdata/sf0.001"))
+    earlier, n = set(), 0
+    for i, text in docs:
+        words = text.split()
+        covered = set()
+        for k in range(len(words) - 24):
+            if tuple(words[k : k + 25]) in earlier:
+                covered.update(range(k, k + 25))
+        for _, a, b, *_ in deleted_words(words, (found[i] or "").split()):
+            n += b - a
+            assert set(words[a:b]) <= {words[k] for k in covered}, i
+            assert any(set(range(x, x + b - a)) <= covered for x in range(max(a - 30, 0), a + 31))
+        earlier |= {tuple(words[k : k + 25]) for k in range(len(words) - 24)}
+    assert n > 1000
+
+
+def test_lines_of_several_documents_do_not_add_up(frame):
+    lines = [" ".join(f"l{i}w{k}" for k in range(9)) for i in range(3)]
+    docs = [*lines, "\n".join([lines[2], lines[0], lines[1]])]
+    assert texts(ld.without_repeated_lines(frame(docs))) == dict(enumerate(docs))
+    long = "\n".join(lines)
+    docs = [lines[1], f"a\n{long}\nb", f"c\n{long}\nd"]  # a part with an earlier holder
+    assert texts(ld.without_repeated_lines(frame(docs)))[2] == "c\nd"
+
+
+def test_blocks_count_by_chain(frame):
+    """With short anchors the alignment decides: moved blocks are too short, a whole one goes."""
+    lines = [" ".join(f"l{i}w{k}" for k in range(12)) for i in range(4)]
+    docs = ["\n".join(lines), "\n".join([lines[2], lines[3], lines[0], lines[1]]), "\n".join(lines[:3])]
+    found = texts(ld.without_repeated_lines(frame(docs), anchor_words=8))
+    assert found[1] == docs[1] and found[2] == ""
+    assert texts(ld.without_repeated_lines(frame(docs), min_words=24, anchor_words=8))[1] == ""
+
+
 def test_random_lines_match_brute_force(frame):
     rng = random.Random(5)
     pool = [" ".join(f"{i}x{k}" for k in range(rng.randint(0, 14))) for i in range(25)]
@@ -57,7 +127,7 @@ def test_common_blocks_go_from_the_later_document(frame):
     found = by_id(ld.without_repeated_lines(frame(docs)))
     assert found[0].text == docs[0] and found[3].text == docs[3]
     assert found[1].text == f"own b\n{ODD}" and (found[1].n_deleted_lines, found[1].n_deleted_words) == (2, 40)
-    assert found[2].text == ""  # moved lines are blocks too
+    assert found[2].text == docs[2]  # moved blocks of 20 words
     assert found[1].text.count("\n") == 1
 
 
@@ -115,13 +185,25 @@ def test_blank_lines_do_not_part_a_passage(frame):
     for gap in ["\n\n", "\n \n", "\n\n\n\t\n"]:
         docs = [f"own{gap}{gap.join(P[:5])}{gap}end", f"{gap}mine{gap}{gap.join(P[:5])}{gap}other"]
         assert texts(ld.without_repeated_lines(frame(docs))) == {0: docs[0], 1: f"{gap}mine{gap}other"}
-    assert ld.split_lines("\n \na\n\nb.\n\n c\n\n") == ["\n \na\n\n", "b.\n\n ", "c\n\n"]
-    assert ld.split_lines("\n\n") == ["\n\n"] and ld.split_lines("") == []
 
 
-def test_lines_joined_are_the_text():
-    for text in ["", "a", "a.\n\nb! c?  d.e\n", "\n\n", " x . y", "é. ü\r\nz"]:
-        assert "".join(ld.split_lines(text)) == text
+def test_lines_match_plain_ones():
+    rng = random.Random(3)
+    odd = ["a", "b.", "c?)", "é", "ü.", "d.e", "...", "x_", "“q.”", "—", "1.", "\x00", "\x85"]
+    gaps = [" ", "  ", "\n", " \n\n ", "\t", "\r\n"]
+    some = ["", " ", "\n\n", "a", " . x"]
+    some += ["".join(rng.choice(odd) + rng.choice(gaps[: rng.randint(1, 6)]) for _ in range(rng.randint(0, 90))) for _ in range(60)]
+    lines = ld.lines_of(some)
+    found = [[] for _ in some]
+    for own, a, b in zip(lines.line_texts, lines.line_starts, lines.line_ends):
+        found[own].append(int(b - a))
+    assert found == [[len(x) for x in plain_lines(text)] for text in some]
+    for i, text in enumerate(some):
+        assert [int(h) for h in lines.hashes[lines.first_words[i] : lines.first_words[i + 1]]] == [
+            plain_hash(w.rstrip(ld.BLANKS)) for w in WORD.findall(text)
+        ]
+    large = " ".join(["y" * 70_000, *(f"w{k}" for k in range(400_000))])
+    assert [int(h) for h in ld.lines_of([large]).hashes[-3:]] == [plain_hash(f"w{399_997 + k}") for k in range(3)]
 
 
 def test_short_lines_go_with_their_block_only(frame):
