@@ -29,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -266,6 +267,23 @@ SPANS = T.StructType(
 )
 
 
+def _fragments(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Sorted matches, those that follow each other on one diagonal of a pair taken together."""
+    *pair, word, word_end, first_word, _ = batch.columns
+    here, end, there = (c.to_numpy() for c in (word, word_end, first_word))
+    diagonal = here - there
+    parted = (diagonal[1:] != diagonal[:-1]) | (here[1:] > end[:-1])
+    for column in pair:
+        known = column.is_valid().to_numpy(zero_copy_only=False)
+        values = column.fill_null(0).to_numpy()
+        parted |= (values[1:] != values[:-1]) | (known[1:] != known[:-1])
+    starts = np.flatnonzero(np.concatenate([[True], parted]))
+    ends = np.maximum.reduceat(end, starts)
+    rows = [c.take(pa.array(starts)).to_pylist() for c in pair]
+    places = [here[starts], ends, there[starts], ends - diagonal[starts]]
+    return zip(*rows, *(x.tolist() for x in places), strict=True)
+
+
 def _aligner(min_words: int):
     """Word ranges that go per document, from matches sorted by document and first holder."""
 
@@ -290,8 +308,8 @@ def _aligner(min_words: int):
             out.clear()
             return pa.RecordBatch.from_arrays(columns, names=SPANS.names)
 
-        for batch in batches:
-            for doc_id, uid, first, first_uid, *match in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        for batch in filter(len, batches):
+            for doc_id, uid, first, first_uid, *match in _fragments(batch):
                 if later != (doc_id, uid) or holder != (first, first_uid):
                     close_pair()
                     if later != (doc_id, uid):
@@ -391,14 +409,16 @@ def without_repeated_lines(
     schema = T.StructType([*own.schema.fields, *(T.StructField(n, t) for n, t in added.items())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _ in parts_by_text(batches, "text"):
-            texts = part.column("text").to_pylist()
-            lines_gone, words_gone = [0] * len(texts), [0] * len(texts)
-            for i, own_spans in enumerate(part.column(mark).to_pylist()):
-                if own_spans:
-                    texts[i], lines_gone[i], words_gone[i] = without_words(texts[i], own_spans)
-            columns = [pa.array(texts, pa.string()) if n == "text" else part.column(n) for n in names]
-            columns += [pa.array(lines_gone, pa.int64()), pa.array(words_gone, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, *added])
+        for batch in batches:
+            texts, of_rows = batch.column("text"), batch.column(mark)
+            hit = of_rows.is_valid()
+            lost = np.zeros((2, len(batch)), dtype=np.int64)
+            changed = []
+            for i in np.flatnonzero(hit.to_numpy(zero_copy_only=False)):
+                text, lost[0, i], lost[1, i] = without_words(texts[i].as_py(), of_rows[i].as_py())
+                changed.append(text)
+            texts = pc.replace_with_mask(texts, hit, pa.array(changed, texts.type))
+            columns = [texts if n == "text" else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, lost)], names=[*names, *added])
 
     return joined.mapInArrow(run, schema)
