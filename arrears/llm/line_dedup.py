@@ -46,15 +46,22 @@ BASE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2^64
 HASHED = 1 << 20  # bytes that are hashed at once
 
 
-class Lines(NamedTuple):
-    """Words and lines of several texts, in the bytes of all of them one after the other."""
+class Words(NamedTuple):
+    """Words of several texts, in the bytes of all of them one after the other."""
 
     data: bytes
     text_starts: np.ndarray  # byte at which each text begins, and one past the last
-    word_starts: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
     first_words: np.ndarray  # first word of each text, and one past the last
-    hashes: np.ndarray  # of the words
     breaks: np.ndarray  # whether a sentence or a line of the text begins with the word
+
+
+class Lines(NamedTuple):
+    """Lines of several texts, as ranges of their words."""
+
+    hashes: np.ndarray  # of the words
+    first_words: np.ndarray
     line_starts: np.ndarray  # first word of each line
     line_ends: np.ndarray
     line_texts: np.ndarray  # the text a line belongs to
@@ -78,27 +85,31 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     a = 0
     while a < len(starts):
         b = max(a + 1, int(np.searchsorted(ends, starts[a] + HASHED)))
-        own, sizes = starts[a:b], (ends - starts)[a:b]
-        offsets = np.cumsum(sizes) - sizes
-        within = np.arange(offsets[-1] + sizes[-1]) - np.repeat(offsets, sizes)
-        values = data[within + np.repeat(own, sizes)].astype(np.uint64) + np.uint64(1)
-        values *= _powers(BASE, int(sizes.max()))[within]
-        hashes[a:b] = np.add.reduceat(values, offsets)
+        begin, end = int(starts[a]), int(ends[b - 1])
+        values = data[begin:end].astype(np.uint64) + np.uint64(1)
+        hashes[a:b] = _range_hashes(values, starts[a:b] - begin, ends[a:b] - begin)
         a = b
     return _mixed(hashes)
 
 
+def _range_hashes(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomials in BASE of the values ``first`` up to ``end``, from running sums."""
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * _powers(BASE, len(values)), out=sums[1:])
+    return (sums[end] - sums[first]) * _powers(pow(BASE, -1, 1 << 64), len(sums))[first]
+
+
 def _cut_words(hashes: np.ndarray, sentences: np.ndarray) -> np.ndarray:
-    """The words at which sentences that are too long are cut."""
+    """The words at which sentences that are too long are cut, some of them repeatedly."""
     long = np.bincount(sentences)[sentences] > 2 * CUT_WORDS - 2
     if len(hashes) < CUT_WORDS or not long.any():
         return np.zeros(0, dtype=np.int64)
     begins = np.flatnonzero((sentences[: 1 - CUT_WORDS] == sentences[CUT_WORDS - 1 :]) & long[: 1 - CUT_WORDS])
     windows = np.lib.stride_tricks.sliding_window_view(hashes, CUT_WORDS)[begins]
-    return np.unique(begins + windows.argmin(axis=1))
+    return begins + windows.argmin(axis=1)
 
 
-def lines_of(texts: list[str]) -> Lines:
+def words_of(texts: list[str]) -> Words:
     encoded = [t.encode() for t in texts]
     joined = b"\n".join([*encoded, b""])  # a line break parts the texts
     text_starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in encoded])]).astype(np.int64)
@@ -107,23 +118,30 @@ def lines_of(texts: list[str]) -> Lines:
     starts = np.flatnonzero(blank[:-1] & ~blank[1:])
     ends = np.flatnonzero(~blank[:-1] & blank[1:])
     first_words = np.searchsorted(starts, text_starts)
+    breaks = np.zeros(len(starts) + 1, dtype=bool)
+    breaks[0] = True
+    breaks[np.searchsorted(starts, np.flatnonzero(data == 10))] = True
     # A word ends a sentence if one of .!? stands behind its last letter or digit.
-    mark = np.isin(data, np.frombuffer(b".!?", dtype=np.uint8))
+    mark = (data == 33) | (data == 46) | (data == 63)
     low = data | 32
     letter = (data >= 128) | ((data >= 48) & (data <= 57)) | ((low >= 97) & (low <= 122)) | (data == 95)
-    at = np.arange(len(data), dtype=np.int64)
-    last = [np.maximum.accumulate(np.where(kind, at, -1))[ends - 1] for kind in (mark, letter)]
-    closes = (last[0] > last[1]) & (last[0] >= starts)
-    newlines = np.concatenate([[0], np.cumsum(data == 10)])
-    breaks = np.ones(len(starts), dtype=bool)
-    breaks[1:] = closes[:-1] | (newlines[starts[1:]] > newlines[ends[:-1]])
-    hashes = _word_hashes(data, starts, ends)
-    begins = breaks.copy()
-    begins[_cut_words(hashes, np.cumsum(breaks) - 1)] = True
+    deciding = np.flatnonzero(mark | letter)
+    if len(deciding):
+        last = deciding[np.searchsorted(deciding, ends) - 1]
+        breaks[1:] |= mark[last] & (last >= starts) & (last < ends)
+    breaks = breaks[:-1]
+    return Words(joined, text_starts, starts, ends, first_words, breaks)
+
+
+def lines_of(texts: list[str]) -> Lines:
+    words = words_of(texts)
+    hashes = _word_hashes(np.frombuffer(words.data, dtype=np.uint8), words.starts, words.ends)
+    begins = words.breaks.copy()
+    begins[_cut_words(hashes, np.cumsum(words.breaks) - 1)] = True
     line_starts = np.flatnonzero(begins)
-    line_ends = np.append(line_starts[1:], len(starts)) if len(starts) else line_starts
-    line_texts = np.searchsorted(first_words, line_starts, side="right") - 1
-    return Lines(joined, text_starts, starts, first_words, hashes, breaks, line_starts, line_ends, line_texts)
+    line_ends = np.append(line_starts[1:], len(begins)) if len(begins) else line_starts
+    line_texts = np.searchsorted(words.first_words, line_starts, side="right") - 1
+    return Lines(hashes, words.first_words, line_starts, line_ends, line_texts)
 
 
 def anchors(lines: Lines, anchor_words: int = ANCHOR_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -147,10 +165,7 @@ def anchors(lines: Lines, anchor_words: int = ANCHOR_WORDS) -> tuple[np.ndarray,
 
 def run_hashes(lines: Lines, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the words ``first`` up to ``end``: equal words, whatever is between them."""
-    n = len(lines.hashes)
-    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(lines.hashes * _powers(BASE, n))])
-    back = _powers(pow(BASE, -1, 1 << 64), n + 1)
-    return _mixed((sums[end] - sums[first]) * back[first])
+    return _mixed(_range_hashes(lines.hashes, first, end))
 
 
 def patience_chains(places: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
@@ -223,7 +238,7 @@ def covered_words(blocks: Iterable[tuple[int, int]]) -> list[list[int]]:
     return runs
 
 
-ANCHORS = "doc_id bigint, uid bigint, anchor bigint, word int, word_end int"
+ANCHORS = "doc_id bigint, uid bigint, anchor bigint, word int, size int"
 KEY = ["doc_id", "uid"]
 
 
@@ -250,9 +265,9 @@ def _anchor_rows(docs: DataFrame, anchor_words: int) -> DataFrame:
                     part.column("uid").take(rows),
                     pa.array(hashes.view(np.int64)),
                     pa.array((first - shift).astype(np.int32)),
-                    pa.array((end - shift).astype(np.int32)),
+                    pa.array((end - first).astype(np.int32)),
                 ],
-                names=["doc_id", "uid", "anchor", "word", "word_end"],
+                names=["doc_id", "uid", "anchor", "word", "size"],
             )
 
     return docs.select("doc_id", "uid", "text").mapInArrow(run, ANCHORS)
@@ -269,7 +284,7 @@ SPANS = T.StructType(
 
 def _fragments(batch: pa.RecordBatch) -> Iterator[tuple]:
     """Sorted matches, those that follow each other on one diagonal of a pair taken together."""
-    *pair, word, word_end, first_word, _ = batch.columns
+    *pair, word, word_end, first_word = batch.columns
     here, end, there = (c.to_numpy() for c in (word, word_end, first_word))
     diagonal = here - there
     parted = (diagonal[1:] != diagonal[:-1]) | (here[1:] > end[:-1])
@@ -329,26 +344,26 @@ def _aligner(min_words: int):
 def repeated_words(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: int = ANCHOR_WORDS) -> DataFrame:
     """``_doc_id``, ``_uid`` and ``_spans``: begin and end of each range of words that a
     document repeats from earlier ones, for documents that have any."""
-    # Staged, so that both sides of the join below are plain tables: a hot anchor's
-    # partition can then be split, which a join on top of an aggregation cannot do.
-    rows = stage(_anchor_rows(_keyed(docs.select("doc_id", "text")), anchor_words))
+    # Read twice, for the counts and for the occurrences: to split the lines again takes no
+    # longer than to keep all anchors, and these are about as large as the texts.
+    rows = _anchor_rows(_keyed(docs.select("doc_id", "text")), anchor_words)
     # Whether two documents hold an anchor is decided on plain numbers, which aggregate
     # without sorting; the few that are shared go on with all their occurrences.
     several = rows.groupBy("anchor").agg(F.min("uid").alias("u0"), F.max("uid").alias("u1"))
     shared = stage(several.where("u0 <> u1").select("anchor"))
-    rows = stage(rows.join(shared, "anchor"))
+    # The side without repeats is hashed, so that the rows need not be sorted.
+    rows = stage(rows.join(shared.hint("shuffle_hash"), "anchor"))
     # A struct with a null id is smaller than one with an id, so null ids count as earliest.
-    holder = F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("word").alias("w"), F.col("word_end").alias("e"))
+    holder = F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("word").alias("w"))
     holders = stage(rows.groupBy("anchor").agg(F.min(holder).alias("first")))
     first = F.col("first")
     matched = (
-        rows.join(holders, "anchor")
+        rows.join(holders.hint("shuffle_hash"), "anchor")
         .where(~(F.col("doc_id").eqNullSafe(first["d"]) & (F.col("uid") == first["u"])))
         .select(
             "doc_id", "uid",
             first["d"].alias("first_id"), first["u"].alias("first_uid"),
-            "word", "word_end",
-            first["w"].alias("first_word"), first["e"].alias("first_end"),
+            "word", (F.col("word") + F.col("size")).alias("word_end"), first["w"].alias("first_word"),
         )
     )
     return (
@@ -358,24 +373,32 @@ def repeated_words(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: in
     )
 
 
-def without_words(text: str, spans: list[int]) -> tuple[str, int, int]:
-    """The text without ranges of words, how many lines of it went whole, and how many words.
+def without_words(texts: list[str], spans: list[list[int]]) -> tuple[list[str], list[int], list[int]]:
+    """The texts without ranges of words, how many lines of each went whole, and how many words.
 
     A word goes with the blanks behind it, the first one with those before it too. A text
     that loses its last word ends without blanks.
     """
-    lines = lines_of([text])
-    n = len(lines.word_starts)
-    places = np.append(lines.word_starts, lines.text_starts[1] - 1)
-    gone = np.zeros(n, dtype=bool)
-    kept, at = [], 0
-    for a, b in zip(spans[::2], spans[1::2], strict=True):
-        gone[a:b] = True
-        kept.append(lines.data[at : places[a] if a else 0])
-        at = int(places[b])
-    rest = b"".join([*kept, lines.data[at : places[n]]]).decode()
-    whole = np.logical_and.reduceat(gone, np.flatnonzero(lines.breaks))
-    return rest.rstrip(BLANKS) if gone[-1] else rest, int(whole.sum()), int(gone.sum())
+    words = words_of(texts)
+    found, lines_gone, words_gone = [], [], []
+    sizes = np.diff(words.first_words)
+    for i, own in enumerate(spans):
+        first, n = int(words.first_words[i]), int(sizes[i])
+        at, end = int(words.text_starts[i]), int(words.text_starts[i + 1]) - 1
+        kept, whole, gone = [], 0, 0
+        for a, b in zip(own[::2], own[1::2], strict=True):
+            if a:
+                kept.append(words.data[at : words.starts[first + a]])
+            at = int(words.starts[first + b]) if b < n else end
+            # Lines that begin in the range, but for a last one that goes on behind it.
+            whole += int(np.count_nonzero(words.breaks[first + a : first + b]))
+            whole -= b < n and not words.breaks[first + b] and bool(words.breaks[first + a : first + b].any())
+            gone += b - a
+        rest = b"".join([*kept, words.data[at:end]]).decode()
+        found.append(rest.rstrip(BLANKS) if own[-1] == n else rest)
+        lines_gone.append(whole)
+        words_gone.append(gone)
+    return found, lines_gone, words_gone
 
 
 def without_repeated_lines(
@@ -410,15 +433,16 @@ def without_repeated_lines(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, of_rows = batch.column("text"), batch.column(mark)
-            hit = of_rows.is_valid()
+            text, hit = batch.column("text"), batch.column(mark).is_valid()
             lost = np.zeros((2, len(batch)), dtype=np.int64)
+            at = np.flatnonzero(hit.to_numpy(zero_copy_only=False))
             changed = []
-            for i in np.flatnonzero(hit.to_numpy(zero_copy_only=False)):
-                text, lost[0, i], lost[1, i] = without_words(texts[i].as_py(), of_rows[i].as_py())
-                changed.append(text)
-            texts = pc.replace_with_mask(texts, hit, pa.array(changed, texts.type))
-            columns = [texts if n == "text" else batch.column(n) for n in names]
+            for part, own in parts_by_text([batch.filter(hit)], "text"):
+                done, *counts = without_words(own, part.column(mark).to_pylist())
+                lost[:, at[len(changed) : len(changed) + len(done)]] = counts
+                changed += done
+            text = pc.replace_with_mask(text, hit, pa.array(changed, text.type))
+            columns = [text if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, lost)], names=[*names, *added])
 
     return joined.mapInArrow(run, schema)
