@@ -75,9 +75,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    powers = np.full(n, base, dtype=np.uint64)
-    powers[:1] = 1
-    return np.multiply.accumulate(powers)
+    powers = np.ones(n, dtype=np.uint64)
+    known = 1
+    while known < n:  # those known, times the next one
+        step = np.uint64(pow(base, known, 1 << 64))
+        more = min(known, n - known)
+        np.multiply(powers[:more], step, out=powers[known : known + more])
+        known += more
+    return powers
 
 
 def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -125,10 +130,13 @@ def words_of(texts: list[str]) -> Words:
     mark = (data == 33) | (data == 46) | (data == 63)
     low = data | 32
     letter = (data >= 128) | ((data >= 48) & (data <= 57)) | ((low >= 97) & (low <= 122)) | (data == 95)
+    breaks[1:] |= mark[ends - 1]
+    open_words = np.flatnonzero(~(mark | letter)[ends - 1])  # end with another character
     deciding = np.flatnonzero(mark | letter)
-    if len(deciding):
-        last = deciding[np.searchsorted(deciding, ends) - 1]
-        breaks[1:] |= mark[last] & (last >= starts) & (last < ends)
+    if len(deciding) and len(open_words):
+        last = deciding[np.searchsorted(deciding, ends[open_words]) - 1]
+        closed = mark[last] & (last >= starts[open_words]) & (last < ends[open_words])
+        breaks[open_words[closed] + 1] = True
     breaks = breaks[:-1]
     return Words(joined, text_starts, starts, ends, first_words, breaks)
 
@@ -238,7 +246,6 @@ def covered_words(blocks: Iterable[tuple[int, int]]) -> list[list[int]]:
     return runs
 
 
-ANCHORS = "doc_id bigint, uid bigint, anchor bigint, word int, size int"
 KEY = ["doc_id", "uid"]
 
 
@@ -247,7 +254,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("uid", F.xxhash64("doc_id", "text"))
 
 
-def _anchor_rows(docs: DataFrame, anchor_words: int) -> DataFrame:
+def _anchor_rows(docs: DataFrame, anchor_words: int, places: bool = True) -> DataFrame:
+    """Every anchor of every document; without places only uid and anchor."""
+    names = ["uid", "anchor", *(["doc_id", "word", "size"] if places else [])]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in parts_by_text(batches, "text"):
             lines = lines_of(texts)
@@ -257,20 +267,17 @@ def _anchor_rows(docs: DataFrame, anchor_words: int) -> DataFrame:
             owner = lines.line_texts[begins]
             first, end = lines.line_starts[begins], lines.line_ends[ends - 1]
             hashes = run_hashes(lines, first, end)
-            shift = lines.first_words[owner]
             rows = pa.array(owner)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id").cast(pa.int64()).take(rows),
-                    part.column("uid").take(rows),
-                    pa.array(hashes.view(np.int64)),
-                    pa.array((first - shift).astype(np.int32)),
-                    pa.array((end - first).astype(np.int32)),
-                ],
-                names=["doc_id", "uid", "anchor", "word", "size"],
-            )
+            columns = [part.column("uid").take(rows), pa.array(hashes.view(np.int64))]
+            if places:
+                word = (first - lines.first_words[owner]).astype(np.int32)
+                size = (end - first).astype(np.int32)
+                columns += [part.column("doc_id").cast(pa.int64()).take(rows), pa.array(word), pa.array(size)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select("doc_id", "uid", "text").mapInArrow(run, ANCHORS)
+    kinds = {"uid": "bigint", "anchor": "bigint", "doc_id": "bigint", "word": "int", "size": "int"}
+    schema = ", ".join(f"{n} {kinds[n]}" for n in names)
+    return docs.select("doc_id", "uid", "text").mapInArrow(run, schema)
 
 
 SPANS = T.StructType(
@@ -346,12 +353,14 @@ def repeated_words(docs: DataFrame, min_words: int = MIN_WORDS, anchor_words: in
     document repeats from earlier ones, for documents that have any."""
     # Read twice, for the counts and for the occurrences: to split the lines again takes no
     # longer than to keep all anchors, and these are about as large as the texts.
-    rows = _anchor_rows(_keyed(docs.select("doc_id", "text")), anchor_words)
+    keyed = _keyed(docs.select("doc_id", "text"))
+    held = _anchor_rows(keyed, anchor_words, places=False)
     # Whether two documents hold an anchor is decided on plain numbers, which aggregate
     # without sorting; the few that are shared go on with all their occurrences.
-    several = rows.groupBy("anchor").agg(F.min("uid").alias("u0"), F.max("uid").alias("u1"))
+    several = held.groupBy("anchor").agg(F.min("uid").alias("u0"), F.max("uid").alias("u1"))
     shared = stage(several.where("u0 <> u1").select("anchor"))
     # The side without repeats is hashed, so that the rows need not be sorted.
+    rows = _anchor_rows(keyed, anchor_words)
     rows = stage(rows.join(shared.hint("shuffle_hash"), "anchor"))
     # A struct with a null id is smaller than one with an id, so null ids count as earliest.
     holder = F.struct(F.col("doc_id").alias("d"), F.col("uid").alias("u"), F.col("word").alias("w"))
