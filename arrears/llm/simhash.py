@@ -6,10 +6,14 @@ the fingerprints. With the bits of every segment sorted, the embedding is again
 word (counts 0, 1, 2 as 00, 01, 11) and the Manhattan distance is the number of bits in
 which two such words differ.
 
-The segments form ``limit + 2`` groups. Two embeddings within ``limit`` agree fully in at
-least two groups, so the grid has one cell per pair of groups and their counts: whoever is
-in range shares a cell. Inside a cell the Manhattan bound is tested first and the Hamming
-distance afterwards, which decides.
+The segments form ``groups`` groups. Two embeddings within ``limit`` agree fully in at least
+``groups - limit`` of them, so the grid has one cell per choice of that many groups and their
+counts: whoever is in range shares a cell. Inside a cell the Manhattan bound is tested first
+and the Hamming distance afterwards, which decides.
+
+More groups give a fingerprint more cells but put far fewer strangers into each: with a
+limit of 3, five groups have 10 cells of some 18 random bits, seven have 35 of 27 and eight
+have 56 of 30.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from arrears.llm.components import star_components
 from arrears.sources.staging import stage
 
 SHINGLE_WORDS, SEED, LIMIT = 3, 42, 3
+GROUPS = 8
 LOW_BITS = 0x5555555555555555  # the lower bit of each segment
 SPLIT = 20_000  # fingerprints of a cell that one task compares; a larger cell is split
 HASHES = 65_536  # shingles of a text that are hashed at once
@@ -60,17 +65,18 @@ def simhash(text: str, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) ->
 
 
 def fingerprinted(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and the fingerprint as a signed long."""
+    """doc_id, a hash of the text, and the fingerprint as a signed long."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in parts_by_text(batches, "text"):
             found = np.array([simhash(t, shingle_words) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), pa.array(found.view(np.int64))],
-                names=["doc_id", "fp"],
+                [part.column("doc_id").cast(pa.int64()), part.column("text_hash"), pa.array(found.view(np.int64))],
+                names=["doc_id", "text_hash", "fp"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    own = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return own.mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def _embedded(fp: Column) -> Column:
@@ -88,13 +94,15 @@ def _embedded_words(fp: np.ndarray) -> np.ndarray:
     return ((fp | shifted) & low) | ((fp & shifted & low) << one)
 
 
-def group_masks(limit: int) -> list[int]:
-    """Bit masks of every pair of the ``limit + 2`` groups of segments, as signed longs."""
-    limits = [round(i * 32 / (limit + 2)) for i in range(limit + 3)]
-    groups = [
+def cell_masks(limit: int, groups: int = GROUPS) -> list[int]:
+    """Bit masks of every choice of ``groups - limit`` groups of segments, as signed longs."""
+    if not limit < groups <= 32:
+        raise ValueError(f"there must be more than {limit} groups, and at most 32: {groups}")
+    limits = [round(i * 32 / groups) for i in range(groups + 1)]
+    bits = [
         sum(3 << (2 * s) for s in range(a, b)) for a, b in zip(limits, limits[1:], strict=False)
     ]
-    masks = [a | b for a, b in combinations(groups, 2)]
+    masks = [sum(chosen) for chosen in combinations(bits, groups - limit)]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
@@ -123,8 +131,17 @@ def _tree(fps: np.ndarray, limit: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return links
 
 
-def _cell_links(limit: int):
-    """A function over rows sorted by cell that yields the links found inside the cells."""
+def _cell_links(limit: int, groups: int):
+    """A function over rows sorted by cell that yields the links found inside the cells.
+
+    Two fingerprints may share many cells. In a small cell their link is given only if it is
+    the first that they share; larger cells give links that join whatever is near in them.
+    """
+    masks = np.array(cell_masks(limit, groups), dtype=np.int64).view(np.uint64)
+
+    def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        difference = _embedded_words(a) ^ _embedded_words(b)
+        return ((difference[:, None] & masks) == 0).argmax(axis=1)
 
     def found(cells: np.ndarray, fps: np.ndarray) -> pa.RecordBatch | None:
         starts = np.flatnonzero(np.r_[True, (cells[1:] != cells[:-1]).any(axis=1)])
@@ -135,7 +152,8 @@ def _cell_links(limit: int):
         for step in range(1, min(FEW, len(fps))):
             pair = np.flatnonzero((group[step:] == group[:-step]) & few[step:])
             a, b = fps[pair], fps[pair + step]
-            near = _near(a, b, limit) & (a != b)
+            near = np.flatnonzero(_near(a, b, limit) & (a != b))
+            near = near[first_shared(a[near], b[near]) == cells[pair[near], 0]]
             links.append((a[near], b[near]))
         for i in np.flatnonzero(sizes > FEW):
             links += _tree(np.unique(fps[starts[i] : starts[i] + sizes[i]]), limit)
@@ -152,7 +170,7 @@ def _cell_links(limit: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own = [batch.column(c).to_numpy().astype(np.int64) for c in ("pair", "cell", "i", "j")]
+            own = [batch.column(c).to_numpy().astype(np.int64) for c in ("mask", "cell", "i", "j")]
             cells = np.concatenate([held_cells, np.stack(own, axis=1)])
             fps = np.concatenate([held_fps, batch.column("fp").to_numpy().view(np.uint64)])
             last = len(fps) - 1  # the last cell may go on in the next batch
@@ -167,26 +185,44 @@ def _cell_links(limit: int):
     return run
 
 
-def fingerprint_links(fps: DataFrame, limit: int = LIMIT, split: int = SPLIT) -> DataFrame:
+def _large_cells(cells: DataFrame, rows: int, split: int) -> DataFrame:
+    """Cells with more than ``split`` fingerprints, and into how many parts they go.
+
+    Nearly every cell is small, so buckets of about a quarter of ``split`` rows are counted
+    first, which tasks add up before the shuffle; only cells in too large ones are counted.
+    """
+    buckets = max(1, -(-4 * rows // split))
+    bucketed = cells.withColumn("bucket", F.pmod(F.xxhash64("mask", "cell"), F.lit(buckets)))
+    suspects = stage(
+        bucketed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split).select("bucket")
+    )
+    return stage(
+        bucketed.join(suspects, "bucket", "left_semi")
+        .groupBy("mask", "cell")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > split)
+        .select("mask", "cell", F.ceil(F.col("n") / split).cast("int").alias("parts"))
+    )
+
+
+def fingerprint_links(
+    fps: DataFrame, limit: int = LIMIT, split: int = SPLIT, groups: int = GROUPS
+) -> DataFrame:
     """Links ``a``, ``b`` between distinct fingerprints of ``fps`` (column ``fp``).
 
     They join whatever is linked by distances up to ``limit``; inside a cell a spanning
     tree is enough, so a dense cell gives fewer links than pairs. A cell with more than
     ``split`` fingerprints is cut into parts, and every two parts are compared in a task of
-    their own.
+    their own. ``groups`` (more than ``limit``) sets how fine the grid is, not the result.
     """
     embedding = _embedded(F.col("fp"))
-    masked = F.array(*[embedding.bitwiseAND(F.lit(m)) for m in group_masks(limit)])
-    cells = fps.select("fp", F.posexplode(masked).alias("pair", "cell"))
-    large = stage(
-        cells.groupBy("pair", "cell")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > split)
-        .select("pair", "cell", F.ceil(F.col("n") / split).cast("int").alias("parts"))
-    )
+    masks = cell_masks(limit, groups)
+    masked = F.array(*[embedding.bitwiseAND(F.lit(m)) for m in masks])
+    cells = fps.select("fp", F.posexplode(masked).alias("mask", "cell"))
+    large = _large_cells(cells, fps.count() * len(masks), split)
     dealt = cells.withColumns({"i": F.lit(0), "j": F.lit(0)})
     if not large.isEmpty():
-        sized = cells.join(large, ["pair", "cell"], "left")
+        sized = cells.join(large, ["mask", "cell"], "left")
         part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
         others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: p != F.col("part"))
         split_rows = (
@@ -194,23 +230,41 @@ def fingerprint_links(fps: DataFrame, limit: int = LIMIT, split: int = SPLIT) ->
             .withColumn("part", part)
             .withColumn("other", F.explode(others))
             .select(
-                "fp", "pair", "cell",
+                "fp", "mask", "cell",
                 F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
             )
         )
-        small = sized.where("parts IS NULL").select("fp", "pair", "cell", F.lit(0).alias("i"), F.lit(0).alias("j"))
+        small = sized.where("parts IS NULL").select("fp", "mask", "cell", F.lit(0).alias("i"), F.lit(0).alias("j"))
         dealt = small.unionByName(split_rows)
-    keys = ["pair", "cell", "i", "j"]
+    keys = ["mask", "cell", "i", "j"]
     return (
         dealt.repartition(*keys)
         .sortWithinPartitions(*keys)
         .select(*keys, "fp")
-        .mapInArrow(_cell_links(limit), "a bigint, b bigint")
+        .mapInArrow(_cell_links(limit, groups), "a bigint, b bigint")
     )
 
 
+def _grouped(docs: DataFrame, shingle_words: int, limit: int, split: int, groups: int) -> DataFrame:
+    """doc_id, text_hash, fp and component_id of every document."""
+    rows = stage(fingerprinted(docs, shingle_words))
+    classes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    stars = star_components(fingerprint_links(classes.select("fp"), limit, split, groups))
+    members = stage(stars.withColumnRenamed("node", "fp").join(classes, "fp"))
+    least = members.groupBy("root").agg(F.min("first_id").alias("least_id"))
+    linked = members.join(least, "root").select("fp", "least_id")
+    of_class = classes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("least_id", "first_id").alias("component_id")
+    )
+    return rows.join(of_class, "fp")
+
+
 def near_duplicates(
-    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, limit: int = LIMIT, split: int = SPLIT
+    docs: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    limit: int = LIMIT,
+    split: int = SPLIT,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of every document.
 
@@ -222,26 +276,29 @@ def near_duplicates(
 
     Equal fingerprints collapse to one row before the join, so a group of copies costs one.
     """
-    rows = stage(fingerprinted(docs, shingle_words))
-    classes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    stars = star_components(fingerprint_links(classes.select("fp"), limit, split))
-    members = stage(stars.withColumnRenamed("node", "fp").join(classes, "fp"))
-    least = members.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    linked = members.join(least, "root").select("fp", "least_id")
-    of_class = classes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("least_id", "first_id").alias("component_id")
-    )
-    return rows.join(of_class, "fp").select(
+    return _grouped(docs, shingle_words, limit, split, groups).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def one_of_each(docs: DataFrame, **settings: int) -> DataFrame:
+def one_of_each(
+    docs: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    limit: int = LIMIT,
+    split: int = SPLIT,
+    groups: int = GROUPS,
+) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, all columns kept.
 
-    Rows that repeat a doc_id stay or go together.
+    Rows with equal doc_id and text stay or go together; of rows that share a doc_id but not
+    the text, each is judged by its own text. Rows without an id stay only where no row of
+    their component has one.
     """
-    found = near_duplicates(docs, **settings)
+    found = _grouped(docs, shingle_words, limit, split, groups)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+    keys = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
+    return docs.join(
+        keys,
+        docs["doc_id"].eqNullSafe(keys["_kept_id"]) & (F.xxhash64(docs["text"]) == keys["_kept_hash"]),
+        "left_semi",
+    )

@@ -48,8 +48,11 @@ def test_query_on_the_whole_table(spark, table):
     assert result(op10_simhash(spark, "/root/testdata/sf0.001")) == brute_force(docs)
 
 
-@pytest.mark.parametrize("limit,split,few", [(3, 20_000, 8), (3, 16, 8), (1, 20_000, 2), (5, 40, 3)])
-def test_links_join_what_is_near(spark, monkeypatch, limit, split, few):
+@pytest.mark.parametrize(
+    "limit,split,few,groups",
+    [(3, 20_000, 8, 8), (3, 16, 8, 8), (3, 20_000, 8, 7), (3, 16, 2, 5), (3, 8, 8, 4), (1, 20_000, 2, 8), (5, 40, 3, 7)],
+)
+def test_links_join_what_is_near(spark, monkeypatch, limit, split, few, groups):
     """Dense clusters, chains and strangers; cells split over tasks or not."""
     monkeypatch.setattr(s, "FEW", few)
     rng = random.Random(limit * split)
@@ -62,7 +65,7 @@ def test_links_join_what_is_near(spark, monkeypatch, limit, split, few):
                 x ^= 1 << rng.randrange(64)
     signed = {p - (1 << 64) if p >> 63 else p for p in prints}
     df = spark.createDataFrame([(p,) for p in signed], "fp bigint")
-    links = [(r.a, r.b) for r in s.fingerprint_links(df, limit, split).collect()]
+    links = [(r.a, r.b) for r in s.fingerprint_links(df, limit, split, groups).collect()]
     mask = (1 << 64) - 1
     assert all(a != b and ((a ^ b) & mask).bit_count() <= limit for a, b in links)
     near = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= limit]
@@ -91,6 +94,30 @@ def test_nulls_empties_copies_and_clashing_columns(frame):
     assert s.near_duplicates(frame([])).collect() == []
     again = s.one_of_each(frame([(4, "same"), (4, "same"), (None, "same"), (9, "same")])).collect()
     assert [r.doc_id for r in again] == [4, 4]
+    rows = [(5, "a"), (None, "a"), (None, "b"), (5, "c d"), (2, "c d")]
+    assert sorted((r.doc_id or 0, r.text) for r in s.one_of_each(frame(rows)).collect()) == [
+        (0, "b"), (2, "c d"), (5, "a"),
+    ]
+
+
+def test_few_strangers_share_a_cell():
+    """Pairs in one cell among a million random fingerprints, from the bits of the embeddings."""
+    import numpy as np
+
+    fps = np.random.default_rng(4).integers(0, 1 << 63, 1_000_000, dtype=np.uint64) << np.uint64(1)
+    words = s._embedded_words(fps)
+    pairs = {}
+    for groups in (5, 8):
+        pairs[groups] = 0
+        for mask in s.cell_masks(3, groups):
+            sizes = np.unique(words & np.uint64(mask % (1 << 64)), return_counts=True)[1]
+            pairs[groups] += int((sizes * (sizes - 1) // 2).sum())
+    assert pairs[8] < 0.3 * len(fps) and pairs[5] > 50 * pairs[8]
+
+
+def test_too_few_groups_are_refused():
+    with pytest.raises(ValueError, match="more than 3 groups"):
+        s.cell_masks(3, 3)
 
 
 def test_components_of_chains_hubs_and_odd_links(spark):
