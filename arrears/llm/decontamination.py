@@ -6,6 +6,11 @@ benchmark item has: 0, which matches nothing), and its suffixes are sorted by th
 search; the suffixes that begin with its first ``window`` words are all places where that
 window occurs. Windows that follow each other on one diagonal are one longer match.
 
+Such a match begins where the words before differ and ends where the words behind differ.
+Only these two ends are listed: the places of a window are kept in the order of the word
+before and of the word behind, so those that merely go on are passed over as one range. A
+text and an item that repeat one word therefore cost their lengths, not the product.
+
 Suffixes whose first two words follow each other in no item cannot match more than one
 word; they are left out of the array before it is sorted.
 """
@@ -21,14 +26,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrears.llm.batches import fresh, parts_by_text
+from arrears.llm.batches import fresh, parts_by_text, spans_by_size
 from arrears.sources.staging import stage
 
 WINDOW = 13
 SHARE = 20  # contaminated: hit words times this are at least all words
-BLOCK_BYTES = 32_000_000  # benchmark text that a task holds at once
+BLOCK_BYTES = 8_000_000  # benchmark text that a Python worker holds
 SHARD_BYTES = 4_000_000
-PASSES = 8  # blocks looked up in one stage; then the state is written
+PASSES = 4  # blocks looked up in one stage, each by a worker of its own; then the state is written
+LOOKUPS = 65_536  # windows looked up at once
+EXPANDED = 1_000_000  # ends of matches listed at once, or those of one document
 
 # Digits, letters and everything beyond ASCII are word characters; A-Z become a-z.
 _WORD_BYTES = bytes(
@@ -44,44 +51,69 @@ def words(text: str) -> list[bytes]:
 
 
 class TestSet:
-    """The suffixes of a block of benchmark items, as numbers. Build it inside a task."""
+    """The windows of a block of benchmark items, as sorted rows. Build it inside a task."""
 
     def __init__(self, items: list[tuple[str, str]], window: int) -> None:
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
-        grams: dict[tuple[int, ...], int] = {}
-        places: list[list[tuple[int, int]]] = []
         self.items: list[str] = []
+        listed = []
         for item, text in items:
-            own = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
-            if not own:
-                continue
-            number = len(self.items)
-            self.items.append(item)
-            width = min(window, len(own))
-            for at in range(len(own) - width + 1):
-                gram = tuple(own[at : at + width])
-                place = grams.setdefault(gram, len(places))
-                if place == len(places):
-                    places.append([])
-                places[place].append((number, at))
-        self.widths = np.array([len(g) for g in grams], dtype=np.int64)
-        self.grams = np.zeros((len(grams), window), dtype=np.int64)
-        for i, gram in enumerate(grams):
-            self.grams[i, : len(gram)] = gram
-        sizes = [len(p) for p in places]
-        self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        flat = [x for p in places for x in p]
-        self.place_item = np.array([x[0] for x in flat], dtype=np.int64)
-        self.place_at = np.array([x[1] for x in flat], dtype=np.int64)
+            own = words(text)
+            if own:
+                self.items.append(item)
+                known = self.vocabulary
+                listed.append(np.array([known.setdefault(w, len(known) + 1) for w in own], dtype=np.int32))
+        lengths = np.array([len(x) for x in listed], dtype=np.int64)
+        # One zero before each item, and enough of them behind the last one.
+        begins = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1] + 1
+        numbers = np.zeros(int((lengths + 1).sum()) + window + 1, dtype=np.int32)
+        for begin, own in zip(begins, listed, strict=True):
+            numbers[begin : begin + len(own)] = own
+        widths = np.minimum(lengths, window)
+        item_at, item = _expanded(np.zeros_like(lengths), lengths - widths + 1)
+        at, width = begins[item] + item_at, widths[item]
+        rows = numbers[at[:, None] + np.arange(window)]
+        rows[np.arange(window) >= width[:, None]] = 0
+        order = np.lexsort(rows.T[::-1]) if len(rows) else at
+        rows = rows[order]
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+        self.grams, self.widths = rows[new], width[order][new]
+        self.starts = np.append(np.flatnonzero(new), len(rows))
+        gram = np.zeros(len(rows), dtype=np.int64)
+        gram[order] = np.cumsum(new) - 1
+        self.before = self._places(gram, numbers[at - 1], item, item_at)
+        self.behind = self._places(gram, numbers[at + width], item, item_at)
         first, second = self.grams[:, 0], self.grams[:, 1] if window > 1 else 0 * self.grams[:, 0]
         self.single = np.zeros(len(self.vocabulary) + 1, dtype=bool)
         self.single[first[self.widths == 1]] = True
+        self.hashes = self._hashed(first, second)
         self.pairs = np.zeros(1 << 22, dtype=bool)  # hashed; may let through a few others
-        self.pairs[self._hashed(first, second)] = True
+        self.pairs[self.hashes] = True
+
+    def _places(self, gram, beside, item, item_at) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All windows by gram and neighbouring word: that key, the item and the place in it."""
+        key = gram * (len(self.vocabulary) + 1) + beside
+        order = np.argsort(key, kind="stable")
+        return key[order], item[order].astype(np.int32), item_at[order].astype(np.int32)
+
+    def ends(self, side: tuple, gram: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ranges of the places of each gram that have another neighbouring word, or none.
+
+        Begins and ends of the ranges, and the row of ``gram`` that each belongs to.
+        """
+        keys = side[0]
+        first, last = self.starts[gram], self.starts[gram + 1]
+        key = gram * (len(self.vocabulary) + 1) + beside
+        known = beside > 0
+        left = np.where(known, np.searchsorted(keys, key, side="left"), last)
+        right = np.where(known, np.searchsorted(keys, key, side="right"), last)
+        row = np.arange(len(gram))
+        return np.concatenate([first, right]), np.concatenate([left, last]), np.concatenate([row, row])
 
     def _hashed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (a * 1_000_003 + b) & ((1 << 22) - 1)
+        return (a.astype(np.int64) * 1_000_003 + b) & ((1 << 22) - 1)
 
     def candidates(self, numbers: np.ndarray) -> np.ndarray:
         """Places whose suffix may begin a window."""
@@ -89,6 +121,14 @@ class TestSet:
         begins = self.pairs[self._hashed(numbers, after)] & (after > 0)
         return np.flatnonzero((numbers > 0) & (begins | self.single[numbers]))
 
+    def possible(self, numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Grams whose first two words (or only word) may follow each other at the places."""
+        seen = np.zeros(1 << 22, dtype=bool)
+        after = np.append(numbers[1:], 0)[places]
+        seen[self._hashed(numbers[places], after)] = True
+        seen[self._hashed(numbers[places], 0 * after)] = True  # windows of one word
+        return np.flatnonzero(seen[self.hashes])
+
 
 def _suffix_array(numbers: np.ndarray, window: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in the order of their next ``window`` words, and those words in that order."""
@@ -100,20 +140,23 @@ def _suffix_array(numbers: np.ndarray, window: int, at: np.ndarray) -> tuple[np.
 
 def _bounds(heads: np.ndarray, grams: np.ndarray, widths: np.ndarray, after: bool) -> np.ndarray:
     """By binary search, where each gram's range of suffixes begins (or ends, if ``after``)."""
-    low = np.zeros(len(grams), dtype=np.int64)
-    high = np.full(len(grams), len(heads), dtype=np.int64)
-    beyond = np.arange(heads.shape[1])[None, :] >= widths[:, None]
-    rows = np.arange(len(grams))
-    while (open_ := low < high).any():
-        middle = np.where(open_, (low + high) // 2, 0)
-        difference = heads[middle] - grams
-        difference[beyond] = 0
-        first = (difference != 0).argmax(axis=1)
-        sign = difference[rows, first]
-        right = (sign < 0) | (after & (sign == 0))
-        low = np.where(open_ & right, middle + 1, low)
-        high = np.where(open_ & ~right, middle, high)
-    return low
+    found = [np.zeros(0, dtype=np.int64)]
+    for i in range(0, len(grams), LOOKUPS):
+        own, rows = grams[i : i + LOOKUPS], np.arange(len(grams[i : i + LOOKUPS]))
+        low = np.zeros(len(own), dtype=np.int64)
+        high = np.full(len(own), len(heads), dtype=np.int64)
+        beyond = np.arange(heads.shape[1])[None, :] >= widths[i : i + LOOKUPS, None]
+        while (open_ := low < high).any():
+            middle = np.where(open_, (low + high) // 2, 0)
+            difference = heads[middle] - own
+            difference[beyond] = 0
+            first = (difference != 0).argmax(axis=1)
+            sign = difference[rows, first]
+            right = (sign < 0) | (after & (sign == 0))
+            low = np.where(open_ & right, middle + 1, low)
+            high = np.where(open_ & ~right, middle, high)
+        found.append(low)
+    return np.concatenate(found)
 
 
 def _expanded(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,55 +175,65 @@ class Match:
         self.counts = np.array([len(w) for w in listed], dtype=np.int64)
         # One zero behind each document, so no match runs on into the next.
         self.begins = np.concatenate([[0], np.cumsum(self.counts + 1)])
-        numbers = np.zeros(self.begins[-1], dtype=np.int64)
+        numbers = np.zeros(self.begins[-1], dtype=np.int32)
         get = tests.vocabulary.get
         for start, own in zip(self.begins, listed, strict=False):
             numbers[start : start + len(own)] = list(map(get, own, repeat(0)))
-        places, heads = _suffix_array(numbers, tests.window, tests.candidates(numbers))
-        if len(tests.grams):
-            left = _bounds(heads, tests.grams, tests.widths, False)
-            right = _bounds(heads, tests.grams, tests.widths, True)
-        else:
-            left = right = np.zeros(0, dtype=np.int64)
-        rank, gram = _expanded(left, right)
-        at, width = places[rank], tests.widths[gram]
+        candidates = tests.candidates(numbers)
+        sought = tests.possible(numbers, candidates)
+        places, heads = _suffix_array(numbers, tests.window, candidates)
+        left = _bounds(heads, tests.grams[sought], tests.widths[sought], False)
+        right = _bounds(heads, tests.grams[sought], tests.widths[sought], True)
+        # A place begins one window of each width at most.
+        rank, row = _expanded(left, right)
+        at, gram = places[rank], sought[row]
+        width = tests.widths[gram]
         change = np.bincount(at, minlength=len(numbers) + 1) - np.bincount(
             at + width, minlength=len(numbers) + 1
         )
         self.hit = np.cumsum(change[: len(numbers)]) > 0
-        # Each window stands at one place or more of one item or more.
-        place, occurrence = _expanded(tests.starts[gram], tests.starts[gram + 1])
-        found_at, found_width = at[occurrence], width[occurrence]
-        item, item_at = tests.place_item[place], tests.place_at[place]
-        doc = np.searchsorted(self.begins, found_at, side="right") - 1
-        self.longest = self._longest(doc, item, found_at, item_at, found_width)
-
-    def _longest(self, doc, item, at, item_at, width) -> dict[int, list[tuple[int, int, int, int]]]:
+        self.longest: dict[int, list[tuple[int, int, int, int]]] = {}
+        order = np.argsort(at, kind="stable")
+        at, gram, width = at[order], gram[order], width[order]
+        doc = np.searchsorted(self.begins, at, side="right") - 1
+        around = np.concatenate([[0], numbers, [0]])
+        starts = tests.ends(tests.before, gram, around[at])
+        stops = tests.ends(tests.behind, gram, around[at + width + 1])
+        sizes = np.bincount(starts[2], starts[1] - starts[0], minlength=len(at))
+        for a, b in self._parts(doc, sizes):
+            self._add_longest(tests, doc, at, width, starts, stops, a, b)
+
+    def _parts(self, doc: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of windows with whole documents and about ``EXPANDED`` ends of matches."""
+        firsts = np.append(np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]][: len(doc)]), len(doc))
+        totals = np.add.reduceat(sizes, firsts[:-1]).tolist() if len(doc) else []
+        for a, b in spans_by_size(totals, EXPANDED):
+            yield int(firsts[a]), int(firsts[b])
+
+    def _add_longest(self, tests, doc, at, width, starts, stops, a: int, b: int) -> None:
         """By document, for each item the longest match: item, words, places in both."""
-        order = np.lexsort((at, at - item_at, item, doc))
-        doc, item, at, item_at, width = (x[order] for x in (doc, item, at, item_at, width))
-        if not len(doc):
-            return {}
-        diagonal = at - item_at
-        new = np.r_[
-            True,
-            (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (at[1:] != at[:-1] + 1),
-        ]
-        starts = np.flatnonzero(new)
-        ends = np.r_[starts[1:], len(doc)]
-        size = ends - starts - 1 + width[starts]
-        found: dict[int, list[tuple[int, int, int, int]]] = {}
-        best = np.lexsort((at[starts], -size, item[starts], doc[starts]))
-        last = None
-        for i in best.tolist():
-            s = starts[i]
-            key = (int(doc[s]), int(item[s]))
-            if key != last:
-                last = key
-                found.setdefault(key[0], []).append(
-                    (key[1], int(size[i]), int(at[s] - self.begins[key[0]]), int(item_at[s]))
-                )
-        return found
+
+        def listed(side: tuple, ends: tuple) -> tuple[np.ndarray, ...]:
+            own = (ends[2] >= a) & (ends[2] < b)
+            place, part = _expanded(ends[0][own], ends[1][own])
+            row = ends[2][own][part]
+            item, item_at = side[1][place], side[2][place]
+            order = np.lexsort((at[row], at[row] - item_at, item, doc[row]))
+            return row[order], item[order], item_at[order]
+
+        # On a diagonal of a document and an item, beginnings and ends take turns.
+        first, item, item_at = listed(tests.before, starts)
+        last, _, _ = listed(tests.behind, stops)
+        size = at[last] - at[first] + width[last]
+        best = np.lexsort((at[first], -size, item, doc[first]))
+        key = np.stack([doc[first][best], item[best]])
+        new = np.ones(len(best), dtype=bool)
+        new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
+        for i in best[new].tolist():
+            number = int(doc[first[i]])
+            self.longest.setdefault(number, []).append(
+                (int(item[i]), int(size[i]), int(at[first[i]] - self.begins[number]), int(item_at[i]))
+            )
 
 
 MATCHES = T.ArrayType(

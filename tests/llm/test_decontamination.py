@@ -1,5 +1,7 @@
 import random
 import re
+import subprocess
+import sys
 from hashlib import sha256
 
 import pytest
@@ -106,3 +108,78 @@ def test_blocks_stay_small_when_rows_share_an_item_id(spark, frame, monkeypatch,
     assert sum(sizes) < 6_000 and max(sizes) < 2_500
     found = {i: (n, hit, sorted(set(of)), bad) for i, (n, hit, of, bad) in found.items()}
     assert found == brute_force(docs, items)
+
+
+def brute_longest(text, item):
+    """Words of the longest common run, by the plain table of common endings."""
+    own, other, best = words(text), words(item), 0
+    row = [0] * (len(other) + 1)
+    for w in own:
+        row = [0] + [row[k] + 1 if w == x else 0 for k, x in enumerate(other)]
+        best = max(best, *row)
+    return best
+
+
+@pytest.mark.parametrize("expanded,lookups", [(10**6, 65_536), (1, 3)])
+def test_longest_matches_of_random_words_match_brute_force(monkeypatch, expanded, lookups):
+    monkeypatch.setattr(d, "EXPANDED", expanded)
+    monkeypatch.setattr(d, "LOOKUPS", lookups)
+    rng = random.Random(expanded)
+    for letters in ("a", "ab", "abcde"):
+        text = lambda n, of=letters: " ".join(rng.choice(of + "?") for _ in range(n))
+        docs = [text(rng.randint(0, 40)) for _ in range(20)]
+        items = [(str(i), text(rng.randint(0, 25))) for i in range(12)] + [("x", docs[3]), ("y", "zz"), ("z", "")]
+        match = d.Match(d.TestSet(items, 4), docs)
+        tests = d.TestSet(items, 4)
+        for i, doc in enumerate(docs):
+            expected = {}
+            for name, item in items:
+                best, width = brute_longest(doc, item) if words(item) else 0, min(4, len(words(item)))
+                if words(item) and best >= width:
+                    expected[name] = best
+            found = {tests.items[k]: (n, at, item_at) for k, n, at, item_at in match.longest.get(i, [])}
+            assert {k: v[0] for k, v in found.items()} == expected
+            of = dict(items)
+            for name, (n, at, item_at) in found.items():
+                assert words(doc)[at : at + n] == words(of[name])[item_at : item_at + n]
+
+
+MEASURED = """
+import resource, sys
+from arrears.llm import decontamination as d
+def peak():
+    return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+"""
+
+
+def run_alone(code):
+    """Runs the code in a process of its own, whose peak memory (MB) it prints last."""
+    done = subprocess.run([sys.executable, "-c", MEASURED + code], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    return [int(x) for x in done.stdout.split()]
+
+
+def test_one_word_repeated_takes_little_memory():
+    """100,000 equal words in a document and in an item, which have 10 billion common places."""
+    hit, words_matched, peak = run_alone(
+        "text = 'word ' * 100_000\n"
+        "m = d.Match(d.TestSet([('1', text)], 13), [text, 'word ' * 12])\n"
+        "print(int(m.hit.sum()), m.longest[0][0][1], peak())\n"
+        "assert list(m.longest) == [0]"
+    )
+    assert (hit, words_matched) == (100_000, 100_000) and peak < 600
+
+
+def test_a_whole_block_takes_bounded_memory():
+    """A block of the default size, of random words, as a worker holds it."""
+    n, peak = run_alone(
+        "import random\n"
+        "rng = random.Random(5)\n"
+        "words = [f'{rng.getrandbits(40):x}'[:rng.randint(2, 8)] for _ in range(100_000)]\n"
+        "items = [(str(i), ' '.join(rng.choices(words, k=100))) for i in range(d.BLOCK_BYTES // 600)]\n"
+        "t = d.TestSet(items, 13)\n"
+        "m = d.Match(t, [items[i][1] for i in range(0, 5000)])\n"
+        "assert all(m.longest[i][0][:2] == (i, 100) for i in range(5000))\n"
+        "print(len(t.grams), peak())"
+    )
+    assert n > 1_000_000 and peak < 1000
