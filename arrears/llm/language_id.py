@@ -5,6 +5,10 @@ that is not a letter read as a blank. Document frequencies come from all documen
 be learned from. The weights are fitted by follow-the-regularised-leader with L1 and L2
 penalties on a bounded sample, and a temperature is fitted on a part of the sample that the
 weights have not seen.
+
+Texts are counted many at a time: the n-grams of a slice of texts become one sorted list of
+(text, bucket) pairs, and only the weights of buckets that occur and are not zero for every
+language take part in the products. A short text costs in proportion to its n-grams.
 """
 
 from __future__ import annotations
@@ -29,6 +33,9 @@ ALPHA, BETA = 0.5, 1.0  # learning rate of the leader
 L1, L2 = 0.05, 0.5  # penalties
 CALIBRATE = 5  # one of so many sampled rows is kept for the temperature
 UNKNOWN = "und"
+MAX_LANGUAGES = 256  # the weights have so many columns at most
+SLICE_BYTES = 250_000  # text that is counted at once
+PIECE = 500_000  # characters whose n-grams are hashed at once; a longer text takes several
 
 
 class Letters:
@@ -44,23 +51,50 @@ class Letters:
         return self.table[codes]
 
 
-def ngram_counts(text: str, letters: Letters, buckets: int = BUCKETS) -> np.ndarray | None:
-    """Counts of hashed n-grams; None for a text without a letter."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le"), dtype="<u4")
+def ngram_counts(
+    texts: Sequence[str], letters: Letters, buckets: int = BUCKETS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of hashed n-grams: number of the text, bucket and count, in this order.
+
+    A text without a letter has none. Letters are lowered, what is between them becomes one
+    blank, and a blank stands at both ends.
+    """
+    encoded = [t.lower().encode("utf-32-le", "surrogatepass") for t in texts]
+    sizes = np.array([len(e) // 4 for e in encoded], dtype=np.int64)
+    codes = np.frombuffer(b"".join(encoded), dtype="<u4")
+    text = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
     known = letters(codes)
-    if not known.any():
-        return None
-    codes = np.where(known, codes, 32)
-    codes = codes[known | np.append(False, known[:-1])]  # one blank between two words
-    codes = np.concatenate([[32], codes, [32]]).astype(np.uint64)
-    counts = np.zeros(buckets)
-    h = np.zeros(len(codes), dtype=np.uint64)
-    for order in range(min(ORDERS, len(codes))):
-        h = h[: len(codes) - order] * np.uint64(0x100000001B3) + codes[order:] + np.uint64(order)
-        mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        at = (mixed >> np.uint64(40)) % np.uint64(buckets)
-        counts += np.bincount(at.astype(np.int64), minlength=buckets)
-    return counts
+    kept = known.copy()
+    kept[1:] |= known[:-1] & (text[1:] == text[:-1])  # one blank between two words
+    lengths = np.bincount(text[kept], minlength=len(texts))
+    own = np.flatnonzero(np.bincount(text[known], minlength=len(texts)))
+    ends = np.cumsum(lengths[own] + 2)
+    place = np.zeros(len(texts), dtype=np.int64)
+    place[own] = ends - lengths[own] - 1
+    kept &= np.isin(text, own) if len(own) < len(texts) else True
+    line = np.full(int(ends[-1]) if len(own) else 0, 32, dtype=np.uint64)
+    within = np.arange(int(kept.sum())) - np.repeat(np.cumsum(lengths[own]) - lengths[own], lengths[own])
+    line[place[text[kept]] + within] = np.where(known, codes, 32)[kept]
+    owner = np.repeat(own, lengths[own] + 2)
+    keys, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for start in range(0, len(line), PIECE):
+        piece = line[start : start + PIECE + ORDERS - 1]
+        of, n = owner[start : start + PIECE + ORDERS - 1], min(PIECE, len(line) - start)
+        h, found = np.zeros(len(piece), dtype=np.uint64), []
+        for order in range(ORDERS):
+            h = h[: max(len(piece) - order, 0)] * np.uint64(0x100000001B3) + piece[order:] + np.uint64(order)
+            mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            at = ((mixed >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+            inside = (of[: len(h)] == of[order:])[:n]
+            found.append((of[: len(h)] * buckets + at)[:n][inside])
+        key, count = np.unique(np.concatenate(found), return_counts=True)
+        keys.append(key)
+        counts.append(count)
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    if len(keys) > 2:  # a text may go on in the next piece
+        key, back = np.unique(key, return_inverse=True)
+        count = np.bincount(back, weights=count).astype(np.int64)
+    return key // buckets, key % buckets, count
 
 
 @dataclass(frozen=True)
@@ -70,17 +104,25 @@ class Model:
     weights: np.ndarray  # buckets x labels; most are zero
     temperature: float
 
-    def logits(self, counts: np.ndarray) -> np.ndarray:
-        x = counts * self.idf
-        norm = np.sqrt(x @ x)
-        return (x @ self.weights) / (norm if norm > 0 else 1.0)
-
-    def predict(self, counts: np.ndarray | None) -> tuple[str, float]:
-        if counts is None or not self.labels:
-            return UNKNOWN, 0.0
-        p = _softmax(self.logits(counts) / self.temperature)
-        best = int(p.argmax())
-        return self.labels[best], float(p[best])
+    def logits(self, n: int, text: np.ndarray, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """One row per text, from what `ngram_counts` gives for ``n`` texts."""
+        x = counts * self.idf[at]
+        norms = np.sqrt(np.bincount(text, weights=x * x, minlength=n))
+        used = self.weights.any(axis=1)[at]
+        text, at, x = text[used], at[used], x[used]
+        sums = [np.bincount(text, weights=x * w[at], minlength=n) for w in self.weights.T]
+        return np.stack(sums, axis=1) / np.where(norms > 0, norms, 1.0)[:, None]
+
+    def predict(self, texts: Sequence[str], letters: Letters) -> tuple[list[str], np.ndarray]:
+        """The language of each text and its calibrated probability."""
+        text, at, counts = ngram_counts(texts, letters, len(self.idf))
+        known = np.bincount(text, minlength=len(texts)) > 0
+        if not self.labels or not len(texts):
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        p = _softmax(self.logits(len(texts), text, at, counts) / self.temperature)
+        best = p.argmax(axis=1)
+        names = [self.labels[k] if yes else UNKNOWN for k, yes in zip(best.tolist(), known.tolist(), strict=True)]
+        return names, np.where(known, p[np.arange(len(texts)), best], 0.0)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -140,15 +182,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(True))
 
 
-def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS) -> Model:
+def fit(
+    docs: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS, max_languages: int = MAX_LANGUAGES
+) -> Model:
     """Learn from ``text`` and non-null ``lang`` of ``docs``, all rows of which may be used.
 
     Document frequencies count every row. The weights come from at most about ``fit_rows``
     rows, chosen by a hash of id and text, as many of each language where there are enough;
-    the driver holds their sparse counts and the fixed table of frequencies.
+    the driver holds their sparse counts and the fixed table of frequencies. More than
+    ``max_languages`` different values of lang are an error: the weights of all of them
+    have to fit a task.
     """
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r.lang: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(max_languages + 1)
+    sizes = {r.lang: r["n"] for r in counted.collect()}
+    if len(sizes) > max_languages:
+        raise ValueError(f"lang has more than {max_languages} different values")
     labels = sorted(sizes)
     if not labels:
         return Model([], np.zeros(buckets), np.zeros((buckets, 0)), 1.0)
@@ -170,18 +219,17 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS) -> Mo
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for part, texts in parts_by_text(batches, "text"):
-            out = []
+        for part, texts in parts_by_text(batches, "text", SLICE_BYTES):
+            text, at, counts = ngram_counts(texts, letters, buckets)
+            frequency += np.bincount(at, minlength=buckets)
+            n += len(texts)
+            ends = np.searchsorted(text, np.arange(len(texts) + 1))
             rest = [part.column(c).to_pylist() for c in ("lang", "place", "chosen")]
-            for text, lang, place_, chosen in zip(texts, *rest, strict=True):
-                counts = ngram_counts(text, letters, buckets)
-                n += 1
-                if counts is None:
-                    continue
-                at = np.flatnonzero(counts)
-                frequency[at] += 1
-                if chosen:
-                    out.append((lang, place_, at.astype(np.int32), counts[at].astype(np.int64)))
+            out = [
+                (lang, place_, at[a:b].astype(np.int32), counts[a:b])
+                for a, b, lang, place_, chosen in zip(ends, ends[1:], *rest, strict=False)
+                if chosen and b > a
+            ]
             if out:
                 yield record(out)
         at = np.flatnonzero(frequency)
@@ -222,19 +270,15 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     with score 0, and so is every text where no language was learned.
     """
     fixed = (model.labels, model.idf, model.weights, model.temperature)
-    shared = docs.sparkSession.sparkContext.broadcast(fixed)  # its size: buckets x languages
+    shared = docs.sparkSession.sparkContext.broadcast(fixed)  # at most buckets x max_languages
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
         model = Model(*shared.value)
-        for part, texts in parts_by_text(batches, "text"):
-            found = [model.predict(ngram_counts(t, letters, len(model.idf))) for t in texts]
+        for part, texts in parts_by_text(batches, "text", SLICE_BYTES):
+            names, scores = model.predict(texts, letters)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id").cast(pa.int64()),
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
+                [part.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()), pa.array(scores)],
                 names=["doc_id", "lang_pred", "score"],
             )
 

@@ -1,6 +1,9 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from arrears.llm import language_id as li
 from arrears.llm.catalog import op4_language_id
 from pyspark.sql import functions as F
@@ -66,3 +69,74 @@ def test_temperature_restores_scaled_probabilities():
     labels = np.array([rng.choice(3, p=q) for q in p])
     assert abs(li.fitted_temperature(logits * 4, labels) - 4) < 0.5
     assert li.fitted_temperature(np.zeros((0, 3)), np.zeros(0, dtype=int)) == 1.0
+
+
+def brute_counts(text, buckets):
+    """Hashed n-grams by plain numbers, one after the other."""
+    line, before = [32], False
+    for c in text.lower():
+        if c.isalpha() or before:
+            line.append(ord(c) if c.isalpha() else 32)
+        before = c.isalpha()
+    found = Counter()
+    for start in range(len(line) + 1 if any(c.isalpha() for c in text.lower()) else 0):
+        h, gram = 0, [*line, 32][start : start + 3]
+        for order, code in enumerate(gram):
+            h = (h * 0x100000001B3 + code + order) % 2**64
+            found[((h ^ h >> 29) * 0xBF58476D1CE4E5B9 % 2**64 >> 40) % buckets] += 1
+    return found
+
+
+@pytest.mark.parametrize("piece", [500_000, 7])
+def test_counts_and_predictions_match_brute_force(monkeypatch, piece):
+    monkeypatch.setattr(li, "PIECE", piece)
+    rng = np.random.default_rng(6)
+    buckets, labels = 64, ["a", "b", "c"]
+    texts = ["", "a", "?", "Ab, c!!", "", "x" * 40, "1 2 3", "é É  ü.", "the end ", "漢 字\n\n"]
+    texts += ["".join(rng.choice(list("aB c.?é"), rng.integers(0, 30))) for _ in range(60)]
+    text, at, counts = li.ngram_counts(texts, li.Letters(), buckets)
+    found = [Counter() for _ in texts]
+    for i, b, n in zip(text.tolist(), at.tolist(), counts.tolist(), strict=True):
+        assert b not in found[i]
+        found[i][b] = n
+    assert found == [brute_counts(t, buckets) for t in texts]
+    weights = rng.normal(size=(buckets, 3)) * (rng.random((buckets, 1)) < 0.5)
+    model = li.Model(labels, rng.random(buckets), weights, 0.3)
+    names, scores = model.predict(texts, li.Letters())
+    for t, name, score in zip(texts, names, scores, strict=True):
+        own = {b: n * model.idf[b] for b, n in brute_counts(t, buckets).items()}
+        norm = math.sqrt(sum(x * x for x in own.values())) or 1.0
+        e = [math.exp(sum(x * weights[b, k] for b, x in own.items()) / norm / 0.3) for k in range(3)]
+        expected = (labels[e.index(max(e))], max(e) / sum(e)) if own else ("und", 0.0)
+        assert name == expected[0] and abs(score - expected[1]) < 1e-9
+
+
+def test_leader_matches_the_formulas_one_number_at_a_time():
+    rng = np.random.default_rng(8)
+    examples = [(rng.choice(20, 4, replace=False), rng.normal(size=4), int(rng.integers(3))) for _ in range(50)]
+    z, n = ({(b, k): 0.0 for b in range(20) for k in range(3)} for _ in range(2))
+
+    def weight(c):
+        if abs(z[c]) <= 0.05:
+            return 0.0
+        return (math.copysign(0.05, z[c]) - z[c]) / ((1.0 + math.sqrt(n[c])) / 0.5 + 0.5)
+
+    for _ in range(2):
+        for at, x, label in examples:
+            w = {(b, k): weight((b, k)) for b in at.tolist() for k in range(3)}
+            e = [math.exp(sum(v * w[b, k] for b, v in zip(at.tolist(), x, strict=True))) for k in range(3)]
+            for b, v in zip(at.tolist(), x, strict=True):
+                for k in range(3):
+                    g = v * (e[k] / sum(e) - (k == label))
+                    z[b, k] += g - (math.sqrt(n[b, k] + g * g) - math.sqrt(n[b, k])) / 0.5 * w[b, k]
+                    n[b, k] += g * g
+    found = li.follow_the_leader(examples, 3, 20, epochs=2, alpha=0.5, beta=1.0, l1=0.05, l2=0.5)
+    assert all(abs(found[c] - weight(c)) < 1e-12 for c in z)
+
+
+def test_too_many_languages_are_refused(spark):
+    rows = [(i, "some text", f"l{i}") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    with pytest.raises(ValueError, match="more than 8"):
+        li.fit(df, max_languages=8)
+    assert len(li.fit(df, max_languages=9).labels) == 9
