@@ -1,16 +1,25 @@
-"""The challenger: gradient-boosted trees on the raw features."""
+"""The challenger: gradient-boosted trees on the raw features.
+
+Boosting goes on from the margin that the trees so far give. A block of trees is fitted at
+once on the Newton targets of that margin, (y - p) / (p (1 - p)) weighted by p (1 - p), so
+that splits are chosen by second-order gain; the trees differ by their samples of rows and
+features. One aggregate of gradients and Hessians by tree and leaf then sets every leaf to
+its Newton step under L1 and L2 penalties. No tree is fitted twice.
+"""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arrears.operators.metrics import rank_metrics, ranked_scores
 from arrears.operators.split import CELLS, SEED, hash_cell
 from arrears.sources.staging import stage
 
@@ -18,8 +27,12 @@ from arrears.sources.staging import stage
 CHALLENGER = {"maxIter": 500, "maxDepth": 5, "stepSize": 0.05, "patience": 30}
 EARLY_WARNING = {"maxIter": 300, "maxDepth": 4, "stepSize": 0.05, "patience": 20}
 COMMON = {"subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInstancesPerNode": 10}
+PENALTIES = {"alpha": 0.1, "lambda": 1.0}  # L1 and L2 at the leaves
 
 VALIDATION_SHARE = 0.2
+BLOCK = 10  # trees fitted at once on one margin
+STAGE_EVERY = 20  # trees after which the AUC is measured and the margins are written
+LEAST_HESSIAN = 1e-6
 
 
 def class_weights(train: DataFrame, label: str = "TARGET") -> DataFrame:
@@ -53,6 +66,137 @@ def input_stages(features: Sequence[str], flag_missing: bool) -> list:
     ]
 
 
+def leaf_value(gradient: float, hessian: float, penalties: dict[str, float]) -> float:
+    """The Newton step of a leaf in log-odds: soft-thresholded gradient over damped Hessian."""
+    size = max(abs(gradient) - penalties["alpha"], 0.0)
+    damped = hessian + penalties["lambda"]
+    return (size if gradient > 0 else -size) / damped if damped > 0 else 0.0
+
+
+def _java_trees(trees: Sequence) -> tuple:
+    """An array of tree models for the JVM, and the gateway."""
+    gateway = SparkSession.active().sparkContext._gateway
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    array = gateway.new_array(kind, len(trees))
+    for i, tree in enumerate(trees):
+        array[i] = tree
+    return array, gateway
+
+
+def _java_weights(gateway, step: float, count: int):
+    weights = gateway.new_array(gateway.jvm.double, count)
+    for i in range(count):
+        weights[i] = step
+    return weights
+
+
+def _with_leaves(tree, sums: dict[int, tuple[float, float]], penalties: dict[str, float]) -> tuple:
+    """The tree with Newton steps at its leaves, and the steps by number of the leaf.
+
+    Inner nodes predict the mean of their leaves, weighted by Hessian. The model's margins
+    are half the log-odds, so are the predictions.
+    """
+    nodes = SparkSession.active().sparkContext._gateway.jvm.org.apache.spark.ml.tree
+    steps: list[float] = []
+
+    def rebuilt(node) -> tuple:
+        if node.subtreeDepth() == 0:
+            gradient, hessian = sums.get(len(steps), (0.0, 0.0))
+            value = leaf_value(gradient, hessian, penalties)
+            steps.append(value)
+            return nodes.LeafNode(value / 2, node.impurity(), node.impurityStats()), value, hessian
+        left, left_value, left_weight = rebuilt(node.leftChild())
+        right, right_value, right_weight = rebuilt(node.rightChild())
+        weight = left_weight + right_weight
+        value = (left_value * left_weight + right_value * right_weight) / weight if weight else 0.0
+        inner = nodes.InternalNode(
+            value / 2, node.impurity(), node.gain(), left, right, node.split(), node.impurityStats()
+        )
+        return inner, value, weight
+
+    root, _, _ = rebuilt(tree.rootNode())
+    kind = SparkSession.active().sparkContext._gateway.jvm.org.apache.spark.ml.regression
+    return kind.DecisionTreeRegressionModel(tree.uid(), root, tree.numFeatures()), steps
+
+
+def _ensemble(trees: Sequence, step: float) -> GBTRegressionModel:
+    """Half the log-odds that the trees add, as ``_half``."""
+    array, gateway = _java_trees(trees)
+    made = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(
+        "gbtr_margin", array, _java_weights(gateway, step, len(trees)), trees[0].numFeatures()
+    )
+    return GBTRegressionModel(made).setFeaturesCol("features").setPredictionCol("_half")
+
+
+def _with_margin(vectors: DataFrame, trees: Sequence, step: float) -> DataFrame:
+    """``margin`` after more trees, in log-odds."""
+    if not trees:
+        return vectors
+    added = _ensemble(trees, step).transform(vectors)
+    return added.withColumn("margin", F.col("margin") + 2 * F.col("_half")).drop("_half")
+
+
+def _gradients(rows: DataFrame, label: str) -> DataFrame:
+    """Gradient and Hessian of the weighted log-likelihood, and the Newton target."""
+    p = 1 / (1 + F.exp(-F.col("margin")))
+    hessian = F.greatest(p * (1 - p), F.lit(LEAST_HESSIAN))
+    return rows.withColumns(
+        {
+            "_gradient": F.col("weight") * (F.col(label) - p),
+            "_hessian": F.col("weight") * hessian,
+            "_newton": (F.col(label) - p) / hessian,
+        }
+    )
+
+
+def leaf_sums(rows: DataFrame, forest: RandomForestRegressionModel) -> list[dict[int, tuple[float, float]]]:
+    """Per tree, the sums of gradient and Hessian in every leaf: one row per leaf arrives."""
+    leaves = forest.setLeafCol("leaves").transform(rows)
+    found = (
+        leaves.select(F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"), "_gradient", "_hessian")
+        .groupBy("tree", "leaf")
+        .agg(F.sum("_gradient").alias("gradient"), F.sum("_hessian").alias("hessian"))
+    )
+    sums: list[dict[int, tuple[float, float]]] = [{} for _ in range(forest.getNumTrees)]
+    for r in found.collect():
+        sums[r.tree][int(r.leaf)] = (r.gradient, r.hessian)
+    return sums
+
+
+def staged_auc(
+    validation: DataFrame, blocks: Sequence[tuple[RandomForestRegressionModel, list[list[float]]]], step: float, label: str
+) -> list[float | None]:
+    """The exact AUC after each further tree of the blocks, from counts of equal margins."""
+    rows, added = validation, []
+    for number, (forest, steps) in enumerate(blocks):
+        own = f"_leaves_{number}"
+        rows = forest.setLeafCol(own).transform(rows).drop("_forest")
+        for tree, values in enumerate(steps):
+            listed = F.array(*[F.lit(step * v) for v in values])
+            added.append(F.get(listed, vector_to_array(own)[tree].cast("int")))
+    margins = F.transform(
+        F.sequence(F.lit(1), F.lit(len(added))),
+        lambda n: F.aggregate(F.slice(F.array(*added), F.lit(1), n), F.col("margin"), lambda a, x: a + x),
+    )
+    exploded = rows.select(F.col(label).cast("int").alias("label"), F.posexplode(margins).alias("round", "score"))
+    found = {r["round"]: r.auc for r in rank_metrics(ranked_scores(exploded, ["round"]), ["round"]).collect()}
+    return [found.get(i) for i in range(len(added))]
+
+
+def best_round(measured: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round with the highest value so far, and whether ``patience`` others brought no more.
+
+    Rounds are looked at one after the other: what comes after the stop never counts.
+    """
+    best = 0
+    for i, value in enumerate(measured):
+        if value > measured[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def fit_boosted_trees(
     train: DataFrame,
     features: Sequence[str],
@@ -61,15 +205,17 @@ def fit_boosted_trees(
     label: str = "TARGET",
     key: str = "SK_ID_CURR",
 ) -> PipelineModel:
-    """Fit on the training rows and keep the rounds up to the lowest validation loss.
+    """Fit on the training rows and keep the rounds up to the highest validation AUC.
 
-    A hashed slice of the training rows, never of the test rows, measures the loss after
-    every round. The rounds double until ``patience`` of them bring nothing, so that a
-    model that stops early does not pay for all rounds; the kept model is the first
-    ``best`` trees of the last fit, without another one.
+    A hashed slice of the training rows, never of the test rows, measures the AUC after
+    every round; boosting ends when ``patience`` rounds have not raised it. Where it cannot
+    be measured (a class is missing there), twice ``patience`` rounds are kept. Margins
+    start at zero, every tree counts ``stepSize`` times its leaf values.
     """
-    chosen = {**CHALLENGER, **(settings or {})}
-    most, patience = chosen.pop("maxIter"), chosen.pop("patience")
+    chosen = {**CHALLENGER, **COMMON, "block": BLOCK, **PENALTIES, **(settings or {})}
+    most, patience, block = chosen.pop("maxIter"), chosen.pop("patience"), chosen.pop("block")
+    penalties = {name: chosen.pop(name) for name in PENALTIES}
+    step = chosen.pop("stepSize")
     weight = positive_weight(train, label)
     stages = input_stages(features, flag_missing)
     rows = train.select(key, label, *features)
@@ -81,36 +227,56 @@ def fit_boosted_trees(
             F.when(F.col(label) == 1, float(weight)).otherwise(1.0).alias("weight"),
             (hash_cell(key, SEED + 2) < int(VALIDATION_SHARE * CELLS)).alias("is_validation"),
             "features",
+            F.lit(0.0).alias("margin"),
         )
     )
-    learning, validation = vectors.where("NOT is_validation"), vectors.where("is_validation")
-    trees = GBTClassifier(
-        labelCol=label, featuresCol="features", weightCol="weight", seed=SEED, **COMMON, **chosen
+    trees: list = []
+    blocks: list = []  # those whose rounds have not been measured yet
+    measured: list[float] = []
+    staged, stopped, best = 0, False, 0
+    while not stopped and len(trees) < most:
+        current = _gradients(_with_margin(vectors, trees[staged:], step), label)
+        learning = current.where("NOT is_validation")
+        forest = RandomForestRegressor(
+            labelCol="_newton", featuresCol="features", weightCol="_hessian", predictionCol="_forest",
+            numTrees=block, bootstrap=False, seed=SEED + len(trees), **chosen,
+        ).fit(learning)
+        sums = leaf_sums(learning, forest)
+        made = [_with_leaves(t, s, penalties) for t, s in zip(forest._java_obj.trees(), sums, strict=True)]
+        trees += [tree for tree, _ in made]
+        blocks.append((forest, [steps for _, steps in made]))
+        if len(trees) - staged < STAGE_EVERY and len(trees) < most:
+            continue
+        found = staged_auc(vectors.where("is_validation"), blocks, step, label)
+        if found[0] is None:
+            best, most = len(trees), min(most, 2 * patience)
+        else:
+            measured += found
+            best, stopped = best_round(measured[:most], patience)
+        if not stopped and len(trees) < most:
+            vectors, staged, blocks = stage(_with_margin(vectors, trees[staged:], step)), len(trees), []
+    kept = trees[: min(best, most)]
+    array, gateway = _java_trees(kept)
+    model = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        "gbtc_challenger", array, _java_weights(gateway, step, len(kept)), kept[0].numFeatures(), 2
     )
-    rounds = min(2 * patience, most)
-    while True:
-        model = trees.copy({trees.maxIter: rounds}).fit(learning)
-        losses = model.evaluateEachIteration(validation)
-        if not all(map(math.isfinite, losses)):  # no validation rows
-            return PipelineModel([*stages, model])
-        best = losses.index(min(losses)) + 1
-        if rounds == most or best + patience <= rounds:
-            break
-        rounds = min(2 * rounds, most)
-    return PipelineModel([*stages, first_trees(model, best)])
+    settled = GBTClassifier(
+        labelCol=label, featuresCol="features", weightCol="weight", seed=SEED, maxIter=most, stepSize=step,
+        **chosen,
+    )
+    return PipelineModel([*stages, settled._copyValues(GBTClassificationModel(model))])
 
 
 def first_trees(model: GBTClassificationModel, count: int) -> GBTClassificationModel:
     """The model after its first ``count`` rounds."""
     if count >= model.getNumTrees:
         return model
-    whole, gateway = model._java_obj, SparkSession.active().sparkContext._gateway
-    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
-    trees = gateway.new_array(kind, count)
+    whole = model._java_obj
+    array, gateway = _java_trees([whole.trees()[i] for i in range(count)])
     weights = gateway.new_array(gateway.jvm.double, count)
     for i in range(count):
-        trees[i], weights[i] = whole.trees()[i], whole.treeWeights()[i]
+        weights[i] = whole.treeWeights()[i]
     shorter = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        whole.uid(), trees, weights, whole.numFeatures(), whole.numClasses()
+        whole.uid(), array, weights, whole.numFeatures(), whole.numClasses()
     )
     return model._copyValues(GBTClassificationModel(shorter))

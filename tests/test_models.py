@@ -20,7 +20,7 @@ def test_trees_find_the_signal(fitted, planted):
     assert int(np.argmax(importance)) == 0
 
 
-def test_rounds_stop_at_the_lowest_validation_loss(planted):
+def test_rounds_stop_at_the_highest_validation_auc(planted):
     settings = {"maxIter": 24, "maxDepth": 4, "stepSize": 1.0, "patience": 3}
     stopped = challenger.fit_boosted_trees(planted, FEATURES, settings).stages[-1]
     longer = challenger.fit_boosted_trees(planted, FEATURES, {**settings, "patience": 24}).stages[-1]
@@ -47,6 +47,58 @@ def test_kept_trees_equal_a_fit_of_that_length(planted):
     assert ours.exceptAll(theirs).count() == 0
 
 
+def test_patience_looks_at_one_round_after_the_other():
+    assert challenger.best_round([0.5, 0.7, 0.6, 0.7, 0.9], 2) == (2, True)  # 0.9 comes too late
+    assert challenger.best_round([0.5, 0.7, 0.6, 0.8], 2) == (4, False)
+    assert challenger.best_round([0.5], 1) == (1, False)
+
+
+def test_leaves_are_newton_steps_under_both_penalties(planted):
+    """Two blocks of trees; every leaf value and staged margin once more with plain numbers."""
+    settings = {"maxIter": 4, "maxDepth": 2, "stepSize": 0.3, "block": 2, "alpha": 3.0, "lambda": 2.0}
+    fitted = challenger.fit_boosted_trees(planted, FEATURES, {**settings, "patience": 50})
+    model = fitted.stages[-1].setLeafCol("leaves")
+    rows = fitted.transform(planted).withColumn("apart", challenger.hash_cell("SK_ID_CURR", challenger.SEED + 2))
+    pdf = rows.select("TARGET", "apart", vector_to_array("leaves").alias("leaves"), vector_to_array("rawPrediction")[1].alias("raw")).toPandas()
+    weight = challenger.positive_weight(planted)
+    y = pdf["TARGET"].to_numpy(float)
+    w = np.where(y == 1, weight, 1.0)
+    learned = (pdf["apart"] >= int(challenger.VALIDATION_SHARE * challenger.CELLS)).to_numpy()
+    leaves = np.vstack(pdf["leaves"].to_numpy()).astype(int)
+    margin, zeroed = np.zeros(len(y)), 0
+    for first in range(0, model.getNumTrees, 2):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = w * (y - p), w * p * (1 - p)
+        for tree in range(first, min(first + 2, model.getNumTrees)):
+            values = np.zeros(leaves[:, tree].max() + 1)
+            for leaf in range(len(values)):
+                own = learned & (leaves[:, tree] == leaf)
+                size = abs(g[own].sum())
+                zeroed += size <= 3
+                values[leaf] = np.sign(g[own].sum()) * max(size - 3, 0) / (h[own].sum() + 2)
+            margin = margin + 0.3 * values[leaves[:, tree]]
+    assert np.allclose(2 * pdf["raw"], margin, atol=1e-9) and np.ptp(margin) > 0.1
+
+
+def test_staged_margins_change_nothing(planted, monkeypatch):
+    settings = {"maxIter": 6, "maxDepth": 2, "stepSize": 0.3, "block": 2, "patience": 50}
+    settings |= {"subsamplingRate": 1.0, "featureSubsetStrategy": "all"}  # samples follow the order of rows
+    once = challenger.fit_boosted_trees(planted, FEATURES, settings)
+    monkeypatch.setattr(challenger, "STAGE_EVERY", 2)  # also measures after every block
+    often = challenger.fit_boosted_trees(planted, FEATURES, settings)
+    pd_of = lambda m: scorecard.probability_of_default(m.transform(planted)).orderBy("SK_ID_CURR").toPandas()["PD"]
+    assert np.allclose(pd_of(once), pd_of(often), atol=1e-9)
+
+
+def test_one_class_only_still_fits(spark):
+    rows = [(i, 0, float(i % 7)) for i in range(300)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR bigint, TARGET int, f0 double")
+    model = challenger.fit_boosted_trees(df, ["f0"], {"maxIter": 40, "maxDepth": 2, "stepSize": 0.1, "patience": 2})
+    assert model.stages[-1].getNumTrees == 4
+    scored = scorecard.probability_of_default(model.transform(df))
+    assert scored.where("PD > 0.5").count() == 0
+
+
 def test_path_contributions_sum_to_the_margin(spark, fitted, planted):
     scored = fitted.transform(planted)
     nodes = attribution.tree_nodes(spark, fitted)
