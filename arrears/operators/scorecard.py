@@ -73,11 +73,16 @@ def informative_bins(
 ) -> tuple[DataFrame, list[str]]:
     """Bin table of all features and the features with enough information, best first.
 
-    The trend of a feature may turn once.
+    The trend of a feature may turn once. Where no feature clears a bar, as on large tables
+    whose features hardly tell the classes apart, all that carry any information are taken.
     """
     narrow = stage(train.select(label, *features))
     bins = stage(optimal_bins(narrow, features, label, turns=1))
-    selected = [r.feature for r in select_by_iv(information_values(bins)).collect()]
+    ranked = stage(information_values(bins))
+    selected = [r.feature for r in select_by_iv(ranked).orderBy(F.desc("IV"), "feature").collect()]
+    if not selected:
+        informative = ranked.where(F.col("IV") > 0).orderBy(F.desc("IV"), "feature")
+        selected = [r.feature for r in informative.collect()]
     if not selected:
         raise ValueError("no feature carries information about the label")
     return bins, selected

@@ -169,6 +169,21 @@ def test_fallback_selection(spark):
     assert {r.feature for r in binning.select_by_iv(more).collect()} == {"d"}
 
 
+def test_features_below_both_bars_still_make_a_scorecard(spark):
+    """Features that hardly tell the classes apart, as on tables with many rows, are all taken."""
+    rows = [
+        (i, i % 2, 1.0 if i % 80 == 0 else float(i // 2 % 2), 1.0 if i % 100 == 0 else float(i // 4 % 2), 1.0)
+        for i in range(4000)
+    ]
+    train = spark.createDataFrame(rows, "SK_ID_CURR bigint, TARGET int, a double, b double, c double")
+    ivs = binning.information_values(binning.optimal_bins(train, ["a", "b", "c"], turns=1))
+    assert binning.select_by_iv(ivs).count() == 0
+    wanted = [r.feature for r in ivs.collect() if r.IV > 0]
+    model, _, selected = scorecard.fit_scorecard(train, ["a", "b", "c"])
+    assert selected == wanted and selected and "c" not in selected
+    assert len(model.stages[-1].coefficients) == len(selected)
+
+
 def newton(x, y, w, c):
     x1 = np.hstack([x, np.ones((len(x), 1))])
     beta = np.zeros(x1.shape[1])
