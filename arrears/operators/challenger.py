@@ -9,8 +9,10 @@ its Newton step under L1 and L2 penalties. No tree is fitted twice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -19,7 +21,6 @@ from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionMode
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.operators.metrics import rank_metrics, ranked_scores
 from arrears.operators.split import CELLS, SEED, hash_cell
 from arrears.sources.staging import stage
 
@@ -33,6 +34,9 @@ VALIDATION_SHARE = 0.2
 BLOCK = 10  # trees fitted at once on one margin
 STAGE_EVERY = 20  # trees after which the AUC is measured and the margins are written
 LEAST_HESSIAN = 1e-6
+PART = pa.schema(
+    [("round", pa.int32()), ("low", pa.float64()), ("bad", pa.int64()), ("good", pa.int64()), ("twice", pa.int64())]
+)
 
 
 def class_weights(train: DataFrame, label: str = "TARGET") -> DataFrame:
@@ -166,21 +170,73 @@ def leaf_sums(rows: DataFrame, forest: RandomForestRegressionModel) -> list[dict
 def staged_auc(
     validation: DataFrame, blocks: Sequence[tuple[RandomForestRegressionModel, list[list[float]]]], step: float, label: str
 ) -> list[float | None]:
-    """The exact AUC after each further tree of the blocks, from counts of equal margins."""
-    rows, added = validation, []
-    for number, (forest, steps) in enumerate(blocks):
+    """The exact AUC after each further tree of the blocks, from counts of equal margins.
+
+    The leaves are written once. Tasks add up the margins of all rounds and count equal ones;
+    one shuffle brings the counts into order by round and margin, and each slice passes on its
+    rows of both classes and its pairs in order, a row per round.
+    """
+    rows, named = validation.where(F.col(label).isNotNull()), []
+    for number, (forest, _) in enumerate(blocks):
         own = f"_leaves_{number}"
         rows = forest.setLeafCol(own).transform(rows).drop("_forest")
-        for tree, values in enumerate(steps):
-            listed = F.array(*[F.lit(step * v) for v in values])
-            added.append(F.get(listed, vector_to_array(own)[tree].cast("int")))
-    margins = F.transform(
-        F.sequence(F.lit(1), F.lit(len(added))),
-        lambda n: F.aggregate(F.slice(F.array(*added), F.lit(1), n), F.col("margin"), lambda a, x: a + x),
+        named.append(vector_to_array(own))
+    tables = [np.array([step * v for v in values]) for _, steps in blocks for values in steps]
+    count = len(tables)
+
+    def margins(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            y = batch.column("label").to_numpy().astype(np.int64)
+            score = batch.column("margin").to_numpy()
+            leaves = batch.column("leaves").flatten().to_numpy().reshape(len(y), count)
+            for number, table in enumerate(tables):
+                score = score + table[leaves[:, number]]
+                distinct, at = np.unique(score + 0.0, return_inverse=True)  # -0.0 is 0.0
+                held, bad = np.bincount(at), np.bincount(at, weights=y).astype(np.int64)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "round": pa.array(np.full(len(distinct), number, np.int32)),
+                        "score": pa.array(distinct),
+                        "bad": pa.array(bad),
+                        "good": pa.array(held - bad),
+                    }
+                )
+
+    def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list] = {}  # round -> lowest margin, bad, good, twice the pairs in order
+        for batch in batches:
+            rounds, score, bad, good = (batch.column(c).to_numpy() for c in ("round", "score", "bad", "good"))
+            for number in np.unique(rounds):
+                own = slice(*np.searchsorted(rounds, [number, number + 1]))
+                held = found.setdefault(int(number), [float(score[own][0]), 0, 0, 0])
+                below = held[2] + np.cumsum(good[own]) - good[own]
+                held[3] += int((bad[own] * (2 * below + good[own])).sum())
+                held[1] += int(bad[own].sum())
+                held[2] += int(good[own].sum())
+        yield pa.RecordBatch.from_pylist(
+            [dict(zip(PART.names, (n, *held), strict=True)) for n, held in found.items()], schema=PART
+        )
+
+    leaves = F.concat(*named).cast("array<int>").alias("leaves")
+    narrow = stage(rows.select(F.col(label).cast("bigint").alias("label"), "margin", leaves))
+    counted = narrow.mapInArrow(margins, "round int, score double, bad bigint, good bigint")
+    distinct = (
+        counted.repartitionByRange("round", "score")
+        .groupBy("round", "score")
+        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        .sortWithinPartitions("round", "score")
     )
-    exploded = rows.select(F.col(label).cast("int").alias("label"), F.posexplode(margins).alias("round", "score"))
-    found = {r["round"]: r.auc for r in rank_metrics(ranked_scores(exploded, ["round"]), ["round"]).collect()}
-    return [found.get(i) for i in range(len(added))]
+    parts = distinct.mapInArrow(pairs, "round int, low double, bad bigint, good bigint, twice bigint").collect()
+    aucs: list[float | None] = []
+    for number in range(count):
+        bad = good = twice = 0
+        for r in sorted((r for r in parts if r["round"] == number), key=lambda r: r.low):
+            twice += r.twice + 2 * r.bad * good
+            bad, good = bad + r.bad, good + r.good
+        aucs.append(twice / 2 / (bad * good) if bad and good else None)
+    return aucs
 
 
 def best_round(measured: Sequence[float], patience: int) -> tuple[int, bool]:
